@@ -31,8 +31,9 @@ PDF_TAG_MAP = {
 PDF_HEADING_LEVEL = {"/H": 1, "/H1": 1, "/H2": 2, "/H3": 3, "/H4": 4, "/H5": 5, "/H6": 6}
 
 # HTML block tags -> node type (our twin of the PDF map).  Unknown -> artifact.
+# <title> is head metadata and is dropped in favour of <h1> (see HTML_SKIP_TAGS).
 HTML_TAG_MAP = {
-    "title": "heading", "h1": "heading", "h2": "heading", "h3": "heading",
+    "h1": "heading", "h2": "heading", "h3": "heading",
     "h4": "heading", "h5": "heading", "h6": "heading",
     "p": "paragraph",
     "ul": "list", "ol": "list", "li": "list_item",
@@ -42,8 +43,11 @@ HTML_TAG_MAP = {
     "figure": "figure", "pre": "code",
 }
 
-# HTML heading levels; <title> counts as a level-1 heading.
-HTML_HEADING_LEVEL = {"title": 1, "h1": 1, "h2": 2, "h3": 3, "h4": 4, "h5": 5, "h6": 6}
+# HTML heading levels.
+HTML_HEADING_LEVEL = {"h1": 1, "h2": 2, "h3": 3, "h4": 4, "h5": 5, "h6": 6}
+
+# Document scaffolding and head tags that never become nodes.
+HTML_SKIP_TAGS = ["html", "head", "body", "meta", "link", "base", "title"]
 
 # Structural rank of each HTML node type for the container rule: a node's parent
 # is the nearest earlier node of a smaller rank.  Leaves take rank 5.

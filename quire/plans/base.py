@@ -46,3 +46,8 @@ NODE_OUT = ["doc_id", "node_id", "parent_id", "pre", "last", "depth", "child_pos
 def node_rows(nodes: DataFrame) -> DataFrame:
     """Flat projection of ``nodes`` used as query output (bbox is always null)."""
     return nodes.select(*NODE_OUT)
+
+
+def html_built(spark: SparkSession, sf_dir: str) -> Built:
+    from quire.operators.tagged import html_nodes
+    return html_nodes(table(spark, sf_dir, "pages"))

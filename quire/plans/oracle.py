@@ -236,3 +236,114 @@ ORACLE["metering"] = f"""WITH {DOC_NODES_8}
 SELECT count(*) AS documents, CAST(sum(page_count) AS BIGINT) AS pages_processed,
        (SELECT count(*) FROM doc_nodes WHERE length(text_content) > 0) AS blocks
 FROM (SELECT DISTINCT doc_id, page_count FROM doc_pg)"""
+
+
+# -- tagged HTML corpus -------------------------------------------------------------
+
+def _html_sql() -> str:
+    from quire.functions.tags import HTML_HEADING_LEVEL, HTML_SKIP_TAGS, HTML_TAG_MAP, HTML_TYPE_RANK
+    from quire.sources.html import RE_DROP_BLOCKS, RE_INLINE_TAGS, RE_TOKEN
+    ntype = "CASE tag " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in HTML_TAG_MAP.items()) + " ELSE 'artifact' END"
+    rank = "CASE node_type " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in HTML_TYPE_RANK.items()) + " ELSE 5 END"
+    level = "CASE n.tag " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in HTML_HEADING_LEVEL.items()) + " END"
+    skip = ", ".join(f"'{t}'" for t in HTML_SKIP_TAGS)
+    unesc = "raw"
+    for ent, ch in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&amp;", "&")):
+        unesc = f"replace({unesc}, '{ent}', '{ch}')"
+    return f"""
+hp AS (
+  SELECT page_id AS doc_id, {src_hash('html')} AS source_hash,
+         regexp_replace(regexp_replace(coalesce(html, ''), '{RE_DROP_BLOCKS}', '', 'g'),
+                        '{RE_INLINE_TAGS}', '', 'g') AS c
+  FROM pages),
+hx AS (
+  SELECT doc_id, source_hash, regexp_extract_all(c, '{RE_TOKEN}', 1) AS tg,
+         regexp_extract_all(c, '{RE_TOKEN}', 2) AS tx FROM hp),
+ht AS (
+  SELECT doc_id, source_hash, lower(tg[i]) AS tag, tx[i] AS raw, i
+  FROM (SELECT *, unnest(range(1, len(tg) + 1)) AS i FROM hx)
+  WHERE lower(tg[i]) NOT IN ({skip})),
+hk AS (
+  SELECT doc_id, source_hash, tag, raw,
+         CAST(row_number() OVER (PARTITION BY doc_id ORDER BY i) - 1 AS INTEGER) AS pos, {ntype} AS node_type
+  FROM ht),
+hr AS (SELECT *, {rank} AS rank FROM hk),
+hpar AS (
+  SELECT a.doc_id, a.pos, max(b.pos) AS parent_pos
+  FROM hr a LEFT JOIN hr b ON a.doc_id = b.doc_id AND b.pos < a.pos AND b.rank < a.rank
+  GROUP BY a.doc_id, a.pos),
+hn AS (SELECT hr.*, hpar.parent_pos FROM hr JOIN hpar ON hr.doc_id = hpar.doc_id AND hr.pos = hpar.pos),
+hanc AS (
+  SELECT doc_id, pos, parent_pos AS a FROM hn WHERE parent_pos IS NOT NULL
+  UNION ALL
+  SELECT x.doc_id, x.pos, p.parent_pos FROM hanc x JOIN hn p ON x.doc_id = p.doc_id AND x.a = p.pos
+  WHERE p.parent_pos IS NOT NULL),
+hdep AS (SELECT doc_id, pos, count(*) AS n_anc FROM hanc GROUP BY doc_id, pos),
+hlast AS (SELECT doc_id, a AS pos, max(pos) AS last_desc FROM hanc GROUP BY doc_id, a),
+hkids AS (SELECT doc_id, parent_pos AS pos, count(*) AS n_kids FROM hn WHERE parent_pos IS NOT NULL
+          GROUP BY doc_id, parent_pos),
+hcnt AS (SELECT doc_id, count(*) AS n, count(*) FILTER (WHERE parent_pos IS NULL) AS top FROM hn GROUP BY doc_id),
+html_nodes AS (
+  SELECT hp.doc_id, concat('ast:', left(hp.source_hash, 6), ':0:', coalesce(hcnt.n, 0)) AS node_id,
+         CAST(NULL AS VARCHAR) AS parent_id, 0 AS pre, coalesce(hcnt.n, 0) AS last, 0 AS depth, 0 AS child_pos,
+         'document' AS node_type, 0 AS page_index, CAST(NULL AS VARCHAR) AS text_content,
+         CAST(NULL AS INTEGER) AS level, CAST(NULL AS VARCHAR) AS struct_type, FALSE AS heuristic,
+         CAST(NULL AS INTEGER) AS mcid, coalesce(hcnt.top, 0) AS children_count
+  FROM hp LEFT JOIN hcnt ON hp.doc_id = hcnt.doc_id
+  UNION ALL
+  SELECT n.doc_id, concat('ast:', left(n.source_hash, 6), ':0:', n.pos),
+         concat('ast:', left(n.source_hash, 6), ':0:', coalesce(n.parent_pos, c.n)),
+         n.pos + 1, greatest(n.pos, coalesce(l.last_desc, n.pos)) + 1, 1 + coalesce(d.n_anc, 0),
+         row_number() OVER (PARTITION BY n.doc_id, n.parent_pos ORDER BY n.pos) - 1,
+         n.node_type, 0,
+         CASE WHEN coalesce(k.n_kids, 0) = 0 THEN nullif(trim({unesc}, {WS}), '') END,
+         {level}, n.tag, FALSE, NULL, coalesce(k.n_kids, 0)
+  FROM hn n JOIN hcnt c ON n.doc_id = c.doc_id
+       LEFT JOIN hdep d ON n.doc_id = d.doc_id AND n.pos = d.pos
+       LEFT JOIN hlast l ON n.doc_id = l.doc_id AND n.pos = l.pos
+       LEFT JOIN hkids k ON n.doc_id = k.doc_id AND n.pos = k.pos)"""
+
+
+HTML_NODES = _html_sql()
+
+ORACLE["html_nodes"] = f"WITH RECURSIVE {HTML_NODES}\n{node_select('html_nodes')}"
+ORACLE["tag_histogram"] = f"WITH RECURSIVE {HTML_NODES}\nSELECT tag, count(*) AS n FROM ht GROUP BY tag"
+ORACLE["cited_headings"] = f"WITH RECURSIVE {HTML_NODES}\n{cited('html_nodes', "node_type = 'heading'")}"
+ORACLE["outline"] = f"""WITH RECURSIVE {HTML_NODES}
+SELECT doc_id, pre, node_id, page_index, text, depth, count(*) OVER (PARTITION BY doc_id) AS heading_count,
+       total_matches, truncated FROM (
+  SELECT CAST(doc_id AS BIGINT) AS doc_id, CAST(pre AS INTEGER) AS pre, node_id,
+         CAST(page_index AS INTEGER) AS page_index, coalesce(text_content, '') AS text,
+         CAST(coalesce(level, 1) AS INTEGER) AS depth,
+         row_number() OVER (PARTITION BY doc_id ORDER BY pre) AS rk,
+         count(*) OVER (PARTITION BY doc_id) AS total_matches,
+         count(*) OVER (PARTITION BY doc_id) > 500 AS truncated
+  FROM html_nodes WHERE node_type = 'heading') WHERE rk <= 500"""
+
+ORACLE["get_node"] = f"""WITH RECURSIVE {HTML_NODES},
+keys AS (SELECT doc_id, concat('ast:', left(source_hash, 6), ':0:', k) AS node_id
+         FROM hp, (VALUES (1), (9), (60)) v(k))
+SELECT CAST(keys.doc_id AS BIGINT) AS doc_id, keys.node_id, n.node_id IS NOT NULL AS found, n.node_type,
+       CAST(n.pre AS INTEGER) AS pre, CAST(n.children_count AS INTEGER) AS children_count, n.text_content,
+       CASE WHEN n.node_id IS NULL THEN concat('Node not found: ', keys.node_id) END AS error
+FROM keys LEFT JOIN html_nodes n ON keys.doc_id = n.doc_id AND keys.node_id = n.node_id"""
+
+ORACLE["subtree"] = f"""WITH {CONV_NODES}
+SELECT CAST(k.doc_id AS BIGINT) AS doc_id, k.node_id AS key_id, n.node_id, CAST(n.pre AS INTEGER) AS pre,
+       n.node_type, CAST(n.depth AS INTEGER) AS depth, CAST(n.depth - k.depth AS INTEGER) AS rel_depth,
+       n.text_content
+FROM conv_nodes k JOIN conv_nodes n ON k.doc_id = n.doc_id AND n.pre BETWEEN k.pre AND k.last
+WHERE k.node_type = 'section'"""
+
+ORACLE["ancestors"] = f"""WITH RECURSIVE {HTML_NODES}
+SELECT CAST(k.doc_id AS BIGINT) AS doc_id, k.node_id AS key_id, a.node_id, a.node_type,
+       CAST(a.depth AS INTEGER) AS depth, CAST(a.pre AS INTEGER) AS pre,
+       CAST(k.depth - a.depth AS INTEGER) AS distance
+FROM html_nodes k JOIN html_nodes a ON k.doc_id = a.doc_id AND a.pre < k.pre AND a.last >= k.pre
+WHERE k.node_type = 'list_item'"""
+
+ORACLE["ast_json_roundtrip"] = f"""WITH {CONV_NODES}
+SELECT CAST(doc_id AS BIGINT) AS doc_id, parent_id, CAST(depth AS INTEGER) AS depth,
+       CAST(child_pos AS INTEGER) AS child_pos, node_id, node_type, CAST(page_index AS INTEGER) AS page_index,
+       text_content, CAST(level AS INTEGER) AS level, struct_type, heuristic, CAST(mcid AS INTEGER) AS mcid
+FROM conv_nodes"""

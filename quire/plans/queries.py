@@ -184,3 +184,79 @@ def q_metering(spark, d):
     from quire.operators.batch import metering
     b = B.docs_built(spark, d, B.DOC_LINES_PER_PAGE)
     return metering(b.nodes, b.docs)
+
+
+# -- B7-B13: tagged HTML corpus ---------------------------------------------------
+
+@query("html_nodes")
+def q_html_nodes(spark, d):
+    """B7-B13 over HTML pages: tagged nodes with the wrapper document root."""
+    return B.node_rows(B.html_built(spark, d).nodes)
+
+
+@query("tag_histogram")
+def q_tag_histogram(spark, d):
+    """Kept block-tag counts over all pages."""
+    from quire.sources.html import tag_histogram
+    return tag_histogram(B.table(spark, d, "pages"))
+
+
+@query("cited_headings")
+def q_cited_headings(spark, d):
+    """D1 with headings_only over the tagged corpus (confidence 1.0)."""
+    return _cited_flat(B.html_built(spark, d).nodes, headings_only=True)
+
+
+@query("outline")
+def q_outline(spark, d):
+    """D4 over the tagged corpus."""
+    return C.outline(B.html_built(spark, d).nodes)
+
+
+# -- F: lookups -------------------------------------------------------------------
+
+@query("get_node")
+def q_get_node(spark, d):
+    """ids with sequence 1, 9 and 60 of every page; found or 'Node not found'."""
+    from quire.functions.text import node_id
+    from quire.operators.tree import get_node
+    b = B.html_built(spark, d)
+    keys = b.docs.select("doc_id", "source_hash", F.explode(F.array(F.lit(1), F.lit(9), F.lit(60))).alias("k")) \
+        .select("doc_id", node_id("source_hash", F.lit(0), "k").alias("node_id"))
+    found, missing = get_node(b.nodes, keys)
+    cols = ["node_type", "pre", "children_count", "text_content"]
+    f = found.select("doc_id", "node_id", F.lit(True).alias("found"), *cols,
+                     F.lit(None).cast("string").alias("error"))
+    m = missing.select("doc_id", "node_id", F.lit(False).alias("found"),
+                       F.lit(None).cast("string").alias("node_type"), F.lit(None).cast("int").alias("pre"),
+                       F.lit(None).cast("int").alias("children_count"),
+                       F.lit(None).cast("string").alias("text_content"), "error")
+    return f.unionByName(m)
+
+
+@query("subtree")
+def q_subtree(spark, d):
+    """every conversation section with its paragraphs (bucketed range join)."""
+    from quire.operators.tree import subtree
+    nodes = B.conv_built(spark, d).nodes
+    keys = nodes.filter(F.col("node_type") == "section").select("doc_id", "node_id")
+    return subtree(nodes, keys).select("doc_id", "key_id", "node_id", "pre", "node_type", "depth", "rel_depth",
+                                       "text_content")
+
+
+@query("ancestors")
+def q_ancestors(spark, d):
+    """root paths of every HTML list item."""
+    from quire.operators.tree import ancestors
+    nodes = B.html_built(spark, d).nodes
+    keys = nodes.filter(F.col("node_type") == "list_item").select("doc_id", "node_id")
+    return ancestors(nodes, keys)
+
+
+@query("ast_json_roundtrip")
+def q_ast_json_roundtrip(spark, d):
+    """A11 + A12: conversation trees to nested JSON and back to flat rows."""
+    from quire.operators.tree import nodes_from_json, nodes_to_json
+    b = B.conv_built(spark, d)
+    js = nodes_to_json(b.nodes, b.docs)
+    return nodes_from_json(js, max_depth=2)

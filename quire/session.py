@@ -16,6 +16,9 @@ _DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
+    # The generic tree walk (WITH RECURSIVE) emits one row per element.
+    "spark.sql.cteRecursionRowLimit": "-1",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
