@@ -51,3 +51,8 @@ def node_rows(nodes: DataFrame) -> DataFrame:
 def html_built(spark: SparkSession, sf_dir: str) -> Built:
     from quire.operators.tagged import html_nodes
     return html_nodes(table(spark, sf_dir, "pages"))
+
+
+def tables_built(spark: SparkSession, sf_dir: str) -> Built:
+    from quire.operators.tables import table_nodes
+    return table_nodes(table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem"))

@@ -347,3 +347,99 @@ SELECT CAST(doc_id AS BIGINT) AS doc_id, parent_id, CAST(depth AS INTEGER) AS de
        CAST(child_pos AS INTEGER) AS child_pos, node_id, node_type, CAST(page_index AS INTEGER) AS page_index,
        text_content, CAST(level AS INTEGER) AS level, struct_type, heuristic, CAST(mcid AS INTEGER) AS mcid
 FROM conv_nodes"""
+
+
+# -- tables ---------------------------------------------------------------------------
+
+def _csv_field(x: str) -> str:
+    return (f"CASE WHEN regexp_matches(coalesce({x}, ''), '[,\"\\r\\n]') "
+            f"THEN concat('\"', replace(coalesce({x}, ''), '\"', '\"\"'), '\"') ELSE coalesce({x}, '') END")
+
+
+def _csv_line(cells: str) -> str:
+    return (f"concat(CASE WHEN len({cells}) = 1 AND coalesce({cells}[1], '') = '' THEN '\"\"' "
+            f"ELSE array_to_string(list_transform({cells}, lambda c: {_csv_field('c')}), ',') END, chr(13), chr(10))")
+
+
+TAB_NODES = """
+tl AS (
+  SELECT l_orderkey AS doc_id,
+         CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) - 1 AS INTEGER)
+           AS r,
+         [CAST(l_linenumber AS VARCHAR), CAST(l_partkey AS VARCHAR), CAST(l_suppkey AS VARCHAR),
+          CAST(l_quantity AS VARCHAR), CAST(CAST(l_extendedprice AS DECIMAL(12, 2)) AS VARCHAR),
+          CAST(l_discount AS VARCHAR), l_returnflag, l_linestatus] AS cells
+  FROM lineitem),
+td AS (
+  SELECT o.o_orderkey AS doc_id, sha256(encode(concat('order:', o.o_orderkey))[1:4096]) AS h,
+         coalesce(c.cnt, 0) AS n_rows
+  FROM orders o LEFT JOIN (SELECT l_orderkey, count(*) AS cnt FROM lineitem GROUP BY l_orderkey) c
+       ON o.o_orderkey = c.l_orderkey),
+tlh AS (SELECT tl.*, sha256(encode(concat('order:', tl.doc_id))[1:4096]) AS h FROM tl),
+tab_nodes AS (
+  SELECT doc_id, concat('ast:', left(h, 6), ':0:0') AS node_id, CAST(NULL AS VARCHAR) AS parent_id, 0 AS pre,
+         n_rows * 9 + 1 AS last, 0 AS depth, 0 AS child_pos, 'document' AS node_type, 0 AS page_index,
+         CAST(NULL AS VARCHAR) AS text_content, CAST(NULL AS INTEGER) AS level, '/Document' AS struct_type,
+         FALSE AS heuristic, CAST(NULL AS INTEGER) AS mcid, 1 AS children_count
+  FROM td
+  UNION ALL
+  SELECT doc_id, concat('ast:', left(h, 6), ':0:1'), concat('ast:', left(h, 6), ':0:0'), 1, n_rows * 9 + 1, 1, 0,
+         'table', 0, NULL, NULL, '/Table', FALSE, NULL, n_rows
+  FROM td
+  UNION ALL
+  SELECT doc_id, concat('ast:', left(h, 6), ':0:', r * 9 + 2), concat('ast:', left(h, 6), ':0:1'), r * 9 + 2,
+         r * 9 + 10, 2, r, 'table_row', 0, NULL, NULL, '/TR', FALSE, NULL, 8
+  FROM tlh
+  UNION ALL
+  SELECT doc_id, concat('ast:', left(h, 6), ':0:', r * 9 + 3 + c), concat('ast:', left(h, 6), ':0:', r * 9 + 2),
+         r * 9 + 3 + c, r * 9 + 3 + c, 3, c, 'table_cell', 0, t, NULL, '/TD', FALSE, NULL, 0
+  FROM (SELECT *, unnest(cells) AS t, CAST(generate_subscripts(cells, 1) - 1 AS INTEGER) AS c FROM tlh)),
+tc AS (
+  SELECT doc_id, parent_id AS row_id, list(text_content ORDER BY pre) AS cs
+  FROM tab_nodes WHERE node_type = 'table_cell' GROUP BY doc_id, parent_id),
+trw AS (
+  SELECT r.doc_id, r.parent_id AS table_node_id, r.node_id AS row_id, r.pre AS row_pre, coalesce(tc.cs, []) AS cs
+  FROM tab_nodes r LEFT JOIN tc ON r.doc_id = tc.doc_id AND r.node_id = tc.row_id
+  WHERE r.node_type = 'table_row'),
+tgrid AS (
+  SELECT t.doc_id, t.node_id AS table_node_id, t.page_index AS table_page, t.pre AS table_pre, w.row_id,
+         coalesce(w.cs, []) AS cs,
+         CASE WHEN w.row_id IS NOT NULL
+              THEN row_number() OVER (PARTITION BY t.doc_id, t.node_id ORDER BY w.row_pre) - 1 END AS row
+  FROM tab_nodes t LEFT JOIN trw w ON t.doc_id = w.doc_id AND t.node_id = w.table_node_id
+  WHERE t.node_type = 'table' AND NOT t.heuristic)"""
+
+ORACLE["table_nodes"] = f"WITH {TAB_NODES}\n{node_select('tab_nodes')}"
+
+ORACLE["table_cells"] = f"""WITH {TAB_NODES}
+SELECT CAST(doc_id AS BIGINT) AS doc_id, table_node_id, CAST(table_page AS INTEGER) AS table_page,
+       CAST(table_pre AS INTEGER) AS table_pre, CAST(row AS INTEGER) AS row, CAST(c AS INTEGER) AS col,
+       1 AS row_span, 1 AS col_span, t AS text, CAST(1.0 AS DOUBLE) AS confidence
+FROM (SELECT *, unnest(cs) AS t, generate_subscripts(cs, 1) - 1 AS c FROM tgrid WHERE row IS NOT NULL)"""
+
+ORACLE["cited_tables"] = f"""WITH {TAB_NODES}
+SELECT CAST(doc_id AS BIGINT) AS doc_id, table_node_id, CAST(table_page AS INTEGER) AS table_page,
+       CAST(count(row) AS INTEGER) AS row_count, CAST(coalesce(max(len(cs)), 0) AS INTEGER) AS col_count,
+       FALSE AS has_anchor
+FROM tgrid GROUP BY doc_id, table_node_id, table_page"""
+
+ORACLE["table_summary"] = f"""WITH {CONV_NODES}, {TAB_NODES}
+SELECT CAST(d.doc_id AS BIGINT) AS doc_id, CAST(0 AS BIGINT) AS table_count, d.page_count AS pages_processed,
+       'conversations' AS corpus
+FROM conv_doc d
+UNION ALL
+SELECT CAST(td.doc_id AS BIGINT), CAST(1 AS BIGINT), 1, 'orders' FROM td"""
+
+ORACLE["tables_csv"] = f"""WITH {TAB_NODES},
+ords AS (
+  SELECT doc_id, table_node_id, table_page,
+         CAST(row_number() OVER (PARTITION BY doc_id ORDER BY table_pre) - 1 AS INTEGER) AS table_ord
+  FROM (SELECT DISTINCT doc_id, table_node_id, table_page, table_pre FROM tgrid))
+SELECT CAST(o.doc_id AS BIGINT) AS doc_id, o.table_ord, 0 AS line_no,
+       concat(CASE WHEN o.table_ord > 0 THEN chr(10) ELSE '' END,
+              concat('# Table ', o.table_ord + 1, ' (p', o.table_page, ')'), chr(13), chr(10)) AS line
+FROM ords o
+UNION ALL
+SELECT CAST(g.doc_id AS BIGINT), o.table_ord, CAST(g.row + 1 AS INTEGER), {_csv_line('g.cs')}
+FROM tgrid g JOIN ords o ON g.doc_id = o.doc_id AND g.table_node_id = o.table_node_id
+WHERE g.row IS NOT NULL"""

@@ -260,3 +260,43 @@ def q_ast_json_roundtrip(spark, d):
     b = B.conv_built(spark, d)
     js = nodes_to_json(b.nodes, b.docs)
     return nodes_from_json(js, max_depth=2)
+
+
+# -- E: tables --------------------------------------------------------------------
+
+@query("table_nodes")
+def q_table_nodes(spark, d):
+    """E5: orders as documents with one table; lines as rows; columns as cells."""
+    return B.node_rows(B.tables_built(spark, d).nodes)
+
+
+@query("table_cells")
+def q_table_cells(spark, d):
+    """Direct rows and cells of every table, numbered from 0."""
+    from quire.operators.tables import table_cells
+    return table_cells(B.tables_built(spark, d).nodes)
+
+
+@query("cited_tables")
+def q_cited_tables(spark, d):
+    """E2 (flat): row and column counts per table; empty orders give 0 x 0."""
+    from quire.operators.tables import cited_tables
+    return cited_tables(B.tables_built(spark, d).nodes)
+
+
+@query("table_summary")
+def q_table_summary(spark, d):
+    """Tables and pages per document for the tagged order tables and the
+    heuristic conversations (which never have tables)."""
+    from quire.operators.tables import table_summary
+    conv, tabs = B.conv_built(spark, d), B.tables_built(spark, d)
+    return table_summary(conv.nodes, conv.docs).withColumn("corpus", F.lit("conversations")).unionByName(
+        table_summary(tabs.nodes, tabs.docs).withColumn("corpus", F.lit("orders")))
+
+
+@query("tables_csv")
+def q_tables_csv(spark, d):
+    """CSV lines of every order's table."""
+    from quire.operators.tables import table_grid, with_table_ord
+    from quire.sources.sinks import csv_table_lines
+    return csv_table_lines(with_table_ord(table_grid(B.tables_built(spark, d).nodes)))

@@ -49,25 +49,32 @@ def plain_documents(blocks: DataFrame) -> DataFrame:
     return blocks.groupBy("doc_id").agg(_ordered_join("text", "\n").alias("content"))
 
 
-def csv_table_lines(cells: DataFrame) -> DataFrame:
-    """CSV lines of every table from ``table_cells`` rows.
+def csv_table_lines(grid: DataFrame) -> DataFrame:
+    """CSV lines of every table from a table grid with ``table_ord``.
 
     Output rows ``(doc_id, table_ord, line_no, line)``: line 0 is the
     ``# Table N (pM)`` title (``N`` = 1-based table number in the document),
-    then one line per row; tables after the first start with a blank line.
-    Null cells print as empty fields.
+    then one line per row, empty rows included; tables after the first start
+    with a blank line.  Null cells print as empty fields.  Concatenating a
+    document's lines in ``(table_ord, line_no)`` order gives the CSV text.
     """
-    rows = (cells.groupBy("doc_id", "table_ord", "table_page", "row")
-            .agg(F.array_sort(F.collect_list(F.struct("col", "text"))).alias("cs"))
-            .select("doc_id", "table_ord", "table_page", (F.col("row") + 1).alias("line_no"),
-                    csv_row(F.transform("cs", lambda c: c["text"])).alias("line")))
-    titles = cells.select("doc_id", "table_ord", "table_page").distinct().select(
-        "doc_id", "table_ord", "table_page", F.lit(0).alias("line_no"),
+    rows = grid.filter(F.col("row").isNotNull()).select(
+        "doc_id", "table_ord", (F.col("row") + 1).alias("line_no"),
+        csv_row(F.transform("cells", lambda c: c["text"])).alias("line"))
+    title = F.concat(F.lit("# Table "), (F.col("table_ord") + 1).cast("string"), F.lit(" (p"),
+                     F.col("table_page").cast("string"), F.lit(")"))
+    titles = grid.select("doc_id", "table_ord", "table_page").distinct().select(
+        "doc_id", "table_ord", F.lit(0).alias("line_no"),
         F.concat(F.when(F.col("table_ord") > 0, F.lit("\n")).otherwise(F.lit("")),
-                 csv_row(F.array(F.concat(F.lit("# Table "), (F.col("table_ord") + 1).cast("string"),
-                                          F.lit(" (p"), F.col("table_page").cast("string"), F.lit(")"))))
-                 ).alias("line"))
-    return titles.unionByName(rows).drop("table_page")
+                 csv_row(F.array(title))).alias("line"))
+    return titles.unionByName(rows)
+
+
+def csv_documents(grid: DataFrame) -> DataFrame:
+    """A7 per document: the whole CSV text (lines in table and row order)."""
+    lines = csv_table_lines(grid)
+    return lines.groupBy("doc_id").agg(F.array_join(F.transform(
+        F.array_sort(F.collect_list(F.struct("table_ord", "line_no", "line"))), lambda s: s["line"]), "").alias("csv"))
 
 
 def write_text(df: DataFrame, path: str, col: str, mode: str = "errorifexists") -> None:
