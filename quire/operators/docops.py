@@ -4,9 +4,118 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quire.functions.text import content_hash
+
+DEFAULT_REPLACEMENT = "[REDACTED]"
+
+
+def literal_pattern(text: str) -> str:
+    """A literal string as a regular expression (``\\Q...\\E``)."""
+    if "\\E" in text:
+        return re.escape(text)
+    return "\\Q" + text + "\\E"
+
+
+def redact_text(text, patterns: list[str], replacement: str = DEFAULT_REPLACEMENT) -> tuple[Column, Column]:
+    """(redacted text, number of redactions) for a list of regular expressions.
+
+    Patterns apply in order; each one is counted on the text left by the
+    previous replacements, so a later pattern never re-counts a replacement.
+    """
+    s = F.coalesce(text if isinstance(text, Column) else F.col(text), F.lit(""))
+    count = F.lit(0)
+    repl = replacement.replace("\\", "\\\\").replace("$", "\\$")
+    for p in patterns:
+        count = count + F.regexp_count(s, F.lit(p))
+        s = F.regexp_replace(s, p, repl)
+    return s, count
+
+
+def redact(pages_long: DataFrame, patterns: list[str], replacement: str = DEFAULT_REPLACEMENT,
+           page_start: int | None = None, page_end: int | None = None) -> DataFrame:
+    """H1: redact pages in the (inclusive) range; others pass through unchanged.
+
+    Output ``(doc_id, page_index, in_range, redaction_count, page_text)``.  Row
+    at a time: no shuffle.
+    """
+    lo = F.lit(0 if page_start is None else int(page_start))
+    in_range = F.col("page_index") >= lo
+    if page_end is not None:
+        in_range = in_range & (F.col("page_index") <= F.lit(int(page_end)))
+    text, count = redact_text("page_text", patterns, replacement)
+    return pages_long.select(
+        "doc_id", "page_index", in_range.alias("in_range"),
+        F.when(in_range, count).otherwise(F.lit(0)).cast("bigint").alias("redaction_count"),
+        F.when(in_range, text).otherwise(F.col("page_text")).alias("page_text"))
+
+
+def redact_summary(redacted: DataFrame) -> DataFrame:
+    """H1 response: ``redaction_count`` and ``pages_processed`` per document."""
+    return redacted.groupBy("doc_id").agg(
+        F.sum("redaction_count").cast("bigint").alias("redaction_count"),
+        F.count_if(F.col("in_range")).alias("pages_processed"))
+
+
+def merge_docs(pages_long: DataFrame, groups: DataFrame) -> DataFrame:
+    """H2: ordered lists of documents -> one document per group.
+
+    ``groups(group_id, doc_id, ord)``.  A document's page offset is the sum of
+    the page counts of the documents before it in its group (running sum over
+    ``ord``, current row excluded).  The window runs over one row per
+    document, not per page.  Output ``(group_id, ord, doc_id, page_index,
+    merged_page_index, group_page_count)``.
+    """
+    counts = pages_long.groupBy("doc_id").agg(F.count(F.lit(1)).alias("page_count"))
+    g = groups.join(counts, "doc_id")
+    wo = Window.partitionBy("group_id").orderBy("ord")
+    g = g.withColumn("offset", F.coalesce(F.sum("page_count").over(
+        wo.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).withColumn(
+        "group_page_count", F.sum("page_count").over(Window.partitionBy("group_id")))
+    return pages_long.join(g.select("doc_id", "group_id", "ord", "offset", "group_page_count"), "doc_id").select(
+        "group_id", "ord", "doc_id", "page_index",
+        (F.col("offset") + F.col("page_index")).cast("bigint").alias("merged_page_index"),
+        F.col("group_page_count").cast("bigint").alias("group_page_count"))
+
+
+def split_doc(pages_long: DataFrame, split_at_pages: list[int] | None = None,
+              max_pages_per_chunk: int | None = None) -> DataFrame:
+    """H3: chunk number of every page.
+
+    Split points are 0-based page indices starting a new chunk; no split
+    points and no cap means every page is its own chunk.  With a cap, each
+    chunk is cut further into runs of at most ``cap`` pages.  Output
+    ``(doc_id, page_index, chunk_index, chunk_page_count)``.
+    """
+    points = sorted(set(int(p) for p in (split_at_pages or [])))
+    if max_pages_per_chunk is not None and max_pages_per_chunk < 1:
+        raise ValueError("max_pages_per_chunk must be >= 1")
+    page = F.col("page_index")
+    if not points and max_pages_per_chunk is None:
+        base, start = page, page
+    else:
+        arr = F.array(*[F.lit(p) for p in points]) if points else F.array().cast("array<int>")
+        base = F.size(F.filter(arr, lambda s: s <= page))
+        start = F.coalesce(F.array_max(F.filter(arr, lambda s: s <= page)), F.lit(0))
+    sub = F.floor((page - start) / F.lit(int(max_pages_per_chunk))) if max_pages_per_chunk else F.lit(0)
+    x = pages_long.select("doc_id", "page_index", base.alias("base"), sub.cast("int").alias("sub"))
+    w = Window.partitionBy("doc_id").orderBy("base", "sub")
+    x = x.withColumn("chunk_index", (F.dense_rank().over(w) - 1).cast("int"))
+    return x.withColumn("chunk_page_count", F.count(F.lit(1)).over(
+        Window.partitionBy("doc_id", "chunk_index")).cast("int")).select(
+        "doc_id", "page_index", "chunk_index", "chunk_page_count")
+
+
+def doc_fingerprint(nodes: DataFrame) -> DataFrame:
+    """H4: content fingerprint per document: SHA-256 of its sorted node
+    content hashes (null text hashes as '').  Order-free, so equal content
+    in a different order gives the same fingerprint."""
+    return nodes.groupBy("doc_id").agg(
+        F.sha2(F.array_join(F.array_sort(F.collect_list(content_hash("text_content"))), ","), 256)
+        .alias("fingerprint"), F.count(F.lit(1)).alias("n_nodes"))
+
 
 def dedupe_by_hash(hashed: DataFrame) -> DataFrame:
     """H5: one document per (source_hash, full_hash), the smallest doc_id.

@@ -56,3 +56,37 @@ def html_built(spark: SparkSession, sf_dir: str) -> Built:
 def tables_built(spark: SparkSession, sf_dir: str) -> Built:
     from quire.operators.tables import table_nodes
     return table_nodes(table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem"))
+
+
+# Redaction patterns of the test queries (e-mail addresses,
+# 16-digit numbers, IPv4 addresses, and one literal).
+REDACT_PATTERNS = [
+    r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
+    r"\d{16}",
+    r"\d{1,3}(?:\.\d{1,3}){3}",
+    r"\Qtoken =\E",
+]
+
+
+def redacted_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents corpus after redaction (one page per document)."""
+    from pyspark.sql import functions as F
+    from quire.operators.docops import redact_text
+    text, _ = redact_text("source", REDACT_PATTERNS)
+    return docs_wide(spark, sf_dir).select("doc_id", text.alias("source")).withColumn("pages", F.array("source"))
+
+
+def conv_sides(spark: SparkSession, sf_dir: str):
+    """Conversation pairs (2k, 2k+1): every conversation is used, the even one as
+    the original and the odd one as the modified version of pair k."""
+    from pyspark.sql import functions as F
+    b = conv_built(spark, sf_dir)
+    side = F.pmod(F.col("doc_id"), F.lit(2))
+    nodes = b.nodes.withColumn("pair", F.floor(F.col("doc_id") / 2)).withColumn("side", side)
+    docs = b.docs.withColumn("pair", F.floor(F.col("doc_id") / 2)).withColumn("side", side)
+    a = docs.filter(F.col("side") == 0).select("pair", F.col("page_count").alias("original_page_count"))
+    m = docs.filter(F.col("side") == 1).select("pair", F.col("page_count").alias("modified_page_count"))
+    pairs = a.join(m, "pair", "full_outer").select(
+        "pair", F.coalesce("original_page_count", F.lit(0)).alias("original_page_count"),
+        F.coalesce("modified_page_count", F.lit(0)).alias("modified_page_count"))
+    return nodes.filter(F.col("side") == 0), nodes.filter(F.col("side") == 1), pairs

@@ -443,3 +443,130 @@ UNION ALL
 SELECT CAST(g.doc_id AS BIGINT), o.table_ord, CAST(g.row + 1 AS INTEGER), {_csv_line('g.cs')}
 FROM tgrid g JOIN ords o ON g.doc_id = o.doc_id AND g.table_node_id = o.table_node_id
 WHERE g.row IS NOT NULL"""
+
+
+# -- diff, redaction, document transforms ----------------------------------------------
+
+def doc_nodes_1(src: str, prefix: str) -> str:
+    """Heuristic nodes of one-page documents from a (doc_id, text) relation."""
+    return f"""
+{prefix}_pg AS (
+  SELECT doc_id, 0 AS page_index, coalesce(text, '') AS page_text, {src_hash('text')} AS source_hash,
+         1 AS page_count
+  FROM {src}),""" + heuristic_nodes(f"{prefix}_pg", prefix)
+
+
+def _redact_sql(x: str) -> tuple[str, str]:
+    from quire.plans.base import REDACT_PATTERNS
+    t = f"coalesce({x}, '')"
+    counts = []
+    for p in REDACT_PATTERNS:
+        counts.append(f"len(regexp_extract_all({t}, '{p}'))")
+        t = f"regexp_replace({t}, '{p}', '[REDACTED]', 'g')"
+    return t, " + ".join(counts)
+
+
+def _sig(x: str = "") -> str:
+    return f"concat({x}page_index, ':', {x}node_type, ':', {chash(x + 'text_content')})"
+
+
+def diff_sql(a: str, b: str) -> str:
+    """CTE ``dd(pair, type, node_id, node_type, page_index, text_content, pre)``."""
+    return f"""
+da AS (SELECT *, {_sig()} AS sig FROM ({a})),
+db AS (SELECT *, {_sig()} AS sig FROM ({b})),
+fa AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY pair, sig ORDER BY pre) AS rn FROM da) WHERE rn = 1),
+fb AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY pair, sig ORDER BY pre) AS rn FROM db) WHERE rn = 1),
+dd AS (
+  SELECT pair, 'removed' AS type, node_id, node_type, page_index, text_content, pre FROM fa
+  WHERE NOT EXISTS (SELECT 1 FROM fb WHERE fb.pair = fa.pair AND fb.sig = fa.sig)
+  UNION ALL
+  SELECT pair, 'added', node_id, node_type, page_index, text_content, pre FROM fb
+  WHERE NOT EXISTS (SELECT 1 FROM fa WHERE fa.pair = fb.pair AND fa.sig = fb.sig))"""
+
+
+DIFF_OUT = """SELECT CAST(pair AS BIGINT) AS pair, type, node_id, node_type, CAST(page_index AS INTEGER) AS page_index,
+       nullif(left(coalesce(text_content, ''), 120), '') AS text_preview, CAST(pre AS INTEGER) AS pre FROM dd"""
+
+CONV_DIFF = diff_sql("SELECT doc_id // 2 AS pair, * FROM conv_nodes WHERE doc_id % 2 = 0",
+                     "SELECT doc_id // 2 AS pair, * FROM conv_nodes WHERE doc_id % 2 = 1")
+_RED_TEXT, _RED_COUNT = _redact_sql("text")
+RED_NODES = (doc_nodes_1("documents", "doc") + ",\nred_docs AS (SELECT doc_id, " + _RED_TEXT +
+             " AS text FROM documents)," + doc_nodes_1("red_docs", "red"))
+
+ORACLE["diff_pairs"] = f"WITH {CONV_NODES}, {CONV_DIFF}\n{DIFF_OUT}"
+
+ORACLE["diff_summary"] = f"""WITH {CONV_NODES}, {CONV_DIFF},
+pairs AS (
+  SELECT coalesce(a.pair, b.pair) AS pair, coalesce(a.pc, 0) AS original_page_count,
+         coalesce(b.pc, 0) AS modified_page_count
+  FROM (SELECT doc_id // 2 AS pair, page_count AS pc FROM conv_doc WHERE doc_id % 2 = 0) a
+  FULL OUTER JOIN (SELECT doc_id // 2 AS pair, page_count AS pc FROM conv_doc WHERE doc_id % 2 = 1) b
+  ON a.pair = b.pair)
+SELECT CAST(p.pair AS BIGINT) AS pair, CAST(coalesce(c.added, 0) AS BIGINT) AS added_node_count,
+       CAST(coalesce(c.removed, 0) AS BIGINT) AS removed_node_count, CAST(0 AS BIGINT) AS changed_node_count,
+       p.original_page_count, p.modified_page_count,
+       p.original_page_count + p.modified_page_count AS pages_processed
+FROM pairs p LEFT JOIN (
+  SELECT pair, count(*) FILTER (WHERE type = 'added') AS added, count(*) FILTER (WHERE type = 'removed') AS removed
+  FROM dd GROUP BY pair) c ON p.pair = c.pair"""
+
+ORACLE["diff_redacted"] = (f"WITH {RED_NODES}, " +
+                           diff_sql("SELECT doc_id AS pair, * FROM doc_nodes",
+                                    "SELECT doc_id AS pair, * FROM red_nodes") + f"\n{DIFF_OUT}")
+
+ORACLE["compare_text"] = f"""WITH {RED_NODES},
+ba AS (SELECT doc_id AS pair, page_index, row_number() OVER (PARTITION BY doc_id, page_index ORDER BY pre) - 1 AS pos,
+              {chash('text_content')} AS h FROM doc_nodes WHERE length(text_content) > 0),
+bb AS (SELECT doc_id AS pair, page_index, row_number() OVER (PARTITION BY doc_id, page_index ORDER BY pre) - 1 AS pos,
+              {chash('text_content')} AS h FROM red_nodes WHERE length(text_content) > 0),
+j AS (SELECT coalesce(ba.pair, bb.pair) AS pair, ba.h AS ha, bb.h AS hb
+      FROM ba FULL OUTER JOIN bb ON ba.pair = bb.pair AND ba.page_index = bb.page_index AND ba.pos = bb.pos)
+SELECT CAST(d.doc_id AS BIGINT) AS pair, 1 AS original_page_count, 1 AS modified_page_count,
+       CAST(coalesce(c.added, 0) AS BIGINT) AS added_text_count,
+       CAST(coalesce(c.removed, 0) AS BIGINT) AS removed_text_count,
+       CAST(coalesce(c.changed, 0) AS BIGINT) AS changed_text_count
+FROM documents d LEFT JOIN (
+  SELECT pair, count(*) FILTER (WHERE ha IS NULL) AS added, count(*) FILTER (WHERE hb IS NULL) AS removed,
+         count(*) FILTER (WHERE ha <> hb) AS changed
+  FROM j GROUP BY pair) c ON d.doc_id = c.pair"""
+
+ORACLE["redact"] = f"""
+SELECT CAST(doc_id AS BIGINT) AS doc_id, 0 AS page_index, TRUE AS in_range,
+       CAST({_RED_COUNT} AS BIGINT) AS redaction_count, {_RED_TEXT} AS page_text
+FROM documents"""
+
+ORACLE["redact_summary"] = f"""WITH {doc_pages(8)}
+SELECT CAST(doc_id AS BIGINT) AS doc_id,
+       CAST(sum(CASE WHEN page_index BETWEEN 1 AND 3 THEN {_redact_sql('page_text')[1]} ELSE 0 END) AS BIGINT)
+         AS redaction_count,
+       count(*) FILTER (WHERE page_index BETWEEN 1 AND 3) AS pages_processed
+FROM doc_pg GROUP BY doc_id"""
+
+ORACLE["merge_docs"] = """
+WITH pc AS (SELECT conv_id AS doc_id, count(*) AS page_count FROM conversations GROUP BY conv_id),
+g AS (SELECT doc_id, doc_id // 4 AS group_id, doc_id % 4 AS ord, page_count FROM pc),
+o AS (SELECT *, coalesce(sum(page_count) OVER (PARTITION BY group_id ORDER BY ord
+                         ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS off,
+             sum(page_count) OVER (PARTITION BY group_id) AS gpc FROM g)
+SELECT CAST(o.group_id AS BIGINT) AS group_id, CAST(o.ord AS BIGINT) AS ord, CAST(c.conv_id AS BIGINT) AS doc_id,
+       CAST(c.turn AS INTEGER) AS page_index, CAST(o.off + c.turn AS BIGINT) AS merged_page_index,
+       CAST(o.gpc AS BIGINT) AS group_page_count
+FROM conversations c JOIN o ON c.conv_id = o.doc_id"""
+
+ORACLE["split_doc"] = """
+WITH p AS (
+  SELECT conv_id AS doc_id, CAST(turn AS INTEGER) AS page_index,
+         CASE WHEN turn >= 2 THEN 1 ELSE 0 END AS base,
+         (turn - CASE WHEN turn >= 2 THEN 2 ELSE 0 END) // 2 AS sub
+  FROM conversations),
+c AS (SELECT *, CAST(dense_rank() OVER (PARTITION BY doc_id ORDER BY base, sub) - 1 AS INTEGER) AS chunk_index FROM p)
+SELECT CAST(doc_id AS BIGINT) AS doc_id, page_index, chunk_index,
+       CAST(count(*) OVER (PARTITION BY doc_id, chunk_index) AS INTEGER) AS chunk_page_count
+FROM c"""
+
+ORACLE["doc_fingerprint"] = f"""WITH RECURSIVE {HTML_NODES}
+SELECT CAST(doc_id AS BIGINT) AS doc_id,
+       sha256(array_to_string(list_sort(list({chash('text_content')})), ',')) AS fingerprint,
+       count(*) AS n_nodes
+FROM html_nodes GROUP BY doc_id"""

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from quire.functions.text import (content_hash, full_hash_of_text, source_hash_of_text,
                                   split_paragraphs)
 from quire.operators import cited as C
-from quire.operators.heuristic import first_pages_range
+from quire.operators.heuristic import first_pages_range, heuristic_nodes_wide
 from quire.plans import base as B
 from quire.sources import corpus as S
 
@@ -300,3 +300,87 @@ def q_tables_csv(spark, d):
     from quire.operators.tables import table_grid, with_table_ord
     from quire.sources.sinks import csv_table_lines
     return csv_table_lines(with_table_ord(table_grid(B.tables_built(spark, d).nodes)))
+
+
+# -- G: diff ----------------------------------------------------------------------
+
+@query("diff_pairs")
+def q_diff_pairs(spark, d):
+    """G1-G3 over conversation pairs (2k, 2k+1)."""
+    from quire.operators.diff import diff_nodes
+    a, m, _ = B.conv_sides(spark, d)
+    return diff_nodes(a, m)
+
+
+@query("diff_summary")
+def q_diff_summary(spark, d):
+    """Counts per conversation pair, zeros for identical pairs."""
+    from quire.operators.diff import diff_nodes, diff_summary
+    a, m, pairs = B.conv_sides(spark, d)
+    return diff_summary(diff_nodes(a, m), pairs)
+
+
+def _docs_and_redacted(spark, d):
+    orig = B.docs_built(spark, d)
+    red = heuristic_nodes_wide(B.redacted_wide(spark, d), B.PARA_DELIM)
+    pairs = orig.docs.select(F.col("doc_id").alias("pair"), F.col("page_count").alias("original_page_count"),
+                             F.col("page_count").alias("modified_page_count"))
+    return (orig.nodes.withColumn("pair", F.col("doc_id")), red.nodes.withColumn("pair", F.col("doc_id")), pairs)
+
+
+@query("diff_redacted")
+def q_diff_redacted(spark, d):
+    """Each document against its redacted version."""
+    from quire.operators.diff import diff_nodes
+    a, m, _ = _docs_and_redacted(spark, d)
+    return diff_nodes(a, m)
+
+
+@query("compare_text")
+def q_compare_text(spark, d):
+    """Blocks aligned by position; redacted paragraphs count as changed."""
+    from quire.operators.diff import compare_text
+    a, m, pairs = _docs_and_redacted(spark, d)
+    return compare_text(C.cited_text(a).withColumn("pair", F.col("doc_id")),
+                        C.cited_text(m).withColumn("pair", F.col("doc_id")), pairs)
+
+
+# -- H: document transforms -------------------------------------------------------
+
+@query("redact")
+def q_redact(spark, d):
+    """H1: every document page with e-mail, number, address and literal patterns redacted."""
+    from quire.operators.docops import redact
+    return redact(S.wide_to_long(B.docs_wide(spark, d)), B.REDACT_PATTERNS)
+
+
+@query("redact_summary")
+def q_redact_summary(spark, d):
+    """H1 response over documents paginated at 8 lines, page range 1..3."""
+    from quire.operators.docops import redact, redact_summary
+    pages = S.wide_to_long(B.docs_wide(spark, d, B.DOC_LINES_PER_PAGE))
+    return redact_summary(redact(pages, B.REDACT_PATTERNS, page_start=1, page_end=3))
+
+
+@query("merge_docs")
+def q_merge_docs(spark, d):
+    """H2: conversations merged in groups of four consecutive ids."""
+    from quire.operators.docops import merge_docs
+    pages = B.conv_pages(spark, d)
+    groups = pages.select("doc_id").distinct().select(
+        "doc_id", F.floor(F.col("doc_id") / 4).alias("group_id"), F.pmod(F.col("doc_id"), F.lit(4)).alias("ord"))
+    return merge_docs(pages, groups)
+
+
+@query("split_doc")
+def q_split_doc(spark, d):
+    """H3: conversations split before page 2, chunks capped at 2 pages."""
+    from quire.operators.docops import split_doc
+    return split_doc(B.conv_pages(spark, d), [2], 2)
+
+
+@query("doc_fingerprint")
+def q_doc_fingerprint(spark, d):
+    """H4: content fingerprint of every HTML page's tree."""
+    from quire.operators.docops import doc_fingerprint
+    return doc_fingerprint(B.html_built(spark, d).nodes)
