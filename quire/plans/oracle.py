@@ -570,3 +570,119 @@ SELECT CAST(doc_id AS BIGINT) AS doc_id,
        sha256(array_to_string(list_sort(list({chash('text_content')})), ',')) AS fingerprint,
        count(*) AS n_nodes
 FROM html_nodes GROUP BY doc_id"""
+
+
+# -- audits and validation ------------------------------------------------------------
+
+def _accessibility_sql(cte: str) -> str:
+    from quire.operators.audit import ACCESSIBILITY_RULES
+    sev = "CASE rule_id " + " ".join(f"WHEN '{k}' THEN '{v[0]}'" for k, v in ACCESSIBILITY_RULES.items()) + " END"
+    desc = "CASE rule_id " + " ".join(f"WHEN '{k}' THEN '{v[1]}'" for k, v in ACCESSIBILITY_RULES.items()) + " END"
+    wcag = "CASE rule_id " + " ".join(f"WHEN '{k}' THEN '{v[2]}'" for k, v in ACCESSIBILITY_RULES.items()) + " END"
+    return f"""
+hd AS (SELECT *, lag(coalesce(level, 1)) OVER (PARTITION BY doc_id ORDER BY pre) AS prev
+       FROM {cte} WHERE node_type = 'heading'),
+fnd0 AS (
+  SELECT doc_id, 'heading-level-skip' AS rule_id, page_index, node_id FROM hd
+  WHERE coalesce(level, 1) > coalesce(prev, 0) + 1
+  UNION ALL
+  SELECT doc_id, 'empty-heading', page_index, node_id FROM {cte}
+  WHERE node_type = 'heading' AND (text_content IS NULL OR length(text_content) = 0)
+  UNION ALL
+  SELECT doc_id, 'figure-no-text', page_index, node_id FROM {cte}
+  WHERE node_type = 'figure' AND (text_content IS NULL OR length(text_content) = 0)
+  UNION ALL
+  SELECT doc_id, 'no-headings', NULL, NULL FROM (
+    SELECT doc_id, count(*) FILTER (WHERE node_type = 'heading') AS h FROM {cte} GROUP BY doc_id) WHERE h = 0
+  UNION ALL
+  SELECT t.doc_id, 'table-no-rows', t.page_index, t.node_id FROM {cte} t WHERE t.node_type = 'table' AND NOT EXISTS (
+    SELECT 1 FROM {cte} r WHERE r.doc_id = t.doc_id AND r.parent_id = t.node_id AND r.node_type = 'table_row')
+  UNION ALL
+  SELECT t.doc_id, 'list-no-items', t.page_index, t.node_id FROM {cte} t WHERE t.node_type = 'list' AND NOT EXISTS (
+    SELECT 1 FROM {cte} r WHERE r.doc_id = t.doc_id AND r.parent_id = t.node_id AND r.node_type = 'list_item')),
+fnd AS (
+  SELECT CAST(doc_id AS BIGINT) AS doc_id, rule_id, {sev} AS severity, CAST(page_index AS INTEGER) AS page_index,
+         node_id, {desc} AS description, {wcag} AS wcag_criteria
+  FROM fnd0)"""
+
+
+ORACLE["check_accessibility"] = f"WITH RECURSIVE {HTML_NODES}, {_accessibility_sql('html_nodes')}\nSELECT * FROM fnd"
+ORACLE["check_accessibility_tables"] = f"WITH {TAB_NODES}, {_accessibility_sql('tab_nodes')}\nSELECT * FROM fnd"
+
+
+def _compliance_sql() -> str:
+    from quire.operators.audit import STANDARD_RULES
+    wanted = ["PDF/UA-1", "PDF/A-3b"]
+    std = ", ".join(f"('{s}', '{r}')" for s in wanted for r in STANDARD_RULES[s])
+    req = ", ".join(f"('{s}')" for s in wanted)
+    return f"""WITH {TAB_NODES}, {_accessibility_sql('tab_nodes')},
+std AS (SELECT * FROM (VALUES {std}) t(standard, rule_id)),
+req AS (SELECT * FROM (VALUES {req}) t(standard)),
+v AS (SELECT doc_id, standard, count(*) AS n FROM fnd JOIN std ON fnd.rule_id = std.rule_id
+      GROUP BY doc_id, standard)
+SELECT CAST(d.doc_id AS BIGINT) AS doc_id, r.standard, CAST(coalesce(v.n, 0) AS BIGINT) AS violation_count,
+       coalesce(v.n, 0) = 0 AS passed, 1 AS pages_processed
+FROM td d CROSS JOIN req r LEFT JOIN v ON v.doc_id = d.doc_id AND v.standard = r.standard"""
+
+
+ORACLE["compliance_check"] = _compliance_sql()
+
+
+def _forensic_sql() -> tuple[str, str]:
+    from quire.operators.audit import FORENSIC_CHECKS
+    counts = ", ".join(f"len(regexp_extract_all(coalesce(html, ''), '{p}')) AS n_{i}"
+                       for i, (p, _, _) in enumerate(FORENSIC_CHECKS.values()))
+    risk = " + ".join(f"CASE WHEN n_{i} > 0 THEN {float(w)} ELSE 0.0 END"
+                      for i, (_, _, w) in enumerate(FORENSIC_CHECKS.values()))
+    nf = " + ".join(f"CASE WHEN n_{i} > 0 THEN 1 ELSE 0 END" for i in range(len(FORENSIC_CHECKS)))
+    base = f"fc AS (SELECT page_id AS doc_id, {counts} FROM pages)"
+    rows = " UNION ALL ".join(
+        f"SELECT doc_id, '{c}' AS category, '{sev}' AS severity, CAST(n_{i} AS BIGINT) AS evidence_count, "
+        f"CAST(least(1.0, {risk}) AS DOUBLE) AS risk_score FROM fc WHERE n_{i} > 0"
+        for i, (c, (_, sev, _)) in enumerate(FORENSIC_CHECKS.items()))
+    scan = f"WITH {base}\nSELECT CAST(doc_id AS BIGINT) AS doc_id, category, severity, evidence_count, risk_score FROM ({rows})"
+    per_doc = (f"WITH {base}\nSELECT CAST(doc_id AS BIGINT) AS doc_id, CAST(least(1.0, {risk}) AS DOUBLE) AS risk_score, "
+               f"CAST({nf} AS INTEGER) AS finding_count FROM fc")
+    return scan, per_doc
+
+
+ORACLE["forensic_scan"], ORACLE["forensic_risk"] = _forensic_sql()
+
+
+def _validate_sql() -> str:
+    from quire.functions.tags import NODE_TYPES
+    types = ", ".join(f"'{t}'" for t in NODE_TYPES)
+    return f"""WITH {CONV_NODES},
+f AS (
+  SELECT doc_id,
+         CASE WHEN doc_id % 10 = 7 AND pre = 2 THEN parent_id ELSE node_id END AS node_id,
+         CASE WHEN doc_id % 10 = 9 AND pre = 2 THEN 'ast:missing'
+              WHEN doc_id % 10 = 4 AND pre = 1 THEN NULL ELSE parent_id END AS parent_id,
+         pre,
+         CASE WHEN doc_id % 10 = 2 AND pre = 3 THEN -1 ELSE depth END AS depth,
+         CASE WHEN doc_id % 10 = 5 AND pre = 2 THEN 'chapter' ELSE node_type END AS node_type,
+         CASE WHEN doc_id % 10 = 3 AND pre = 1 THEN -1 ELSE page_index END AS page_index,
+         (doc_id % 10 = 1 AND pre = 0) AS bad_bbox
+  FROM conv_nodes),
+c AS (
+  SELECT f.*, count(*) OVER (PARTITION BY doc_id, node_id) AS dup,
+         sum(CASE WHEN parent_id IS NULL THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id) AS roots,
+         parent_id IS NOT NULL AND NOT EXISTS (
+           SELECT 1 FROM f g WHERE g.doc_id = f.doc_id AND g.node_id = f.parent_id) AS dangling
+  FROM f),
+v AS (
+  SELECT doc_id, node_id, pre, array_to_string(list_sort(list_filter([
+    CASE WHEN node_type NOT IN ({types}) THEN 'node-type' END,
+    CASE WHEN page_index < 0 THEN 'page-index' END,
+    CASE WHEN depth < 0 THEN 'depth' END,
+    CASE WHEN bad_bbox THEN 'bbox-range' END,
+    CASE WHEN dup > 1 THEN 'duplicate-id' END,
+    CASE WHEN dangling THEN 'parent-missing' END,
+    CASE WHEN parent_id IS NULL AND roots > 1 THEN 'multiple-roots' END], lambda x: x IS NOT NULL)), ',')
+    AS violations
+  FROM c)
+SELECT CAST(doc_id AS BIGINT) AS doc_id, node_id, CAST(pre AS INTEGER) AS pre, violations FROM v
+WHERE violations <> ''"""
+
+
+ORACLE["validate_nodes"] = _validate_sql()

@@ -384,3 +384,65 @@ def q_doc_fingerprint(spark, d):
     """H4: content fingerprint of every HTML page's tree."""
     from quire.operators.docops import doc_fingerprint
     return doc_fingerprint(B.html_built(spark, d).nodes)
+
+
+# -- I: audits ---------------------------------------------------------------------
+
+@query("check_accessibility")
+def q_check_accessibility(spark, d):
+    """I1 over the HTML corpus."""
+    from quire.operators.audit import check_accessibility
+    return check_accessibility(B.html_built(spark, d).nodes)
+
+
+@query("check_accessibility_tables")
+def q_check_accessibility_tables(spark, d):
+    """I1 over the order tables (no headings anywhere; empty tables)."""
+    from quire.operators.audit import check_accessibility
+    return check_accessibility(B.tables_built(spark, d).nodes)
+
+
+@query("compliance_check")
+def q_compliance_check(spark, d):
+    """PDF/UA-1 and PDF/A-3b over the order tables."""
+    from quire.operators.audit import check_accessibility, compliance_check
+    b = B.tables_built(spark, d)
+    return compliance_check(check_accessibility(b.nodes), b.docs, ["PDF/UA-1", "PDF/A-3b"])
+
+
+@query("forensic_scan")
+def q_forensic_scan(spark, d):
+    """Script, embed and metadata markers in the raw HTML."""
+    from quire.operators.audit import forensic_scan
+    return forensic_scan(B.table(spark, d, "pages"))
+
+
+@query("forensic_risk")
+def q_forensic_risk(spark, d):
+    """I3 per page: risk score and number of findings."""
+    from quire.operators.audit import forensic_risk
+    return forensic_risk(B.table(spark, d, "pages"))
+
+
+# -- J: validation -------------------------------------------------------------------
+
+@query("validate_nodes")
+def q_validate_nodes(spark, d):
+    """J1-J4 over conversation nodes with faults injected by the last digit of
+    doc_id: 1 bbox, 2 depth, 3 page, 4 second root, 5 type, 7 duplicate id,
+    9 dangling parent.  All rows are validated; bad rows are returned."""
+    from quire.operators.validate import validate_nodes
+    n = B.conv_built(spark, d).nodes
+    digit, pre = F.pmod(F.col("doc_id"), F.lit(10)), F.col("pre")
+    bad_box = F.struct(F.lit(-0.1).alias("x"), F.lit(0.0).alias("y"), F.lit(1.1).alias("width"),
+                       F.lit(0.5).alias("height"))
+    n = (n.withColumn("node_id", F.when((digit == 7) & (pre == 2), F.col("parent_id")).otherwise(F.col("node_id")))
+         .withColumn("parent_id", F.when((digit == 9) & (pre == 2), F.lit("ast:missing"))
+                     .when((digit == 4) & (pre == 1), F.lit(None)).otherwise(F.col("parent_id")))
+         .withColumn("depth", F.when((digit == 2) & (pre == 3), F.lit(-1)).otherwise(F.col("depth")))
+         .withColumn("node_type", F.when((digit == 5) & (pre == 2), F.lit("chapter")).otherwise(F.col("node_type")))
+         .withColumn("page_index", F.when((digit == 3) & (pre == 1), F.lit(-1)).otherwise(F.col("page_index")))
+         .withColumn("bbox", F.when((digit == 1) & (pre == 0), bad_box).otherwise(F.col("bbox"))))
+    v = validate_nodes(n)
+    return v.filter(F.size("violations") > 0).select("doc_id", "node_id", "pre",
+                                                     F.array_join("violations", ",").alias("violations"))
