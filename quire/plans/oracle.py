@@ -686,3 +686,6 @@ WHERE violations <> ''"""
 
 
 ORACLE["validate_nodes"] = _validate_sql()
+
+ORACLE["stream_cited_text"] = f"WITH {DOC_NODES_1}\n{cited('doc_nodes')}"
+ORACLE["stream_dedupe"] = f"SELECT DISTINCT {src_hash('text')} AS source_hash, sha256(coalesce(text, '')) AS full_hash FROM documents"

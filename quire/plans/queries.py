@@ -446,3 +446,20 @@ def q_validate_nodes(spark, d):
     v = validate_nodes(n)
     return v.filter(F.size("violations") > 0).select("doc_id", "node_id", "pre",
                                                      F.array_join("violations", ",").alias("violations"))
+
+
+# -- K3/K4: streams -------------------------------------------------------------------
+
+@query("stream_cited_text")
+def q_stream_cited_text(spark, d):
+    """K3: the documents file streamed (availableNow) through node building and
+    cited text into parquet, read back."""
+    from quire.streaming import stream_cited_text
+    return stream_cited_text(spark, d, B.PARA_DELIM)
+
+
+@query("stream_dedupe")
+def q_stream_dedupe(spark, d):
+    """K4: distinct (source_hash, full_hash) keys kept by the streaming dedupe."""
+    from quire.streaming import stream_dedupe
+    return stream_dedupe(spark, d)
