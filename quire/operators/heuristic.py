@@ -98,7 +98,11 @@ def with_source_hash(pages_long: DataFrame) -> DataFrame:
     that start inside the first 4096 bytes contribute, each cut to the bytes
     still needed, so the per-document list is at most 4 KB however long the
     document is.  One exchange on doc_id, shared with the numbering windows.
+    A ``source_hash`` column already present (a document whose bytes are
+    known) is kept as is.
     """
+    if "source_hash" in pages_long.columns:
+        return pages_long.withColumn("page_count", F.count(F.lit(1)).over(Window.partitionBy("doc_id")).cast("int"))
     w_ord = Window.partitionBy("doc_id").orderBy("page_index")
     w_prev = w_ord.rowsBetween(Window.unboundedPreceding, -1)
     w_all = Window.partitionBy("doc_id")
