@@ -13,8 +13,12 @@ from pyspark.sql import functions as F
 from quire.functions.text import content_hash, est_tokens, py_strip  # noqa: F401
 from quire.operators.nodes import confidence
 
-BBOX_PLACEHOLDER = F.struct(F.lit(0.0).alias("x"), F.lit(0.0).alias("y"),
-                            F.lit(1.0).alias("width"), F.lit(1.0).alias("height"))
+
+def bbox_placeholder() -> Column:
+    """The full-page box used in anchors when a node has no bbox."""
+    return F.struct(F.lit(0.0).alias("x"), F.lit(0.0).alias("y"),
+                    F.lit(1.0).alias("width"), F.lit(1.0).alias("height"))
+
 
 # Default caps of the search and outline calls.
 DEFAULT_MAX_RESULTS = 100
@@ -75,7 +79,7 @@ def cited_text(nodes: DataFrame, page_index: int | None = None, headings_only: b
         F.col("text_content").alias("text"),
         confidence("heuristic").alias("confidence"),
         content_hash("text_content").alias("content_hash"),
-        F.coalesce("bbox", BBOX_PLACEHOLDER).alias("bbox"),
+        F.coalesce("bbox", bbox_placeholder()).alias("bbox"),
         "depth")
 
 
