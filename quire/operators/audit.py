@@ -39,49 +39,52 @@ FORENSIC_CHECKS = {
 }
 
 
-def _finding(df: DataFrame, rule: str, page=None, node=None) -> DataFrame:
-    return df.select("doc_id", F.lit(rule).alias("rule_id"),
-                     (page if page is not None else F.lit(None).cast("int")).alias("page_index"),
-                     (node if node is not None else F.lit(None).cast("string")).alias("node_id"))
-
-
 def check_accessibility(nodes: DataFrame) -> DataFrame:
     """Findings ``(doc_id, rule_id, severity, page_index, node_id,
     description, wcag_criteria)``.
 
-    The heading-level rule compares each heading with the previous heading of
-    the same document in preorder (``lag`` over headings only).  Container
-    rules anti-join containers with their direct children.
+    One pass over ``nodes`` with windows partitioned by doc_id (no self-join,
+    no per-rule branch):
+
+    * heading level skip: the level of the previous heading in preorder is a
+      running ``last(..., ignorenulls)`` over the rows before;
+    * no headings: a per-document count, reported on the root row;
+    * containers without items: siblings share (doc_id, parent_id), so a
+      sibling window tells whether any direct child is a row / list item, and
+      in preorder a node's first child is the next row, which hands that flag
+      to the parent through ``lead``.
     """
-    heads = nodes.filter(F.col("node_type") == "heading")
     w = Window.partitionBy("doc_id").orderBy("pre")
+    is_head = F.col("node_type") == "heading"
     lvl = F.coalesce(F.col("level"), F.lit(1))
-    skips = heads.withColumn("prev", F.lag(lvl).over(w)).filter(lvl > F.coalesce(F.col("prev"), F.lit(0)) + 1)
-    empty = heads.filter(F.col("text_content").isNull() | (F.length("text_content") == 0))
-    figs = nodes.filter((F.col("node_type") == "figure") &
-                        (F.col("text_content").isNull() | (F.length("text_content") == 0)))
-    per_doc = nodes.groupBy("doc_id").agg(F.count_if(F.col("node_type") == "heading").alias("h"))
-    no_heads = per_doc.filter(F.col("h") == 0)
-
-    def childless(container: str, child: str) -> DataFrame:
-        kids = nodes.filter(F.col("node_type") == child).select("doc_id", F.col("parent_id").alias("node_id"))
-        return nodes.filter(F.col("node_type") == container).join(kids, ["doc_id", "node_id"], "left_anti")
-
-    parts = [
-        _finding(skips, "heading-level-skip", F.col("page_index"), F.col("node_id")),
-        _finding(empty, "empty-heading", F.col("page_index"), F.col("node_id")),
-        _finding(figs, "figure-no-text", F.col("page_index"), F.col("node_id")),
-        _finding(no_heads, "no-headings"),
-        _finding(childless("table", "table_row"), "table-no-rows", F.col("page_index"), F.col("node_id")),
-        _finding(childless("list", "list_item"), "list-no-items", F.col("page_index"), F.col("node_id")),
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    meta = {k: v for k, v in ACCESSIBILITY_RULES.items()}
-    sev = literal_map({k: v[0] for k, v in meta.items()})
-    desc = literal_map({k: v[1] for k, v in meta.items()})
-    wcag = literal_map({k: v[2] for k, v in meta.items()})
+    no_text = F.col("text_content").isNull() | (F.length("text_content") == 0)
+    sib = Window.partitionBy("doc_id", "parent_id")
+    x = nodes.select("doc_id", "node_id", "parent_id", "pre", "node_type", "page_index", "level", "text_content")
+    x = (x.withColumn("prev_level", F.last(F.when(is_head, lvl), ignorenulls=True).over(
+            w.rowsBetween(Window.unboundedPreceding, -1)))
+         .withColumn("doc_heads", F.count_if(is_head).over(Window.partitionBy("doc_id")))
+         .withColumn("sib_row", F.max((F.col("node_type") == "table_row").cast("int")).over(sib))
+         .withColumn("sib_item", F.max((F.col("node_type") == "list_item").cast("int")).over(sib)))
+    first_child = F.lead("parent_id").over(w) == F.col("node_id")
+    x = (x.withColumn("has_row", first_child & (F.lead("sib_row").over(w) == 1))
+         .withColumn("has_item", first_child & (F.lead("sib_item").over(w) == 1)))
+    rules = F.array(
+        F.when(is_head & (lvl > F.coalesce(F.col("prev_level"), F.lit(0)) + 1), F.lit("heading-level-skip")),
+        F.when(is_head & no_text, F.lit("empty-heading")),
+        F.when((F.col("node_type") == "figure") & no_text, F.lit("figure-no-text")),
+        F.when((F.col("pre") == 0) & (F.col("doc_heads") == 0), F.lit("no-headings")),
+        F.when((F.col("node_type") == "table") & ~F.coalesce(F.col("has_row"), F.lit(False)),
+               F.lit("table-no-rows")),
+        F.when((F.col("node_type") == "list") & ~F.coalesce(F.col("has_item"), F.lit(False)),
+               F.lit("list-no-items")))
+    doc_level = F.col("rule_id") == "no-headings"
+    out = x.select("doc_id", "node_id", "page_index", F.explode_outer(F.filter(rules, lambda r: r.isNotNull()))
+                   .alias("rule_id")).filter(F.col("rule_id").isNotNull()).select(
+        "doc_id", "rule_id", F.when(~doc_level, F.col("page_index")).alias("page_index"),
+        F.when(~doc_level, F.col("node_id")).alias("node_id"))
+    sev = literal_map({k: v[0] for k, v in ACCESSIBILITY_RULES.items()})
+    desc = literal_map({k: v[1] for k, v in ACCESSIBILITY_RULES.items()})
+    wcag = literal_map({k: v[2] for k, v in ACCESSIBILITY_RULES.items()})
     return out.select("doc_id", "rule_id", F.try_element_at(sev, F.col("rule_id")).alias("severity"),
                       "page_index", "node_id", F.try_element_at(desc, F.col("rule_id")).alias("description"),
                       F.try_element_at(wcag, F.col("rule_id")).alias("wcag_criteria"))
@@ -127,7 +130,7 @@ def forensic_scan(pages: DataFrame) -> DataFrame:
     found = F.filter(checks, lambda x: x["n"] > 0)
     risk = F.least(F.lit(1.0), F.aggregate(found, F.lit(0.0), lambda a, x: a + x["weight"]))
     x = pages.select(F.col("page_id").cast("bigint").alias("doc_id"), found.alias("found"), risk.alias("risk_score"))
-    return x.select("doc_id", "risk_score", F.explode("found").alias("f")).select(
+    return x.select("doc_id", "risk_score", F.explode_outer("found").alias("f")).filter(F.col("f").isNotNull()).select(
         "doc_id", F.col("f.category").alias("category"), F.col("f.severity").alias("severity"),
         F.col("f.n").cast("bigint").alias("evidence_count"), "risk_score")
 

@@ -46,12 +46,12 @@ def _emit(pages: DataFrame) -> DataFrame:
     n = F.size("paras")
     doc_nid = node_id(src, F.lit(0), F.col("total") + 1)
     sec_nid = node_id(src, page, b + n + 1)
-    doc = node_struct(F.col("doc_id"), doc_nid, None, 0, F.col("total"), 0, 0, "document", 0,
+    doc = node_struct(doc_nid, None, 0, F.col("total"), 0, 0, "document", 0,
                       heuristic=True, children_count=F.col("n_sections"))
-    sec = node_struct(F.col("doc_id"), sec_nid, doc_nid, b + 1, b + 1 + n, 1, F.col("child_pos"), "section",
+    sec = node_struct(sec_nid, doc_nid, b + 1, b + 1 + n, 1, F.col("child_pos"), "section",
                       page, heuristic=True, children_count=n)
     paras = F.transform("paras", lambda t, k: node_struct(
-        F.col("doc_id"), node_id(src, page, b + k + 1), sec_nid, b + k + 2, b + k + 2, 2, k, "paragraph",
+        node_id(src, page, b + k + 1), sec_nid, b + k + 2, b + k + 2, 2, k, "paragraph",
         page, text_content=t, heuristic=True, children_count=0))
     arr = F.concat(F.filter(F.array(doc), lambda _: F.col("is_first")), F.array(sec), paras)
     return explode_nodes(pages, arr)
@@ -80,7 +80,7 @@ def heuristic_nodes_wide(wide: DataFrame, delim: str = "\n\n", start: int | None
         F.arrays_zip(F.col("paras_by_page").alias("paras"), b.alias("b")).alias("pg"))
     pages = per_doc.select(
         "doc_id", "source_hash", "total", "n_sections", "start",
-        F.posexplode("pg").alias("child_pos", "pg")).select(
+        F.posexplode_outer("pg").alias("child_pos", "pg")).filter(F.col("child_pos").isNotNull()).select(
         "doc_id", "source_hash", "total", "n_sections",
         (F.col("start") + F.col("child_pos")).alias("page_index"), "child_pos",
         F.col("pg.paras").alias("paras"), F.col("pg.b").alias("b"),

@@ -22,10 +22,11 @@ def _lit_null(t: str) -> Column:
     return F.lit(None).cast(t)
 
 
-def node_struct(doc_id, node_id, parent_id, pre, last, depth, child_pos, node_type, page_index,
+def node_struct(node_id, parent_id, pre, last, depth, child_pos, node_type, page_index,
                 text_content=None, level=None, struct_type=None, heuristic=False, mcid=None,
                 children_count=0) -> Column:
-    """One ``nodes`` row as a struct, with the schema's field names and types."""
+    """One ``nodes`` row (all but ``doc_id``) as a struct with the schema's
+    field names and types."""
 
     def v(x, t):
         if x is None:
@@ -35,7 +36,6 @@ def node_struct(doc_id, node_id, parent_id, pre, last, depth, child_pos, node_ty
         return col_(x).cast(t)
 
     return F.struct(
-        v(doc_id, "bigint").alias("doc_id"),
         v(node_id, "string").alias("node_id"),
         v(parent_id, "string").alias("parent_id"),
         v(pre, "int").alias("pre"),
@@ -55,8 +55,17 @@ def node_struct(doc_id, node_id, parent_id, pre, last, depth, child_pos, node_ty
 
 
 def explode_nodes(df: DataFrame, arr: Column) -> DataFrame:
-    """Rows each holding an array of node structs -> ``nodes`` rows."""
-    return df.select(F.inline(arr)).select(*NODE_COLUMNS)
+    """Rows each holding an array of node structs -> ``nodes`` rows.
+
+    ``doc_id`` stays the input's own column (not a struct field), so a hash
+    partitioning of the input on doc_id survives the generator and later
+    per-document windows and aggregates reuse it without a new exchange.
+    """
+    # The outer generator avoids the inferred ``size(arr) > 0`` filter, which
+    # predicate pushdown would otherwise inline below the projections,
+    # evaluating the whole array expression twice.  Arrays here are never
+    # empty; the null guard only drops the outer placeholder row.
+    return df.select("doc_id", F.inline_outer(arr)).filter(F.col("node_id").isNotNull()).select(*NODE_COLUMNS)
 
 
 def node_tokens(nodes: DataFrame) -> DataFrame:

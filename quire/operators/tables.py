@@ -32,38 +32,46 @@ def table_nodes(orders: DataFrame, lineitem: DataFrame) -> Built:
 
     The single ``/Document`` element is the root (no wrapper), so sequence
     numbers equal preorder ranks: document 0, table 1, row r at
-    ``2 + r*(C+1)``, its cell c at ``3 + r*(C+1) + c``.  Lines are numbered by
-    a window on ``l_orderkey``; orders without lines become empty tables.
-    The source of an order document is the text ``order:<key>``, so ids are
-    computed from the key without a join.
+    ``2 + r*(C+1)``, its cell c at ``3 + r*(C+1) + c``.  The source of an order
+    document is the text ``order:<key>``.
+
+    One pass: orders are left-joined to their lines on the order key (one
+    exchange per side); the row-number window and the per-order line count run
+    on that same partitioning, and the document and table nodes are emitted by
+    the order's first row (orders without lines give empty tables).  The nodes
+    come out hash-partitioned by doc_id.
     """
     ncol = len(LINE_COLUMNS)
-    w = Window.partitionBy("l_orderkey").orderBy(*LINE_ORDER)
-    lines = lineitem.select("l_orderkey", *LINE_COLUMNS).withColumn("r", F.row_number().over(w) - 1)
-    src = source_hash_of_text(F.concat(F.lit("order:"), F.col("doc_id").cast("string")))
-    rows = lines.select(F.col("l_orderkey").cast("bigint").alias("doc_id"), "r",
-                        F.array(*[_cell_text(c) for c in LINE_COLUMNS]).alias("cells")).withColumn("h", src)
+    o = orders.select(F.col("o_orderkey").cast("bigint").alias("doc_id"))
+    li = lineitem.select(F.col("l_orderkey").cast("bigint").alias("doc_id"), *LINE_COLUMNS)
+    j = o.join(li, "doc_id", "left")
+    w = Window.partitionBy("doc_id")
+    has_line = F.col("l_linenumber").isNotNull()
+    j = j.withColumn("r", F.when(has_line, F.row_number().over(w.orderBy(*LINE_ORDER)) - 1)).withColumn(
+        "n_rows", F.count("l_linenumber").over(w).cast("int"))
+    rows = j.select("doc_id", "r", "n_rows", F.array(*[_cell_text(c) for c in LINE_COLUMNS]).alias("cells"),
+                    source_hash_of_text(F.concat(F.lit("order:"), F.col("doc_id").cast("string"))).alias("h"))
     row_pre = F.col("r") * (ncol + 1) + 2
+    doc_id_ = node_id("h", F.lit(0), F.lit(0))
     row_id = node_id("h", F.lit(0), row_pre)
     table_id = node_id("h", F.lit(0), F.lit(1))
-    row_node = node_struct(F.col("doc_id"), row_id, table_id, row_pre, row_pre + ncol, 2, F.col("r"), "table_row",
-                           0, struct_type="/TR", children_count=ncol)
+    last = F.col("n_rows") * (ncol + 1) + 1
+    doc_node = node_struct(doc_id_, None, 0, last, 0, 0, "document", 0, struct_type="/Document", children_count=1)
+    tab_node = node_struct(table_id, doc_id_, 1, last, 1, 0, "table", 0, struct_type="/Table",
+                           children_count=F.col("n_rows"))
+    row_node = node_struct(row_id, table_id, row_pre, row_pre + ncol, 2, F.col("r"), "table_row", 0,
+                           struct_type="/TR", children_count=ncol)
     cells = F.transform("cells", lambda t, c: node_struct(
-        F.col("doc_id"), node_id("h", F.lit(0), row_pre + c + 1), row_id, row_pre + c + 1, row_pre + c + 1, 3, c,
+        node_id("h", F.lit(0), row_pre + c + 1), row_id, row_pre + c + 1, row_pre + c + 1, 3, c,
         "table_cell", 0, text_content=t, struct_type="/TD", children_count=0))
-    row_nodes = explode_nodes(rows, F.concat(F.array(row_node), cells))
-    counts = lineitem.groupBy(F.col("l_orderkey").alias("doc_id")).agg(F.count(F.lit(1)).cast("int").alias("n_rows"))
-    od = orders.select(F.col("o_orderkey").cast("bigint").alias("doc_id")).join(counts, "doc_id", "left").withColumn(
-        "n_rows", F.coalesce("n_rows", F.lit(0))).withColumn("h", src)
-    last = F.col("n_rows") * (ncol + 1) + 1
-    doc_node = node_struct(F.col("doc_id"), node_id("h", F.lit(0), F.lit(0)), None, 0, last, 0, 0, "document", 0,
-                           struct_type="/Document", children_count=1)
-    tab_node = node_struct(F.col("doc_id"), table_id, node_id("h", F.lit(0), F.lit(0)), 1, last, 1, 0, "table", 0,
-                           struct_type="/Table", children_count=F.col("n_rows"))
-    top_nodes = explode_nodes(od, F.array(doc_node, tab_node))
-    docs = od.select("doc_id", F.lit(SCHEMA_VERSION).alias("schema_version"), F.col("h").alias("source_hash"),
-                     F.lit(1).alias("page_count"), F.lit(False).alias("is_heuristic"))
-    return Built(top_nodes.unionByName(row_nodes), docs)
+    first = F.coalesce(F.col("r"), F.lit(0)) == 0
+    arr = F.concat(F.filter(F.array(doc_node, tab_node), lambda _: first),
+                   F.filter(F.concat(F.array(row_node), cells), lambda _: F.col("r").isNotNull()))
+    nodes = explode_nodes(rows, arr)
+    docs = rows.filter(first).select("doc_id", F.lit(SCHEMA_VERSION).alias("schema_version"),
+                                     F.col("h").alias("source_hash"), F.lit(1).alias("page_count"),
+                                     F.lit(False).alias("is_heuristic"))
+    return Built(nodes, docs)
 
 
 def table_grid(nodes: DataFrame, page_start: int | None = None, page_end: int | None = None) -> DataFrame:
@@ -110,7 +118,7 @@ def table_cells(nodes: DataFrame, page_start: int | None = None, page_end: int |
     """One row per cell: row, col, spans, text, confidence."""
     g = table_grid(nodes, page_start, page_end)
     return g.select("doc_id", "table_node_id", "table_page", "table_pre", "row",
-                    F.explode("cells").alias("c")).select(
+                    F.explode_outer("cells").alias("c")).filter(F.col("c").isNotNull()).select(
         "doc_id", "table_node_id", "table_page", "table_pre", "row", F.col("c.col").alias("col"),
         F.lit(1).alias("row_span"), F.lit(1).alias("col_span"), F.col("c.text").alias("text"),
         F.lit(1.0).alias("confidence"))

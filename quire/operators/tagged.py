@@ -77,9 +77,9 @@ def html_nodes(pages: DataFrame) -> Built:
     par_id = F.when(F.col("parent_pos").isNull(), wrap_id).otherwise(node_id(src, F.lit(0), F.col("parent_pos")))
     text = F.when(F.col("children_count") == 0, F.nullif(py_strip(unescape(F.col("raw"))), F.lit("")))
     top = F.when(pos.isNull(), F.lit(0)).otherwise(F.col("sib_count"))
-    wrapper = node_struct(F.col("doc_id"), wrap_id, None, 0, F.col("n"), 0, 0, "document", 0,
+    wrapper = node_struct(wrap_id, None, 0, F.col("n"), 0, 0, "document", 0,
                           heuristic=False, children_count=top)
-    own = node_struct(F.col("doc_id"), own_id, par_id, pos + 1, F.col("last_pos") + 1, F.col("depth"),
+    own = node_struct(own_id, par_id, pos + 1, F.col("last_pos") + 1, F.col("depth"),
                       F.col("child_pos"), F.col("node_type"), 0, text_content=text,
                       level=heading_level(F.col("tag"), HTML_HEADING_LEVEL), struct_type=F.col("tag"),
                       heuristic=False, children_count=F.col("children_count"))
@@ -159,7 +159,7 @@ def tagged_nodes(elements: DataFrame, docs: DataFrame, page_refs: DataFrame | No
     x = x.join(parents, ["doc_id", "parent_elem"], "left")
     wrap_id = node_id("source_hash", F.lit(0), "n")
     text = F.when(F.col("children_count") == 0, F.nullif(py_strip("text"), F.lit("")))
-    own = node_struct(F.col("doc_id"), F.col("node_id"),
+    own = node_struct(F.col("node_id"),
                       F.when(F.col("_pid").isNull() & F.col("wrapped"), wrap_id).otherwise(F.col("_pid")),
                       F.col("pre"), F.col("last"), F.col("depth"), F.col("child_pos"), F.col("node_type"),
                       F.col("page_index"), text_content=text, level=heading_level("tag", level_map),
@@ -173,7 +173,7 @@ def tagged_nodes(elements: DataFrame, docs: DataFrame, page_refs: DataFrame | No
     wr = docs.select("doc_id", "source_hash").join(stats, "doc_id", "left").filter(
         F.coalesce(F.col("wrapped"), F.lit(1)) == 1)
     n = F.coalesce(F.col("n"), F.lit(0))
-    wrapper = node_struct(F.col("doc_id"), node_id("source_hash", F.lit(0), n), None, 0, n, 0, 0, "document", 0,
+    wrapper = node_struct(node_id("source_hash", F.lit(0), n), None, 0, n, 0, 0, "document", 0,
                           heuristic=False, children_count=F.coalesce(F.col("top"), F.lit(0)))
     nodes = nodes.unionByName(explode_nodes(wr, F.array(wrapper)))
     out_docs = docs.select("doc_id", F.lit(SCHEMA_VERSION).alias("schema_version"), "source_hash",

@@ -134,8 +134,9 @@ def nodes_from_json(docs_json: DataFrame, max_depth: int = 32) -> DataFrame:
             break
         level = level.select("doc_id", F.expr("variant_get(n, '$.node_id', 'string')").alias("parent_id"),
                              F.lit(d + 1).alias("depth"),
-                             F.posexplode(F.expr("variant_get(n, '$.children', 'array<variant>')"))
-                             .alias("child_pos", "n")).select("doc_id", "n", "parent_id", "depth", "child_pos")
+                             F.posexplode_outer(F.expr("variant_get(n, '$.children', 'array<variant>')"))
+                             .alias("child_pos", "n")).filter(F.col("child_pos").isNotNull()).select(
+            "doc_id", "n", "parent_id", "depth", "child_pos")
     allv = out[0]
     for x in out[1:]:
         allv = allv.unionByName(x)

@@ -65,7 +65,8 @@ def q_gate_corpus(spark, d):
 def q_paragraphs(spark, d):
     """Paragraphs of every document (delimiter newline)."""
     docs = B.table(spark, d, "documents")
-    return docs.select("doc_id", F.posexplode(split_paragraphs("text", B.PARA_DELIM)).alias("para_index", "text")) \
+    return docs.select("doc_id", F.posexplode_outer(split_paragraphs("text", B.PARA_DELIM))
+                       .alias("para_index", "text")).filter(F.col("para_index").isNotNull()) \
         .select("doc_id", F.lit(0).alias("page_index"), "para_index", "text",
                 content_hash("text").alias("content_hash"))
 

@@ -38,40 +38,59 @@ def load_files(spark: SparkSession, path: str, glob: str = "*.pdf") -> DataFrame
             .select("path", "length", "content"))
 
 
-def documents_wide(documents: DataFrame, lines_per_page: int | None = None) -> DataFrame:
+def documents_wide(documents: DataFrame, lines_per_page: int | None = None,
+                   partition_by_doc: bool = True) -> DataFrame:
     """A2 for one-row documents: ``(doc_id, source, pages)``.
 
     Without ``lines_per_page`` a document is one page.  With it, page ``p``
     holds lines ``p*N .. p*N+N-1`` joined by newline; the split stays inside the
-    row (no explode, no shuffle).
+    row (no explode).
+
+    ``partition_by_doc`` hash-partitions the documents by doc_id (one shuffle of
+    the raw rows, sized by ``spark.sql.shuffle.partitions`` and AQE).  Every
+    per-document window or aggregate over the resulting nodes then reuses that
+    partitioning instead of shuffling node rows, and the per-row parsing
+    spreads over all tasks even when the input has few splits.  Turn it off for
+    purely row-local work over a well-split input.
     """
-    text = F.coalesce(F.col("text"), F.lit(""))
+    x = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"),
+                         F.coalesce(F.col("text"), F.lit("")).alias("source"))
+    if partition_by_doc:
+        x = x.repartition("doc_id")
     if lines_per_page is None:
-        pages = F.array(text)
-    else:
-        n = int(lines_per_page)
-        if n < 1:
-            raise ValueError("lines_per_page must be >= 1")
-        lines = F.split(text, "\n")
-        n_pages = F.greatest(F.lit(1), F.ceil(F.size(lines) / n).cast("int"))
-        pages = F.transform(F.sequence(F.lit(0), n_pages - 1),
-                            lambda p: F.array_join(F.slice(lines, p * n + 1, F.lit(n)), "\n"))
-    return documents.select(F.col("doc_id").cast("bigint").alias("doc_id"),
-                            text.alias("source"), pages.alias("pages"))
+        return x.select("doc_id", "source", F.array("source").alias("pages"))
+    n = int(lines_per_page)
+    if n < 1:
+        raise ValueError("lines_per_page must be >= 1")
+    # `lines` is referenced twice, so it is computed once per row rather than
+    # re-split for every page inside the lambda.
+    x = x.select("doc_id", "source", F.split("source", "\n").alias("lines"))
+    n_pages = F.greatest(F.lit(1), F.ceil(F.size("lines") / n).cast("int"))
+    pages = F.transform(F.sequence(F.lit(0), n_pages - 1),
+                        lambda p: F.array_join(F.slice(F.col("lines"), p * n + 1, F.lit(n)), "\n"))
+    return x.select("doc_id", "source", pages.alias("pages"))
 
 
 def wide_to_long(wide: DataFrame) -> DataFrame:
     """Wide layout -> long layout (one row per page)."""
-    return (wide.select("doc_id", F.posexplode("pages").alias("page_index", "page_text"))
+    # Outer generator: no inferred size() filter re-evaluating `pages` below.
+    return (wide.select("doc_id", F.posexplode_outer("pages").alias("page_index", "page_text"))
+            .filter(F.col("page_index").isNotNull())
             .select("doc_id", F.col("page_index").cast("int").alias("page_index"), "page_text"))
 
 
-def conversation_pages(conversations: DataFrame) -> DataFrame:
-    """A2 for conversations: conversation = document, turn = page."""
-    return conversations.select(
+def conversation_pages(conversations: DataFrame, partition_by_doc: bool = True) -> DataFrame:
+    """A2 for conversations: conversation = document, turn = page.
+
+    Hash-partitioned by doc_id: the numbering windows need exactly this
+    exchange, so it costs nothing extra and later per-document operators
+    reuse it.
+    """
+    x = conversations.select(
         F.col("conv_id").cast("bigint").alias("doc_id"),
         F.col("turn").cast("int").alias("page_index"),
         F.coalesce(F.col("text"), F.lit("")).alias("page_text"))
+    return x.repartition("doc_id") if partition_by_doc else x
 
 
 def source_bytes_length(pages_long: DataFrame) -> DataFrame:

@@ -39,23 +39,35 @@ def unescape(c) -> Column:
     return s
 
 
-def html_tokens(pages: DataFrame) -> DataFrame:
+def html_tokens(pages: DataFrame, partition_by_doc: bool = True) -> DataFrame:
     """``pages(page_id, url, html)`` -> ``(doc_id, source_hash, tokens)``.
 
     ``tokens`` is the ordered ``ARRAY<STRUCT<tag, text>>`` of kept block tags,
     tag names lower-cased, text raw (not yet unescaped or stripped).
+    With ``partition_by_doc`` the pages are hash-partitioned by id first: the
+    regex work spreads over all tasks, and the node builder's per-page window
+    reuses this partitioning instead of shuffling the (larger) token rows.
     """
-    cleaned = clean_html("html")
-    tags = F.regexp_extract_all(cleaned, F.lit(RE_TOKEN), 1)
-    texts = F.regexp_extract_all(cleaned, F.lit(RE_TOKEN), 2)
-    zipped = F.transform(tags, lambda t, i: F.struct(F.lower(t).alias("tag"), F.get(texts, i).alias("text")))
+    x = pages
+    if partition_by_doc:
+        x = x.repartition("page_id")
+    # `cleaned` is referenced twice below, so the optimizer keeps it as one
+    # computed column instead of re-running the cleaning regexes; the two
+    # extractions are zipped, never indexed from inside a lambda.
+    x = x.select(F.col("page_id").cast("bigint").alias("doc_id"),
+                 source_hash_of_text("html").alias("source_hash"), clean_html("html").alias("cleaned"))
+    x = x.select("doc_id", "source_hash",
+                 F.regexp_extract_all("cleaned", F.lit(RE_TOKEN), 1).alias("tag"),
+                 F.regexp_extract_all("cleaned", F.lit(RE_TOKEN), 2).alias("text"))
     skip = F.array(*[F.lit(t) for t in HTML_SKIP_TAGS])
-    kept = F.filter(zipped, lambda x: ~F.array_contains(skip, x["tag"]))
-    return pages.select(F.col("page_id").cast("bigint").alias("doc_id"),
-                        source_hash_of_text("html").alias("source_hash"), kept.alias("tokens"))
+    zipped = F.transform(F.arrays_zip("tag", "text"),
+                         lambda z: F.struct(F.lower(z["tag"]).alias("tag"), z["text"].alias("text")))
+    kept = F.filter(zipped, lambda z: ~F.array_contains(skip, z["tag"]))
+    return x.select("doc_id", "source_hash", kept.alias("tokens"))
 
 
 def tag_histogram(pages: DataFrame) -> DataFrame:
     """Token count per tag over the corpus (the kept block tags)."""
-    toks = html_tokens(pages).select(F.explode("tokens").alias("t"))
+    toks = html_tokens(pages, partition_by_doc=False).select(F.explode_outer("tokens").alias("t")).filter(
+        F.col("t").isNotNull())
     return toks.groupBy(F.col("t.tag").alias("tag")).agg(F.count(F.lit(1)).alias("n"))
