@@ -108,13 +108,25 @@ def split_doc(pages_long: DataFrame, split_at_pages: list[int] | None = None,
         "doc_id", "page_index", "chunk_index", "chunk_page_count")
 
 
+def node_hash60(text) -> Column:
+    """First 60 bits of a node's content hash (null text hashes as '')."""
+    return F.conv(F.left(content_hash(text), F.lit(15)), 16, 10).cast("bigint")
+
+
 def doc_fingerprint(nodes: DataFrame) -> DataFrame:
-    """H4: content fingerprint per document: SHA-256 of its sorted node
-    content hashes (null text hashes as '').  Order-free, so equal content
-    in a different order gives the same fingerprint."""
-    return nodes.groupBy("doc_id").agg(
-        F.sha2(F.array_join(F.array_sort(F.collect_list(content_hash("text_content"))), ","), 256)
-        .alias("fingerprint"), F.count(F.lit(1)).alias("n_nodes"))
+    """H4: content fingerprint per document, order-free.
+
+    SHA-256 of ``count : xor : sum`` of the 60-bit node content hashes (the sum
+    exact, as a decimal).  All three are partial aggregates, so a document of
+    any size is folded per task without collecting its hashes into a list;
+    equal multisets of node contents give equal fingerprints.
+    """
+    h = node_hash60("text_content")
+    agg = nodes.groupBy("doc_id").agg(
+        F.count(F.lit(1)).alias("n_nodes"), F.bit_xor(h).alias("x"),
+        F.sum(h.cast("decimal(38,0)")).alias("s"))
+    return agg.select("doc_id", F.sha2(F.concat_ws(":", F.col("n_nodes").cast("string"), F.col("x").cast("string"),
+                                                   F.col("s").cast("string")), 256).alias("fingerprint"), "n_nodes")
 
 
 def dedupe_by_hash(hashed: DataFrame) -> DataFrame:

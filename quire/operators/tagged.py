@@ -47,11 +47,14 @@ def html_nodes(pages: DataFrame) -> Built:
                             F.lit(HTML_LEAF_RANK)).alias("rank"))
     w = Window.partitionBy("doc_id").orderBy("pos")
     prev = w.rowsBetween(Window.unboundedPreceding, -1)
-    nxt = w.rowsBetween(1, Window.unboundedFollowing)
+    # "Following" rows are read as "preceding" in descending order: running
+    # frames are incremental, while a frame ending at UNBOUNDED FOLLOWING is
+    # re-evaluated for every row (quadratic in the page's token count).
+    nxt = Window.partitionBy("doc_id").orderBy(F.col("pos").desc()).rowsBetween(Window.unboundedPreceding, -1)
     rank, pos = F.col("rank"), F.col("pos")
     # L_r: last earlier token of rank r; M_r: first later token of rank <= r.
-    x = x.select("*", *[F.max(F.when(rank == r, pos)).over(prev).alias(f"l{r}") for r in _RANKS],
-                 *[F.min(F.when(rank <= r, pos)).over(nxt).alias(f"m{r}") for r in _RANKS])
+    x = x.select("*", *[F.max(F.when(rank == r, pos)).over(prev).alias(f"l{r}") for r in _RANKS])
+    x = x.select("*", *[F.min(F.when(rank <= r, pos)).over(nxt).alias(f"m{r}") for r in _RANKS])
     parent_pos = F.greatest(*[F.when(rank > r, F.col(f"l{r}")) for r in _RANKS])
     depth = F.lit(1)
     for r in _RANKS:

@@ -567,9 +567,11 @@ FROM c"""
 
 ORACLE["doc_fingerprint"] = f"""WITH RECURSIVE {HTML_NODES}
 SELECT CAST(doc_id AS BIGINT) AS doc_id,
-       sha256(array_to_string(list_sort(list({chash('text_content')})), ',')) AS fingerprint,
+       sha256(concat_ws(':', CAST(count(*) AS VARCHAR), CAST(bit_xor(h) AS VARCHAR),
+                        CAST(CAST(sum(CAST(h AS HUGEINT)) AS DECIMAL(38, 0)) AS VARCHAR))) AS fingerprint,
        count(*) AS n_nodes
-FROM html_nodes GROUP BY doc_id"""
+FROM (SELECT doc_id, CAST(('0x' || left({chash('text_content')}, 15)) AS BIGINT) AS h FROM html_nodes)
+GROUP BY doc_id"""
 
 
 # -- audits and validation ------------------------------------------------------------
