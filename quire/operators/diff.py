@@ -33,17 +33,35 @@ def first_occurrence(nodes: DataFrame) -> DataFrame:
     ).select("pair", "sig", "n.*")
 
 
+def diff_sides(nodes: DataFrame) -> DataFrame:
+    """G2 + G3 over one table holding both versions (``pair``, ``side`` 0/1).
+
+    Both set differences come from a single aggregation on (pair, sig): which
+    sides hold the signature, and each side's first node in preorder
+    (``min_by`` over that side's rows only).  One shuffle, combined map-side,
+    no anti-joins; a signature shared by a large share of the rows costs one
+    partial row per task.
+    """
+    first = F.struct("node_id", "node_type", "page_index", "text_content", "pre")
+    side = F.col("side")
+    g = signature(nodes).groupBy("pair", "sig").agg(
+        F.count_if(side == 0).alias("n_a"), F.count_if(side == 1).alias("n_b"),
+        F.min_by(first, F.when(side == 0, F.col("pre"))).alias("a"),
+        F.min_by(first, F.when(side == 1, F.col("pre"))).alias("b"))
+    removed = F.when((F.col("n_a") > 0) & (F.col("n_b") == 0), F.col("a"))
+    added = F.when((F.col("n_b") > 0) & (F.col("n_a") == 0), F.col("b"))
+    out = g.select("pair", F.when(removed.isNotNull(), F.lit("removed")).when(added.isNotNull(), F.lit("added"))
+                   .alias("type"), F.coalesce(removed, added).alias("n")).filter(F.col("type").isNotNull())
+    return out.select("pair", "type", "n.node_id", "n.node_type", "n.page_index",
+                      preview(F.col("n.text_content")).alias("text_preview"), "n.pre")
+
+
 def diff_nodes(original: DataFrame, modified: DataFrame) -> DataFrame:
-    """``removed`` (in original only) then ``added`` (in modified only).
+    """``removed`` (in original only) and ``added`` (in modified only).
 
-    Inputs are ``nodes`` rows with a ``pair`` column.  Two anti-joins on
-    (pair, sig), i.e. EXCEPT in both directions keeping the payload.
+    Inputs are ``nodes`` rows with a ``pair`` column; see ``diff_sides``.
     """
-    fa, fb = first_occurrence(original), first_occurrence(modified)
-    removed = fa.join(fb.select("pair", "sig"), ["pair", "sig"], "left_anti").withColumn("type", F.lit("removed"))
-    added = fb.join(fa.select("pair", "sig"), ["pair", "sig"], "left_anti").withColumn("type", F.lit("added"))
-    return removed.unionByName(added).select(
-        "pair", "type", "node_id", "node_type", "page_index", preview("text_content").alias("text_preview"), "pre")
+    return diff_sides(original.withColumn("side", F.lit(0)).unionByName(modified.withColumn("side", F.lit(1))))
 
 
 def diff_summary(diff: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -61,8 +79,8 @@ def diff_summary(diff: DataFrame, pairs: DataFrame) -> DataFrame:
 
 
 def _positioned(blocks: DataFrame) -> DataFrame:
-    w = Window.partitionBy("pair", "page_index").orderBy("pre")
-    return blocks.select("pair", "page_index", "pre", content_hash("text").alias("h")).withColumn(
+    w = Window.partitionBy("pair", "side", "page_index").orderBy("pre")
+    return blocks.select("pair", "side", "page_index", "pre", content_hash("text").alias("h")).withColumn(
         "block_pos", F.row_number().over(w) - 1)
 
 
@@ -71,10 +89,15 @@ def compare_text(original_blocks: DataFrame, modified_blocks: DataFrame, pairs:
 
     Left only -> removed, right only -> added, both with different content
     hashes -> changed.  Inputs are cited-text rows with a ``pair`` column.
+    The alignment is an aggregation on (pair, page, position) rather than a
+    full outer join: one shuffle, combined map-side.
     """
-    a = _positioned(original_blocks).select("pair", "page_index", "block_pos", F.col("h").alias("ha"))
-    b = _positioned(modified_blocks).select("pair", "page_index", "block_pos", F.col("h").alias("hb"))
-    j = a.join(b, ["pair", "page_index", "block_pos"], "full_outer")
+    both = original_blocks.select("pair", "page_index", "pre", "text", F.lit(0).alias("side")).unionByName(
+        modified_blocks.select("pair", "page_index", "pre", "text", F.lit(1).alias("side")))
+    p = _positioned(both)
+    j = p.groupBy("pair", "page_index", "block_pos").agg(
+        F.max(F.when(F.col("side") == 0, F.col("h"))).alias("ha"),
+        F.max(F.when(F.col("side") == 1, F.col("h"))).alias("hb"))
     c = j.groupBy("pair").agg(
         F.count_if(F.col("ha").isNull()).alias("added_text_count"),
         F.count_if(F.col("hb").isNull()).alias("removed_text_count"),

@@ -78,7 +78,8 @@ def redacted_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def conv_sides(spark: SparkSession, sf_dir: str):
     """Conversation pairs (2k, 2k+1): every conversation is used, the even one as
-    the original and the odd one as the modified version of pair k."""
+    the original (side 0) and the odd one as the modified version (side 1) of
+    pair k.  Returns (nodes with pair and side, pairs with page counts)."""
     from pyspark.sql import functions as F
     b = conv_built(spark, sf_dir)
     side = F.pmod(F.col("doc_id"), F.lit(2))
@@ -89,4 +90,4 @@ def conv_sides(spark: SparkSession, sf_dir: str):
     pairs = a.join(m, "pair", "full_outer").select(
         "pair", F.coalesce("original_page_count", F.lit(0)).alias("original_page_count"),
         F.coalesce("modified_page_count", F.lit(0)).alias("modified_page_count"))
-    return nodes.filter(F.col("side") == 0), nodes.filter(F.col("side") == 1), pairs
+    return nodes, pairs

@@ -308,17 +308,17 @@ def q_tables_csv(spark, d):
 @query("diff_pairs")
 def q_diff_pairs(spark, d):
     """G1-G3 over conversation pairs (2k, 2k+1)."""
-    from quire.operators.diff import diff_nodes
-    a, m, _ = B.conv_sides(spark, d)
-    return diff_nodes(a, m)
+    from quire.operators.diff import diff_sides
+    nodes, _ = B.conv_sides(spark, d)
+    return diff_sides(nodes)
 
 
 @query("diff_summary")
 def q_diff_summary(spark, d):
     """Counts per conversation pair, zeros for identical pairs."""
-    from quire.operators.diff import diff_nodes, diff_summary
-    a, m, pairs = B.conv_sides(spark, d)
-    return diff_summary(diff_nodes(a, m), pairs)
+    from quire.operators.diff import diff_sides, diff_summary
+    nodes, pairs = B.conv_sides(spark, d)
+    return diff_summary(diff_sides(nodes), pairs)
 
 
 def _docs_and_redacted(spark, d):
