@@ -74,64 +74,97 @@ def table_nodes(orders: DataFrame, lineitem: DataFrame) -> Built:
     return Built(nodes, docs)
 
 
-def table_grid(nodes: DataFrame, page_start: int | None = None, page_end: int | None = None) -> DataFrame:
-    """E1 core: one row per (table, row) with that row's ordered cells.
-
-    Output: ``doc_id, table_node_id, table_page, table_ord, has_anchor_text,
-    row (null for a table without rows), cells ARRAY<STRUCT<col, text>>``.
-    Heuristic documents have no tables (E3).  Cells aggregate per row (a row is
-    bounded by its column count); rows are numbered by a window on the table,
-    which the join on the table key has already clustered.
+def table_chain(nodes: DataFrame, page_start: int | None = None, page_end: int | None = None) -> DataFrame:
+    """E1 core: every table, its direct rows and their direct cells, numbered.
+
+    Output rows ``(doc_id, kind, table_node_id, table_page, table_pre,
+    table_ord, has_anchor, row, col, text)`` with ``kind`` in table / row /
+    cell; rows and cells that are not direct children of a table / row are
+    dropped (a ``/TBody`` in between hides its rows).
+
+    Parents come from windows, not self-joins.  In preorder, when a row's
+    parent is a table it is the nearest earlier table one level up (any other
+    table at that depth in between would have to lie inside the parent's own
+    subtree), and likewise for a cell and its row.  So a running
+    ``last(..., ignorenulls)`` over ``(doc_id, depth key)`` ordered by ``pre``
+    finds the candidate, and ``parent_id`` equality confirms it.  Every window
+    partitions by doc_id, so on nodes already partitioned by doc_id the chain
+    runs without any exchange and the node table is read once.
     """
-    n = nodes.filter(~F.col("heuristic"))
-    tables = n.filter(F.col("node_type") == "table").select(
-        "doc_id", F.col("node_id").alias("table_node_id"), F.col("page_index").alias("table_page"),
-        F.col("pre").alias("table_pre"), F.col("text_content").alias("table_text"))
+    kinds = {"table": "table", "table_row": "row", "table_cell": "cell"}
+    n = nodes.filter(~F.col("heuristic") & F.col("node_type").isin(*kinds)).select(
+        "doc_id", "node_id", "parent_id", "pre", "depth", "page_index", "text_content",
+        F.when(F.col("node_type") == "table", "table").when(F.col("node_type") == "table_row", "row")
+        .otherwise("cell").alias("kind"))
+    kind, pre = F.col("kind"), F.col("pre")
+    running = Window.unboundedPreceding, -1
+    is_table = kind == "table"
+    n = n.withColumn("table_ord", F.when(is_table, F.row_number().over(
+        Window.partitionBy("doc_id", is_table).orderBy(pre)) - 1))
+    table_info = F.struct(F.col("node_id").alias("id"), F.col("page_index").alias("page"), pre.alias("pre"),
+                          F.col("table_ord").alias("ord"),
+                          F.coalesce(F.length("text_content") > 0, F.lit(False)).alias("anchor"))
+    k1 = F.when(is_table, F.col("depth")).when(kind == "row", F.col("depth") - 1)
+    n = n.withColumn("t", F.when(is_table, table_info).otherwise(F.last(F.when(is_table, table_info), True).over(
+        Window.partitionBy("doc_id", k1).orderBy(pre).rowsBetween(*running))))
+    ok_row = (kind == "row") & (F.col("t.id") == F.col("parent_id"))
+    n = n.withColumn("ok_row", F.coalesce(ok_row, F.lit(False)))
+    n = n.withColumn("row", F.when(F.col("ok_row"), F.row_number().over(
+        Window.partitionBy("doc_id", F.when(F.col("ok_row"), F.col("t.id"))).orderBy(pre)) - 1))
+    row_info = F.struct(F.col("node_id").alias("id"), F.col("row").alias("row"), F.col("t").alias("t"))
+    k2 = F.when(F.col("ok_row"), F.col("depth")).when(kind == "cell", F.col("depth") - 1)
+    n = n.withColumn("r", F.when(kind == "cell", F.last(F.when(F.col("ok_row"), row_info), True).over(
+        Window.partitionBy("doc_id", k2).orderBy(pre).rowsBetween(*running))))
+    ok_cell = F.coalesce((kind == "cell") & (F.col("r.id") == F.col("parent_id")), F.lit(False))
+    n = n.withColumn("ok_cell", ok_cell).withColumn("col", F.when(F.col("ok_cell"), F.row_number().over(
+        Window.partitionBy("doc_id", F.when(F.col("ok_cell"), F.col("parent_id"))).orderBy(pre)) - 1))
+    n = n.filter(is_table | F.col("ok_row") | F.col("ok_cell"))
+    t = F.when(kind == "cell", F.col("r.t")).otherwise(F.col("t"))
+    out = n.select("doc_id", "kind", t["id"].alias("table_node_id"), t["page"].alias("table_page"),
+                   t["pre"].alias("table_pre"), t["ord"].cast("int").alias("table_ord"),
+                   t["anchor"].alias("has_anchor"),
+                   F.when(kind == "cell", F.col("r.row")).otherwise(F.col("row")).cast("int").alias("row"),
+                   F.col("col").cast("int").alias("col"),
+                   F.when(kind == "cell", F.col("text_content")).alias("text"))
     if page_start is not None:
-        tables = tables.filter(F.col("table_page") >= F.lit(int(page_start)))
+        out = out.filter(F.col("table_page") >= F.lit(int(page_start)))
     if page_end is not None:
-        tables = tables.filter(F.col("table_page") <= F.lit(int(page_end)))
-    rows = n.filter(F.col("node_type") == "table_row").select(
-        "doc_id", F.col("node_id").alias("row_id"), F.col("parent_id").alias("table_node_id"),
-        F.col("pre").alias("row_pre"))
-    cells = n.filter(F.col("node_type") == "table_cell").groupBy("doc_id", F.col("parent_id").alias("row_id")).agg(
-        F.array_sort(F.collect_list(F.struct(F.col("pre"), F.col("text_content").alias("text")))).alias("cs"))
-    rows = rows.join(cells, ["doc_id", "row_id"], "left")
-    g = tables.join(rows, ["doc_id", "table_node_id"], "left")
-    wt = Window.partitionBy("doc_id", "table_node_id").orderBy("row_pre")
-    g = g.withColumn("row", F.when(F.col("row_id").isNotNull(), F.row_number().over(wt) - 1))
-    g = g.withColumn("cells", F.transform(F.coalesce("cs", F.array().cast("array<struct<pre:int,text:string>>")),
-                                          lambda c, i: F.struct(i.alias("col"), c["text"].alias("text"))))
-    return g.select("doc_id", "table_node_id", "table_page", "table_pre",
-                    F.coalesce(F.length("table_text") > 0, F.lit(False)).alias("has_anchor_text"), "row", "cells")
+        out = out.filter(F.col("table_page") <= F.lit(int(page_end)))
+    return out
+
+
+def table_grid(nodes: DataFrame, page_start: int | None = None, page_end: int | None = None) -> DataFrame:
+    """One row per table row (and one per table, ``row`` null) with the row's
+    cells ``ARRAY<STRUCT<col, text>>`` in order; a row's cells are bounded by
+    its width.  Grouping keys start with doc_id, so no exchange is added."""
+    c = table_chain(nodes, page_start, page_end)
+    keys = ["doc_id", "table_node_id", "table_page", "table_pre", "table_ord", "has_anchor", "row"]
+    return c.groupBy(*keys).agg(F.array_sort(F.collect_list(
+        F.when(F.col("kind") == "cell", F.struct("col", "text")))).alias("cells"))
 
 
 def with_table_ord(grid: DataFrame) -> DataFrame:
-    """0-based position of each table in its document (preorder)."""
-    per_table = grid.select("doc_id", "table_node_id", "table_pre").distinct()
-    ords = per_table.withColumn("table_ord", F.row_number().over(
-        Window.partitionBy("doc_id").orderBy("table_pre")) - 1).drop("table_pre")
-    return grid.join(ords, ["doc_id", "table_node_id"])
+    """Kept for callers of the earlier API: ``table_ord`` is already a column."""
+    return grid
 
 
 def table_cells(nodes: DataFrame, page_start: int | None = None, page_end: int | None = None) -> DataFrame:
     """One row per cell: row, col, spans, text, confidence."""
-    g = table_grid(nodes, page_start, page_end)
-    return g.select("doc_id", "table_node_id", "table_page", "table_pre", "row",
-                    F.explode_outer("cells").alias("c")).filter(F.col("c").isNotNull()).select(
-        "doc_id", "table_node_id", "table_page", "table_pre", "row", F.col("c.col").alias("col"),
-        F.lit(1).alias("row_span"), F.lit(1).alias("col_span"), F.col("c.text").alias("text"),
-        F.lit(1.0).alias("confidence"))
+    c = table_chain(nodes, page_start, page_end).filter(F.col("kind") == "cell")
+    return c.select("doc_id", "table_node_id", "table_page", "table_pre", "row", "col",
+                    F.lit(1).alias("row_span"), F.lit(1).alias("col_span"), "text",
+                    F.lit(1.0).alias("confidence"))
 
 
 def cited_tables(nodes: DataFrame, page_start: int | None = None, page_end: int | None = None) -> DataFrame:
     """E2 (flat): per table ``row_count`` (empty rows included), ``col_count``
-    (widest row) and whether it carries an anchor (only tables with text)."""
-    g = table_grid(nodes, page_start, page_end)
-    return g.groupBy("doc_id", "table_node_id", "table_page").agg(
-        F.count("row").cast("int").alias("row_count"),
-        F.coalesce(F.max(F.size("cells")), F.lit(0)).cast("int").alias("col_count"),
-        F.max("has_anchor_text").alias("has_anchor"))
+    (widest row) and whether it carries an anchor (only tables with text).
+    One aggregation over the chain, combined map-side."""
+    c = table_chain(nodes, page_start, page_end)
+    return c.groupBy("doc_id", "table_node_id", "table_page").agg(
+        F.count_if(F.col("kind") == "row").cast("int").alias("row_count"),
+        F.coalesce(F.max("col") + 1, F.lit(0)).cast("int").alias("col_count"),
+        F.max("has_anchor").alias("has_anchor"))
 
 
 def cited_tables_nested(nodes: DataFrame, page_start: int | None = None, page_end: int | None = None) -> DataFrame:
@@ -143,7 +176,7 @@ def cited_tables_nested(nodes: DataFrame, page_start: int | None = None, page_en
                                                          F.lit(1.0).alias("confidence"))).alias("cells"))
     return r.groupBy("doc_id", "table_node_id", "table_page").agg(
         F.count("row").cast("int").alias("row_count"),
-        F.coalesce(F.max(F.size("cells")), F.lit(0)).cast("int").alias("col_count"),
+        F.coalesce(F.max(F.when(F.col("row").isNotNull(), F.size("cells"))), F.lit(0)).cast("int").alias("col_count"),
         F.transform(F.array_sort(F.collect_list(F.when(F.col("row").isNotNull(), F.struct("row", "cells")))),
                     lambda x: x["cells"]).alias("rows"))
 
