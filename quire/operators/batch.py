@@ -32,6 +32,6 @@ def batch_outcome(wide: DataFrame, delim: str = "\n\n", max_file_size: int = DEF
 def metering(nodes: DataFrame, docs: DataFrame) -> DataFrame:
     """K2: one row: documents, pages processed (sum of page counts), blocks."""
     d = docs.agg(F.count(F.lit(1)).alias("documents"),
-                 F.sum("page_count").cast("bigint").alias("pages_processed"))
-    n = nodes.agg(F.count(F.when(F.length("text_content") > 0, F.lit(1))).alias("blocks"))
-    return d.crossJoin(n)
+                 F.sum("page_count").cast("bigint").alias("pages_processed")).withColumn("_k", F.lit(1))
+    n = nodes.agg(F.count(F.when(F.length("text_content") > 0, F.lit(1))).alias("blocks")).withColumn("_k", F.lit(1))
+    return d.join(n, "_k").drop("_k")

@@ -112,9 +112,10 @@ def search_nodes(nodes: DataFrame, node_type: str | None = None, page_index: int
         "doc_id", "pre", "node_id", "node_type", "page_index", "text_content", "level",
         "struct_type", "heuristic", "children_count")
     if scope == "corpus":
-        total = shallow.agg(F.count(F.lit(1)).alias("total_matches"))
-        top = shallow.orderBy("doc_id", "pre").limit(int(max_results))
-        return top.crossJoin(F.broadcast(total)).withColumn(
+        # The total is a one-row aggregate attached by a constant key.
+        total = shallow.agg(F.count(F.lit(1)).alias("total_matches")).withColumn("_k", F.lit(1))
+        top = shallow.orderBy("doc_id", "pre").limit(int(max_results)).withColumn("_k", F.lit(1))
+        return top.join(F.broadcast(total), "_k").drop("_k").withColumn(
             "truncated", F.col("total_matches") > F.lit(int(max_results)))
     w = Window.partitionBy("doc_id")
     ranked = (shallow

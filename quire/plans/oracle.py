@@ -691,3 +691,30 @@ ORACLE["validate_nodes"] = _validate_sql()
 
 ORACLE["stream_cited_text"] = f"WITH {DOC_NODES_1}\n{cited('doc_nodes')}"
 ORACLE["stream_dedupe"] = f"SELECT DISTINCT {src_hash('text')} AS source_hash, sha256(coalesce(text, '')) AS full_hash FROM documents"
+
+
+ORACLE["require_tagged"] = f"""WITH RECURSIVE {CONV_NODES}, {HTML_NODES}
+SELECT CAST(doc_id AS BIGINT) AS doc_id, 'conversations' AS corpus, TRUE AS is_heuristic, 'rejected' AS status,
+       'ast/no-struct-tree' AS reason FROM conv_doc
+UNION ALL
+SELECT CAST(doc_id AS BIGINT), 'pages', FALSE, 'ok', CAST(NULL AS VARCHAR) FROM hp"""
+
+ORACLE["cited_text_min_confidence"] = f"""WITH RECURSIVE {CONV_NODES}, {HTML_NODES},
+b AS (
+  SELECT 'conversations' AS corpus, doc_id, pre, node_id, 0.5 AS confidence FROM conv_nodes
+  WHERE length(text_content) > 0
+  UNION ALL
+  SELECT 'pages', doc_id, pre, node_id, 1.0 FROM html_nodes WHERE length(text_content) > 0)
+SELECT corpus, CAST(doc_id AS BIGINT) AS doc_id, CAST(pre AS INTEGER) AS pre, node_id,
+       CAST(confidence AS DOUBLE) AS confidence,
+       CASE WHEN confidence >= 0.75 THEN 'kept' ELSE 'low_confidence' END AS output
+FROM b"""
+
+ORACLE["search_corpus"] = f"""WITH {DOC_NODES_1},
+m AS (SELECT * FROM doc_nodes WHERE node_type = 'paragraph' AND length(text_content) > 0
+      AND contains(lower(text_content), 'the'))
+SELECT CAST(doc_id AS BIGINT) AS doc_id, CAST(pre AS INTEGER) AS pre, node_id, node_type,
+       CAST(page_index AS INTEGER) AS page_index, text_content, CAST(level AS INTEGER) AS level, struct_type,
+       heuristic, CAST(children_count AS INTEGER) AS children_count,
+       (SELECT count(*) FROM m) AS total_matches, (SELECT count(*) FROM m) > 10 AS truncated
+FROM m ORDER BY doc_id, pre LIMIT 10"""

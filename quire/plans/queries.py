@@ -464,3 +464,33 @@ def q_stream_dedupe(spark, d):
     """K4: distinct (source_hash, full_hash) keys kept by the streaming dedupe."""
     from quire.streaming import stream_dedupe
     return stream_dedupe(spark, d)
+
+
+# -- A13, C7, D2 corpus scope ------------------------------------------------------
+
+@query("require_tagged")
+def q_require_tagged(spark, d):
+    """Conversations (no structure tree) are refused, HTML pages pass."""
+    conv, html = B.conv_built(spark, d), B.html_built(spark, d)
+    return S.require_tagged(conv.docs).withColumn("corpus", F.lit("conversations")).unionByName(
+        S.require_tagged(html.docs).withColumn("corpus", F.lit("pages"))).select(
+        "doc_id", "corpus", "is_heuristic", "status", "reason")
+
+
+@query("cited_text_min_confidence")
+def q_cited_text_min_confidence(spark, d):
+    """Cited blocks of conversations (0.5) and HTML pages (1.0) split at
+    confidence 0.75; the kept side and the low-confidence side, labelled."""
+    blocks = C.cited_text(B.conv_built(spark, d).nodes).withColumn("corpus", F.lit("conversations")).unionByName(
+        C.cited_text(B.html_built(spark, d).nodes).withColumn("corpus", F.lit("pages")))
+    kept, low = C.split_by_confidence(blocks, 0.75)
+    return kept.withColumn("output", F.lit("kept")).unionByName(low.withColumn("output", F.lit("low_confidence"))) \
+        .select("corpus", "doc_id", "pre", "node_id", "confidence", "output")
+
+
+@query("search_corpus")
+def q_search_corpus(spark, d):
+    """D2 with corpus scope: the first 10 paragraphs containing 'the' in
+    (doc_id, pre) order over all documents, with the corpus-wide total."""
+    return C.search_nodes(B.docs_built(spark, d).nodes, node_type="paragraph", text_query="the",
+                          max_results=10, scope="corpus")
