@@ -59,21 +59,29 @@ def redact_summary(redacted: DataFrame) -> DataFrame:
         F.count_if(F.col("in_range")).alias("pages_processed"))
 
 
-def merge_docs(pages_long: DataFrame, groups: DataFrame) -> DataFrame:
+def merge_docs(pages_long: DataFrame, groups: DataFrame, block: int = 4096) -> DataFrame:
     """H2: ordered lists of documents -> one document per group.
 
     ``groups(group_id, doc_id, ord)``.  A document's page offset is the sum of
-    the page counts of the documents before it in its group (running sum over
-    ``ord``, current row excluded).  The window runs over one row per
-    document, not per page.  Output ``(group_id, ord, doc_id, page_index,
-    merged_page_index, group_page_count)``.
+    the page counts of the documents before it in its group.  The running sum
+    is two-level so that one group holding a large share of the documents is
+    not a single task: block totals per ``(group_id, ord // block)`` (a
+    partial aggregate), a running sum over the blocks of a group (``1/block``
+    of the rows), then a running sum inside each block.  Output
+    ``(group_id, ord, doc_id, page_index, merged_page_index, group_page_count)``.
     """
+    b = int(block)
     counts = pages_long.groupBy("doc_id").agg(F.count(F.lit(1)).alias("page_count"))
-    g = groups.join(counts, "doc_id")
-    wo = Window.partitionBy("group_id").orderBy("ord")
-    g = g.withColumn("offset", F.coalesce(F.sum("page_count").over(
-        wo.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).withColumn(
-        "group_page_count", F.sum("page_count").over(Window.partitionBy("group_id")))
+    g = groups.join(counts, "doc_id").withColumn("blk", F.floor(F.col("ord") / b))
+    totals = g.groupBy("group_id", "blk").agg(F.sum("page_count").alias("blk_pages"))
+    wb = Window.partitionBy("group_id").orderBy("blk")
+    totals = totals.withColumn("blk_offset", F.coalesce(F.sum("blk_pages").over(
+        wb.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).withColumn(
+        "group_page_count", F.sum("blk_pages").over(Window.partitionBy("group_id")))
+    wi = Window.partitionBy("group_id", "blk").orderBy("ord")
+    g = g.withColumn("in_blk", F.coalesce(F.sum("page_count").over(
+        wi.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    g = g.join(totals, ["group_id", "blk"]).withColumn("offset", F.col("blk_offset") + F.col("in_blk"))
     return pages_long.join(g.select("doc_id", "group_id", "ord", "offset", "group_page_count"), "doc_id").select(
         "group_id", "ord", "doc_id", "page_index",
         (F.col("offset") + F.col("page_index")).cast("bigint").alias("merged_page_index"),

@@ -156,6 +156,25 @@ def test_merge_of_split_restores_pages(spark):
     assert {r["group_page_count"] for r in m} == {4}
 
 
+def test_merge_hot_group_blocks_match_brute_force(spark):
+    import random
+    rnd = random.Random(7)
+    docs = {i: ["p"] * rnd.randint(1, 4) for i in range(40)}
+    p = pages_df(spark, docs)
+    order = list(range(40))
+    rnd.shuffle(order)
+    groups = spark.createDataFrame([(0 if i < 30 else 1, d, i if i < 30 else i - 30) for i, d in enumerate(order)],
+                                   "group_id INT, doc_id BIGINT, ord INT")
+    got = {(r["doc_id"], r["page_index"]): r["merged_page_index"] for r in rows(docops.merge_docs(p, groups, block=4))}
+    want, off = {}, {0: 0, 1: 0}
+    for i, d in enumerate(order):
+        gid = 0 if i < 30 else 1
+        for k in range(len(docs[d])):
+            want[(d, k)] = off[gid] + k
+        off[gid] += len(docs[d])
+    assert got == want
+
+
 def test_fingerprint_order_free(spark):
     a = heuristic_nodes_long(pages_df(spark, {1: ["x\n\ny"]})).nodes
     f = rows(docops.doc_fingerprint(a))[0]
