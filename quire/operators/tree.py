@@ -12,7 +12,7 @@ two partial buckets.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 DEFAULT_BUCKET = 1024
@@ -34,14 +34,19 @@ def get_node(nodes: DataFrame, keys: DataFrame) -> tuple[DataFrame, DataFrame]:
     return first, missing
 
 
-def _key_intervals(nodes: DataFrame, keys: DataFrame) -> DataFrame:
+def _key_intervals(nodes: DataFrame, keys) -> DataFrame:
+    """Key nodes with their intervals.  ``keys`` is either a ``(doc_id,
+    node_id)`` DataFrame (semi-joined) or a boolean Column over ``nodes`` (a
+    plain filter: no join, no exchange)."""
+    cols = ["doc_id", F.col("node_id").alias("key_id"), F.col("pre").alias("key_pre"),
+            F.col("last").alias("key_last"), F.col("depth").alias("key_depth")]
+    if isinstance(keys, Column):
+        return nodes.filter(keys).select(*cols)
     k = keys.select("doc_id", F.col("node_id").alias("key_id")).distinct()
-    return nodes.select("doc_id", F.col("node_id").alias("key_id"), F.col("pre").alias("key_pre"),
-                        F.col("last").alias("key_last"), F.col("depth").alias("key_depth")).join(
-        k, ["doc_id", "key_id"], "left_semi")
+    return nodes.select(*cols).join(k, ["doc_id", "key_id"], "left_semi")
 
 
-def subtree(nodes: DataFrame, keys: DataFrame, bucket: int = DEFAULT_BUCKET) -> DataFrame:
+def subtree(nodes: DataFrame, keys, bucket: int = DEFAULT_BUCKET) -> DataFrame:
     """every key node with all its descendants.
 
     Output: ``key_id`` plus the node columns and ``rel_depth`` (0 for the key).
@@ -55,7 +60,7 @@ def subtree(nodes: DataFrame, keys: DataFrame, bucket: int = DEFAULT_BUCKET) ->
         "bucket", "key_pre", "key_last", "key_depth")
 
 
-def ancestors(nodes: DataFrame, keys: DataFrame, bucket: int = DEFAULT_BUCKET) -> DataFrame:
+def ancestors(nodes: DataFrame, keys, bucket: int = DEFAULT_BUCKET) -> DataFrame:
     """the path from each key node to the root (the key excluded).
 
     Output: ``doc_id, key_id, node_id, node_type, depth, pre, distance``.

@@ -240,8 +240,7 @@ def q_subtree(spark, d):
     """every conversation section with its paragraphs (bucketed range join)."""
     from quire.operators.tree import subtree
     nodes = B.conv_built(spark, d).nodes
-    keys = nodes.filter(F.col("node_type") == "section").select("doc_id", "node_id")
-    return subtree(nodes, keys).select("doc_id", "key_id", "node_id", "pre", "node_type", "depth", "rel_depth",
+    return subtree(nodes, F.col("node_type") == "section").select("doc_id", "key_id", "node_id", "pre", "node_type", "depth", "rel_depth",
                                        "text_content")
 
 
@@ -250,8 +249,7 @@ def q_ancestors(spark, d):
     """root paths of every HTML list item."""
     from quire.operators.tree import ancestors
     nodes = B.html_built(spark, d).nodes
-    keys = nodes.filter(F.col("node_type") == "list_item").select("doc_id", "node_id")
-    return ancestors(nodes, keys)
+    return ancestors(nodes, F.col("node_type") == "list_item")
 
 
 @query("ast_json_roundtrip")
