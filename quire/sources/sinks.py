@@ -50,24 +50,24 @@ def plain_documents(blocks: DataFrame) -> DataFrame:
 
 
 def csv_table_lines(grid: DataFrame) -> DataFrame:
-    """CSV lines of every table from a table grid with ``table_ord``.
-
-    Output rows ``(doc_id, table_ord, line_no, line)``: line 0 is the
-    ``# Table N (pM)`` title (``N`` = 1-based table number in the document),
-    then one line per row, empty rows included; tables after the first start
-    with a blank line.  Null cells print as empty fields.  Concatenating a
-    document's lines in ``(table_ord, line_no)`` order gives the CSV text.
+    """CSV lines of every table from a table grid.
+
+    The grid has one entry per table (``row`` null) and one per table row, so
+    each grid row maps to exactly one output line in a single projection:
+    line 0 is the ``# Table N (pM)`` title (``N`` = 1-based table number in the
+    document; tables after the first start with a blank line), then one line
+    per row, empty rows included.  Null cells print as empty fields.
+    Concatenating a document's lines in ``(table_ord, line_no)`` order gives
+    the CSV text.
     """
-    rows = grid.filter(F.col("row").isNotNull()).select(
-        "doc_id", "table_ord", (F.col("row") + 1).alias("line_no"),
-        csv_row(F.transform("cells", lambda c: c["text"])).alias("line"))
-    title = F.concat(F.lit("# Table "), (F.col("table_ord") + 1).cast("string"), F.lit(" (p"),
-                     F.col("table_page").cast("string"), F.lit(")"))
-    titles = grid.select("doc_id", "table_ord", "table_page").distinct().select(
-        "doc_id", "table_ord", F.lit(0).alias("line_no"),
-        F.concat(F.when(F.col("table_ord") > 0, F.lit("\n")).otherwise(F.lit("")),
-                 csv_row(F.array(title))).alias("line"))
-    return titles.unionByName(rows)
+    title = F.concat(F.when(F.col("table_ord") > 0, F.lit("\n")).otherwise(F.lit("")), csv_row(F.array(
+        F.concat(F.lit("# Table "), (F.col("table_ord") + 1).cast("string"), F.lit(" (p"),
+                 F.col("table_page").cast("string"), F.lit(")")))))
+    row_line = csv_row(F.transform("cells", lambda c: c["text"]))
+    is_title = F.col("row").isNull()
+    return grid.select("doc_id", "table_ord",
+                       F.when(is_title, F.lit(0)).otherwise(F.col("row") + 1).cast("int").alias("line_no"),
+                       F.when(is_title, title).otherwise(row_line).alias("line"))
 
 
 def csv_documents(grid: DataFrame) -> DataFrame:
