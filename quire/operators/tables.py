@@ -143,11 +143,6 @@ def table_grid(nodes: DataFrame, page_start: int | None = None, page_end: int |
         F.when(F.col("kind") == "cell", F.struct("col", "text")))).alias("cells"))
 
 
-def with_table_ord(grid: DataFrame) -> DataFrame:
-    """Kept for callers of the earlier API: ``table_ord`` is already a column."""
-    return grid
-
-
 def table_cells(nodes: DataFrame, page_start: int | None = None, page_end: int | None = None) -> DataFrame:
     """One row per cell: row, col, spans, text, confidence."""
     c = table_chain(nodes, page_start, page_end).filter(F.col("kind") == "cell")

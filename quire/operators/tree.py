@@ -116,10 +116,6 @@ def nodes_to_json(nodes: DataFrame, docs: DataFrame) -> DataFrame:
                                        F.col("root"), F.lit("}")).alias("json"))
 
 
-NODE_JSON_SCHEMA = ("STRUCT<node_id: STRING, node_type: STRING, page_index: INT, text_content: STRING, "
-                    "level: INT, struct_type: STRING, heuristic: BOOLEAN, mcid: INT>")
-
-
 def nodes_from_json(docs_json: DataFrame, max_depth: int = 32) -> DataFrame:
     """Nested JSON documents -> flat node rows with parent links.
 

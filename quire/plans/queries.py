@@ -296,9 +296,9 @@ def q_table_summary(spark, d):
 @query("tables_csv")
 def q_tables_csv(spark, d):
     """CSV lines of every order's table."""
-    from quire.operators.tables import table_grid, with_table_ord
+    from quire.operators.tables import table_grid
     from quire.sources.sinks import csv_table_lines
-    return csv_table_lines(with_table_ord(table_grid(B.tables_built(spark, d).nodes)))
+    return csv_table_lines(table_grid(B.tables_built(spark, d).nodes))
 
 
 # -- G: diff ----------------------------------------------------------------------

@@ -75,11 +75,5 @@ def stream_dedupe(spark: SparkSession, source_dir: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def stream_dedupe_counts(docs: DataFrame) -> DataFrame:
-    """Batch twin of the streaming dedupe, for comparisons."""
-    return docs.select(source_hash_of_text("text").alias("source_hash"),
-                       full_hash_of_text("text").alias("full_hash")).distinct()
-
-
 __all__ = ["read_documents_stream", "cited_text_stream", "dedupe_stream", "run_to_table",
-           "stream_cited_text", "stream_dedupe", "stream_dedupe_counts"]
+           "stream_cited_text", "stream_dedupe"]

@@ -84,3 +84,25 @@ def test_invariants_and_layouts_agree(spark):
 def test_padded_paragraph_stripped(spark):
     b = heuristic_nodes_long(pages_df(spark, {1: ["  \tpara one　"]}))
     assert [r["text_content"] for r in rows(b.nodes.filter("node_type = 'paragraph'"))] == ["para one"]
+
+
+def test_property_random_documents(spark):
+    """Random pages (blank lines, padding, empty pages) and ranges: the
+    closed-form numbering equals a recursive build."""
+    from hypothesis import HealthCheck, given, settings
+    from hypothesis import strategies as st
+
+    words = st.sampled_from(["a", "b c", " x ", " y", "\t", "", "z "])
+    page = st.lists(words, max_size=6).map(lambda ws: "\n\n".join(ws))
+    doc = st.lists(page, min_size=1, max_size=4)
+    rng = st.one_of(st.none(), st.integers(-2, 5))
+
+    @settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+    @given(doc, rng, rng)
+    def check(pages, start, end):
+        b = heuristic_nodes_long(pages_df(spark, {1: pages}), start=start, end=end)
+        got = [(r["node_type"], r["page_index"], int(r["node_id"].split(":")[3]), r["text_content"],
+                r["depth"], r["children_count"]) for r in rows(b.nodes, ["pre"])]
+        assert got == build_reference(pages, start, end)
+
+    check()

@@ -46,7 +46,7 @@ def test_csv_lines(spark):
     tbl = ("/Table", [("/TR", [("/TD", [], "a,b"), ("/TD", [], 'c"d')]), ("/TR", [])])
     el = make_elements(spark, {1: [("/Document", [tbl, ("/Table", [])])]})
     from quire.sources.sinks import csv_documents
-    g = tables.with_table_ord(tables.table_grid(tagged_nodes(el, docs_df(spark, [1])).nodes))
+    g = tables.table_grid(tagged_nodes(el, docs_df(spark, [1])).nodes)
     text = rows(csv_documents(g))[0]["csv"]
     assert text == '# Table 1 (p0)\r\n"a,b","c""d"\r\n\r\n\n# Table 2 (p0)\r\n'
 
