@@ -97,27 +97,36 @@ def table_chain(nodes: DataFrame, page_start: int | None = None, page_end: int |
         F.when(F.col("node_type") == "table", "table").when(F.col("node_type") == "table_row", "row")
         .otherwise("cell").alias("kind"))
     kind, pre = F.col("kind"), F.col("pre")
-    running = Window.unboundedPreceding, -1
+    before, upto = (Window.unboundedPreceding, -1), (Window.unboundedPreceding, 0)
     is_table = kind == "table"
-    n = n.withColumn("table_ord", F.when(is_table, F.row_number().over(
-        Window.partitionBy("doc_id", is_table).orderBy(pre)) - 1))
+    # Three sort orders in all; the windows stacked on one order reuse its sort.
+    w_doc = Window.partitionBy("doc_id").orderBy(pre)
+    n = n.withColumn("table_ord", F.when(is_table, F.count_if(is_table).over(w_doc.rowsBetween(*upto)) - 1))
     table_info = F.struct(F.col("node_id").alias("id"), F.col("page_index").alias("page"), pre.alias("pre"),
                           F.col("table_ord").alias("ord"),
                           F.coalesce(F.length("text_content") > 0, F.lit(False)).alias("anchor"))
-    k1 = F.when(is_table, F.col("depth")).when(kind == "row", F.col("depth") - 1)
-    n = n.withColumn("t", F.when(is_table, table_info).otherwise(F.last(F.when(is_table, table_info), True).over(
-        Window.partitionBy("doc_id", k1).orderBy(pre).rowsBetween(*running))))
-    ok_row = (kind == "row") & (F.col("t.id") == F.col("parent_id"))
-    n = n.withColumn("ok_row", F.coalesce(ok_row, F.lit(False)))
-    n = n.withColumn("row", F.when(F.col("ok_row"), F.row_number().over(
-        Window.partitionBy("doc_id", F.when(F.col("ok_row"), F.col("t.id"))).orderBy(pre)) - 1))
+    # Tables at depth d and rows at depth d+1 share a partition; a row's
+    # candidate parent is the last table before it, and its index is the number
+    # of confirmed rows since that table.
+    w1 = Window.partitionBy("doc_id", F.when(is_table, F.col("depth")).when(kind == "row", F.col("depth") - 1)) \
+        .orderBy(pre)
+    n = n.withColumn("t", F.when(is_table, table_info).otherwise(
+        F.last(F.when(is_table, table_info), True).over(w1.rowsBetween(*before))))
+    n = n.withColumn("ok_row", F.coalesce((kind == "row") & (F.col("t.id") == F.col("parent_id")), F.lit(False)))
+    n = n.withColumn("n_rows", F.count_if(F.col("ok_row")).over(w1.rowsBetween(*upto)))
+    n = n.withColumn("row", F.when(F.col("ok_row"), F.col("n_rows") - 1 - F.last(
+        F.when(is_table, F.col("n_rows")), True).over(w1.rowsBetween(*upto))))
+    # Confirmed rows at depth d and cells at depth d+1 share a partition; same
+    # reasoning for a cell's row and its column.
     row_info = F.struct(F.col("node_id").alias("id"), F.col("row").alias("row"), F.col("t").alias("t"))
-    k2 = F.when(F.col("ok_row"), F.col("depth")).when(kind == "cell", F.col("depth") - 1)
+    w2 = Window.partitionBy("doc_id", F.when(F.col("ok_row"), F.col("depth"))
+                            .when(kind == "cell", F.col("depth") - 1)).orderBy(pre)
     n = n.withColumn("r", F.when(kind == "cell", F.last(F.when(F.col("ok_row"), row_info), True).over(
-        Window.partitionBy("doc_id", k2).orderBy(pre).rowsBetween(*running))))
-    ok_cell = F.coalesce((kind == "cell") & (F.col("r.id") == F.col("parent_id")), F.lit(False))
-    n = n.withColumn("ok_cell", ok_cell).withColumn("col", F.when(F.col("ok_cell"), F.row_number().over(
-        Window.partitionBy("doc_id", F.when(F.col("ok_cell"), F.col("parent_id"))).orderBy(pre)) - 1))
+        w2.rowsBetween(*before))))
+    n = n.withColumn("ok_cell", F.coalesce((kind == "cell") & (F.col("r.id") == F.col("parent_id")), F.lit(False)))
+    n = n.withColumn("n_cells", F.count_if(F.col("ok_cell")).over(w2.rowsBetween(*upto)))
+    n = n.withColumn("col", F.when(F.col("ok_cell"), F.col("n_cells") - 1 - F.last(
+        F.when(F.col("ok_row"), F.col("n_cells")), True).over(w2.rowsBetween(*upto))))
     n = n.filter(is_table | F.col("ok_row") | F.col("ok_cell"))
     t = F.when(kind == "cell", F.col("r.t")).otherwise(F.col("t"))
     out = n.select("doc_id", "kind", t["id"].alias("table_node_id"), t["page"].alias("table_page"),
