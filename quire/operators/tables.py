@@ -108,8 +108,10 @@ def table_chain(nodes: DataFrame, page_start: int | None = None, page_end: int |
     # Tables at depth d and rows at depth d+1 share a partition; a row's
     # candidate parent is the last table before it, and its index is the number
     # of confirmed rows since that table.
-    w1 = Window.partitionBy("doc_id", F.when(is_table, F.col("depth")).when(kind == "row", F.col("depth") - 1)) \
-        .orderBy(pre)
+    # Window keys are columns, not expressions, so the stacked windows share
+    # one partitioning and one sort.
+    n = n.withColumn("k1", F.when(is_table, F.col("depth")).when(kind == "row", F.col("depth") - 1))
+    w1 = Window.partitionBy("doc_id", "k1").orderBy(pre)
     n = n.withColumn("t", F.when(is_table, table_info).otherwise(
         F.last(F.when(is_table, table_info), True).over(w1.rowsBetween(*before))))
     n = n.withColumn("ok_row", F.coalesce((kind == "row") & (F.col("t.id") == F.col("parent_id")), F.lit(False)))
@@ -119,8 +121,8 @@ def table_chain(nodes: DataFrame, page_start: int | None = None, page_end: int |
     # Confirmed rows at depth d and cells at depth d+1 share a partition; same
     # reasoning for a cell's row and its column.
     row_info = F.struct(F.col("node_id").alias("id"), F.col("row").alias("row"), F.col("t").alias("t"))
-    w2 = Window.partitionBy("doc_id", F.when(F.col("ok_row"), F.col("depth"))
-                            .when(kind == "cell", F.col("depth") - 1)).orderBy(pre)
+    n = n.withColumn("k2", F.when(F.col("ok_row"), F.col("depth")).when(kind == "cell", F.col("depth") - 1))
+    w2 = Window.partitionBy("doc_id", "k2").orderBy(pre)
     n = n.withColumn("r", F.when(kind == "cell", F.last(F.when(F.col("ok_row"), row_info), True).over(
         w2.rowsBetween(*before))))
     n = n.withColumn("ok_cell", F.coalesce((kind == "cell") & (F.col("r.id") == F.col("parent_id")), F.lit(False)))
