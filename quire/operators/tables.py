@@ -68,9 +68,11 @@ def table_nodes(orders: DataFrame, lineitem: DataFrame) -> Built:
     arr = F.concat(F.filter(F.array(doc_node, tab_node), lambda _: first),
                    F.filter(F.concat(F.array(row_node), cells), lambda _: F.col("r").isNotNull()))
     nodes = explode_nodes(rows, arr)
-    docs = rows.filter(first).select("doc_id", F.lit(SCHEMA_VERSION).alias("schema_version"),
-                                     F.col("h").alias("source_hash"), F.lit(1).alias("page_count"),
-                                     F.lit(False).alias("is_heuristic"))
+    # The document table depends on the order key only: a scan of `orders`,
+    # not another pass over the joined lines.
+    docs = o.select("doc_id", F.lit(SCHEMA_VERSION).alias("schema_version"),
+                    source_hash_of_text(F.concat(F.lit("order:"), F.col("doc_id").cast("string"))).alias("source_hash"),
+                    F.lit(1).alias("page_count"), F.lit(False).alias("is_heuristic"))
     return Built(nodes, docs)
 
 
