@@ -321,8 +321,10 @@ SELECT doc_id, pre, node_id, page_index, text, depth, count(*) OVER (PARTITION B
   FROM html_nodes WHERE node_type = 'heading') WHERE rk <= 500"""
 
 ORACLE["get_node"] = f"""WITH RECURSIVE {HTML_NODES},
-keys AS (SELECT doc_id, concat('ast:', left(source_hash, 6), ':0:', k) AS node_id
-         FROM hp, (VALUES (1), (9), (60)) v(k))
+keys AS (SELECT doc_id, node_id FROM html_nodes WHERE node_type = 'list'
+         UNION ALL
+         SELECT hp.doc_id, concat('ast:', left(hp.source_hash, 6), ':0:', coalesce(hcnt.n, 0) + 1)
+         FROM hp LEFT JOIN hcnt ON hp.doc_id = hcnt.doc_id)
 SELECT CAST(keys.doc_id AS BIGINT) AS doc_id, keys.node_id, n.node_id IS NOT NULL AS found, n.node_type,
        CAST(n.pre AS INTEGER) AS pre, CAST(n.children_count AS INTEGER) AS children_count, n.text_content,
        CASE WHEN n.node_id IS NULL THEN concat('Node not found: ', keys.node_id) END AS error

@@ -218,13 +218,15 @@ def q_outline(spark, d):
 
 @query("get_node")
 def q_get_node(spark, d):
-    """ids with sequence 1, 9 and 60 of every page; found or 'Node not found'."""
-    from quire.functions.text import node_id
+    """look up every list node of every page (found) and, per page, the id
+    one past its last sequence number (not found)."""
     from quire.operators.tree import get_node
     b = B.html_built(spark, d)
-    keys = b.docs.select("doc_id", "source_hash", F.explode(F.array(F.lit(1), F.lit(9), F.lit(60))).alias("k")) \
-        .select("doc_id", node_id("source_hash", F.lit(0), "k").alias("node_id"))
-    found, missing = get_node(b.nodes, keys)
+    lists = b.nodes.filter(F.col("node_type") == "list").select("doc_id", "node_id")
+    past_end = b.nodes.filter(F.col("pre") == 0).select(
+        "doc_id", F.concat(F.substring_index("node_id", ":", 3), F.lit(":"),
+                           (F.col("last") + 1).cast("string")).alias("node_id"))
+    found, missing = get_node(b.nodes, lists.unionByName(past_end))
     cols = ["node_type", "pre", "children_count", "text_content"]
     f = found.select("doc_id", "node_id", F.lit(True).alias("found"), *cols,
                      F.lit(None).cast("string").alias("error"))
