@@ -10,8 +10,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import quality_rules, rule_ensemble, simhash, substrings
-from quire.llm.common import table
+from quire.llm import decontaminate, mixing, quality_rules, rule_ensemble, simhash, substrings
+from quire.llm.common import cut, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -45,3 +45,17 @@ def op4(spark: SparkSession, d: str) -> DataFrame:
 def op10(spark: SparkSession, d: str) -> DataFrame:
     done = substrings.dedup_substrings(table(spark, d, "documents"))
     return done.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op3_mixing")
+def op3(spark: SparkSession, d: str) -> DataFrame:
+    sized = cut(mixing.with_size(table(spark, d, "documents")))
+    plan = mixing.plan_sources(sized)
+    done = mixing.taken(cut(mixing.place(sized, plan)), plan)
+    return done.select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query("op6_decontamination")
+def op6(spark: SparkSession, d: str) -> DataFrame:
+    found = decontaminate.leaks(table(spark, d, "documents"), table(spark, d, "benchmark"))
+    return found.select("doc_id", "item_id", "item_tokens", "covered", "coverage", F.size("tiles").alias("n_tiles"))

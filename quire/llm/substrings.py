@@ -28,58 +28,23 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quire.llm.common import as_bytes, byte_words
+from quire.llm.hashing import WordHashes, rolling_hashes
 
 WINDOW = 35
 GRAM = 8
 HASH_BYTES = 6            # of a window, beside the 8 of its minimizer
 CHUNK_WINDOWS = 1 << 20   # windows that one task compares locally at a time
 _SLICE = 1 << 16
-_CACHE_WORDS = 1 << 18
-_BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2 ** 64
-_BASE_INVERSE = pow(_BASE, -1, 1 << 64)
 
 OCCURRENCES = ("minimizer long, doc_id long, text_hash long, start int, stop int, windows binary")
 SPANS = "doc_id long, text_hash long, start int, stop int"
 
 
-class _WordHashes(dict):
-    """Word -> 64-bit hash; emptied when it holds too many words."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= _CACHE_WORDS:
-            self.clear()
-        value = self[word] = xxhash.xxh64_intdigest(word, 1)
-        return value
-
-
-def _mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
-def _powers(base: int, n: int) -> np.ndarray:
-    out = np.full(n, base, np.uint64)
-    if n:
-        out[0] = 1
-    return np.multiply.accumulate(out)
-
-
-def rolling_hashes(words: np.ndarray, width: int) -> np.ndarray:
-    """Rabin-Karp hash (modulo 2 ** 64, then mixed) of every ``width`` consecutive word hashes."""
-    n = len(words)
-    if n < width:
-        return np.empty(0, np.uint64)
-    sums = np.concatenate([np.zeros(1, np.uint64), np.add.accumulate(words * _powers(_BASE, n))])
-    return _mix((sums[width:] - sums[:-width]) * _powers(_BASE_INVERSE, n - width + 1))
-
-
 def minimizers(grams: np.ndarray, span: int) -> np.ndarray:
     """Position of the leftmost smallest of every ``span`` consecutive values."""
     out = []
@@ -176,13 +141,13 @@ def occurrences(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> Data
     """Rows of ``OCCURRENCES``: window hashes by minimizer occurrence (``windows``
     set), or spans that repeat within their task (``stop`` set)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, chunk = _WordHashes(), _Chunk(window, gram)
+        known, chunk = WordHashes(), _Chunk(window, gram)
         for batch in batches:
             for doc_id, text_hash, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(),
                                                as_bytes(batch.column(2))):
                 words = byte_words(text)
                 if len(words) >= window:
-                    chunk.add(doc_id, text_hash, np.fromiter(map(known.__getitem__, words), np.uint64, len(words)))
+                    chunk.add(doc_id, text_hash, known.array(words))
                     if chunk.size >= CHUNK_WINDOWS:
                         yield from chunk.flush()
         yield from chunk.flush()
