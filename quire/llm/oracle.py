@@ -27,3 +27,23 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(kept.
        sha256(coalesce(kept.t, '')) AS kept_sha256
 FROM d LEFT JOIN kept ON d.rid = kept.rid
 """
+
+# op8: digests of the whole payloads, the smallest page of equal ones, and the
+# place of every capture by (URL key, time, page); time follows the page id.
+ORACLE["op8_warc"] = r"""
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS html, lower(regexp_replace(coalesce(url, ''), '#.*$', '', 's')) AS u FROM pages),
+k AS (
+  SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes, sha256(html) AS payload_digest, u,
+         regexp_replace(regexp_extract(u, '^[a-z][a-z0-9+.-]*://([^/?:]*)', 1), '^www\.', '') AS host,
+         regexp_replace(u, '^[a-z][a-z0-9+.-]*://[^/?]*', '') AS rest
+  FROM p),
+f AS (
+  SELECT *, CASE WHEN host = '' THEN u ELSE array_to_string(list_reverse(string_split(host, '.')), ',') || ')' || rest END AS url_key,
+         CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY payload_digest, payload_bytes) ELSE page_id END AS first
+  FROM k)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id = first THEN NULL ELSE first END AS refers_to, url_key,
+       row_number() OVER (ORDER BY encode(url_key), page_id) AS position, false AS damaged
+FROM f
+"""

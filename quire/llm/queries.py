@@ -10,8 +10,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import decontaminate, mixing, quality_rules, rule_ensemble, simhash, substrings
-from quire.llm.common import cut, table
+from quire.llm import decontaminate, mixing, pii, quality_rules, rule_ensemble, simhash, substrings, warc
+from quire.llm.common import cut, shared_folder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -59,3 +59,16 @@ def op3(spark: SparkSession, d: str) -> DataFrame:
 def op6(spark: SparkSession, d: str) -> DataFrame:
     found = decontaminate.leaks(table(spark, d, "documents"), table(spark, d, "benchmark"))
     return found.select("doc_id", "item_id", "item_tokens", "covered", "coverage", F.size("tiles").alias("n_tiles"))
+
+
+@query("op7_pii")
+def op7(spark: SparkSession, d: str) -> DataFrame:
+    return pii.report(table(spark, d, "documents"))
+
+
+@query("op8_warc")
+def op8(spark: SparkSession, d: str) -> DataFrame:
+    path = shared_folder(spark)
+    warc.write_archives(table(spark, d, "pages"), path)
+    found = warc.capture_history(spark, path)
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "position", "damaged")
