@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -51,18 +52,18 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and materialised intermediates.
 
     Read from ``spark.checkpoint.dir`` (the cluster names a shared, durable
-    folder there).  Only when unset, as in local tests, a fresh scratch folder
-    is created and registered.
+    folder there) or from the context, if the caller has set it.  Where neither
+    is set, a local session (all tasks in this process, as in tests) gets a
+    scratch folder; on a cluster this raises, because other machines could not
+    see one.
     """
-    global _LOCAL_CKPT
-    configured = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if configured:
-        spark.sparkContext.setCheckpointDir(configured)
-        return configured
-    if _LOCAL_CKPT is None:
-        _LOCAL_CKPT = tempfile.mkdtemp(prefix="quire-ckpt-")
-        spark.sparkContext.setCheckpointDir(_LOCAL_CKPT)
-    return _LOCAL_CKPT
-
-
-_LOCAL_CKPT: str | None = None
+    sc = spark.sparkContext
+    known = sc._jsc.sc().getCheckpointDir()
+    configured = sc.getConf().get("spark.checkpoint.dir", None)
+    if known.isEmpty():
+        if not configured:
+            if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+            configured = tempfile.mkdtemp(prefix="quire-ckpt-")
+        sc.setCheckpointDir(configured)
+    return configured or known.get()
