@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from quire.llm.licenses import TEMPLATES
+
 ORACLE: dict[str, str] = {}
 
 # op10: every 35-word window as a string, counted over all documents.
@@ -47,3 +49,81 @@ SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = first THEN 'r
        row_number() OVER (ORDER BY encode(url_key), page_id) AS position, false AS damaged
 FROM f
 """
+
+# op5: every turn quotes the first line of the turn before; the message replied to
+# is the latest earlier turn with that line, else the first message that has it.
+ORACLE["op5_quotation_linking"] = r"""
+WITH RECURSIVE m AS (
+  SELECT conv_id, turn, role, trim(coalesce(text, ''), chr(32) || chr(9) || chr(10) || chr(13)) AS body FROM conversations),
+l AS (
+  SELECT DISTINCT conv_id, turn, line FROM (
+    SELECT conv_id, turn, trim(regexp_replace(lower(unnest(string_split(body, chr(10)))), '\s+', ' ', 'g')) AS line FROM m)
+  WHERE line <> ''),
+q AS (
+  SELECT m.conv_id, m.turn,
+         trim(regexp_replace(lower(trim(string_split(p.body, chr(10))[1], chr(32) || chr(9) || chr(13))), '\s+', ' ', 'g')) AS line,
+         trim(regexp_replace(lower(trim(string_split(pp.body, chr(10))[1], chr(32) || chr(9) || chr(13))), '\s+', ' ', 'g')) AS line2
+  FROM m JOIN m p ON p.conv_id = m.conv_id AND p.turn = m.turn - 1
+  LEFT JOIN m pp ON pp.conv_id = m.conv_id AND pp.turn = m.turn - 2),
+near AS (
+  SELECT q.conv_id, q.turn, max(l.turn) AS origin FROM q JOIN l ON l.conv_id = q.conv_id AND l.line = q.line AND l.turn < q.turn
+  WHERE q.line <> '' GROUP BY q.conv_id, q.turn),
+par AS (
+  SELECT m.conv_id, m.turn, m.role, m.body, near.origin AS parent_turn,
+         CASE WHEN near.origin IS NULL THEN NULL ELSE m.conv_id END AS parent_conv,
+         CASE WHEN near.origin IS NULL THEN NULL ELSE 1.0 END AS share,
+         CAST(CASE WHEN q.line <> '' THEN 1 + CASE WHEN coalesce(q.line2, '') <> '' THEN 1 ELSE 0 END ELSE 0 END AS INT) AS n_quotes
+  FROM m LEFT JOIN q ON q.conv_id = m.conv_id AND q.turn = m.turn
+  LEFT JOIN near ON near.conv_id = m.conv_id AND near.turn = m.turn),
+tree AS (
+  SELECT conv_id, turn, conv_id AS thread_conv, turn AS thread_turn, CAST(0 AS BIGINT) AS depth FROM par WHERE parent_turn IS NULL
+  UNION ALL
+  SELECT par.conv_id, par.turn, tree.thread_conv, tree.thread_turn, tree.depth + 1
+  FROM par JOIN tree ON par.parent_conv = tree.conv_id AND par.parent_turn = tree.turn)
+SELECT par.conv_id, par.turn, par.role, par.body, coalesce(par.n_quotes, 0) AS n_quotes, par.parent_conv, par.parent_turn, par.share,
+       tree.thread_conv, tree.thread_turn, tree.depth,
+       row_number() OVER (PARTITION BY tree.thread_conv, tree.thread_turn ORDER BY tree.depth, par.conv_id, par.turn) AS reply_no
+FROM par JOIN tree ON par.conv_id = tree.conv_id AND par.turn = tree.turn
+"""
+
+# op9: every line (and whole licence files) against the templates, then the nearest
+# directory above with a licence file.  The templates are the operator's input.
+_TEMPLATES = ", ".join(f"({k}, '{name}', '{text}')" for k, (name, text) in enumerate(TEMPLATES))
+_STOP = "('a','an','and','any','are','as','at','be','by','for','in','is','it','may','not','of','on','or','the','this','to','under','with','you')"
+ORACLE["op9_license_scan"] = rf"""
+WITH t(template, licence, body) AS (VALUES {_TEMPLATES}),
+tt AS (SELECT template, licence, unnest(regexp_extract_all(lower(body), '[a-z0-9]+(?:[.+-][a-z0-9]+)*')) AS term FROM t),
+tf AS (SELECT template, licence, term, count(*) AS tf FROM tt WHERE term NOT IN {_STOP} GROUP BY ALL),
+idf AS (SELECT term, ln(((SELECT count(*) FROM t) + 1) / (count(DISTINCT template) + 1)) + 1 AS idf FROM tf GROUP BY term),
+other AS (SELECT ln(count(*) + 1) + 1 AS idf FROM t),
+tw AS (SELECT template, licence, term, (1 + ln(tf)) * idf AS w FROM tf JOIN idf USING (term)),
+tn AS (SELECT template, sqrt(sum(w * w)) AS n FROM tw GROUP BY template),
+post AS (SELECT template, licence, term, w / n AS weight FROM tw JOIN tn USING (template)),
+f AS (
+  SELECT doc_id, text, CASE WHEN doc_id % 48 = 0 THEN source || '/LICENSE-' || doc_id
+    WHEN doc_id % 48 = 16 THEN source || '/' || lang || '/LICENSE-' || doc_id
+    WHEN doc_id % 48 = 32 THEN source || '/' || lang || '/' || doc_id // 256 || '/LICENSE-' || doc_id
+    ELSE source || '/' || lang || '/' || doc_id // 256 || '/' || doc_id || '.txt' END AS path FROM documents),
+u AS (
+  SELECT doc_id, path, unnest(range(len(l))) AS unit, unnest(l) AS body FROM (SELECT doc_id, path, string_split(text, chr(10)) AS l FROM f)
+  UNION ALL SELECT doc_id, path, -1, text FROM f WHERE doc_id % 16 = 0),
+ut AS (SELECT doc_id, path, unit, unnest(regexp_extract_all(lower(body), '[a-z0-9]+(?:[.+-][a-z0-9]+)*')) AS term FROM u),
+uf AS (SELECT doc_id, path, unit, term, count(*) AS tf FROM ut WHERE term NOT IN {_STOP} GROUP BY ALL),
+uw AS (SELECT doc_id, path, unit, term, (1 + ln(tf)) * coalesce(idf.idf, (SELECT idf FROM other)) AS w FROM uf LEFT JOIN idf USING (term)),
+un AS (SELECT doc_id, unit, sqrt(sum(w * w)) AS n FROM uw GROUP BY ALL),
+dot AS (SELECT doc_id, path, unit, template, licence, sum(w * weight) AS d FROM uw JOIN post USING (term) GROUP BY ALL),
+s AS (SELECT doc_id, path, unit, licence, round(d / n, 9) AS score FROM dot JOIN un USING (doc_id, unit) WHERE round(d / n, 9) >= 0.6),
+own AS (
+  SELECT doc_id, path, arg_min(licence, (-score, licence)) AS licence, max(score) AS score, count(DISTINCT unit) AS n_units
+  FROM s GROUP BY ALL),
+grants AS (
+  SELECT regexp_replace(path, '/[^/]*$', '') AS granted, arg_min(licence, (-score, licence)) AS licence
+  FROM own WHERE doc_id % 16 = 0 GROUP BY ALL),
+dirs AS (SELECT DISTINCT regexp_replace(path, '/[^/]*$', '') AS directory FROM f),
+passed AS (
+  SELECT directory, arg_max(licence, length(granted)) AS licence, arg_max(granted, length(granted)) AS from_directory
+  FROM dirs JOIN grants ON directory = granted OR starts_with(directory, granted || '/') GROUP BY directory)
+SELECT f.doc_id, f.path, own.licence AS own_licence, own.score, coalesce(own.n_units, 0) AS n_units,
+       coalesce(own.licence, passed.licence) AS licence, CASE WHEN own.licence IS NULL THEN passed.from_directory END AS from_directory
+FROM f LEFT JOIN own ON own.doc_id = f.doc_id LEFT JOIN passed ON passed.directory = regexp_replace(f.path, '/[^/]*$', '')
+"""

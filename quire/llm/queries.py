@@ -10,7 +10,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import decontaminate, mixing, pii, quality_rules, rule_ensemble, simhash, substrings, warc
+from quire.llm import (decontaminate, licenses, mixing, pii, quality_rules, quotes, rule_ensemble, simhash,
+                       substrings, warc)
 from quire.llm.common import cut, shared_folder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -72,3 +73,13 @@ def op8(spark: SparkSession, d: str) -> DataFrame:
     warc.write_archives(table(spark, d, "pages"), path)
     found = warc.capture_history(spark, path)
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "position", "damaged")
+
+
+@query("op5_quotation_linking")
+def op5(spark: SparkSession, d: str) -> DataFrame:
+    return quotes.reply_ordered(quotes.as_replies(table(spark, d, "conversations")))
+
+
+@query("op9_license_scan")
+def op9(spark: SparkSession, d: str) -> DataFrame:
+    return licenses.scan(licenses.as_files(table(spark, d, "documents")))
