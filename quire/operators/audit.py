@@ -106,7 +106,10 @@ def compliance_check(findings: DataFrame, docs: DataFrame, standards: list[str]
     """
     spark = findings.sparkSession
     wanted = standards or ["PDF/A-3b"]
-    rows = [(s, r) for s in wanted for r in STANDARD_RULES.get(s, [])]
+    unknown = [s for s in wanted if s not in STANDARD_RULES]
+    if unknown:
+        raise ValueError(f"unknown standards: {', '.join(unknown)}")
+    rows = [(s, r) for s in wanted for r in STANDARD_RULES[s]]
     std = spark.createDataFrame(rows, "standard STRING, rule_id STRING")
     v = findings.join(F.broadcast(std), "rule_id").groupBy("doc_id", "standard").agg(
         F.count(F.lit(1)).alias("violation_count"))

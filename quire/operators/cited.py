@@ -20,11 +20,6 @@ def bbox_placeholder() -> Column:
                     F.lit(1.0).alias("width"), F.lit(1.0).alias("height"))
 
 
-# Default caps of the search and outline calls.
-DEFAULT_MAX_RESULTS = 100
-OUTLINE_MAX_RESULTS = 500
-
-
 # -- C: predicates -----------------------------------------------------------------
 
 def has_text() -> Column:
@@ -50,8 +45,9 @@ def text_contains(query: str) -> Column:
 def page_between(start: int | None, end: int | None, page_count: Column | None = None) -> Column:
     """Inclusive; missing start -> 0, missing end -> page_count-1; no clamp."""
     lo = F.lit(0 if start is None else int(start))
-    hi = (page_count - 1) if end is None else F.lit(int(end))
-    return F.col("page_index").between(lo, hi)
+    if end is None and page_count is None:
+        return F.col("page_index") >= lo
+    return F.col("page_index").between(lo, (page_count - 1) if end is None else F.lit(int(end)))
 
 
 def split_by_confidence(blocks: DataFrame, min_confidence: float) -> tuple[DataFrame, DataFrame]:
@@ -90,16 +86,16 @@ def flatten_bbox(df: DataFrame, col: str = "bbox") -> DataFrame:
 
 
 def search_nodes(nodes: DataFrame, node_type: str | None = None, page_index: int | None = None,
-                 text_query: str | None = None, max_results: int = DEFAULT_MAX_RESULTS,
+                 text_query: str | None = None, max_results: int | None = None,
                  scope: str = "document") -> DataFrame:
     """AND of the filters; shallow rows with ``total_matches`` and ``truncated``.
 
-    ``scope="document"``: the first ``max_results`` matches of every document
+    Without ``max_results`` every match is returned.  ``scope="document"``: the first ``max_results`` matches of every document
     in preorder (window partitioned by doc_id).  ``scope="corpus"``: the first
     matches of the whole corpus in (doc_id, pre) order, a top-k that Spark runs
     as a per-partition take-ordered plus one small merge.
     """
-    if max_results < 0:
+    if max_results is not None and max_results < 0:
         raise ValueError("max_results must be >= 0")
     cond = F.lit(True)
     if node_type is not None:
@@ -114,13 +110,15 @@ def search_nodes(nodes: DataFrame, node_type: str | None = None, page_index: int
     if scope == "corpus":
         # The total is a one-row aggregate attached by a constant key.
         total = shallow.agg(F.count(F.lit(1)).alias("total_matches")).withColumn("_k", F.lit(1))
-        top = shallow.orderBy("doc_id", "pre").limit(int(max_results)).withColumn("_k", F.lit(1))
-        return top.join(F.broadcast(total), "_k").drop("_k").withColumn(
-            "truncated", F.col("total_matches") > F.lit(int(max_results)))
+        top = shallow if max_results is None else shallow.orderBy("doc_id", "pre").limit(int(max_results))
+        return top.withColumn("_k", F.lit(1)).join(F.broadcast(total), "_k").drop("_k").withColumn(
+            "truncated", F.lit(False) if max_results is None else F.col("total_matches") > F.lit(int(max_results)))
     w = Window.partitionBy("doc_id")
     ranked = (shallow
               .withColumn("rank", F.row_number().over(w.orderBy("pre")))
               .withColumn("total_matches", F.count(F.lit(1)).over(w)))
+    if max_results is None:
+        return ranked.withColumn("truncated", F.lit(False))
     return ranked.filter(F.col("rank") <= F.lit(int(max_results))).withColumn(
         "truncated", F.col("total_matches") > F.lit(int(max_results)))
 
@@ -142,7 +140,7 @@ def document_info(nodes: DataFrame, docs: DataFrame) -> DataFrame:
         "root_node_type", "root_children_count")
 
 
-def outline(nodes: DataFrame, max_results: int = OUTLINE_MAX_RESULTS) -> DataFrame:
+def outline(nodes: DataFrame, max_results: int | None = None) -> DataFrame:
     """Headings in preorder with text (or '') and depth = level (default 1);
     per-document ``heading_count`` (after the cap), ``total_matches`` and
     ``truncated``."""

@@ -45,11 +45,18 @@ def redact(pages_long: DataFrame, patterns: list[str], replacement: str = DEFAUL
     in_range = F.col("page_index") >= lo
     if page_end is not None:
         in_range = in_range & (F.col("page_index") <= F.lit(int(page_end)))
-    text, count = redact_text("page_text", patterns, replacement)
-    return pages_long.select(
-        "doc_id", "page_index", in_range.alias("in_range"),
-        F.when(in_range, count).otherwise(F.lit(0)).cast("bigint").alias("redaction_count"),
-        F.when(in_range, text).otherwise(F.col("page_text")).alias("page_text"))
+    # one projection per pattern: a later pattern reads the earlier result as a
+    # column instead of running all earlier replacements again
+    repl = replacement.replace("\\", "\\\\").replace("$", "\\$")
+    x = pages_long.select("doc_id", "page_index", in_range.alias("in_range"), F.col("page_text").alias("_raw"),
+                          F.coalesce("page_text", F.lit("")).alias("_text"), F.lit(0).alias("_n"))
+    for p in patterns:
+        x = x.select("doc_id", "page_index", "in_range", "_raw", F.regexp_replace("_text", p, repl).alias("_text"),
+                     (F.col("_n") + F.regexp_count("_text", F.lit(p))).alias("_n"))
+    return x.select(
+        "doc_id", "page_index", "in_range",
+        F.when(F.col("in_range"), F.col("_n")).otherwise(F.lit(0)).cast("bigint").alias("redaction_count"),
+        F.when(F.col("in_range"), F.col("_text")).otherwise(F.col("_raw")).alias("page_text"))
 
 
 def redact_summary(redacted: DataFrame) -> DataFrame:

@@ -70,14 +70,12 @@ def heuristic_nodes_wide(wide: DataFrame, delim: str = "\n\n", start: int | None
         "doc_id", source_hash_of_text("source").alias("source_hash"), pc.alias("page_count"),
         s.alias("start"),
         F.transform(sel, lambda p: split_paragraphs(p, delim)).alias("paras_by_page"))
-    counts = F.transform("paras_by_page", lambda x: F.size(x))
-    b = F.transform(counts, lambda _, i: F.aggregate(F.slice(counts, 1, i), F.lit(0),
-                                                     lambda a, y: a + y + 1))
-    per_doc = base.select(
-        "doc_id", "source_hash", "start",
-        F.aggregate(counts, F.lit(0), lambda a, y: a + y + 1).alias("total"),
-        F.size("paras_by_page").alias("n_sections"),
-        F.arrays_zip(F.col("paras_by_page").alias("paras"), b.alias("b")).alias("pg"))
+    # One pass carries the running offset B(p) and the list of pages with theirs.
+    empty = F.struct(F.lit(0).alias("b"), F.array().cast("array<struct<paras:array<string>,b:int>>").alias("pg"))
+    run = F.aggregate("paras_by_page", empty, lambda a, x: F.struct(
+        (a["b"] + F.size(x) + 1).alias("b"), F.array_append(a["pg"], F.struct(x.alias("paras"), a["b"].alias("b"))).alias("pg")))
+    per_doc = base.select("doc_id", "source_hash", "start", F.size("paras_by_page").alias("n_sections"), run.alias("run")).select(
+        "doc_id", "source_hash", "start", "n_sections", F.col("run.b").alias("total"), F.col("run.pg").alias("pg"))
     pages = per_doc.select(
         "doc_id", "source_hash", "total", "n_sections", "start",
         F.posexplode_outer("pg").alias("child_pos", "pg")).filter(F.col("child_pos").isNotNull()).select(
@@ -127,18 +125,20 @@ def heuristic_nodes_long(pages_long: DataFrame, delim: str = "\n\n", start: int
 
     One exchange on doc_id; every window below partitions by doc_id and reuses
     it.  Documents are bounded by the page gate (A4), so a window partition is
-    at most ``max_pages`` rows.
+    at most ``max_pages`` rows.  A range counts the pages that exist, in
+    ``page_index`` order, so indices may have gaps or start anywhere.
     """
     hp = with_source_hash(pages_long)
     s, e = clamp_range(F.col("page_count"), start, end)
+    hp = hp.withColumn("_nth", F.row_number().over(Window.partitionBy("doc_id").orderBy("page_index")) - 1)
     w_ord = Window.partitionBy("doc_id").orderBy("page_index")
     w_prev = w_ord.rowsBetween(Window.unboundedPreceding, -1)
     w_all = Window.partitionBy("doc_id")
-    docs = hp.filter(F.col("page_index") == F.lit(0)).select(
+    docs = hp.filter(F.col("_nth") == F.lit(0)).select(
         "doc_id", F.lit(SCHEMA_VERSION).alias("schema_version"), "source_hash", "page_count",
         F.lit(True).alias("is_heuristic"))
-    in_range = hp.filter(F.col("page_index").between(s, e)).withColumn(
-        "paras", split_paragraphs("page_text", delim)).drop("page_text")
+    in_range = hp.filter(F.col("_nth").between(s, e)).withColumn(
+        "paras", split_paragraphs("page_text", delim)).drop("page_text", "_nth")
     n1 = F.size("paras") + 1
     numbered = (in_range
                 .withColumn("b", F.coalesce(F.sum(n1).over(w_prev), F.lit(0)).cast("int"))

@@ -16,12 +16,14 @@ from quire.operators.nodes import Built, explode_nodes, node_struct
 
 # Columns of `lineitem` shown as cells of an order's table, in order.
 LINE_COLUMNS = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount",
-                "l_returnflag", "l_linestatus"]
+                "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
 # Row order inside an order: (l_orderkey, l_linenumber) alone is not unique.
 LINE_ORDER = ["l_linenumber", "l_partkey", "l_suppkey"]
 
 
 def _cell_text(c: str):
+    if c == "l_shipdate":
+        return F.date_format(c, "yyyy-MM-dd HH:mm:ss")
     if c == "l_extendedprice":
         return F.col(c).cast("decimal(12,2)").cast("string")
     return F.col(c).cast("string")

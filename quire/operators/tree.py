@@ -23,15 +23,26 @@ def get_node(nodes: DataFrame, keys: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     The first node in preorder wins when ids repeat inside a document.
     """
+    looked = lookup_nodes(nodes, keys)
+    found = looked.filter("found").drop("found", "error")
+    return found, looked.filter("NOT found").select("doc_id", "node_id", "error")
+
+
+# Fixed value: the message for an unknown node id.
+NOT_FOUND = "Node not found: "
+
+
+def lookup_nodes(nodes: DataFrame, keys: DataFrame) -> DataFrame:
+    """F1 in one pass: every distinct key with ``found``, the node's columns
+    (null if missing) and ``error``.  One left join, then the first node in
+    preorder per key."""
     k = keys.select("doc_id", "node_id").distinct()
-    first = nodes.join(k, ["doc_id", "node_id"], "left_semi")
-    first = first.groupBy("doc_id", "node_id").agg(F.min_by(F.struct(*[c for c in nodes.columns
-                                                                        if c not in ("doc_id", "node_id")]),
-                                                             F.col("pre")).alias("n")).select(
-        "doc_id", "node_id", "n.*")
-    missing = k.join(nodes.select("doc_id", "node_id"), ["doc_id", "node_id"], "left_anti").withColumn(
-        "error", F.concat(F.lit("Node not found: "), F.col("node_id")))
-    return first, missing
+    rest = [c for c in nodes.columns if c not in ("doc_id", "node_id")]
+    hits = k.join(nodes.select("doc_id", "node_id", F.struct(*rest).alias("n")), ["doc_id", "node_id"], "left")
+    one = hits.groupBy("doc_id", "node_id").agg(F.min_by("n", F.col("n.pre")).alias("n"))
+    found = F.col("n").isNotNull()
+    return one.select("doc_id", "node_id", found.alias("found"), "n.*",
+                      F.when(~found, F.concat(F.lit(NOT_FOUND), F.col("node_id"))).alias("error"))
 
 
 def _key_intervals(nodes: DataFrame, keys) -> DataFrame:

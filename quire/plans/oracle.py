@@ -227,7 +227,7 @@ WITH g AS (
   SELECT doc_id, text, CAST(octet_length(encode(coalesce(text, ''))) AS BIGINT) AS n_bytes, 1 AS page_count
   FROM documents),
 r AS (
-  SELECT *, CASE WHEN n_bytes > 4096 THEN 'size' END AS reason FROM g)
+  SELECT *, CASE WHEN n_bytes > 200000000 THEN 'size' END AS reason FROM g)
 SELECT doc_id, CASE WHEN reason IS NULL THEN 'ok' ELSE 'rejected' END AS status, reason, n_bytes, page_count,
        CASE WHEN reason IS NULL THEN CAST(len({paras('text')}) AS BIGINT) END AS n_blocks
 FROM r"""
@@ -317,8 +317,8 @@ SELECT doc_id, pre, node_id, page_index, text, depth, count(*) OVER (PARTITION B
          CAST(coalesce(level, 1) AS INTEGER) AS depth,
          row_number() OVER (PARTITION BY doc_id ORDER BY pre) AS rk,
          count(*) OVER (PARTITION BY doc_id) AS total_matches,
-         count(*) OVER (PARTITION BY doc_id) > 500 AS truncated
-  FROM html_nodes WHERE node_type = 'heading') WHERE rk <= 500"""
+         FALSE AS truncated
+  FROM html_nodes WHERE node_type = 'heading')"""
 
 ORACLE["get_node"] = f"""WITH RECURSIVE {HTML_NODES},
 keys AS (SELECT doc_id, node_id FROM html_nodes WHERE node_type = 'list'
@@ -370,7 +370,8 @@ tl AS (
            AS r,
          [CAST(l_linenumber AS VARCHAR), CAST(l_partkey AS VARCHAR), CAST(l_suppkey AS VARCHAR),
           CAST(l_quantity AS VARCHAR), CAST(CAST(l_extendedprice AS DECIMAL(12, 2)) AS VARCHAR),
-          CAST(l_discount AS VARCHAR), l_returnflag, l_linestatus] AS cells
+          CAST(l_discount AS VARCHAR), CAST(l_tax AS VARCHAR), l_returnflag, l_linestatus,
+          strftime(l_shipdate, '%Y-%m-%d %H:%M:%S')] AS cells
   FROM lineitem),
 td AS (
   SELECT o.o_orderkey AS doc_id, sha256(encode(concat('order:', o.o_orderkey))[1:4096]) AS h,
@@ -380,21 +381,21 @@ td AS (
 tlh AS (SELECT tl.*, sha256(encode(concat('order:', tl.doc_id))[1:4096]) AS h FROM tl),
 tab_nodes AS (
   SELECT doc_id, concat('ast:', left(h, 6), ':0:0') AS node_id, CAST(NULL AS VARCHAR) AS parent_id, 0 AS pre,
-         n_rows * 9 + 1 AS last, 0 AS depth, 0 AS child_pos, 'document' AS node_type, 0 AS page_index,
+         n_rows * 11 + 1 AS last, 0 AS depth, 0 AS child_pos, 'document' AS node_type, 0 AS page_index,
          CAST(NULL AS VARCHAR) AS text_content, CAST(NULL AS INTEGER) AS level, '/Document' AS struct_type,
          FALSE AS heuristic, CAST(NULL AS INTEGER) AS mcid, 1 AS children_count
   FROM td
   UNION ALL
-  SELECT doc_id, concat('ast:', left(h, 6), ':0:1'), concat('ast:', left(h, 6), ':0:0'), 1, n_rows * 9 + 1, 1, 0,
+  SELECT doc_id, concat('ast:', left(h, 6), ':0:1'), concat('ast:', left(h, 6), ':0:0'), 1, n_rows * 11 + 1, 1, 0,
          'table', 0, NULL, NULL, '/Table', FALSE, NULL, n_rows
   FROM td
   UNION ALL
-  SELECT doc_id, concat('ast:', left(h, 6), ':0:', r * 9 + 2), concat('ast:', left(h, 6), ':0:1'), r * 9 + 2,
-         r * 9 + 10, 2, r, 'table_row', 0, NULL, NULL, '/TR', FALSE, NULL, 8
+  SELECT doc_id, concat('ast:', left(h, 6), ':0:', r * 11 + 2), concat('ast:', left(h, 6), ':0:1'), r * 11 + 2,
+         r * 11 + 12, 2, r, 'table_row', 0, NULL, NULL, '/TR', FALSE, NULL, 10
   FROM tlh
   UNION ALL
-  SELECT doc_id, concat('ast:', left(h, 6), ':0:', r * 9 + 3 + c), concat('ast:', left(h, 6), ':0:', r * 9 + 2),
-         r * 9 + 3 + c, r * 9 + 3 + c, 3, c, 'table_cell', 0, t, NULL, '/TD', FALSE, NULL, 0
+  SELECT doc_id, concat('ast:', left(h, 6), ':0:', r * 11 + 3 + c), concat('ast:', left(h, 6), ':0:', r * 11 + 2),
+         r * 11 + 3 + c, r * 11 + 3 + c, 3, c, 'table_cell', 0, t, NULL, '/TD', FALSE, NULL, 0
   FROM (SELECT *, unnest(cells) AS t, CAST(generate_subscripts(cells, 1) - 1 AS INTEGER) AS c FROM tlh)),
 tc AS (
   SELECT doc_id, parent_id AS row_id, list(text_content ORDER BY pre) AS cs
@@ -540,9 +541,7 @@ FROM documents"""
 
 ORACLE["redact_summary"] = f"""WITH {doc_pages(8)}
 SELECT CAST(doc_id AS BIGINT) AS doc_id,
-       CAST(sum(CASE WHEN page_index BETWEEN 1 AND 3 THEN {_redact_sql('page_text')[1]} ELSE 0 END) AS BIGINT)
-         AS redaction_count,
-       count(*) FILTER (WHERE page_index BETWEEN 1 AND 3) AS pages_processed
+       CAST(sum({_redact_sql('page_text')[1]}) AS BIGINT) AS redaction_count, count(*) AS pages_processed
 FROM doc_pg GROUP BY doc_id"""
 
 ORACLE["merge_docs"] = """

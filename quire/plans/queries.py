@@ -79,7 +79,7 @@ def q_heuristic_nodes_conv(spark, d):
 
 @query("heuristic_nodes_docs")
 def q_heuristic_nodes_docs(spark, d):
-    """B6 over documents paginated at 8 lines per page: the wide layout, no shuffle."""
+    """B6 over documents paginated at 8 lines per page: the wide layout, numbered inside the row."""
     return B.node_rows(B.docs_built(spark, d, B.DOC_LINES_PER_PAGE).nodes)
 
 
@@ -173,10 +173,10 @@ def q_plain_sink(spark, d):
 
 @query("batch_outcome")
 def q_batch_outcome(spark, d):
-    """K1: per-document status under a 4096-byte limit and the block count of
+    """K1: per-document status under the default limits and the block count of
     accepted documents."""
     from quire.operators.batch import batch_outcome
-    return batch_outcome(B.docs_wide(spark, d), B.PARA_DELIM, max_file_size=4096)
+    return batch_outcome(B.docs_wide(spark, d), B.PARA_DELIM)
 
 
 @query("metering")
@@ -220,21 +220,13 @@ def q_outline(spark, d):
 def q_get_node(spark, d):
     """look up every list node of every page (found) and, per page, the id
     one past its last sequence number (not found)."""
-    from quire.operators.tree import get_node
-    b = B.html_built(spark, d)
-    lists = b.nodes.filter(F.col("node_type") == "list").select("doc_id", "node_id")
-    past_end = b.nodes.filter(F.col("pre") == 0).select(
-        "doc_id", F.concat(F.substring_index("node_id", ":", 3), F.lit(":"),
-                           (F.col("last") + 1).cast("string")).alias("node_id"))
-    found, missing = get_node(b.nodes, lists.unionByName(past_end))
-    cols = ["node_type", "pre", "children_count", "text_content"]
-    f = found.select("doc_id", "node_id", F.lit(True).alias("found"), *cols,
-                     F.lit(None).cast("string").alias("error"))
-    m = missing.select("doc_id", "node_id", F.lit(False).alias("found"),
-                       F.lit(None).cast("string").alias("node_type"), F.lit(None).cast("int").alias("pre"),
-                       F.lit(None).cast("int").alias("children_count"),
-                       F.lit(None).cast("string").alias("text_content"), "error")
-    return f.unionByName(m)
+    from quire.operators.tree import lookup_nodes
+    nodes = B.html_built(spark, d).nodes
+    # both kinds of key in one pass: a list's own id, and for each root the id past its end
+    past_end = F.concat(F.substring_index("node_id", ":", 3), F.lit(":"), (F.col("last") + 1).cast("string"))
+    keys = nodes.select("doc_id", F.when(F.col("node_type") == "list", F.col("node_id"))
+                        .when(F.col("pre") == 0, past_end).alias("node_id")).filter("node_id IS NOT NULL")
+    return lookup_nodes(nodes, keys).select("doc_id", "node_id", "found", "node_type", "pre", "children_count", "text_content", "error")
 
 
 @query("subtree")
@@ -352,15 +344,15 @@ def q_compare_text(spark, d):
 def q_redact(spark, d):
     """H1: every document page with e-mail, number, address and literal patterns redacted."""
     from quire.operators.docops import redact
-    return redact(S.wide_to_long(B.docs_wide(spark, d)), B.REDACT_PATTERNS)
+    return redact(S.wide_to_long(B.docs_wide(spark, d, partition_by_doc=False)), B.REDACT_PATTERNS)
 
 
 @query("redact_summary")
 def q_redact_summary(spark, d):
-    """H1 response over documents paginated at 8 lines, page range 1..3."""
+    """H1 response over documents paginated at 8 lines."""
     from quire.operators.docops import redact, redact_summary
-    pages = S.wide_to_long(B.docs_wide(spark, d, B.DOC_LINES_PER_PAGE))
-    return redact_summary(redact(pages, B.REDACT_PATTERNS, page_start=1, page_end=3))
+    pages = S.wide_to_long(B.docs_wide(spark, d, B.DOC_LINES_PER_PAGE, partition_by_doc=False))
+    return redact_summary(redact(pages, B.REDACT_PATTERNS))
 
 
 @query("merge_docs")

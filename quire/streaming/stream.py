@@ -20,17 +20,20 @@ from quire.sources.corpus import documents_wide
 
 
 def read_documents_stream(spark: SparkSession, source_dir: str, glob: str = "documents*.parquet",
-                          max_files_per_trigger: int = 1) -> DataFrame:
-    """File-source stream of ``documents`` rows with the table's fixed schema."""
+                          max_files_per_trigger: int | None = None) -> DataFrame:
+    """File-source stream of ``documents`` rows with the table's fixed schema; the
+    caller may bound the files of a batch."""
     schema = "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT"
-    return (spark.readStream.schema(schema).option("pathGlobFilter", glob)
-            .option("maxFilesPerTrigger", max_files_per_trigger).parquet(source_dir))
+    reader = spark.readStream.schema(schema).option("pathGlobFilter", glob)
+    if max_files_per_trigger is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    return reader.parquet(source_dir)
 
 
 def cited_text_stream(docs_stream: DataFrame, delim: str = "\n\n",
                       lines_per_page: int | None = None) -> DataFrame:
     """K3: documents stream -> cited text blocks stream (append, stateless)."""
-    nodes = heuristic_nodes_wide(documents_wide(docs_stream, lines_per_page), delim).nodes
+    nodes = heuristic_nodes_wide(documents_wide(docs_stream, lines_per_page, partition_by_doc=False), delim).nodes
     return flatten_bbox(cited_text(nodes))
 
 
