@@ -8,8 +8,8 @@ Two builders with the same output:
   *is* preorder, and parent, depth and subtree end all follow from running
   max/min per rank in one window pass: one exchange on doc_id.
 * ``tagged_nodes``: any structure-element table (PDF-like ``/P``, ``/Table`` …)
-  in any row order.  Preorder comes from a recursive walk building the path of
-  sibling positions, then ``row_number`` by path.
+  in any row order.  Preorder comes from the path of
+  sibling positions (pointer doubling), then ``row_number`` by path.
 
 Numbering (reference semantics): ids take a sequence number in preorder from
 0, taken before children; when the tree has several top-level elements (or one
@@ -19,8 +19,6 @@ sequence number but preorder rank 0.
 
 from __future__ import annotations
 
-import itertools
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -28,6 +26,7 @@ from quire.functions.tags import (HTML_HEADING_LEVEL, HTML_LEAF_RANK, HTML_TAG_M
                                   PDF_HEADING_LEVEL, PDF_TAG_MAP, heading_level, literal_map, map_tag)
 from quire.functions.text import SCHEMA_VERSION, node_id, py_strip
 from quire.operators.nodes import Built, explode_nodes, node_struct
+from quire.session import checkpoint_dir
 from quire.sources.html import html_tokens, unescape
 
 _RANKS = range(1, HTML_LEAF_RANK)
@@ -92,7 +91,31 @@ def html_nodes(pages: DataFrame) -> Built:
     return Built(explode_nodes(x, arr), docs)
 
 
-_view_ids = itertools.count()
+def _walk(el: DataFrame) -> DataFrame:
+    """(doc_id, elem_id, depth0, path, anc): sibling positions and ancestors from the root.
+
+    Pointer doubling: every round joins an element's partial path with that of
+    the element above it, so a tree of n levels takes log2 n rounds, each
+    written to the shared checkpoint folder.  Elements that reach no root (a
+    missing parent, a cycle) drop out, as a walk from the roots never meets them.
+    """
+    checkpoint_dir(el.sparkSession)
+    no_ids = F.array().cast("array<bigint>")
+    parent = F.col("parent_elem").cast("bigint")
+    state = el.select("doc_id", F.col("elem_id").cast("bigint").alias("elem_id"), parent.alias("up"), F.array("kid_pos").alias("path"),
+                      F.when(parent.isNull(), no_ids).otherwise(F.array(parent)).alias("anc")).checkpoint()
+    left = state.filter("up IS NOT NULL").count()
+    while left:
+        above = state.select("doc_id", F.col("elem_id").alias("up"), F.col("up").alias("next"), F.col("path").alias("p"),
+                             F.col("anc").alias("a"))
+        moved = state.filter("up IS NOT NULL").join(above, ["doc_id", "up"]).select(
+            "doc_id", "elem_id", F.col("next").alias("up"), F.concat("p", "path").alias("path"), F.concat("a", "anc").alias("anc"))
+        state = state.filter("up IS NULL").unionByName(moved).checkpoint()
+        now = state.filter("up IS NOT NULL").count()
+        if now == left:  # only cycles are left
+            break
+        left = now
+    return state.filter("up IS NULL").select("doc_id", "elem_id", (F.size("path") - 1).alias("depth0"), "path", "anc")
 
 
 def tagged_nodes(elements: DataFrame, docs: DataFrame, page_refs: DataFrame | None = None,
@@ -108,7 +131,6 @@ def tagged_nodes(elements: DataFrame, docs: DataFrame, page_refs: DataFrame | No
     With ``page_level_text`` a leaf's text is its whole page's text
     (``pages(doc_id, page_index, page_text)``), as the reference does for PDFs.
     """
-    spark = elements.sparkSession
     el = elements.filter(F.col("tag").isNotNull())
     if page_refs is not None:
         pr = page_refs.select("doc_id", "page_ref", F.col("page_index").alias("_pidx"))
@@ -116,20 +138,7 @@ def tagged_nodes(elements: DataFrame, docs: DataFrame, page_refs: DataFrame | No
     else:
         el = el.withColumn("_pidx", F.lit(None).cast("int"))
     el = el.withColumn("page_index", F.coalesce("_pidx", F.lit(0)).cast("int")).drop("_pidx")
-    view = f"quire_elements_{next(_view_ids)}"
-    el.createOrReplaceTempView(view)
-    # The walk's output is one row per element; lift the default row cap.
-    if spark.conf.get("spark.sql.cteRecursionRowLimit", "1000000") == "1000000":
-        spark.conf.set("spark.sql.cteRecursionRowLimit", "-1")
-    walk = spark.sql(f"""
-        WITH RECURSIVE walk(doc_id, elem_id, depth0, path, anc) AS (
-          SELECT doc_id, elem_id, 0, array(kid_pos), CAST(array() AS ARRAY<BIGINT>)
-          FROM {view} WHERE parent_elem IS NULL
-          UNION ALL
-          SELECT e.doc_id, e.elem_id, w.depth0 + 1, concat(w.path, array(e.kid_pos)),
-                 concat(w.anc, array(w.elem_id))
-          FROM {view} e JOIN walk w ON e.doc_id = w.doc_id AND e.parent_elem = w.elem_id)
-        SELECT * FROM walk""")
+    walk = _walk(el)
     x = walk.join(el, ["doc_id", "elem_id"])
     wd = Window.partitionBy("doc_id")
     x = (x.withColumn("node_type", map_tag("tag", tag_map))

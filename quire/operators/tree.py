@@ -12,9 +12,13 @@ two partial buckets.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from typing import NamedTuple
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quire.session import checkpoint_dir
+
 DEFAULT_BUCKET = 1024
 
 
@@ -88,72 +92,84 @@ def ancestors(nodes: DataFrame, keys, bucket: int = DEFAULT_BUCKET) -> DataFrame
 
 # -- A11/A12: nested JSON -----------------------------------------------------------
 
-_JSON_FIELDS = ["node_id", "node_type", "page_index", "text_content", "level", "struct_type", "heuristic", "mcid"]
-
-
 def nodes_to_json(nodes: DataFrame, docs: DataFrame) -> DataFrame:
-    """One nested JSON document per ``doc_id``, built bottom-up.
+    """One nested JSON document ``(doc_id, json)`` per document, in one ordered pass.
 
-    Level by level from the deepest: each node's JSON is its own fields plus
-    a ``children`` array of its children's JSON in sibling order, grouped by
-    parent.  One aggregation per tree level (a small, data-dependent count
-    read from the data once).  A document's JSON is one row, so this sink is
-    for documents the admission gate has bounded.
+    In preorder a node opens its own object and its ``children`` list; after a
+    node as many levels close as the depth falls to the next node.  So the
+    document is its nodes' pieces joined in order.  A document's JSON is one
+    row: this sink is for documents the admission gate has bounded.
     """
-    own = nodes.select("doc_id", "node_id", "parent_id", "depth", "child_pos",
-                       F.to_json(F.struct(*[F.col(c).alias(c) for c in _JSON_FIELDS]),
-                                 {"ignoreNullFields": "false"}).alias("own"))
-    max_depth = nodes.agg(F.max("depth")).first()[0]
-    done = None  # (doc_id, node_id, json) of the level below
-    for d in range(int(max_depth or 0), -1, -1):
-        lvl = own.filter(F.col("depth") == d)
-        if done is not None:
-            kids = done.groupBy("doc_id", "parent_id").agg(
-                F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("child_pos", "json"))),
-                                         lambda s: s["json"]), ",").alias("kids"))
-            lvl = lvl.join(kids.withColumnRenamed("parent_id", "node_id"), ["doc_id", "node_id"], "left")
-        else:
-            lvl = lvl.withColumn("kids", F.lit(None).cast("string"))
-        lvl = lvl.select("doc_id", "node_id", "parent_id", "child_pos",
-                         F.concat(F.expr("substring(own, 1, length(own) - 1)"), F.lit(',"children":['),
-                                  F.coalesce("kids", F.lit("")), F.lit("]}")).alias("json"))
-        done = lvl
-    root = done.select("doc_id", F.col("json").alias("root"))
-    header = F.to_json(F.struct(F.col("schema_version").alias("schemaVersion"),
-                                F.col("source_hash").alias("sourceHash"),
+    after = F.lead("depth").over(Window.partitionBy("doc_id").orderBy("pre"))
+    plain = F.to_json(F.struct(F.col("node_id").alias("id"), F.col("node_type").alias("type"), "page_index", "bbox", "text_content",
+                               F.lit(None).cast("int").alias("pdf_object_number"), "mcid"), {"ignoreNullFields": "false"})
+    attributes = F.to_json(F.struct("level", "struct_type", F.when(F.col("heuristic"), True).alias("heuristic")))
+    opened = nodes.select("doc_id", "pre", plain.alias("own"), attributes.alias("attributes"), "child_pos", "depth", after.alias("after"))
+    closing = F.when(F.col("after").isNull(), F.col("depth") + 1).otherwise(F.col("depth") - F.col("after") + 1)
+    piece = F.concat(F.when((F.col("child_pos") > 0) & (F.col("depth") > 0), ",").otherwise(""),
+                     F.expr("substring(own, 1, length(own) - 1)"), F.lit(',"attributes":'), "attributes", F.lit(',"children":['),
+                     F.expr("repeat(']}', k)"))
+    pieces = opened.withColumn("k", closing).select("doc_id", F.struct("pre", piece.alias("piece")).alias("p"))
+    root = pieces.groupBy("doc_id").agg(
+        F.array_join(F.transform(F.sort_array(F.collect_list("p")), lambda x: x["piece"]), "").alias("root"))
+    header = F.to_json(F.struct(F.col("schema_version").alias("schemaVersion"), F.col("source_hash").alias("sourceHash"),
                                 F.col("page_count").alias("pageCount")))
-    j = docs.join(root, "doc_id").withColumn("_h", header)
-    return j.select("doc_id", F.concat(F.expr("substring(_h, 1, length(_h) - 1)"), F.lit(',"root":'),
-                                       F.col("root"), F.lit("}")).alias("json"))
+    return docs.join(root, "doc_id").withColumn("_h", header).select(
+        "doc_id", F.concat(F.expr("substring(_h, 1, length(_h) - 1)"), F.lit(',"root":'), "root", F.lit("}")).alias("json"))
+
+
+class Parsed(NamedTuple):
+    """Result of ``nodes_from_json``: flat nodes, headers, and documents that are no valid tree."""
+
+    nodes: DataFrame
+    docs: DataFrame
+    rejected: DataFrame
 
 
-def nodes_from_json(docs_json: DataFrame, max_depth: int = 32) -> DataFrame:
-    """Nested JSON documents -> flat node rows with parent links.
+def nodes_from_json(docs_json: DataFrame) -> Parsed:
+    """Nested JSON documents -> node rows with parent links, headers and rejected documents.
 
-    Parses with ``parse_json`` (VARIANT) and descends one level per step with
-    ``posexplode`` of ``children`` as ``ARRAY<VARIANT>``; ``max_depth`` bounds the steps.
-    Output: ``doc_id, node_id, parent_id, depth, child_pos`` plus the node
-    fields; renumber with the tree builders if preorder ranks are needed.
+    The header is read by alias or field name.  Each level of children is
+    exploded and written to the shared checkpoint folder until no node has
+    any, however deep the trees are.  A document that does not parse, lacks a
+    header field, or has a node without id, type or page index is rejected as a
+    whole, with its ``reason``.
     """
-    v = docs_json.select("doc_id", F.parse_json("json").alias("v"))
-    level = v.select("doc_id", F.expr("variant_get(v, '$.root')").alias("n"),
-                     F.lit(None).cast("string").alias("parent_id"), F.lit(0).alias("depth"),
-                     F.lit(0).alias("child_pos"))
-    out = []
-    for d in range(max_depth + 1):
-        out.append(level)
-        if d == max_depth:
+    checkpoint_dir(docs_json.sparkSession)
+
+    def get(path: str, kind: str, of: str = "n") -> Column:
+        return F.expr(f"try_variant_get({of}, '$.{path}', '{kind}')")
+
+    def either(alias: str, name: str, kind: str) -> Column:
+        return F.coalesce(get(alias, kind, "v"), get(name, kind, "v"))
+
+    v = docs_json.select("doc_id", F.try_parse_json("json").alias("v")).select(
+        "doc_id", F.col("v").isNull().alias("broken"), either("schemaVersion", "schema_version", "string").alias("schema_version"),
+        either("sourceHash", "source_hash", "string").alias("source_hash"), either("pageCount", "page_count", "int").alias("page_count"),
+        F.expr("try_variant_get(v, '$.root', 'variant')").alias("n")).checkpoint()
+    level = v.select("doc_id", "n", F.lit(None).cast("string").alias("parent_id"), F.lit(0).alias("depth"), F.lit(0).alias("child_pos"))
+    nodes = None
+    depth = 0
+    while True:
+        rows = level.select("doc_id", "parent_id", "depth", "child_pos", get("id", "string").alias("node_id"),
+                            get("type", "string").alias("node_type"), get("page_index", "int").alias("page_index"),
+                            get("text_content", "string").alias("text_content"), get("attributes.level", "int").alias("level"),
+                            get("attributes.struct_type", "string").alias("struct_type"),
+                            F.coalesce(get("attributes.heuristic", "boolean"), F.lit(False)).alias("heuristic"),
+                            get("mcid", "int").alias("mcid"),
+                            get("bbox", "struct<x:double,y:double,width:double,height:double>").alias("bbox"))
+        nodes = rows if nodes is None else nodes.unionByName(rows)
+        depth += 1
+        level = level.select("doc_id", get("id", "string").alias("parent_id"), F.lit(depth).alias("depth"),
+                             F.posexplode(F.expr("try_variant_get(n, '$.children', 'array<variant>')")).alias("child_pos", "n")).select(
+            "doc_id", "n", "parent_id", "depth", "child_pos").checkpoint()
+        if level.isEmpty():
             break
-        level = level.select("doc_id", F.expr("variant_get(n, '$.node_id', 'string')").alias("parent_id"),
-                             F.lit(d + 1).alias("depth"),
-                             F.posexplode_outer(F.expr("variant_get(n, '$.children', 'array<variant>')"))
-                             .alias("child_pos", "n")).filter(F.col("child_pos").isNotNull()).select(
-            "doc_id", "n", "parent_id", "depth", "child_pos")
-    allv = out[0]
-    for x in out[1:]:
-        allv = allv.unionByName(x)
-    fields = [F.expr(f"variant_get(n, '$.{f}', '{t}')").alias(f) for f, t in
-              (("node_id", "string"), ("node_type", "string"), ("page_index", "int"),
-               ("text_content", "string"), ("level", "int"), ("struct_type", "string"),
-               ("heuristic", "boolean"), ("mcid", "int"))]
-    return allv.select("doc_id", "parent_id", "depth", "child_pos", *fields)
+    bad = nodes.filter("node_id IS NULL OR node_type IS NULL OR page_index IS NULL").select("doc_id").distinct().withColumn("_bad", F.lit(True))
+    headless = F.col("schema_version").isNull() | F.col("source_hash").isNull() | F.col("page_count").isNull()
+    judged = v.join(bad, "doc_id", "left").select(
+        "doc_id", "schema_version", "source_hash", "page_count",
+        F.when(F.col("broken"), "json").when(headless, "header").when(F.col("_bad"), "node").alias("reason"))
+    good = judged.filter("reason IS NULL").select("doc_id")
+    return Parsed(nodes.join(good, "doc_id", "left_semi"), judged.filter("reason IS NULL").drop("reason"),
+                  judged.filter("reason IS NOT NULL").select("doc_id", "reason"))

@@ -91,3 +91,47 @@ def conv_sides(spark: SparkSession, sf_dir: str):
         "pair", F.coalesce("original_page_count", F.lit(0)).alias("original_page_count"),
         F.coalesce("modified_page_count", F.lit(0)).alias("modified_page_count"))
     return nodes, pairs
+
+
+def order_elements(spark: SparkSession, sf_dir: str):
+    """Structure elements derived from orders and lines, in no particular row order.
+
+    An order is a ``/Document`` root (every seventh: two ``/Sect`` roots
+    instead) whose kids are its lines, tagged in turn ``/H2 /P /Span /Note
+    /LI`` (``/Note`` is in no map); a line holds one ``/P`` leaf with its ship
+    mode flags as text, a marked-content id that is no integer for every third
+    line, and a page reference of which the fourth is unknown.  In two-root
+    orders odd lines hang under the first root, even ones under the second.
+    Returns (elements, docs, page_refs, pages).
+    """
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    from quire.functions.text import source_hash_of_text
+    o = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("doc_id"))
+    w = Window.partitionBy("doc_id").orderBy("l_linenumber", "l_partkey", "l_suppkey")
+    li = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("doc_id"), "l_linenumber", "l_partkey", "l_suppkey",
+                                                 "l_returnflag", "l_linestatus").withColumn("r", F.row_number().over(w))
+    none, two = F.lit(None), F.col("doc_id") % 7 == 0
+    tags = F.array(*[F.lit(t) for t in ("/H2", "/P", "/Span", "/Note", "/LI")])
+    ref = F.pmod("l_partkey", F.lit(4)).cast("bigint")
+    cols = ["doc_id", "elem_id", "parent_elem", "kid_pos", "tag", "page_ref", "kid", "text"]
+    roots = o.select("doc_id", F.explode(F.when(two, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("k")).select(
+        "doc_id", F.col("k").cast("bigint").alias("elem_id"), none.cast("bigint").alias("parent_elem"), F.col("k").alias("kid_pos"),
+        F.when(two, "/Sect").otherwise("/Document").alias("tag"), none.cast("bigint").alias("page_ref"),
+        none.cast("string").alias("kid"), none.cast("string").alias("text"))
+    line_id = (F.col("r") * 2).cast("bigint")
+    lines = li.select("doc_id", line_id.alias("elem_id"), F.when(two, (F.col("r") - 1) % 2).otherwise(0).cast("bigint").alias("parent_elem"),
+                      F.col("r").alias("kid_pos"), F.element_at(tags, (F.col("r") % 5 + 1).cast("int")).alias("tag"),
+                      ref.alias("page_ref"), none.cast("string").alias("kid"), none.cast("string").alias("text"))
+    leaves = li.select("doc_id", (line_id + 1).alias("elem_id"), line_id.alias("parent_elem"), F.lit(0).alias("kid_pos"), F.lit("/P").alias("tag"),
+                       ref.alias("page_ref"), F.when(F.col("r") % 3 == 0, F.concat(F.lit("m"), F.col("r"))).otherwise(F.col("r").cast("string")).alias("kid"),
+                       F.concat(F.lit("  "), "l_returnflag", F.lit(" "), "l_linestatus", F.lit("\t")).alias("text"))
+    elements = roots.select(*cols).unionByName(lines.select(*cols)).unionByName(leaves.select(*cols))
+    docs = o.select("doc_id", source_hash_of_text(F.concat(F.lit("order:"), F.col("doc_id").cast("string"))).alias("source_hash"),
+                    F.lit(3).alias("page_count"))
+    refs = o.select("doc_id", F.explode(F.array(*[F.lit(k) for k in range(3)])).alias("k")).select(
+        "doc_id", F.col("k").cast("bigint").alias("page_ref"), (2 - F.col("k")).alias("page_index"))
+    pages = refs.select("doc_id", "page_index", F.concat(F.lit(" page "), F.col("page_index").cast("string"), F.lit(" of "),
+                                                         F.col("doc_id").cast("string")).alias("page_text"))
+    return elements, docs, refs, pages

@@ -719,3 +719,62 @@ SELECT CAST(doc_id AS BIGINT) AS doc_id, CAST(pre AS INTEGER) AS pre, node_id, n
        heuristic, CAST(children_count AS INTEGER) AS children_count,
        (SELECT count(*) FROM m) AS total_matches, (SELECT count(*) FROM m) > 10 AS truncated
 FROM m ORDER BY doc_id, pre LIMIT 10"""
+
+
+# -- structure trees ------------------------------------------------------------------
+# Orders as element trees: the preorder numbers follow from the line counts.
+
+WALK_NODES = """
+wl AS (
+  SELECT l_orderkey AS doc_id, l_partkey, l_returnflag, l_linestatus,
+         row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS r
+  FROM lineitem),
+wd AS (
+  SELECT o_orderkey AS doc_id, left(sha256(encode(concat('order:', o_orderkey))), 6) AS h, o_orderkey % 7 = 0 AS two,
+         coalesce(n, 0) AS n, (coalesce(n, 0) + 1) // 2 AS n_odd
+  FROM orders LEFT JOIN (SELECT doc_id AS k, count(*) AS n FROM wl GROUP BY doc_id) ON k = o_orderkey),
+wr AS (
+  SELECT wd.*, wl.r, wl.l_returnflag, wl.l_linestatus,
+         CASE l_partkey % 4 WHEN 0 THEN 2 WHEN 1 THEN 1 ELSE 0 END AS page,
+         CASE WHEN NOT two THEN 2 * r - 1 WHEN r % 2 = 1 THEN r ELSE 2 * n_odd + r END AS seq,
+         CASE WHEN two AND r % 2 = 0 THEN 2 * n_odd + 1 ELSE 0 END AS root_seq,
+         CASE WHEN two THEN (r - 1) // 2 ELSE r - 1 END AS line_pos,
+         ['/P', '/Span', '/Note', '/LI', '/H2'][((r - 1) % 5) + 1] AS tag
+  FROM wd JOIN wl ON wd.doc_id = wl.doc_id),
+walk_nodes AS (
+  SELECT doc_id, concat('ast:', h, ':0:', CASE WHEN two THEN 2 * n + 2 ELSE 0 END) AS node_id, CAST(NULL AS VARCHAR) AS parent_id,
+         0 AS pre, CASE WHEN two THEN 2 * n + 2 ELSE 2 * n END AS last, 0 AS depth, 0 AS child_pos, 'document' AS node_type,
+         0 AS page_index, CAST(NULL AS VARCHAR) AS text_content, CAST(NULL AS INTEGER) AS level,
+         CASE WHEN two THEN NULL ELSE '/Document' END AS struct_type, FALSE AS heuristic, CAST(NULL AS INTEGER) AS mcid,
+         CASE WHEN two THEN 2 ELSE n END AS children_count
+  FROM wd
+  UNION ALL
+  SELECT doc_id, concat('ast:', h, ':0:0'), concat('ast:', h, ':0:', 2 * n + 2), 1, 1 + 2 * n_odd, 1, 0, 'section', 0, NULL, NULL,
+         '/Sect', FALSE, NULL, n_odd FROM wd WHERE two
+  UNION ALL
+  SELECT doc_id, concat('ast:', h, ':0:', 2 * n_odd + 1), concat('ast:', h, ':0:', 2 * n + 2), 2 * n_odd + 2, 2 * n + 2, 1, 1,
+         'section', 0, NULL, NULL, '/Sect', FALSE, NULL, n - n_odd FROM wd WHERE two
+  UNION ALL
+  SELECT doc_id, concat('ast:', h, ':', page, ':', seq), concat('ast:', h, ':0:', root_seq), seq + two::INT, seq + 1 + two::INT,
+         1 + two::INT, line_pos,
+         CASE tag WHEN '/H2' THEN 'heading' WHEN '/P' THEN 'paragraph' WHEN '/LI' THEN 'list_item' ELSE 'artifact' END,
+         page, NULL, CASE WHEN tag = '/H2' THEN 2 END, tag, FALSE, NULL, 1 FROM wr
+  UNION ALL
+  SELECT doc_id, concat('ast:', h, ':', page, ':', seq + 1), concat('ast:', h, ':', page, ':', seq), seq + 1 + two::INT,
+         seq + 1 + two::INT, 2 + two::INT, 0, 'paragraph', page, concat(l_returnflag, ' ', l_linestatus), NULL, '/P', FALSE,
+         CASE WHEN r % 3 <> 0 THEN CAST(r AS INTEGER) END, 0 FROM wr)"""
+
+ORACLE["tagged_walk"] = f"WITH {WALK_NODES}\n{node_select('walk_nodes')}"
+ORACLE["page_level_text"] = f"""WITH {WALK_NODES}
+SELECT CAST(doc_id AS BIGINT) AS doc_id, node_id, page_index, concat('page ', page_index, ' of ', doc_id) AS text_content
+FROM walk_nodes WHERE children_count = 0"""
+ORACLE["route_mixed"] = f"""WITH {CONV_PAGES},{heuristic_nodes('conv_pg', 'conv', 1, 2)},{WALK_NODES}
+SELECT CASE WHEN heuristic THEN 0.5 ELSE 1.0 END AS confidence, node_type, page_index, count(*) AS n_nodes, count(mcid) AS n_mcid
+FROM (SELECT heuristic, node_type, page_index, mcid FROM conv_nodes UNION ALL
+      SELECT heuristic, node_type, page_index, mcid FROM walk_nodes) GROUP BY ALL"""
+
+ORACLE["ast_json_headers"] = f"""WITH RECURSIVE {HTML_NODES}
+SELECT CAST(doc_id AS BIGINT) AS doc_id, CASE WHEN doc_id % 10 <> 0 THEN '1.0' END AS schema_version,
+       CASE WHEN doc_id % 10 <> 0 THEN source_hash END AS source_hash,
+       CASE WHEN doc_id % 10 <> 0 THEN 1 END AS page_count, CASE WHEN doc_id % 10 = 0 THEN 'json' END AS reason
+FROM hp"""

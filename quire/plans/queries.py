@@ -252,7 +252,7 @@ def q_ast_json_roundtrip(spark, d):
     from quire.operators.tree import nodes_from_json, nodes_to_json
     b = B.conv_built(spark, d)
     js = nodes_to_json(b.nodes, b.docs)
-    return nodes_from_json(js, max_depth=2)
+    return nodes_from_json(js).nodes.drop("bbox")
 
 
 # -- E: tables --------------------------------------------------------------------
@@ -486,3 +486,47 @@ def q_search_corpus(spark, d):
     (doc_id, pre) order over all documents, with the corpus-wide total."""
     return C.search_nodes(B.docs_built(spark, d).nodes, node_type="paragraph", text_query="the",
                           max_results=10, scope="corpus")
+
+
+@query("ast_json_headers")
+def q_ast_json_headers(spark, d):
+    """Headers of the HTML trees after the round trip, and damaged documents (every
+    tenth JSON is cut short) with the reason they are refused for."""
+    from quire.operators.tree import nodes_from_json, nodes_to_json
+    b = B.html_built(spark, d)
+    js = nodes_to_json(b.nodes, b.docs)
+    cut_short = F.expr("substring(json, 1, length(json) - 1)")
+    back = nodes_from_json(js.withColumn("json", F.when(F.col("doc_id") % 10 == 0, cut_short).otherwise(F.col("json"))))
+    return back.docs.withColumn("reason", F.lit(None).cast("string")).unionByName(back.rejected, allowMissingColumns=True)
+
+
+# -- B9-B14: structure trees --------------------------------------------------------
+
+def _walked(spark, d, **kw):
+    from quire.operators.tagged import tagged_nodes
+    elements, docs, refs, pages = B.order_elements(spark, d)
+    return tagged_nodes(elements, docs, refs, pages, **kw)
+
+
+@query("tagged_walk")
+def q_tagged_walk(spark, d):
+    """The element walk with page references, MCIDs, unknown tags and one or two roots."""
+    return B.node_rows(_walked(spark, d).nodes)
+
+
+@query("page_level_text")
+def q_page_level_text(spark, d):
+    """B11 as in PDFs: a leaf's text is its whole page's text."""
+    return _walked(spark, d, page_level_text=True).nodes.filter("text_content IS NOT NULL").select(
+        "doc_id", "node_id", "page_index", "text_content")
+
+
+@query("route_mixed")
+def q_route_mixed(spark, d):
+    """Conversations (heuristic, pages 1..2) and orders (tagged, where the page
+    range does not apply) through one routing, with their confidence."""
+    from quire.operators.nodes import confidence
+    from quire.operators.tagged import route
+    both = route(B.conv_built(spark, d, 1, 2), _walked(spark, d))
+    return both.nodes.groupBy(confidence("heuristic").alias("confidence"), "node_type", "page_index").agg(
+        F.count(F.lit(1)).alias("n_nodes"), F.count("mcid").alias("n_mcid"))

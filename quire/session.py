@@ -6,6 +6,7 @@ import os
 import re
 import tempfile
 
+from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
 # Settings every job here relies on.  AQE coalesces the many small shuffle
@@ -18,8 +19,6 @@ _DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
-    # The generic tree walk (WITH RECURSIVE) emits one row per element.
-    "spark.sql.cteRecursionRowLimit": "-1",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
@@ -34,12 +33,14 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     active = SparkSession.getActiveSession()
     if active is not None:
         return active
+    given = SparkConf()  # what spark-submit passes; a master there means a cluster
     builder = SparkSession.builder.appName(app_name)
-    builder = builder.master(master or os.environ.get("QUIRE_MASTER", "local[8]"))
     conf = dict(_DEFAULTS)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions or 8)
-    conf["spark.driver.memory"] = os.environ.get("QUIRE_DRIVER_MEMORY", "16g")
-    conf.update(extra or {})
+    if not given.contains("spark.master"):
+        builder = builder.master(master or os.environ.get("QUIRE_MASTER", "local[8]"))
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions or 8)
+        conf["spark.driver.memory"] = os.environ.get("QUIRE_DRIVER_MEMORY", "16g")
+    conf = {k: v for k, v in conf.items() if not given.contains(k)} | (extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()

@@ -1,10 +1,9 @@
-"""Driver contract, streaming, sinks and the extractor hook."""
+"""Driver contract, streaming and sinks."""
 
 import json
 import os
 import tempfile
 
-from pyspark.sql import functions as F
 
 from tests.conftest import SF_SMOKE, rows
 
@@ -18,10 +17,10 @@ def test_entry_smoke(spark):
 
 def test_every_query_has_an_oracle():
     import __spark_entry__ as E
-    q, o = E.queries(), E.oracle_sql()
-    assert set(q) == set(o), set(q) ^ set(o)
-    bad = [k for k in q if "pipeline" in k or k.startswith("op")]
-    assert not bad
+    from quire.plans.oracle import ORACLE
+    from quire.plans.queries import QUERIES
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(E.queries()) and set(ORACLE) <= set(E.oracle_sql()) <= set(E.queries())
 
 
 def test_streaming_matches_batch(spark):
@@ -53,32 +52,3 @@ def test_markdown_entry(spark):
                                    "node_id STRING, confidence DOUBLE")
     md = rows(markdown_documents(blocks))[0]["content"]
     assert md == "[p2] (paragraph) hello  \n  _cite: ast:x:2:1 conf=12%_\n"
-
-
-def test_extractor_hook_feeds_tagged_walk(spark):
-    from quire.operators.extract import parse_elements
-    from quire.operators.tagged import tagged_nodes
-
-    def parser(doc_id, content):
-        tree = json.loads(content.decode())
-        out, counter = [], [0]
-
-        def walk(n, parent, pos):
-            eid = counter[0]
-            counter[0] += 1
-            out.append({"elem_id": eid, "parent_elem": parent, "kid_pos": pos, "tag": n["tag"],
-                        "text": n.get("text")})
-            for i, k in enumerate(n.get("kids", [])):
-                walk(k, eid, i)
-        walk(tree, None, 0)
-        return out
-
-    doc = {"tag": "/Document", "kids": [{"tag": "/H1", "text": "T"}, {"tag": "/P", "text": "body"}]}
-    src = spark.createDataFrame([(1, bytearray(json.dumps(doc).encode())), (2, bytearray(b"not json"))],
-                                "doc_id BIGINT, content BINARY")
-    el = parse_elements(src, parser)
-    assert el.count() == 3
-    docs = spark.createDataFrame([(1, "ab" * 32, 1)], "doc_id BIGINT, source_hash STRING, page_count INT")
-    got = rows(tagged_nodes(el, docs).nodes, ["pre"])
-    assert [r["node_type"] for r in got] == ["document", "heading", "paragraph"]
-    assert F is not None

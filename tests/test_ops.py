@@ -245,7 +245,7 @@ def test_get_node_missing(spark):
 
 def test_json_round_trip(spark):
     b = heuristic_nodes_long(pages_df(spark, {1: ["a\n\nb", "c"]}))
-    back = tree.nodes_from_json(tree.nodes_to_json(b.nodes, b.docs), max_depth=2)
+    back = tree.nodes_from_json(tree.nodes_to_json(b.nodes, b.docs)).nodes
     cols = ["node_id", "parent_id", "depth", "child_pos", "node_type", "text_content"]
     assert back.select(*cols).exceptAll(b.nodes.select(*cols)).count() == 0
     assert back.count() == b.nodes.count()
