@@ -43,33 +43,32 @@ def check_accessibility(nodes: DataFrame) -> DataFrame:
     """Findings ``(doc_id, rule_id, severity, page_index, node_id,
     description, wcag_criteria)``.
 
-    One pass over ``nodes`` with windows partitioned by doc_id (no self-join,
-    no per-rule branch):
+    Only the node types that some rule reads enter, their text as a flag, so
+    cells and paragraphs never reach the windows (all partitioned by doc_id):
 
     * heading level skip: the level of the previous heading in preorder is a
       running ``last(..., ignorenulls)`` over the rows before;
     * no headings: a per-document count, reported on the root row;
-    * containers without items: siblings share (doc_id, parent_id), so a
-      sibling window tells whether any direct child is a row / list item, and
-      in preorder a node's first child is the next row, which hands that flag
-      to the parent through ``lead``.
+    * containers without items: rows and items carry their parent's id as key,
+      containers their own, so one window per key tells what a container holds.
     """
     w = Window.partitionBy("doc_id").orderBy("pre")
     is_head = F.col("node_type") == "heading"
-    lvl = F.coalesce(F.col("level"), F.lit(1))
-    no_text = F.col("text_content").isNull() | (F.length("text_content") == 0)
-    sib = Window.partitionBy("doc_id", "parent_id")
-    x = nodes.select("doc_id", "node_id", "parent_id", "pre", "node_type", "page_index", "level", "text_content")
-    x = (x.withColumn("prev_level", F.last(F.when(is_head, lvl), ignorenulls=True).over(
+    no_text = F.col("no_text")
+    child = F.col("node_type").isin("table_row", "list_item")
+    read = F.col("node_type").isin("heading", "figure", "table", "list", "table_row", "list_item") | (F.col("pre") == 0)
+    x = nodes.filter(read).select(
+        "doc_id", "node_id", "pre", "node_type", "page_index", F.coalesce("level", F.lit(1)).alias("lvl"),
+        (F.col("text_content").isNull() | (F.length("text_content") == 0)).alias("no_text"),
+        F.when(child, F.col("parent_id")).otherwise(F.col("node_id")).alias("key"))
+    held = Window.partitionBy("doc_id", "key")
+    x = (x.withColumn("prev_level", F.last(F.when(is_head, F.col("lvl")), ignorenulls=True).over(
             w.rowsBetween(Window.unboundedPreceding, -1)))
          .withColumn("doc_heads", F.count_if(is_head).over(Window.partitionBy("doc_id")))
-         .withColumn("sib_row", F.max((F.col("node_type") == "table_row").cast("int")).over(sib))
-         .withColumn("sib_item", F.max((F.col("node_type") == "list_item").cast("int")).over(sib)))
-    first_child = F.lead("parent_id").over(w) == F.col("node_id")
-    x = (x.withColumn("has_row", first_child & (F.lead("sib_row").over(w) == 1))
-         .withColumn("has_item", first_child & (F.lead("sib_item").over(w) == 1)))
+         .withColumn("has_row", F.max(F.col("node_type") == "table_row").over(held))
+         .withColumn("has_item", F.max(F.col("node_type") == "list_item").over(held)))
     rules = F.array(
-        F.when(is_head & (lvl > F.coalesce(F.col("prev_level"), F.lit(0)) + 1), F.lit("heading-level-skip")),
+        F.when(is_head & (F.col("lvl") > F.coalesce(F.col("prev_level"), F.lit(0)) + 1), F.lit("heading-level-skip")),
         F.when(is_head & no_text, F.lit("empty-heading")),
         F.when((F.col("node_type") == "figure") & no_text, F.lit("figure-no-text")),
         F.when((F.col("pre") == 0) & (F.col("doc_heads") == 0), F.lit("no-headings")),
@@ -90,14 +89,36 @@ def check_accessibility(nodes: DataFrame) -> DataFrame:
                       F.try_element_at(wcag, F.col("rule_id")).alias("wcag_criteria"))
 
 
-def accessibility_summary(findings: DataFrame, docs: DataFrame) -> DataFrame:
-    """I1 response per document: ``issue_count`` and ``passed``."""
+def accessibility_summary(findings: DataFrame, docs: DataFrame, conformance_target: str = "PDF/UA-1") -> DataFrame:
+    """I1 response per document: ``conformance_target``, ``issue_count`` and ``passed``."""
     c = findings.groupBy("doc_id").agg(F.count(F.lit(1)).alias("issue_count"))
     return docs.select("doc_id").join(c, "doc_id", "left").select(
-        "doc_id", F.coalesce("issue_count", F.lit(0)).cast("bigint").alias("issue_count"),
+        "doc_id", F.lit(conformance_target).alias("conformance_target"),
+        F.coalesce("issue_count", F.lit(0)).cast("bigint").alias("issue_count"),
         (F.coalesce("issue_count", F.lit(0)) == 0).alias("passed"))
 
 
+def compliance_violations(findings: DataFrame, standards: list[str]) -> DataFrame:
+    """One row per finding and requested standard that it violates."""
+    unknown = [s for s in standards if s not in STANDARD_RULES]
+    if unknown:
+        raise ValueError(f"unknown standards: {', '.join(unknown)}")
+    rules = F.create_map(*[x for r in ACCESSIBILITY_RULES for x in (
+        F.lit(r), F.array(*[F.lit(s) for s in standards if r in STANDARD_RULES[s]]).cast("array<string>"))])
+    return findings.select("doc_id", F.explode(F.element_at(rules, F.col("rule_id"))).alias("standard"), "rule_id", "severity",
+                           "page_index", "node_id", "description")
+
+
+def forensic_report(pages: DataFrame) -> DataFrame:
+    """I3 response rows: ``finding_id`` (document and category), ``checks`` run, ``description`` and ``evidence``
+    next to the columns of ``forensic_scan``."""
+    checks = F.array(*[F.lit(c) for c in FORENSIC_CHECKS])
+    return forensic_scan(pages).select(
+        F.concat_ws(":", F.col("doc_id").cast("string"), "category").alias("finding_id"), "doc_id", "category", "severity",
+        F.concat(F.col("evidence_count").cast("string"), F.lit(" markers of "), F.col("category")).alias("description"),
+        F.create_map(F.lit("count"), F.col("evidence_count").cast("string")).alias("evidence"), checks.alias("checks"), "risk_score")
+
+
 def compliance_check(findings: DataFrame, docs: DataFrame, standards: list[str] | None = None) -> DataFrame:
     """Violations per (document, standard); ``passed`` when none.
 

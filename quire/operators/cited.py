@@ -167,6 +167,16 @@ def plain_text(pages_long: DataFrame, page_index: int | None = None, sep: str =
         F.count(F.lit(1)).cast("int").alias("pages_processed"))
 
 
+def text_response(pages_long: DataFrame, page_index: int | None = None, sep: str = "\n") -> DataFrame:
+    """D5 response: the text of the selected pages with ``page_count`` (all pages) and
+    ``pages_processed`` (selected), in one aggregation."""
+    wanted = F.lit(True) if page_index is None else page_equals(page_index)
+    picked = F.array_sort(F.collect_list(F.when(wanted, F.struct("page_index", "page_text"))))
+    return pages_long.groupBy("doc_id").agg(
+        F.array_join(F.transform(picked, lambda s: s["page_text"]), sep).alias("text"),
+        F.count(F.lit(1)).cast("int").alias("page_count"), F.count_if(wanted).cast("int").alias("pages_processed"))
+
+
 def first_pages(pages_long: DataFrame, max_pages: int) -> DataFrame:
     """Keep pages ``< max(1, n)`` before numbering."""
     return pages_long.filter(F.col("page_index") < F.lit(max(1, int(max_pages))))

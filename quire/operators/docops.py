@@ -129,14 +129,15 @@ def node_hash60(text) -> Column:
 
 
 def doc_fingerprint(nodes: DataFrame) -> DataFrame:
-    """H4: content fingerprint per document, order-free.
+    """H4: fingerprint per document of its nodes' order, nesting, types, pages and texts.
 
-    SHA-256 of ``count : xor : sum`` of the 60-bit node content hashes (the sum
-    exact, as a decimal).  All three are partial aggregates, so a document of
-    any size is folded per task without collecting its hashes into a list;
-    equal multisets of node contents give equal fingerprints.
+    SHA-256 of ``count : xor : sum`` of 60-bit node hashes (the sum exact, as a
+    decimal); a node hashes its preorder rank, depth, type and page with its
+    text.  All three are partial aggregates, so a document of any size is folded
+    per task without collecting its hashes into a list.
     """
-    h = node_hash60("text_content")
+    h = node_hash60(F.concat_ws(":", *[F.col(c).cast("string") for c in ("pre", "depth", "node_type", "page_index")],
+                                F.coalesce("text_content", F.lit(""))))
     agg = nodes.groupBy("doc_id").agg(
         F.count(F.lit(1)).alias("n_nodes"), F.bit_xor(h).alias("x"),
         F.sum(h.cast("decimal(38,0)")).alias("s"))

@@ -178,17 +178,20 @@ def cited_tables(nodes: DataFrame, page_start: int | None = None, page_end: int
 
 
 def cited_tables_nested(nodes: DataFrame, page_start: int | None = None, page_end: int | None = None) -> DataFrame:
-    """E2 (nested): ``rows ARRAY<ARRAY<STRUCT<row, col, text, confidence>>>``."""
+    """E2 (nested): ``rows ARRAY<ARRAY<STRUCT<row, col, row_span, col_span, text, bbox,
+    confidence>>>``, counts and ``citation_anchor`` (a table without own text has none)."""
     g = table_grid(nodes, page_start, page_end)
-    r = g.select("doc_id", "table_node_id", "table_page", "row",
-                 F.transform("cells", lambda c: F.struct(F.col("row").alias("row"), c["col"].alias("col"),
-                                                         c["text"].alias("text"),
-                                                         F.lit(1.0).alias("confidence"))).alias("cells"))
+    no_box = F.lit(None).cast("struct<x:double,y:double,width:double,height:double>")
+    r = g.select("doc_id", "table_node_id", "table_page", "row", "has_anchor",
+                 F.transform("cells", lambda c: F.struct(
+                     F.col("row").alias("row"), c["col"].alias("col"), F.lit(1).alias("row_span"), F.lit(1).alias("col_span"),
+                     c["text"].alias("text"), no_box.alias("bbox"), F.lit(1.0).alias("confidence"))).alias("cells"))
+    anchor = F.struct(F.col("table_node_id").alias("node_id"), F.col("table_page").alias("page_index"), F.lit(1.0).alias("confidence"))
     return r.groupBy("doc_id", "table_node_id", "table_page").agg(
         F.count("row").cast("int").alias("row_count"),
         F.coalesce(F.max(F.when(F.col("row").isNotNull(), F.size("cells"))), F.lit(0)).cast("int").alias("col_count"),
         F.transform(F.array_sort(F.collect_list(F.when(F.col("row").isNotNull(), F.struct("row", "cells")))),
-                    lambda x: x["cells"]).alias("rows"))
+                    lambda x: x["cells"]).alias("rows"), F.when(F.max("has_anchor"), F.first(anchor)).alias("citation_anchor"))
 
 
 def table_summary(nodes: DataFrame, docs: DataFrame) -> DataFrame:

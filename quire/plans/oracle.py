@@ -571,7 +571,7 @@ SELECT CAST(doc_id AS BIGINT) AS doc_id,
        sha256(concat_ws(':', CAST(count(*) AS VARCHAR), CAST(bit_xor(h) AS VARCHAR),
                         CAST(CAST(sum(CAST(h AS HUGEINT)) AS DECIMAL(38, 0)) AS VARCHAR))) AS fingerprint,
        count(*) AS n_nodes
-FROM (SELECT doc_id, CAST(('0x' || left({chash('text_content')}, 15)) AS BIGINT) AS h FROM html_nodes)
+FROM (SELECT doc_id, CAST(('0x' || left({chash("concat_ws(':', pre, depth, node_type, page_index, coalesce(text_content, ''))")}, 15)) AS BIGINT) AS h FROM html_nodes)
 GROUP BY doc_id"""
 
 
@@ -778,3 +778,47 @@ SELECT CAST(doc_id AS BIGINT) AS doc_id, CASE WHEN doc_id % 10 <> 0 THEN '1.0' E
        CASE WHEN doc_id % 10 <> 0 THEN source_hash END AS source_hash,
        CASE WHEN doc_id % 10 <> 0 THEN 1 END AS page_count, CASE WHEN doc_id % 10 = 0 THEN 'json' END AS reason
 FROM hp"""
+
+# -- responses, sinks and validation with faults ----------------------------------------
+
+ORACLE["cited_tables_nested"] = f"""WITH {TAB_NODES}
+SELECT CAST(doc_id AS BIGINT) AS doc_id, table_node_id, CAST(count(*) OVER (PARTITION BY doc_id, table_node_id) // len(cs) AS INTEGER) AS row_count,
+       CAST(len(cs) AS INTEGER) AS col_count, CAST(NULL AS VARCHAR) AS anchor, CAST(row AS INTEGER) AS row, CAST(c AS INTEGER) AS col,
+       1 AS row_span, 1 AS col_span, t AS text, CAST(1.0 AS DOUBLE) AS confidence
+FROM (SELECT *, unnest(cs) AS t, generate_subscripts(cs, 1) - 1 AS c FROM tgrid WHERE row IS NOT NULL)"""
+
+ORACLE["extract_text"] = f"""
+SELECT conv_id AS doc_id, coalesce(string_agg(coalesce(text, ''), {NL} ORDER BY turn) FILTER (WHERE turn = 1), '') AS text,
+       CAST(count(*) AS INTEGER) AS page_count, CAST(count(*) FILTER (WHERE turn = 1) AS INTEGER) AS pages_processed
+FROM conversations GROUP BY conv_id"""
+
+_FAULTS = """faulty AS (
+  SELECT * REPLACE (
+    CASE WHEN doc_id % 10 = 1 AND node_type = 'heading' THEN 5 ELSE level END AS level,
+    CASE WHEN (doc_id % 10 = 2 AND node_type = 'heading') OR (doc_id % 10 = 3 AND pre = 2) THEN NULL ELSE text_content END AS text_content,
+    CASE WHEN doc_id % 10 = 3 AND pre = 2 THEN 'figure' WHEN doc_id % 10 = 6 AND pre = 2 THEN 'table'
+         WHEN doc_id % 10 = 4 AND node_type = 'heading' THEN 'paragraph'
+         WHEN doc_id % 10 = 5 AND node_type = 'list_item' THEN 'paragraph' ELSE node_type END AS node_type)
+  FROM html_nodes)"""
+_FOUND = f"WITH RECURSIVE {HTML_NODES}, {_FAULTS}, {_accessibility_sql('faulty')}"
+ORACLE["check_accessibility_faults"] = f"{_FOUND}\nSELECT * FROM fnd"
+ORACLE["accessibility_response"] = f"""{_FOUND}
+SELECT page_id AS doc_id, 'PDF/UA-1' AS conformance_target, coalesce(n, 0) AS issue_count, coalesce(n, 0) = 0 AS passed
+FROM pages LEFT JOIN (SELECT doc_id, count(*) AS n FROM fnd GROUP BY doc_id) f ON f.doc_id = page_id"""
+ORACLE["compliance_violations"] = f"""{_FOUND}
+SELECT doc_id, standard, rule_id, severity, page_index, node_id, description
+FROM fnd JOIN (VALUES ('PDF/A-3b', 'figure-no-text'), ('PDF/A-3b', 'table-no-rows'), ('WCAG-2.1-AA', 'heading-level-skip'),
+  ('WCAG-2.1-AA', 'empty-heading'), ('WCAG-2.1-AA', 'figure-no-text'), ('WCAG-2.1-AA', 'list-no-items')) s(standard, rule) ON rule = rule_id"""
+ORACLE["forensic_report"] = f"""
+SELECT concat(doc_id, ':', category) AS finding_id, doc_id, category, severity,
+       concat(evidence_count, ' markers of ', category) AS description, CAST(evidence_count AS VARCHAR) AS evidence,
+       'javascript,embedded_files,metadata' AS checks, risk_score
+FROM ({ORACLE["forensic_scan"]})"""
+ORACLE["validate_blocks"] = f"""WITH {CONV_NODES}
+SELECT CAST(doc_id AS BIGINT) AS doc_id, node_id,
+       ['confidence-range', 'page-index', 'depth', 'bbox-range'][doc_id % 10] AS violations
+FROM conv_nodes WHERE length(text_content) > 0 AND doc_id % 10 BETWEEN 1 AND 4"""
+ORACLE["validate_docs"] = """
+SELECT DISTINCT conv_id AS doc_id, CASE WHEN conv_id % 10 = 0 THEN 'page-count' ELSE '' END AS violations FROM conversations"""
+ORACLE["sink_json_files"] = ORACLE["cited_text"]
+ORACLE["sink_text_files"] = f"SELECT text AS value, count(*) AS n FROM ({ORACLE['paragraphs']}) GROUP BY text"

@@ -530,3 +530,113 @@ def q_route_mixed(spark, d):
     both = route(B.conv_built(spark, d, 1, 2), _walked(spark, d))
     return both.nodes.groupBy(confidence("heuristic").alias("confidence"), "node_type", "page_index").agg(
         F.count(F.lit(1)).alias("n_nodes"), F.count("mcid").alias("n_mcid"))
+
+
+# -- responses, sinks and validation with faults ------------------------------------
+
+@query("cited_tables_nested")
+def q_cited_tables_nested(spark, d):
+    """E2 nested (pages 0..0, C6), unfolded again: every cell of every table."""
+    from quire.operators.tables import cited_tables_nested
+    t = cited_tables_nested(B.tables_built(spark, d).nodes, 0, 0)
+    cells = t.select("doc_id", "table_node_id", "row_count", "col_count", F.col("citation_anchor.node_id").alias("anchor"),
+                     F.explode(F.flatten("rows")).alias("c"))
+    return cells.select("doc_id", "table_node_id", "row_count", "col_count", "anchor", "c.row", "c.col", "c.row_span", "c.col_span",
+                        "c.text", "c.confidence")
+
+
+@query("extract_text")
+def q_extract_text(spark, d):
+    """D5 response: page 1 of every conversation, all pages counted."""
+    return C.text_response(B.conv_pages(spark, d), page_index=1)
+
+
+def _html_with_faults(spark, d):
+    """HTML nodes with a fault by the last digit of doc_id: 1 levels skipped, 2 headings
+    without text, 3 and 6 a figure or table without content, 4 no headings, 5 no items."""
+    n = B.html_built(spark, d).nodes
+    digit, kind, pre = F.pmod(F.col("doc_id"), F.lit(10)), F.col("node_type"), F.col("pre")
+    fresh = (F.when((digit == 3) & (pre == 2), "figure").when((digit == 6) & (pre == 2), "table")
+             .when((digit == 4) & (kind == "heading"), "paragraph").when((digit == 5) & (kind == "list_item"), "paragraph").otherwise(kind))
+    gone = ((digit == 2) & (kind == "heading")) | ((digit == 3) & (pre == 2))
+    return n.select(*[(F.when((digit == 1) & (kind == "heading"), F.lit(5)).otherwise(F.col("level")).alias("level") if c == "level"
+                       else F.when(~gone, F.col(c)).alias(c) if c == "text_content" else fresh.alias(c) if c == "node_type" else F.col(c))
+                      for c in n.columns])
+
+
+@query("check_accessibility_faults")
+def q_check_accessibility_faults(spark, d):
+    """Every rule fires on the HTML corpus with injected faults."""
+    from quire.operators.audit import check_accessibility
+    return check_accessibility(_html_with_faults(spark, d))
+
+
+@query("accessibility_response")
+def q_accessibility_response(spark, d):
+    """I1 response per page: conformance target, issue count, passed."""
+    from quire.operators.audit import accessibility_summary, check_accessibility
+    return accessibility_summary(check_accessibility(_html_with_faults(spark, d)),
+                                 B.table(spark, d, "pages").select(F.col("page_id").alias("doc_id")))
+
+
+@query("compliance_violations")
+def q_compliance_violations(spark, d):
+    """Violation records of two standards over the pages with injected faults."""
+    from quire.operators.audit import check_accessibility, compliance_violations
+    return compliance_violations(check_accessibility(_html_with_faults(spark, d)), ["PDF/A-3b", "WCAG-2.1-AA"])
+
+
+@query("forensic_report")
+def q_forensic_report(spark, d):
+    """I3 response rows with finding ids, descriptions, evidence and checks."""
+    from quire.operators.audit import forensic_report
+    r = forensic_report(B.table(spark, d, "pages"))
+    return r.withColumn("evidence", F.element_at("evidence", F.lit("count"))).withColumn("checks", F.array_join("checks", ","))
+
+
+@query("validate_blocks")
+def q_validate_blocks(spark, d):
+    """J2/J3 over cited blocks with faults by doc_id: confidence 1.5, page -1, depth -1, a box outside the page."""
+    from quire.operators.validate import validate_blocks
+    b = C.cited_text(B.conv_built(spark, d).nodes)
+    digit = F.pmod(F.col("doc_id"), F.lit(10))
+    box = F.struct(F.lit(-0.1).alias("x"), F.lit(0.0).alias("y"), F.lit(1.0).alias("width"), F.lit(1.0).alias("height"))
+    b = (b.withColumn("confidence", F.when(digit == 1, F.lit(1.5)).otherwise(F.col("confidence")))
+         .withColumn("page_index", F.when(digit == 2, F.lit(-1)).otherwise(F.col("page_index")))
+         .withColumn("depth", F.when(digit == 3, F.lit(-1)).otherwise(F.col("depth")))
+         .withColumn("bbox", F.when(digit == 4, box).otherwise(F.col("bbox"))))
+    return validate_blocks(b).filter(F.size("violations") > 0).select("doc_id", "node_id", F.array_join("violations", ",").alias("violations"))
+
+
+@query("validate_docs")
+def q_validate_docs(spark, d):
+    """J3 over documents, every tenth with a page count of zero."""
+    from quire.operators.validate import validate_docs
+    docs = B.conv_built(spark, d).docs
+    docs = docs.withColumn("page_count", F.when(F.pmod(F.col("doc_id"), F.lit(10)) == 0, F.lit(0)).otherwise(F.col("page_count")))
+    return validate_docs(docs).select("doc_id", F.array_join("violations", ",").alias("violations"))
+
+
+@query("sink_json_files")
+def q_sink_json_files(spark, d):
+    """Cited blocks as JSON files in the shared folder, read back."""
+    import uuid
+
+    from quire.session import checkpoint_dir
+    from quire.sources.sinks import write_json
+    blocks = _cited_flat(B.conv_built(spark, d).nodes)
+    path = f"{checkpoint_dir(spark).rstrip('/')}/{uuid.uuid4().hex}"
+    write_json(blocks, path)
+    return spark.read.schema(blocks.schema).json(path)
+
+
+@query("sink_text_files")
+def q_sink_text_files(spark, d):
+    """A10: paragraphs as text files in the shared folder, read back and counted by text."""
+    import uuid
+
+    from quire.session import checkpoint_dir
+    from quire.sources.sinks import write_text
+    path = f"{checkpoint_dir(spark).rstrip('/')}/{uuid.uuid4().hex}"
+    write_text(q_paragraphs(spark, d), path, "text")
+    return spark.read.text(path).groupBy("value").agg(F.count(F.lit(1)).alias("n"))
