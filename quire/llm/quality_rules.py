@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import cut
+from quire.llm.common import cut, hash_sample
 from quire.llm.textstats import ratios, with_stats
 
 MIN_WORDS = 50           # fewer words fail
@@ -33,6 +33,7 @@ FEATURES = ["word_length", "symbols_per_word", "dup_line_share", "repeat_share",
 N_TREES = 128
 SUBSAMPLE = 256          # rows that one tree isolates
 FIT_ROWS = 20_000        # labelled rows kept for drawing the trees' subsamples
+CONTAMINATION = 0.01     # share of bad rows that the forest is grown on: anomalies must be few to be isolated
 EDGE = 0.001             # good rows beyond either end of a statistic's normal range
 FALSE_REJECTS = 0.002    # share of rows labelled good that the forest may reject
 SCORE_BINS = 2_000       # resolution of the calibrated threshold
@@ -117,10 +118,11 @@ class Rules:
 
 
 def fit_rules(x: np.ndarray, good: np.ndarray, edge: float = EDGE) -> Rules:
-    """Ranges from the good rows of a labelled sample, the forest from all of it."""
+    """Ranges from the good rows of a labelled sample, the forest from these and a few bad ones."""
     normal = x[good] if good.any() else x
     rules = Rules(np.quantile(normal, edge, axis=0), np.quantile(normal, 1 - edge, axis=0))
-    rules.forest = fit_forest(rules.excess(x))
+    bad = np.random.default_rng(3).permutation(x[~good])[:max(1, int(CONTAMINATION * len(normal)))]
+    rules.forest = fit_forest(rules.excess(np.concatenate([normal, bad])))
     return rules
 
 
@@ -175,8 +177,8 @@ def judge(docs: DataFrame, labels: DataFrame, target: str = "quality") -> DataFr
     stats = cut(with_stats(docs.select("doc_id", "text")).select("doc_id", "stats"))
     r = ratios()
     known = stats.join(clean_labels(labels, target), F.col("doc_id") == F.col("label_id")).filter(~base_failed())
-    sample = (known.select("label", *[r[f].alias(f) for f in FEATURES], F.xxhash64("doc_id").alias("draw"))
-              .orderBy("draw", "label", *FEATURES).limit(FIT_ROWS).toPandas())
+    sample = hash_sample(known.select("doc_id", "label", *[r[f].alias(f) for f in FEATURES]), "doc_id", FIT_ROWS,
+                         ["label", *FEATURES]).toPandas()
     if len(sample):
         model = fit_rules(sample[FEATURES].to_numpy(float), sample["label"].to_numpy() == 1)
         threshold = calibrate(with_score(known, model, "score"), "score")
