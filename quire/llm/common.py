@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -22,10 +23,21 @@ def byte_words(data: bytes | None) -> list[bytes]:
     return data.split() if data else []
 
 
-def as_bytes(column) -> list[bytes | None]:
-    """A string column of an Arrow batch as UTF-8 bytes."""
+def as_bytes(column) -> Iterator[bytes | None]:
+    """The texts of an Arrow string column as UTF-8, one at a time."""
     import pyarrow as pa
-    return column.cast(pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()).to_pylist()
+    raw = column.cast(pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary())
+    return (x.as_py() for x in raw)
+
+
+def small_batches(df: DataFrame, rows: int = 1000) -> DataFrame:
+    """Lower the session's Arrow batch to ``rows`` texts; the default of 10,000 holds
+    tens of MB per task outside the heap, however long the texts are."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(df.sparkSession.conf.get(name))
+    if now <= 0 or now > rows:
+        df.sparkSession.conf.set(name, rows)
+    return df
 
 
 def n_words(text: Column | str) -> Column:

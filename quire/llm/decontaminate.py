@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quire.llm.common import cut
+from quire.llm.common import cut, small_batches
 from quire.llm.hashing import WordHashes, mix, rolling_hashes
 
 MIN_MATCH = 5                # tokens of a seed and of the shortest tile
@@ -96,7 +96,7 @@ def _document_seeds(docs: DataFrame, widths: list[int], wanted) -> DataFrame:
             if ids:
                 yield _seed_batch(ids, keys, positions, found)
 
-    return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
+    return (small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
             .mapInArrow(run, "doc_id long, text_hash long, pos int, seed long"))
 
 
@@ -230,5 +230,5 @@ def drop_leaks(docs: DataFrame, items: DataFrame, min_match: int = MIN_MATCH, co
     """The rows of ``docs`` that leak no item, unchanged."""
     found = (leaks(docs, items, min_match, coverage).select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"))
              .distinct())
-    same = docs["doc_id"].cast("long").eqNullSafe(F.col("__id")) & (F.xxhash64(docs["text"]) == F.col("__hash"))
+    same = docs["doc_id"].cast("long").eqNullSafe(found["__id"]) & (F.xxhash64(docs["text"]) == found["__hash"])
     return docs.join(found, same, "left_anti")

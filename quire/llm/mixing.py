@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quire.llm.common import as_bytes, byte_words, n_words
+from quire.llm.common import as_bytes, byte_words, n_words, small_batches
 
 BLOCK_WORDS = 128
 SHARD_SLOTS = 1024
@@ -143,7 +143,7 @@ def blocks(placed: DataFrame, block_words: int = BLOCK_WORDS, keep_text: bool =
             out.append([b" ".join(words[a:b]).decode() for a, b in zip(ends, ends[1:])])
         return pa.array(out, pa.list_(pa.string()))
 
-    some = placed.filter("size > 0")
+    some = small_batches(placed).filter("size > 0")
     first, last = F.floor(F.col("start") / block_words), F.floor((F.col("start") + F.col("size") - 1) / block_words)
     keys = ["source_no", "doc_id", "start", "size"]
     if keep_text:

@@ -260,13 +260,14 @@ def redact(docs: DataFrame) -> DataFrame:
     piece = F.struct("start", "since", "stop", F.element_at(names, F.col("kind") + 1).alias("name"))
     cuts = (apart.groupBy(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"))
             .agg(F.sort_array(F.collect_list(piece)).alias("__cuts")))
-    joined = docs.join(cuts, docs["doc_id"].eqNullSafe(F.col("__id")) & (F.xxhash64(docs["text"]) == F.col("__hash")), "left")
+    joined = docs.join(cuts, docs["doc_id"].eqNullSafe(cuts["__id"]) & (F.xxhash64(docs["text"]) == cuts["__hash"]), "left")
     # each piece: the text since the last cut, then the name unless the span began inside that cut
-    pieces = F.transform("__cuts", lambda c: F.concat(
-        F.substring(F.col("text"), c["since"] + 1, F.greatest(c["start"] - c["since"], F.lit(0))),
+    where, text = cuts["__cuts"], docs["text"]
+    pieces = F.transform(where, lambda c: F.concat(
+        F.substring(text, c["since"] + 1, F.greatest(c["start"] - c["since"], F.lit(0))),
         F.when(c["start"] >= c["since"], c["name"]).otherwise("")))
-    tail = F.substring(F.col("text"), F.element_at("__cuts", -1)["stop"] + 1, F.length("text"))
-    clean = F.when(F.col("__cuts").isNull(), F.col("text")).otherwise(F.concat(F.array_join(pieces, ""), tail))
+    tail = F.substring(text, F.element_at(where, -1)["stop"] + 1, F.length(text))
+    clean = F.when(where.isNull(), text).otherwise(F.concat(F.array_join(pieces, ""), tail))
     return joined.select(*[clean.alias(c) if c == "text" else docs[c] for c in docs.columns])
 
 

@@ -23,7 +23,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import cut
+from quire.llm.common import cut, hash_sample
 from quire.llm.quality_rules import clean_labels
 from quire.llm.textstats import ratios, with_stats
 
@@ -133,16 +133,17 @@ def extract_rules(x: np.ndarray, y: np.ndarray, n_trees: int = 40, depth: int =
 
 
 def lasso_logistic(a: np.ndarray, y: np.ndarray, penalty: float, steps: int = 300) -> tuple[float, np.ndarray]:
-    """L1-penalised logistic regression by accelerated proximal gradient steps; the intercept is free."""
+    """L1-penalised logistic regression by accelerated proximal gradient steps; the
+    intercept is free.  Centres the columns of ``a`` in place."""
     n, m = a.shape
-    center = a.mean(0)
-    a = a - center
-    bound = 0.25 * (np.linalg.norm(a, 2) ** 2 / n + 1)
-    w, b, vw, vb, t = np.zeros(m), float(np.log((y.sum() + 1) / (n - y.sum() + 1))), np.zeros(m), None, 1.0
-    vb = b
+    center = a.mean(0, dtype=float)
+    a -= center.astype(a.dtype)
+    bound = 0.25 * (float(np.linalg.eigvalsh((a.T @ a).astype(float) / n)[-1]) + 1)
+    b = vb = float(np.log((y.sum() + 1) / (n - y.sum() + 1)))
+    w, vw, t = np.zeros(m), np.zeros(m), 1.0
     for _ in range(steps):
-        r = 1 / (1 + np.exp(-(a @ vw + vb))) - y
-        nw = vw - (a.T @ r) / n / bound
+        r = 1 / (1 + np.exp(-(a @ vw.astype(a.dtype) + vb))) - y
+        nw = vw - (a.T @ r.astype(a.dtype)) / n / bound
         nw = np.sign(nw) * np.maximum(np.abs(nw) - penalty / bound, 0)
         nb = vb - r.mean() / bound
         nt = (1 + np.sqrt(1 + 4 * t * t)) / 2
@@ -161,11 +162,13 @@ def fit(x: np.ndarray, y: np.ndarray, penalty: float = 0.002) -> RuleEnsemble:
     rules = extract_rules(x, y)
     if not rules:
         return RuleEnsemble(float(np.log((y.sum() + 1) / (len(y) - y.sum() + 1))))
-    holds = np.column_stack([r.holds(x) for r in rules]).astype(float)
-    _, first = np.unique(holds, axis=1, return_index=True)  # rules alike on all rows enter once
-    keep = np.sort(first)
-    intercept, w = lasso_logistic(holds[:, keep], y, penalty)
-    return RuleEnsemble(intercept, [rules[k] for k, v in zip(keep, w) if v], [float(v) for v in w if v])
+    distinct = {np.packbits(r.holds(x)).tobytes(): r for r in reversed(rules)}  # rules alike on all rows enter once
+    rules = [r for r in rules if distinct[np.packbits(r.holds(x)).tobytes()] is r]
+    holds = np.empty((len(x), len(rules)), np.float32)
+    for k, r in enumerate(rules):
+        holds[:, k] = r.holds(x)
+    intercept, w = lasso_logistic(holds, y, penalty)
+    return RuleEnsemble(intercept, [r for r, v in zip(rules, w) if v], [float(v) for v in w if v])
 
 
 def is_held_out(doc_id: Column | str = "doc_id") -> Column:
@@ -177,8 +180,8 @@ def learn(stats: DataFrame, labels: DataFrame, target: str = "quality", fit_rows
     """Fit on a bounded sample of the labelled rows of ``stats`` that are not held out."""
     r = ratios()
     known = stats.join(clean_labels(labels, target), F.col("doc_id") == F.col("label_id")).filter(~is_held_out())
-    sample = (known.select("label", *[r[f].alias(f) for f in FEATURES], F.xxhash64("doc_id").alias("draw"))
-              .orderBy("draw", "label", *FEATURES).limit(fit_rows).toPandas())
+    known = cut(known.select("doc_id", "label", *[r[f].alias(f) for f in FEATURES]))
+    sample = hash_sample(known, "doc_id", fit_rows, ["label", *FEATURES]).toPandas()
     return fit(sample[FEATURES].to_numpy(float), sample["label"].to_numpy(float))
 
 

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import as_bytes, byte_words, cut
+from quire.llm.common import as_bytes, byte_words, cut, small_batches
 from quire.llm.components import components
 
 SHINGLE = 3
@@ -110,7 +110,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_distance: int =
     ``component_id`` is the smallest doc_id reachable over links.  Copies share
     a fingerprint, so linking and contraction see distinct fingerprints only.
     """
-    marked = cut(docs.select("doc_id", fingerprint("text", shingle).alias("fp")))
+    marked = cut(small_batches(docs).select("doc_id", fingerprint("text", shingle).alias("fp")))
     fps = cut(marked.groupBy("fp").agg(F.min("doc_id").alias("first")))
     roots = components(links(fps, max_distance, max_bucket)).withColumnRenamed("node", "fp")
     classes = fps.join(roots, "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
@@ -128,14 +128,15 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, max_distance: int = MAX_DI
     found = near_duplicates(docs, shingle, max_distance)
     stay = cut(found.filter(F.col("doc_id") == F.col("component_id")).groupBy("doc_id").count()
                .select(F.col("doc_id").alias("__id"), F.col("count").alias("__rows")))
-    kept = docs.join(stay, F.col("doc_id") == F.col("__id"), "left_semi")
+    # columns are named through their frames: ``docs`` may have any others
+    kept = docs.join(stay, docs["doc_id"] == stay["__id"], "left_semi")
     repeated = stay.filter("__rows > 1")
     if not repeated.isEmpty():
-        same = F.col("doc_id") == F.col("__id")
-        kept = (docs.join(stay.filter("__rows = 1"), same, "left_semi")
-                .unionByName(docs.join(repeated, same, "left_semi").dropDuplicates(["doc_id"])))
+        single = stay.filter("__rows = 1")
+        kept = (docs.join(single, docs["doc_id"] == single["__id"], "left_semi").unionByName(
+            docs.join(repeated, docs["doc_id"] == repeated["__id"], "left_semi").dropDuplicates(["doc_id"])))
     unnamed = docs.filter("doc_id IS NULL")
     if not unnamed.isEmpty():
         nameless = found.filter("component_id IS NULL").select(F.col("fp").alias("__fp")).distinct()
-        kept = kept.unionByName(unnamed.join(nameless, fingerprint("text", shingle) == F.col("__fp"), "left_semi"))
+        kept = kept.unionByName(unnamed.join(nameless, fingerprint(unnamed["text"], shingle) == nameless["__fp"], "left_semi"))
     return kept

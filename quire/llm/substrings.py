@@ -32,7 +32,7 @@ from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import as_bytes, byte_words
+from quire.llm.common import as_bytes, byte_words, small_batches
 from quire.llm.hashing import WordHashes, rolling_hashes
 
 WINDOW = 35
@@ -152,8 +152,8 @@ def occurrences(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> Data
                         yield from chunk.flush()
         yield from chunk.flush()
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text") \
-        .mapInArrow(run, OCCURRENCES)
+    texts = small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
+    return texts.mapInArrow(run, OCCURRENCES)
 
 
 def _meet(table: pa.Table, window: int) -> Iterator[pa.RecordBatch]:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quire.llm.common import as_bytes, byte_words
+from quire.llm.common import as_bytes, byte_words, small_batches
 
 SYMBOLS = b"#*$%&|<>"
 UTF8_TAILS = bytes(range(0x80, 0xC0))  # a code point has one byte outside this range
@@ -68,7 +68,7 @@ def with_stats(docs: DataFrame, text: str = "text", name: str = "stats") -> Data
         columns = list(zip(*rows)) if rows else [[] for _ in COUNTS]
         return pa.StructArray.from_arrays([pa.array(c, pa.int64()) for c in columns], names=COUNTS)
 
-    return docs.withColumn(name, stats(F.col(text)))
+    return small_batches(docs).withColumn(name, stats(F.col(text)))
 
 
 def ratios(stats: str = "stats") -> dict[str, Column]:

@@ -128,7 +128,7 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     parts = parts.select("*", is_revisit.alias("revisit"), body.alias("payload"),
                          F.regexp_replace(header("WARC-Payload-Digest"), "^sha256:", "").alias("noted"))
     digest = F.when(F.col("revisit"), F.col("noted")).otherwise(F.sha2("payload", 256))
-    full = parts.select("*", digest.alias("payload_digest"), header("Content-Length", "http").cast("long").alias("payload_bytes"))
+    full = parts.select("*", digest.alias("payload_digest"), header("Content-Length", "http").try_cast("long").alias("payload_bytes"))
     page = r"^<urn:page:(-?[0-9]*)>$"
 
     def number(name: str) -> Column:
