@@ -822,3 +822,4 @@ ORACLE["validate_docs"] = """
 SELECT DISTINCT conv_id AS doc_id, CASE WHEN conv_id % 10 = 0 THEN 'page-count' ELSE '' END AS violations FROM conversations"""
 ORACLE["sink_json_files"] = ORACLE["cited_text"]
 ORACLE["sink_text_files"] = f"SELECT text AS value, count(*) AS n FROM ({ORACLE['paragraphs']}) GROUP BY text"
+ORACLE["stream_dedupe_watermark"] = ORACLE["stream_dedupe"]

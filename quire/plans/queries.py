@@ -458,6 +458,13 @@ def q_stream_dedupe(spark, d):
     return stream_dedupe(spark, d)
 
 
+@query("stream_dedupe_watermark")
+def q_stream_dedupe_watermark(spark, d):
+    """K4 with a watermark on the arrival time, so the state stays bounded."""
+    from quire.streaming.stream import stream_dedupe_watermark
+    return stream_dedupe_watermark(spark, d)
+
+
 # -- A13, C7, D2 corpus scope ------------------------------------------------------
 
 @query("require_tagged")
