@@ -236,7 +236,9 @@ def slots(spark, plan: Plan, shard_slots: int = SHARD_SLOTS, max_repeats: int =
     def epoch(source_no: pa.Array, k: pa.Array) -> pa.Array:
         return pa.array((k.to_numpy(zero_copy_only=False) // sent[source_no.to_numpy(zero_copy_only=False)]).astype(np.int32))
 
-    numbered = (shards.mapInArrow(orders, "shard long, slot int, source_no int, nth long").join(offsets, ["shard", "source_no"])
+    # merge joins: a range of shards looks tiny to the planner, but each becomes many slots
+    numbered = (shards.mapInArrow(orders, "shard long, slot int, source_no int, nth long")
+                .join(offsets.hint("merge"), ["shard", "source_no"])
                 .select("shard", "slot", "source_no", (F.col("before") + F.col("nth")).alias("k")))
     return (numbered.select("shard", "slot", "source_no", epoch("source_no", "k").alias("epoch"),
                             block("source_no", "k").alias("block")).filter(F.col("epoch") < max_repeats))
@@ -245,7 +247,7 @@ def slots(spark, plan: Plan, shard_slots: int = SHARD_SLOTS, max_repeats: int =
 def mix(placed: DataFrame, plan: Plan, keep_text: bool = False) -> DataFrame:
     """(shard, slot, source_no, epoch, block, parts) for every filled slot."""
     packed = blocks(placed, plan.block_words, keep_text)
-    return slots(placed.sparkSession, plan).join(packed, ["source_no", "block"])
+    return slots(placed.sparkSession, plan).hint("merge").join(packed, ["source_no", "block"])
 
 
 def taken(placed: DataFrame, plan: Plan) -> DataFrame:
