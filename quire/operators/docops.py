@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quire.functions.text import content_hash
+from quire.session import checkpoint_dir
 
 DEFAULT_REPLACEMENT = "[REDACTED]"
 
@@ -69,7 +70,10 @@ def redact_summary(redacted: DataFrame) -> DataFrame:
 def merge_docs(pages_long: DataFrame, groups: DataFrame, block: int = 4096) -> DataFrame:
     """H2: ordered lists of documents -> one document per group.
 
-    ``groups(group_id, doc_id, ord)``.  A document's page offset is the sum of
+    ``groups(group_id, doc_id, ord[, page_count])``; without page counts they
+    are taken from the pages.  The numbered documents (one narrow row each) are
+    written to the shared checkpoint folder once, since totals and offsets both
+    read them.  A document's page offset is the sum of
     the page counts of the documents before it in its group.  The running sum
     is two-level so that one group holding a large share of the documents is
     not a single task: block totals per ``(group_id, ord // block)`` (a
@@ -78,8 +82,10 @@ def merge_docs(pages_long: DataFrame, groups: DataFrame, block: int = 4096) -> D
     ``(group_id, ord, doc_id, page_index, merged_page_index, group_page_count)``.
     """
     b = int(block)
-    counts = pages_long.groupBy("doc_id").agg(F.count(F.lit(1)).alias("page_count"))
-    g = groups.join(counts, "doc_id").withColumn("blk", F.floor(F.col("ord") / b))
+    if "page_count" not in groups.columns:
+        groups = groups.join(pages_long.groupBy("doc_id").agg(F.count(F.lit(1)).alias("page_count")), "doc_id")
+    checkpoint_dir(groups.sparkSession)
+    g = groups.select("group_id", "doc_id", "ord", "page_count", F.floor(F.col("ord") / b).alias("blk")).checkpoint()
     totals = g.groupBy("group_id", "blk").agg(F.sum("page_count").alias("blk_pages"))
     wb = Window.partitionBy("group_id").orderBy("blk")
     totals = totals.withColumn("blk_offset", F.coalesce(F.sum("blk_pages").over(

@@ -360,8 +360,8 @@ def q_merge_docs(spark, d):
     """H2: conversations merged in groups of four consecutive ids."""
     from quire.operators.docops import merge_docs
     pages = B.conv_pages(spark, d)
-    groups = pages.select("doc_id").distinct().select(
-        "doc_id", F.floor(F.col("doc_id") / 4).alias("group_id"), F.pmod(F.col("doc_id"), F.lit(4)).alias("ord"))
+    groups = pages.groupBy("doc_id").agg(F.count(F.lit(1)).alias("page_count")).select(
+        "doc_id", "page_count", F.floor(F.col("doc_id") / 4).alias("group_id"), F.pmod(F.col("doc_id"), F.lit(4)).alias("ord"))
     return merge_docs(pages, groups)
 
 
