@@ -41,6 +41,7 @@ HTML_TAG_MAP = {
     "nav": "section", "div": "section", "article": "section", "section": "section",
     "footer": "section",
     "figure": "figure", "pre": "code",
+    "#text": "paragraph",
 }
 
 # HTML heading levels.

@@ -259,10 +259,18 @@ hp AS (
 hx AS (
   SELECT doc_id, source_hash, regexp_extract_all(c, '{RE_TOKEN}', 1) AS tg,
          regexp_extract_all(c, '{RE_TOKEN}', 2) AS tx FROM hp),
-ht AS (
+h0 AS (
   SELECT doc_id, source_hash, lower(tg[i]) AS tag, tx[i] AS raw, i
-  FROM (SELECT *, unnest(range(1, len(tg) + 1)) AS i FROM hx)
-  WHERE lower(tg[i]) NOT IN ({skip})),
+  FROM (SELECT *, unnest(range(1, len(tg) + 1)) AS i FROM hx)),
+h1 AS (
+  SELECT doc_id, source_hash, CASE WHEN tag = '' OR tag IN ({skip}) THEN '#text' ELSE tag END AS tag, raw, i FROM h0
+  WHERE tag <> 'title' AND ((tag <> '' AND tag NOT IN ({skip})) OR trim({unesc}, {WS}) <> '')),
+h2 AS (SELECT *, {ntype} AS node_type FROM h1),
+h3 AS (SELECT *, {rank} AS rank FROM h2),
+h4 AS (SELECT *, coalesce(lead(rank) OVER (PARTITION BY doc_id ORDER BY i) > rank AND trim({unesc}, {WS}) <> '', FALSE) AS own FROM h3),
+ht AS (
+  SELECT doc_id, source_hash, tag, CASE WHEN own THEN '' ELSE raw END AS raw, 2 * i AS i FROM h4
+  UNION ALL SELECT doc_id, source_hash, '#text', raw, 2 * i + 1 FROM h4 WHERE own),
 hk AS (
   SELECT doc_id, source_hash, tag, raw,
          CAST(row_number() OVER (PARTITION BY doc_id ORDER BY i) - 1 AS INTEGER) AS pos, {ntype} AS node_type

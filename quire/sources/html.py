@@ -7,7 +7,10 @@ Rules (ours, since the reference reads PDF structure trees instead):
 2. every remaining opening tag is a token whose text is the run of characters
    up to the next ``<``; scaffolding tags (html, head, body, meta, link, base,
    title) are dropped;
-3. the five basic entities are unescaped, ``&amp;`` last.
+3. text that belongs to no leaf is a ``#text`` token: the run before the first
+   tag or after a closing or scaffolding tag other than ``<title>``, and a
+   container's own text if something follows inside it;
+4. the five basic entities are unescaped, ``&amp;`` last.
 
 All of it is regular-expression and array work inside the row: no shuffle.
 """
@@ -17,13 +20,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quire.functions.tags import HTML_SKIP_TAGS
-from quire.functions.text import col_, source_hash_of_text
+from quire.functions.tags import HTML_LEAF_RANK, HTML_SKIP_TAGS, HTML_TAG_MAP, HTML_TYPE_RANK, literal_map
+from quire.functions.text import col_, py_strip, source_hash_of_text
 
 # The cleaning and token patterns of the HTML rules above.
 RE_DROP_BLOCKS = r"(?is)<script\b.*?</script>|<style\b.*?</style>|<!--.*?-->"
 RE_INLINE_TAGS = r"(?i)</?(?:b|i|a|br|em|strong|span)\b[^>]*>"
-RE_TOKEN = r"<([A-Za-z][A-Za-z0-9]*)\b[^>]*>([^<]*)"
+RE_TOKEN = r"(?:<([A-Za-z][A-Za-z0-9]*)\b[^>]*>|</[A-Za-z][^>]*>|^)([^<]*)"
 
 
 def clean_html(html) -> Column:
@@ -60,10 +63,27 @@ def html_tokens(pages: DataFrame, partition_by_doc: bool = True) -> DataFrame:
                  F.regexp_extract_all("cleaned", F.lit(RE_TOKEN), 1).alias("tag"),
                  F.regexp_extract_all("cleaned", F.lit(RE_TOKEN), 2).alias("text"))
     skip = F.array(*[F.lit(t) for t in HTML_SKIP_TAGS])
-    zipped = F.transform(F.arrays_zip("tag", "text"),
-                         lambda z: F.struct(F.lower(z["tag"]).alias("tag"), z["text"].alias("text")))
-    kept = F.filter(zipped, lambda z: ~F.array_contains(skip, z["tag"]))
-    return x.select("doc_id", "source_hash", kept.alias("tokens"))
+    zipped = F.transform(F.arrays_zip("tag", "text"), lambda z: F.struct(
+        F.when(F.array_contains(skip, F.lower(z["tag"])) & (F.lower(z["tag"]) != "title"), F.lit(""))
+        .otherwise(F.lower(z["tag"])).alias("tag"), z["text"].alias("text")))
+    kept = F.filter(zipped, lambda z: (z["tag"] != "title") & ((z["tag"] != "") | (py_strip(unescape(z["text"])) != "")))
+    named = F.transform(kept, lambda z: F.struct(
+        F.when(z["tag"] == "", F.lit("#text")).otherwise(z["tag"]).alias("tag"), z["text"].alias("text")))
+    x = x.select("doc_id", "source_hash", named.alias("kept"))
+    # the next token is a child if its rank is larger, as in the node builder
+    following = F.transform("kept", lambda z, i: F.struct(z["tag"].alias("tag"), z["text"].alias("text"),
+                                                          F.get("kept", i + 1)["tag"].alias("next")))
+    split = F.transform(following, lambda z: F.when(
+        (_rank(z["next"]) > _rank(z["tag"])) & (py_strip(unescape(z["text"])) != ""),
+        F.array(F.struct(z["tag"].alias("tag"), F.lit("").alias("text")), F.struct(F.lit("#text").alias("tag"), z["text"].alias("text"))))
+        .otherwise(F.array(F.struct(z["tag"].alias("tag"), z["text"].alias("text")))))
+    return x.select("doc_id", "source_hash", F.flatten(split).alias("tokens"))
+
+
+def _rank(tag: Column) -> Column:
+    """Structural rank of a tag's node type (leaves highest)."""
+    return F.coalesce(F.try_element_at(literal_map({t: HTML_TYPE_RANK[k] for t, k in HTML_TAG_MAP.items() if k in HTML_TYPE_RANK}), tag),
+                      F.when(tag.isNotNull(), HTML_LEAF_RANK))
 
 
 def tag_histogram(pages: DataFrame) -> DataFrame:

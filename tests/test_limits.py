@@ -83,3 +83,12 @@ def test_json_round_trip_of_deep_tree(spark):
     assert sorted(r["depth"] for r in rows(found.nodes)) == list(range(41))
     assert [(r["doc_id"], r["page_count"]) for r in rows(found.docs)] == [(1, 1)]
     assert sorted(r["doc_id"] for r in rows(found.rejected)) == [2, 3]
+
+
+def test_html_text_outside_leaves_is_kept(spark):
+    from quire.operators.tagged import html_nodes
+    html = "lead<html><head><title>T</title></head><body>intro<p>a <code>x</code> tail1</p><div>own <p>in</p> tail2</div>end<ul> <li>i</li></ul></body>"
+    nodes = html_nodes(spark.createDataFrame([(1, "u", html)], "page_id bigint, url string, html string")).nodes
+    got = [(r["struct_type"], r["text_content"]) for r in rows(nodes.filter("pre > 0"), ["pre"])]
+    assert got == [("#text", "lead"), ("#text", "intro"), ("p", "a"), ("code", "x"), ("#text", "tail1"), ("div", None), ("#text", "own"),
+                   ("p", "in"), ("#text", "tail2"), ("#text", "end"), ("ul", None), ("li", "i")]

@@ -80,12 +80,14 @@ def test_html_container_rule(spark):
     kinds = [(r["node_type"], r["depth"]) for r in got]
     assert kinds == [("document", 0), ("section", 1), ("table", 2), ("table_row", 3), ("table_cell", 4),
                      ("table_cell", 4), ("table_row", 3), ("paragraph", 4), ("table_row", 3), ("table_cell", 4),
-                     ("list", 2), ("list_item", 3), ("paragraph", 4), ("artifact", 4)]
+                     ("list", 2), ("list_item", 3), ("paragraph", 4), ("paragraph", 4), ("artifact", 4)]
+    # the item's own text is kept beside what follows in it
+    assert [r["text_content"] for r in got[11:]] == [None, "i", "after", "z"]
     by_pre = {r["pre"]: r for r in got}
     assert by_pre[7]["parent_id"] == by_pre[6]["node_id"]          # p between rows -> the open row
     # Closing tags are ignored: only a token of rank <= 1 closes the <div>.
     assert by_pre[10]["parent_id"] == by_pre[1]["node_id"]
-    assert by_pre[2]["last"] == 9 and by_pre[1]["last"] == 13
+    assert by_pre[2]["last"] == 9 and by_pre[1]["last"] == 14
     assert by_pre[0]["children_count"] == 1 and by_pre[1]["children_count"] == 2
 
 
