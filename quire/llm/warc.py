@@ -97,8 +97,8 @@ def record(planned: DataFrame) -> DataFrame:
         F.octet_length("block").cast("string"), F.lit(END), "block").alias("value"))
 
 
-def write_archives(pages: DataFrame, path: str, compression: str = "none") -> None:
-    """Write one archive per task under ``path``."""
+def write_archives(pages: DataFrame, path: str, compression: str = "gzip") -> None:
+    """Write one archive per task under ``path``, compressed as archives usually are."""
     record(plan_records(pages)).write.option("lineSep", END).option("compression", compression).text(path)
 
 
