@@ -39,7 +39,7 @@ SHARD_SLOTS = 1024
 WEIGHTS = (5.0, 2.0, 1.0)
 MAX_REPEATS = 3
 MAX_SOURCES = 1_000_000
-BUCKET_ROWS = 20_000  # documents that one window partition orders
+BUCKET_ROWS = 5_000  # documents that one window partition orders
 SEED = 20
 
 
