@@ -66,7 +66,25 @@ def template_index(templates: list[tuple[str, str]]) -> tuple[list[tuple], dict[
 
 
 def _terms(text: Column) -> Column:
-    return F.filter(F.regexp_extract_all(F.lower(text), F.lit(TERM), F.lit(0)), lambda t: ~t.isin(STOPWORDS))
+    """Terms of a lower-case text that are no stopwords."""
+    return F.filter(F.regexp_extract_all(text, F.lit(TERM), F.lit(0)), lambda t: ~t.isin(STOPWORDS))
+
+
+def _length(terms: str, idf: dict[str, float], other: float) -> Column:
+    """Length of the TF-IDF vector of an array of terms: one pass over the sorted terms."""
+    weight = F.create_map(*[F.lit(x) for e in sorted(idf.items()) for x in e]) if idf else F.create_map(F.lit(""), F.lit(other))
+
+    def squared(run: Column) -> Column:
+        w = (1 + F.log(run["n"])) * F.coalesce(F.element_at(weight, run["term"]), F.lit(other))
+        return run["total"] + F.when(run["n"] > 0, w * w).otherwise(0.0)
+
+    def step(run: Column, term: Column) -> Column:
+        same = run["term"] == term
+        return F.struct(term.alias("term"), F.when(same, run["n"] + 1).otherwise(1).alias("n"),
+                        F.when(same, run["total"]).otherwise(squared(run)).alias("total"))
+
+    start = F.struct(F.lit("").alias("term"), F.lit(0).alias("n"), F.lit(0.0).alias("total"))
+    return F.sqrt(F.aggregate(F.array_sort(terms), start, step, squared))
 
 
 def own_licences(files: DataFrame, templates=None, min_cosine: float = MIN_COSINE) -> DataFrame:
@@ -78,23 +96,26 @@ def own_licences(files: DataFrame, templates=None, min_cosine: float = MIN_COSIN
     weights = spark.createDataFrame(sorted(idf.items()), "term string, idf double")
     # a term of a template, not part of a longer term
     words = "|".join(re.escape(t) for t in sorted(idf)) or "(?!)"
-    holds = rf"(?i)(?<![a-z0-9])(?:{words})(?![a-z0-9])"
-    some = files.filter(F.col("text").rlike(holds)).select("path", F.xxhash64("text").alias("text_hash"), "text")
-    # a repeated file has each of its terms once per repetition
-    copies = some.groupBy("path", "text_hash").agg(F.count(F.lit(1)).alias("copies")).filter("copies > 1")
-    lines = some.select("path", "text_hash", F.posexplode(F.split("text", "\n")).alias("unit", "words")).filter(F.col("words").rlike(holds))
-    whole = (some.filter(_file_name(F.col("path")).rlike(LICENCE_FILES))
-             .select("path", "text_hash", F.lit(-1).alias("unit"), F.col("text").alias("words")))
-    key = ["path", "text_hash", "unit"]
-    tf = (lines.unionByName(whole).select(*key, F.explode(_terms(F.col("words"))).alias("term"))
-          .groupBy(*key, "term").agg(F.count(F.lit(1)).alias("seen"))
-          .join(copies, ["path", "text_hash"], "left").withColumn("tf", F.col("seen") / F.coalesce("copies", F.lit(1))))
-    weighed = (tf.join(F.broadcast(weights), "term", "left")
-               .withColumn("w", (1 + F.log("tf")) * F.coalesce("idf", F.lit(other))))
-    length = weighed.groupBy(*key).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("length"))
-    dots = (weighed.filter("idf IS NOT NULL").join(F.broadcast(index), "term")
-            .groupBy(*key, "template", "licence").agg(F.sum(F.col("w") * F.col("weight")).alias("dot")))
-    scored = (dots.join(length, key).select(*key, "licence", F.round(F.col("dot") / F.col("length"), 9).alias("score"))
+    holds = rf"(?<![a-z0-9])(?:{words})(?![a-z0-9])"
+    some = files.select("path", F.xxhash64("text").alias("text_hash"), F.lower("text").alias("text")).filter(F.col("text").rlike(holds))
+    # one pass makes all units: lines from 0, the whole text of a licence file as -1
+    lines = F.transform(F.split("text", "\n"), lambda x, i: F.struct(i.alias("unit"), x.alias("words")))
+    whole = F.when(_file_name(F.col("path")).rlike(LICENCE_FILES), F.array(F.struct(F.lit(-1).alias("unit"), F.col("text").alias("words"))))
+    units = (some.withColumn("row", F.monotonically_increasing_id())
+             .select("row", "path", "text_hash", F.explode(F.concat(lines, F.coalesce(whole, F.array().cast(
+                 "array<struct<unit:int,words:string>>")))).alias("u")).select("row", "path", "text_hash", "u.*")
+             .filter((F.col("unit") < 0) | F.col("words").rlike(holds)))
+    key = ["row", "path", "text_hash", "unit", "length"]  # a repeated file is scored once per row
+    vocabulary = sorted(idf) or [""]
+    termed = units.select("row", "path", "text_hash", "unit", _terms(F.col("words")).alias("terms"))
+    # only terms of templates leave the row; the others count in its length
+    tf = (termed.select("row", "path", "text_hash", "unit", _length("terms", idf, other).alias("length"),
+                        F.explode(F.filter("terms", lambda t: t.isin(vocabulary))).alias("term"))
+          .groupBy(*key, "term").agg(F.count(F.lit(1)).alias("tf")))
+    weighed = tf.join(F.broadcast(weights), "term").withColumn("w", (1 + F.log("tf")) * F.col("idf"))
+    dots = (weighed.join(F.broadcast(index), "term").groupBy(*key, "template", "licence")
+            .agg(F.sum(F.col("w") * F.col("weight")).alias("dot")))
+    scored = (dots.select(*key, "licence", F.round(F.col("dot") / F.col("length"), 9).alias("score"))
               .filter(F.col("score") >= min_cosine))
     return (scored.groupBy("path", "text_hash").agg(
         F.min_by(F.struct("licence", "score"), F.struct(-F.col("score"), "licence")).alias("best"),
