@@ -80,6 +80,11 @@ def op5(spark: SparkSession, d: str) -> DataFrame:
     return quotes.reply_ordered(quotes.as_replies(table(spark, d, "conversations")))
 
 
+@query("op5_quotation_links")
+def op5_links(spark: SparkSession, d: str) -> DataFrame:
+    return quotes.links(cut(quotes.parsed(quotes.as_replies(table(spark, d, "conversations")))))
+
+
 @query("op9_license_scan")
 def op9(spark: SparkSession, d: str) -> DataFrame:
     return licenses.scan(licenses.as_files(table(spark, d, "documents")))

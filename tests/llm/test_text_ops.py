@@ -200,3 +200,23 @@ def test_licences_own_and_inherited(spark, odd_docs, no_docs):
     assert L.scan(L.as_files(no_docs)).count() == 0
     empty = spark.createDataFrame([(1, "a", "Released under the MIT License.")], "doc_id long, path string, text string")
     assert [r.licence for r in L.scan(empty, templates=[]).collect()] == [None]
+
+
+def test_replies_quote_whole_texts_and_every_level_links(spark):
+    texts = ["first line\nsecond line\n\nfourth line", "reply one\nreply two", "last\nword"]
+    replies = Qt.as_replies(spark.createDataFrame([(1, t, "u", x) for t, x in enumerate(texts)], MESSAGES))
+    by = {r.turn: r.text for r in replies.collect()}
+    assert by[1] == "u wrote:\n> first line\n> second line\n> \n> fourth line\n\nreply one\nreply two"
+    assert by[2] == ("u wrote:\n> > first line\n> > second line\n> > \n> > fourth line\n> reply one\n> reply two\n\nlast\nword")
+    got = sorted((r.turn, r.level, r.origin_conv, r.origin_turn, r.share) for r in Qt.links(Qt.parsed(replies)).collect())
+    assert got == [(1, 1, 1, 0, 1.0), (2, 1, 1, 1, 1.0), (2, 2, 1, 0, 1.0)]
+
+
+def test_links_of_every_level_are_registered(spark):
+    from quire.llm.queries import QUERIES
+    levels = {r.level: r.n for r in QUERIES["op5_quotation_links"](spark, "/root/testdata/sf0.001").groupBy("level").agg(
+        F.count(F.lit(1)).alias("n")).collect()}
+    talk = spark.read.parquet("/root/testdata/sf0.001/conversations.parquet")
+    said = {(r.conv_id, r.turn) for r in talk.collect() if (r.text or "").strip()}
+    assert levels == {1: sum((c, t - 1) in said for c, t in {(r.conv_id, r.turn) for r in talk.collect()}),
+                      2: sum((c, t - 1) in said and (c, t - 2) in said for c, t in {(r.conv_id, r.turn) for r in talk.collect()})}
