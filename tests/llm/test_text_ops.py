@@ -220,3 +220,17 @@ def test_links_of_every_level_are_registered(spark):
     said = {(r.conv_id, r.turn) for r in talk.collect() if (r.text or "").strip()}
     assert levels == {1: sum((c, t - 1) in said for c, t in {(r.conv_id, r.turn) for r in talk.collect()}),
                       2: sum((c, t - 1) in said and (c, t - 2) in said for c, t in {(r.conv_id, r.turn) for r in talk.collect()})}
+
+
+def test_the_origin_is_chosen_by_share_not_by_the_longest_line(spark):
+    sign = "kind regards from the whole team of the very long company name"
+    rows = [(1, 0, "u", f"alpha\nbeta\n{sign}"), (1, 1, "u", f"other\n{sign}"),
+            (1, 2, "u", f"> alpha\n> beta\n> {sign}\nyes"),                  # a later message has the signature too
+            (1, 3, "u", "> alpha\n> beta\n> kind regards from the whole\n> team\nno"),  # longest line wrapped anew
+            (2, 0, "u", "> original of a later conversation\nlate"), (7, 0, "u", "original of a later conversation"),
+            (8, 0, "u", "> ring b\nring a"), (9, 0, "u", "> ring a\nring b"), (9, 1, "u", "> ring b\ntail")]
+    got = {(r.conv_id, r.turn): r for r in Qt.reply_ordered(spark.createDataFrame(rows, MESSAGES)).collect()}
+    assert (got[1, 2].parent_conv, got[1, 2].parent_turn, got[1, 2].share) == (1, 0, 1.0)
+    assert (got[1, 3].parent_conv, got[1, 3].parent_turn, got[1, 3].share) == (1, 0, 0.5)
+    assert (got[2, 0].parent_conv, got[2, 0].parent_turn, got[2, 0].thread_conv) == (7, 0, 7)
+    assert [(got[k].parent_conv, got[k].thread_conv, got[k].depth) for k in ((8, 0), (9, 0), (9, 1))] == [(None, 8, 0), (8, 8, 1), (9, 8, 2)]
