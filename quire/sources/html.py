@@ -3,7 +3,9 @@
 Rules (ours, since the reference reads PDF structure trees instead):
 
 1. remove ``<script>``, ``<style>`` and comments first (scripts contain a
-   literal ``</p>``), then inline tags (b, i, a, br, em, strong, span);
+   literal ``</p>``), then inline tags (b, i, a, br, em, strong, span) and
+   other markup without content (``<!...>``, ``<?...>``, ``</`` before no letter);
+   a ``<`` that opens no tag, or a tag that never ends, is text;
 2. every remaining opening tag is a token whose text is the run of characters
    up to the next ``<``; scaffolding tags (html, head, body, meta, link, base,
    title) are dropped;
@@ -26,12 +28,21 @@ from quire.functions.text import col_, py_strip, source_hash_of_text
 # The cleaning and token patterns of the HTML rules above.
 RE_DROP_BLOCKS = r"(?is)<script\b.*?</script>|<style\b.*?</style>|<!--.*?-->"
 RE_INLINE_TAGS = r"(?i)</?(?:b|i|a|br|em|strong|span)\b[^>]*>"
+RE_MARKUP = r"<[!?][^>]*>|</(?![A-Za-z])[^>]*>"
+RE_LONE = r"<(?![A-Za-z/!?])"
+RE_UNDERSCORE = r"(<[A-Za-z][A-Za-z0-9]*)_"  # such names end there, as they do at a hyphen
 RE_TOKEN = r"(?:<([A-Za-z][A-Za-z0-9]*)\b[^>]*>|</[A-Za-z][^>]*>|^)([^<]*)"
 
 
 def clean_html(html) -> Column:
     s = F.regexp_replace(F.coalesce(col_(html), F.lit("")), RE_DROP_BLOCKS, "")
-    return F.regexp_replace(s, RE_INLINE_TAGS, "")
+    # lone ones first: what follows them may be an inline tag, and those go
+    s = F.regexp_replace(s, RE_LONE, "&lt;")
+    s = F.regexp_replace(F.regexp_replace(s, RE_INLINE_TAGS, ""), RE_MARKUP, "")
+    s = F.regexp_replace(s, RE_UNDERSCORE, "$1-")
+    # behind the last ``>`` no tag ends, so every ``<`` is text there
+    tail = F.length(F.substring_index(s, ">", -1))
+    return F.concat(F.substr(s, F.lit(1), F.length(s) - tail), F.replace(F.right(s, tail), F.lit("<"), F.lit("&lt;")))
 
 
 def unescape(c) -> Column:

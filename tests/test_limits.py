@@ -92,3 +92,12 @@ def test_html_text_outside_leaves_is_kept(spark):
     got = [(r["struct_type"], r["text_content"]) for r in rows(nodes.filter("pre > 0"), ["pre"])]
     assert got == [("#text", "lead"), ("#text", "intro"), ("p", "a"), ("code", "x"), ("#text", "tail1"), ("div", None), ("#text", "own"),
                    ("p", "in"), ("#text", "tail2"), ("#text", "end"), ("ul", None), ("li", "i")]
+
+
+def test_html_lone_angle_brackets_are_text(spark):
+    from quire.operators.tagged import html_nodes
+    html = ("<!DOCTYPE html>before<title>name</title><p>if a < b then c <3</p><p>x <<b>y</b> z</p><pre>i<=n; a</ b>c<!x>d</pre>"
+            "<my_tag>own</my_tag><p>end <unclosed < x")
+    nodes = html_nodes(spark.createDataFrame([(1, "u", html)], "page_id bigint, url string, html string")).nodes
+    got = [r.text_content for r in nodes.orderBy("pre").collect() if r.text_content]
+    assert got == ["before", "if a < b then c <3", "x <y z", "i<=n; acd", "own", "end <unclosed < x"]
