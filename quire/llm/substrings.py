@@ -7,6 +7,8 @@ among its ``GRAM``-word subwindows; equal windows have equal minimizers, and
 consecutive windows mostly share theirs.  One row per minimizer occurrence
 carries the hashes of its windows (about 14), rows meet by minimizer, and
 hashes found twice there are the repeated windows.  No window is left out.
+A minimizer of more than ``GROUP_ROWS`` rows does not meet in one task: its rows
+stay dealt out, and their windows are counted one row each.
 
 Copies are pre-aggregated: of windows that repeat within one task's chunk one
 stands for all, and the chunk already knows they repeat.  So a passage shared
@@ -32,13 +34,14 @@ from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import as_bytes, byte_words, small_batches
+from quire.llm.common import as_bytes, byte_words, cut, small_batches
 from quire.llm.hashing import WordHashes, rolling_hashes
 
 WINDOW = 35
 GRAM = 8
 HASH_BYTES = 6            # of a window, beside the 8 of its minimizer
 CHUNK_WINDOWS = 1 << 20   # windows that one task compares locally at a time
+GROUP_ROWS = 20_000       # rows of one minimizer that meet in one task, some 30 MB
 _SLICE = 1 << 16
 
 OCCURRENCES = ("minimizer long, doc_id long, text_hash long, start int, stop int, windows binary")
@@ -156,6 +159,23 @@ def occurrences(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> Data
     return texts.mapInArrow(run, OCCURRENCES)
 
 
+def frequent(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, rows: int = GROUP_ROWS) -> DataFrame:
+    """(minimizer) of more than ``rows`` rows of ``occurrences``."""
+    found = occurrences(docs, window, gram).filter(F.col("stop").isNull())
+    return found.groupBy("minimizer").count().filter(F.col("count") > rows).select("minimizer")
+
+
+def _counted(rows: DataFrame, window: int) -> DataFrame:
+    """Spans of the windows that occur twice or more in ``rows`` of ``OCCURRENCES``, one row for each window."""
+    hexed, digits = F.hex("windows"), 2 * HASH_BYTES
+    places = F.sequence(F.lit(0), (F.octet_length("windows") / HASH_BYTES).cast("int") - 1)
+    single = (rows.select("minimizer", "doc_id", "text_hash", "start", hexed.alias("hexed"), F.explode(places).alias("place"))
+              .select("minimizer", "doc_id", "text_hash", (F.col("start") + F.col("place")).alias("start"),
+                      F.substr("hexed", F.col("place") * digits + 1, F.lit(digits)).alias("hash")))
+    repeated = single.groupBy("minimizer", "hash").count().filter("count > 1").select("minimizer", "hash")
+    return single.join(repeated, ["minimizer", "hash"]).select("doc_id", "text_hash", "start", (F.col("start") + window).alias("stop"))
+
+
 def _meet(table: pa.Table, window: int) -> Iterator[pa.RecordBatch]:
     """Spans of the windows that occur twice or more among complete minimizer groups."""
     table = table.combine_chunks()
@@ -196,7 +216,7 @@ def _meet(table: pa.Table, window: int) -> Iterator[pa.RecordBatch]:
         names=["doc_id", "text_hash", "start", "stop"])
 
 
-def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
+def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, rows: int = GROUP_ROWS) -> DataFrame:
     """Word spans (doc_id, text_hash, start, stop) covered by repeated windows; spans may overlap."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: list[pa.RecordBatch] = []  # rows of the last minimizer seen
@@ -217,8 +237,37 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> D
         if waiting:
             yield from _meet(pa.Table.from_batches(waiting), window)
 
-    return (occurrences(docs, window, gram).repartition("minimizer").sortWithinPartitions("minimizer")
-            .mapInArrow(run, SPANS))
+    found, hot = occurrences(docs, window, gram), cut(frequent(docs, window, gram, rows))
+    if hot.isEmpty():
+        return found.repartition("minimizer").sortWithinPartitions("minimizer").mapInArrow(run, SPANS)
+    # spans known from a chunk hold the text hash in place of a minimizer
+    apart = F.col("hot").isNotNull() & F.col("stop").isNull()
+    marked = found.join(F.broadcast(hot.withColumn("hot", F.lit(True))), "minimizer", "left").withColumn("apart", apart)
+    salt = F.when(F.col("apart"), F.pmod(F.xxhash64("doc_id", "text_hash", "start"), F.lit(1 << 16))).otherwise(0)
+
+    def run_apart(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The spans of all but the frequent rows, which come last and stay as they are."""
+        names, last = ["minimizer", "doc_id", "text_hash", "start", "stop", "windows"], []
+
+        def others() -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                n = batch.column("apart").false_count
+                if n:
+                    yield batch.slice(0, n).select(names)
+                if n < batch.num_rows:
+                    last.append(batch.slice(n).select(names))
+                    return
+
+        for spans in run(others()):
+            n = spans.num_rows
+            yield pa.RecordBatch.from_arrays([pa.nulls(n, pa.int64()), *spans.columns, pa.nulls(n, pa.binary())], names=names)
+        yield from last
+        for batch in batches:
+            yield batch.select(names)
+
+    met = cut(marked.repartition("minimizer", salt).sortWithinPartitions("apart", "minimizer").mapInArrow(run_apart, OCCURRENCES))
+    return (met.filter("stop IS NOT NULL").select("doc_id", "text_hash", "start", "stop")
+            .unionByName(_counted(met.filter("stop IS NULL"), window)))
 
 
 CUT = "n_words long, n_removed long, kept string"
@@ -253,6 +302,6 @@ def remove_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
     return joined.select("doc_id", cut_out("text", "__spans").alias("cut")).select("doc_id", "cut.*")
 
 
-def dedup_substrings(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
+def dedup_substrings(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, rows: int = GROUP_ROWS) -> DataFrame:
     """(doc_id, n_words, n_removed, kept) for every row of ``docs``."""
-    return remove_spans(docs, repeated_spans(docs, window, gram))
+    return remove_spans(docs, repeated_spans(docs, window, gram, rows))

@@ -130,3 +130,26 @@ def test_long_component_chain(spark):
     df = spark.createDataFrame([(i, i + 1) for i in range(300)] + [(500, 501)], "u long, v long")
     got = {r.node: r.root for r in components(df).collect()}
     assert got == {**{i: 0 for i in range(1, 301)}, 501: 500}
+
+
+def test_frequent_minimizers_do_not_meet_in_one_task(spark, monkeypatch):
+    """A short phrase in many contexts: its rows are counted window by window, with the same result."""
+    monkeypatch.setattr(U, "CHUNK_WINDOWS", 64)
+    rng = random.Random(3)
+    phrase, shared = "one two three four five six", prose(rng, 30)
+    rows = [(k, " ".join([prose(rng, 9), phrase, prose(rng, 9), shared if k % 7 == 0 else "", phrase])) for k in range(150)]
+    rows += [(200, None), (None, rows[4][1]), (5, rows[5][1])]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5).cache()
+    assert U.frequent(df, 8, 3, rows=20).count() > 0
+    monkeypatch.setattr(U, "_meet", limited(U._meet, 20))
+    got = U.dedup_substrings(df, 8, 3, rows=20).select("doc_id", "n_words", "n_removed", F.sha2("kept", 256))
+    assert sorted(map(tuple, got.collect()), key=str) == brute_substrings(rows, 8)
+
+
+def limited(meet, rows):
+    """``meet`` that refuses more than ``rows`` rows of one minimizer."""
+    def run(table, window):
+        counts = collections.Counter(table.column("minimizer").to_pylist())
+        assert not counts or max(counts.values()) <= rows
+        return meet(table, window)
+    return run
