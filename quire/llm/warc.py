@@ -78,7 +78,8 @@ def _uri(page_id: Column) -> Column:
 def record(planned: DataFrame) -> DataFrame:
     """One string ``value`` per record: headers, blank line and block (without the final separator)."""
     revisit = F.col("record_type") == "revisit"
-    coded = ~revisit & F.contains("html", F.lit(BOUNDARY))
+    # the blank line before the payload and the separator behind it can be part of a boundary
+    coded = ~revisit & F.contains(F.concat(F.lit(END), "html", F.lit(BOUNDARY[:-1])), F.lit(BOUNDARY))
     payload = F.when(revisit, "").when(coded, F.base64(F.col("html").cast("binary"))).otherwise(F.col("html"))
     http = F.concat(F.lit("HTTP/1.1 200 OK" + CRLF + "Content-Type: text/html; charset=utf-8" + CRLF),
                     F.when(coded, "Content-Transfer-Encoding: base64" + CRLF).otherwise(""),

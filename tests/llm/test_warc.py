@@ -54,3 +54,11 @@ def test_empty_table(spark):
     path = tempfile.mkdtemp(prefix="quire-test-") + "/warc"
     W.write_archives(spark.createDataFrame([], SCHEMA), path)
     assert W.capture_history(spark, path).count() == 0
+
+
+def test_boundaries_across_the_edges_of_a_page(spark):
+    rows = [(1, "a", "WARC/1.0\r\nstarts with a version"), (2, "b", "ends with one\r\n\r\nWARC/1.0"), (3, "c", "plain\r\n")]
+    path = tempfile.mkdtemp(prefix="quire-test-") + "/warc"
+    W.write_archives(spark.createDataFrame(rows, SCHEMA).coalesce(1), path)
+    back = W.read_archives(spark, path).collect()
+    assert sorted((r.page_id, r.url, bytes(r.payload).decode()) for r in back) == rows and not any(r.damaged for r in back)
