@@ -127,3 +127,67 @@ SELECT f.doc_id, f.path, own.licence AS own_licence, own.score, coalesce(own.n_u
        coalesce(own.licence, passed.licence) AS licence, CASE WHEN own.licence IS NULL THEN passed.from_directory END AS from_directory
 FROM f LEFT JOIN own ON own.doc_id = f.doc_id LEFT JOIN passed ON passed.directory = regexp_replace(f.path, '/[^/]*$', '')
 """
+
+# op12: texts are equal after lower-casing A-Z; the largest id of a group stays.
+ORACLE["op12_exact_dedup"] = """
+WITH n AS (
+  SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+g AS (SELECT t, max(doc_id) AS keep_id, count(*) AS group_size FROM n GROUP BY t)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_sha256 FROM n JOIN g USING (t)
+"""
+
+# op13: all levels of all trees by plain recursion, siblings by index, the tampered leaf folded level by level.
+ORACLE["op13_merkle_manifest"] = """
+WITH RECURSIVE f AS (
+  SELECT doc_id, lang, coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-')
+           || coalesce(strlen(source) || ':' || source, '-') || coalesce(strlen(lang) || ':' || lang, '-') AS head,
+         CAST(n_chars AS VARCHAR) AS n, CAST(n_chars + 1 AS VARCHAR) AS n1, coalesce(strlen(text) || ':' || text, '-') AS tail
+  FROM documents),
+bytes AS (SELECT DISTINCT doc_id, CAST(doc_id AS VARCHAR) AS s FROM documents),
+crc(doc_id, s, i, k, v) AS (
+  SELECT doc_id, s, CAST(1 AS BIGINT), 0, xor(4294967295, CAST(ascii(s[1]) AS BIGINT)) FROM bytes
+  UNION ALL
+  SELECT doc_id, s, CASE WHEN k = 7 THEN i + 1 ELSE i END, (k + 1) % 8,
+         CASE WHEN k = 7 AND i < length(s) THEN xor(CASE WHEN v % 2 = 1 THEN xor(v // 2, 3988292384) ELSE v // 2 END, CAST(ascii(s[i + 1]) AS BIGINT))
+              ELSE CASE WHEN v % 2 = 1 THEN xor(v // 2, 3988292384) ELSE v // 2 END END
+  FROM crc WHERE i <= length(s)),
+hit AS (SELECT doc_id, xor(v, 4294967295) % 7 = 0 AS tampered FROM crc WHERE i = length(s) + 1),
+leaves AS (
+  SELECT f.doc_id, lang, sha256(head || coalesce(strlen(n) || ':' || n, '-') || tail) AS leaf,
+         sha256(head || coalesce(CASE WHEN tampered THEN strlen(n1) || ':' || n1 ELSE strlen(n) || ':' || n END, '-') || tail) AS claim,
+         row_number() OVER (PARTITION BY lang ORDER BY f.doc_id) - 1 AS idx
+  FROM f JOIN hit ON hit.doc_id = f.doc_id),
+level(lang, l, idx, h) AS (
+  SELECT lang, 0, idx, leaf FROM leaves
+  UNION ALL
+  SELECT lang, any_value(l) + 1, idx // 2, sha256(string_agg(h, '' ORDER BY idx))
+  FROM (SELECT *, count(*) OVER (PARTITION BY lang) AS width FROM level) WHERE width > 1 GROUP BY lang, idx // 2),
+subroots AS (SELECT lang, arg_max(h, l) AS subroot, max(l) AS height FROM level GROUP BY lang),
+tops AS (SELECT *, row_number() OVER (ORDER BY encode(lang) NULLS FIRST) - 1 AS idx FROM subroots),
+top(l, idx, h) AS (
+  SELECT 0, idx, subroot FROM tops
+  UNION ALL
+  SELECT any_value(l) + 1, idx // 2, sha256(string_agg(h, '' ORDER BY idx))
+  FROM (SELECT *, count(*) OVER () AS width FROM top) WHERE width > 1 GROUP BY idx // 2),
+whole AS (SELECT arg_max(h, l) AS root, max(l) AS height FROM top),
+path AS (
+  SELECT leaves.doc_id, level.l AS step, level.h, level.idx < (leaves.idx >> level.l) AS is_left
+  FROM leaves JOIN subroots ON subroots.lang IS NOT DISTINCT FROM leaves.lang
+  JOIN level ON level.lang IS NOT DISTINCT FROM leaves.lang AND level.l < subroots.height AND level.idx = xor(leaves.idx >> level.l, 1)
+  UNION ALL
+  SELECT leaves.doc_id, tops.height + top.l, top.h, top.idx < (tops.idx >> top.l)
+  FROM leaves JOIN tops ON tops.lang IS NOT DISTINCT FROM leaves.lang JOIN whole ON true
+  JOIN top ON top.l < whole.height AND top.idx = xor(tops.idx >> top.l, 1)),
+proof AS (SELECT doc_id, sha256(string_agg(h, '' ORDER BY step)) AS proof_sha256 FROM path GROUP BY doc_id),
+fold(doc_id, step, h) AS (
+  SELECT doc_id, CAST(0 AS BIGINT), claim FROM leaves
+  UNION ALL
+  SELECT fold.doc_id, fold.step + 1, CASE WHEN path.h IS NULL THEN sha256(fold.h) WHEN is_left THEN sha256(path.h || fold.h) ELSE sha256(fold.h || path.h) END
+  FROM fold JOIN leaves ON leaves.doc_id = fold.doc_id JOIN tops ON tops.lang IS NOT DISTINCT FROM leaves.lang JOIN whole ON true
+  LEFT JOIN path ON path.doc_id = fold.doc_id AND path.step = fold.step
+  WHERE fold.step < tops.height + whole.height)
+SELECT leaves.doc_id, leaf, subroot, root, coalesce(proof_sha256, sha256('')) AS proof_sha256, folded.h AS folded_root, folded.h = root AS verified
+FROM leaves JOIN tops ON tops.lang IS NOT DISTINCT FROM leaves.lang JOIN whole ON true
+LEFT JOIN proof ON proof.doc_id = leaves.doc_id
+JOIN (SELECT doc_id, arg_max(h, step) AS h FROM fold GROUP BY doc_id) AS folded ON folded.doc_id = leaves.doc_id
+"""

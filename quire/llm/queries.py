@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import (decontaminate, licenses, mixing, pii, quality_rules, quotes, rule_ensemble, simhash,
+from quire.llm import (align, decontaminate, exact_dedup, licenses, merkle, mixing, pii, quality_rules, quotes, rule_ensemble, simhash,
                        substrings, warc)
 from quire.llm.common import cut, shared_folder, table
 
@@ -88,3 +88,26 @@ def op5_links(spark: SparkSession, d: str) -> DataFrame:
 @query("op9_license_scan")
 def op9(spark: SparkSession, d: str) -> DataFrame:
     return licenses.scan(licenses.as_files(table(spark, d, "documents")))
+
+
+@query("op11_token_alignment")
+def op11(spark: SparkSession, d: str) -> DataFrame:
+    return align.alignment(table(spark, d, "documents"))
+
+
+@query("op12_exact_dedup")
+def op12(spark: SparkSession, d: str) -> DataFrame:
+    found = exact_dedup.duplicates(table(spark, d, "documents"), keep="largest")
+    return found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
+
+
+@query("op13_merkle_manifest")
+def op13(spark: SparkSession, d: str) -> DataFrame:
+    def tampered(field):
+        if field != "n_chars":
+            return F.col(field)
+        hit = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
+        return F.when(hit, (F.col(field).cast("decimal(20,0)") + 1).cast("string")).otherwise(F.col(field).cast("string"))
+
+    proofs = merkle.verified(merkle.manifest_proofs(table(spark, d, "documents"), claimed=tampered))
+    return proofs.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
