@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import json
 import random
 
 import sentencepiece
@@ -106,3 +107,22 @@ def test_invalid_utf8_has_no_tokens(spark):
 def test_texts_of_no_tokens_only(spark):
     df = spark.createDataFrame([(1, None, "en", "a", 0), (2, "", "en", "a", 0)], SCHEMA)
     assert [r[1:7] for r in collected(L.alignment(df))] == [(0,) * 6] * 2
+
+
+def test_ids_are_those_of_the_file_for_every_code_point():
+    a = models()[0]
+    fast = L.ByteLevel(L.A_PATH)
+    points = [chr(c) for c in range(0x110000) if not 0xD800 <= c <= 0xDFFF]
+    for lo in range(0, len(points), 50_000):
+        texts = [f"a{c}b {c}{c} 1{c}1 {c}'s.{c}. \n{c} {c}  x" for c in points[lo:lo + 50_000]]
+        assert fast.encode(texts) == [e.ids for e in a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
+
+
+def test_other_files_use_their_own_library(tmp_path):
+    spec = json.load(open(L.A_PATH, encoding="utf-8"))
+    spec["model"]["merges"] = spec["model"]["merges"][:300][::-1]  # no longer in the order of the ids
+    json.dump(spec, open(tmp_path / "other.json", "w"))
+    a = Tokenizer.from_file(str(tmp_path / "other.json"))
+    texts = ["the other one", "in the end <|endoftext|>"]
+    a.encode_special_tokens = True
+    assert L.ByteLevel(str(tmp_path / "other.json")).encode(texts) == [a.encode(" " + t, add_special_tokens=False).ids for t in texts]
