@@ -50,12 +50,8 @@ HTML_HEADING_LEVEL = {"h1": 1, "h2": 2, "h3": 3, "h4": 4, "h5": 5, "h6": 6}
 # Document scaffolding and head tags that never become nodes.
 HTML_SKIP_TAGS = ["html", "head", "body", "meta", "link", "base", "title"]
 
-# Structural rank of each HTML node type for the container rule: a node's parent
-# is the nearest earlier node of a smaller rank.  Leaves take rank 5.
-HTML_TYPE_RANK = {
-    "section": 1, "list": 2, "table": 2, "list_item": 3, "table_row": 3, "table_cell": 4,
-}
-HTML_LEAF_RANK = 5
+# HTML node types that hold other nodes; all others are leaves.
+HTML_CONTAINERS = ["section", "list", "list_item", "table", "table_row", "table_cell"]
 
 
 def literal_map(d: dict) -> Column:

@@ -2,11 +2,8 @@
 
 Two builders with the same output:
 
-* ``html_nodes``: HTML pages.  Tokens get a structural rank (section 1,
-  list/table 2, item/row 3, cell 4, leaf 5) and a token's parent is the nearest
-  earlier token of smaller rank.  That is a stack discipline, so document order
-  *is* preorder, and parent, depth and subtree end all follow from running
-  max/min per rank in one window pass: one exchange on doc_id.
+* ``html_nodes``: HTML pages, whose trees ``sources/html.py`` numbers inside the
+  row (document order is preorder): no exchange.
 * ``tagged_nodes``: any structure-element table (PDF-like ``/P``, ``/Table`` …)
   in any row order.  Preorder comes from the path of
   sibling positions (pointer doubling), then ``row_number`` by path.
@@ -22,73 +19,39 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quire.functions.tags import (HTML_HEADING_LEVEL, HTML_LEAF_RANK, HTML_TAG_MAP, HTML_TYPE_RANK,
-                                  PDF_HEADING_LEVEL, PDF_TAG_MAP, heading_level, literal_map, map_tag)
-from quire.functions.text import SCHEMA_VERSION, node_id, py_strip
+from quire.functions.tags import HTML_HEADING_LEVEL, HTML_TAG_MAP, PDF_HEADING_LEVEL, PDF_TAG_MAP, heading_level, map_tag
+from quire.functions.text import SCHEMA_VERSION, node_id, py_strip, source_hash_of_text
 from quire.operators.nodes import Built, explode_nodes, node_struct
+from quire.schemas import BBOX
 from quire.session import checkpoint_dir
-from quire.sources.html import html_tokens, unescape
-
-_RANKS = range(1, HTML_LEAF_RANK)
+from quire.sources.html import html_trees, unescape
 
 
 def html_nodes(pages: DataFrame) -> Built:
-    """HTML ``pages(page_id, url, html)`` -> tagged ``nodes`` and ``docs``."""
-    tk = html_tokens(pages)
-    docs = tk.select("doc_id", F.lit(SCHEMA_VERSION).alias("schema_version"), "source_hash",
-                     F.lit(1).alias("page_count"), F.lit(False).alias("is_heuristic"))
-    x = tk.select("doc_id", "source_hash", F.size("tokens").alias("n"),
-                  F.posexplode_outer("tokens").alias("pos", "tok"))
-    ntype = map_tag(F.col("tok.tag"), HTML_TAG_MAP)
-    x = x.select("doc_id", "source_hash", "n", "pos", F.col("tok.tag").alias("tag"),
-                 F.col("tok.text").alias("raw"), ntype.alias("node_type"),
-                 F.coalesce(F.try_element_at(literal_map(HTML_TYPE_RANK), ntype),
-                            F.lit(HTML_LEAF_RANK)).alias("rank"))
-    w = Window.partitionBy("doc_id").orderBy("pos")
-    prev = w.rowsBetween(Window.unboundedPreceding, -1)
-    # "Following" rows are read as "preceding" in descending order: running
-    # frames are incremental, while a frame ending at UNBOUNDED FOLLOWING is
-    # re-evaluated for every row (quadratic in the page's token count).
-    nxt = Window.partitionBy("doc_id").orderBy(F.col("pos").desc()).rowsBetween(Window.unboundedPreceding, -1)
-    rank, pos = F.col("rank"), F.col("pos")
-    # L_r: last earlier token of rank r; M_r: first later token of rank <= r.
-    x = x.select("*", *[F.max(F.when(rank == r, pos)).over(prev).alias(f"l{r}") for r in _RANKS])
-    x = x.select("*", *[F.min(F.when(rank <= r, pos)).over(nxt).alias(f"m{r}") for r in _RANKS])
-    parent_pos = F.greatest(*[F.when(rank > r, F.col(f"l{r}")) for r in _RANKS])
-    depth = F.lit(1)
-    for r in _RANKS:
-        below = F.coalesce(F.greatest(*[F.col(f"l{q}") for q in range(1, r)], F.lit(-1)), F.lit(-1)) \
-            if r > 1 else F.lit(-1)
-        depth = depth + F.when((rank > r) & (F.col(f"l{r}") > below), 1).otherwise(0)
-    m_own = F.coalesce(*[F.when(rank == r, F.col(f"m{r}")) for r in _RANKS])
-    last_pos = F.when(rank == HTML_LEAF_RANK, pos).otherwise(F.coalesce(m_own - 1, F.col("n") - 1))
-    x = x.select("doc_id", "source_hash", "n", "pos", "tag", "raw", "node_type",
-                 parent_pos.alias("parent_pos"), depth.alias("depth"), last_pos.alias("last_pos"))
-    # Siblings share (doc_id, parent_pos); the doc_id partitioning already
-    # clusters them, so these windows add a sort, not an exchange.
-    ws = Window.partitionBy("doc_id", "parent_pos")
-    x = x.withColumn("child_pos", F.row_number().over(ws.orderBy("pos")) - 1).withColumn(
-        "sib_count", F.count(F.lit(1)).over(ws))
-    # In preorder a node's first child is the next token, so its children count
-    # is that token's sibling count.
-    nxt_parent, nxt_sib = F.lead("parent_pos").over(w), F.lead("sib_count").over(w)
-    x = x.withColumn("children_count", F.when(nxt_parent == pos, nxt_sib).otherwise(F.lit(0)))
-    src = F.col("source_hash")
-    wrap_id = node_id(src, F.lit(0), F.col("n"))
-    own_id = node_id(src, F.lit(0), pos)
-    par_id = F.when(F.col("parent_pos").isNull(), wrap_id).otherwise(node_id(src, F.lit(0), F.col("parent_pos")))
-    text = F.when(F.col("children_count") == 0, F.nullif(py_strip(unescape(F.col("raw"))), F.lit("")))
-    top = F.when(pos.isNull(), F.lit(0)).otherwise(F.col("sib_count"))
-    wrapper = node_struct(wrap_id, None, 0, F.col("n"), 0, 0, "document", 0,
-                          heuristic=False, children_count=top)
-    own = node_struct(own_id, par_id, pos + 1, F.col("last_pos") + 1, F.col("depth"),
-                      F.col("child_pos"), F.col("node_type"), 0, text_content=text,
-                      level=heading_level(F.col("tag"), HTML_HEADING_LEVEL), struct_type=F.col("tag"),
-                      heuristic=False, children_count=F.col("children_count"))
-    first = pos.isNull() | (pos == 0)
-    arr = F.concat(F.filter(F.array(wrapper), lambda _: first),
-                   F.filter(F.array(own), lambda _: pos.isNotNull()))
-    return Built(explode_nodes(x, arr), docs)
+    """HTML ``pages(page_id, url, html)`` -> tagged ``nodes`` and ``docs``.
+
+    Every page is wrapped in a document node.  Null and empty pages are bare
+    documents; repeated page ids give a tree each.
+    """
+    docs = pages.select(F.col("page_id").cast("bigint").alias("doc_id"), F.lit(SCHEMA_VERSION).alias("schema_version"),
+                        source_hash_of_text("html").alias("source_hash"), F.lit(1).alias("page_count"), F.lit(False).alias("is_heuristic"))
+    x = html_trees(pages).select("doc_id", "source_hash", F.size("tree").alias("n"), F.posexplode_outer("tree").alias("pre", "t"))
+    x = x.select("doc_id", "source_hash", (F.col("n") - 1).alias("n"), "pre", "t.*")
+    src, root = F.col("source_hash"), F.col("pre") == 0
+
+    def nid(place):
+        """The root has the last sequence number, the others count from 0."""
+        return node_id(src, F.lit(0), F.when(place == 0, F.col("n")).otherwise(place - 1))
+
+    no_box = F.lit(None).cast(BBOX)
+    nodes = x.select(
+        "doc_id", nid(F.col("pre")).alias("node_id"), F.when(~root, nid(F.col("parent"))).alias("parent_id"), "pre", "last", "depth",
+        "child_pos", F.when(root, F.lit("document")).otherwise(map_tag("tag", HTML_TAG_MAP)).alias("node_type"),
+        F.lit(0).alias("page_index"),
+        F.when((F.col("children_count") == 0) & ~root, F.nullif(py_strip(unescape("raw")), F.lit(""))).alias("text_content"),
+        heading_level("tag", HTML_HEADING_LEVEL).alias("level"), F.col("tag").alias("struct_type"), F.lit(False).alias("heuristic"),
+        F.lit(None).cast("int").alias("mcid"), no_box.alias("bbox"), "children_count")
+    return Built(nodes, docs)
 
 
 def _walk(el: DataFrame) -> DataFrame:

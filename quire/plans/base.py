@@ -31,7 +31,7 @@ def conv_built(spark: SparkSession, sf_dir: str, start: int | None = None, end:
     return heuristic_nodes_long(conv_pages(spark, sf_dir), PARA_DELIM, start, end)
 
 
-def docs_wide(spark: SparkSession, sf_dir: str, lines_per_page: int | None = None, partition_by_doc: bool = True) -> DataFrame:
+def docs_wide(spark: SparkSession, sf_dir: str, lines_per_page: int | None = None, partition_by_doc: bool = False) -> DataFrame:
     return documents_wide(table(spark, sf_dir, "documents"), lines_per_page, partition_by_doc)
 
 

@@ -241,46 +241,77 @@ FROM (SELECT DISTINCT doc_id, page_count FROM doc_pg)"""
 # -- tagged HTML corpus -------------------------------------------------------------
 
 def _html_sql() -> str:
-    from quire.functions.tags import HTML_HEADING_LEVEL, HTML_SKIP_TAGS, HTML_TAG_MAP, HTML_TYPE_RANK
-    from quire.sources.html import RE_DROP_BLOCKS, RE_INLINE_TAGS, RE_TOKEN
-    ntype = "CASE tag " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in HTML_TAG_MAP.items()) + " ELSE 'artifact' END"
-    rank = "CASE node_type " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in HTML_TYPE_RANK.items()) + " ELSE 5 END"
-    level = "CASE n.tag " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in HTML_HEADING_LEVEL.items()) + " END"
-    skip = ", ".join(f"'{t}'" for t in HTML_SKIP_TAGS)
+    """Trees by a recursive walk that carries the stack of open containers token by token; all rules spelt out."""
+    types = {"heading": "'h1','h2','h3','h4','h5','h6'", "paragraph": "'p','#text'", "list": "'ul','ol'", "list_item": "'li'", "table": "'table'",
+             "table_row": "'tr'", "table_cell": "'td','th'", "section": "'nav','div','article','section','footer'", "figure": "'figure'", "code": "'pre'"}
+    ntype = "CASE " + " ".join(f"WHEN tag IN ({v}) THEN '{k}'" for k, v in types.items()) + " ELSE 'artifact' END"
+    level = "CASE WHEN n.tag IN ('h1','h2','h3','h4','h5','h6') THEN CAST(n.tag[2:2] AS INTEGER) END"
+    skip = "'html','head','body','meta','link','base','title','/html','/head','/body','/meta','/link','/base','/title'"
     unesc = "raw"
     for ent, ch in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&amp;", "&")):
         unesc = f"replace({unesc}, '{ent}', '{ch}')"
+
+    def top(*kinds: str) -> str:
+        names = ", ".join(f"'{k}'" for k in kinds)
+        return f"coalesce(list_max(list_filter(range(1, len(st) + 1), lambda j: st[j].kind IN ({names}))), 0)"
+
+    same_tag = "coalesce(list_max(list_filter(range(1, len(st) + 1), lambda j: st[j].tag = substr(tg, 2))), 0)"
     return f"""
 hp AS (
   SELECT page_id AS doc_id, {src_hash('html')} AS source_hash,
-         regexp_replace(regexp_replace(coalesce(html, ''), '{RE_DROP_BLOCKS}', '', 'g'),
-                        '{RE_INLINE_TAGS}', '', 'g') AS c
+         regexp_replace(coalesce(html, ''), '(?is)<script\\b.*?</script>|<style\\b.*?</style>|<!--.*?-->', '', 'g') AS c0
   FROM pages),
+hp1 AS (
+  SELECT doc_id, source_hash, regexp_replace(regexp_replace(c0, '<([^A-Za-z/!?]|$)', '&lt;\\1', 'g'), '<([^A-Za-z/!?]|$)', '&lt;\\1', 'g') AS c1 FROM hp),
+hp2 AS (
+  SELECT doc_id, source_hash, regexp_replace(regexp_replace(regexp_replace(c1, '(?i)</?(?:b|i|a|br|em|strong|span)\\b[^>]*>', '', 'g'),
+           '<[!?][^>]*>|</>|</[^A-Za-z>][^>]*>', '', 'g'), '(<[A-Za-z][A-Za-z0-9]*)_', '\\1-', 'g') AS c2 FROM hp1),
+hp3 AS (
+  SELECT doc_id, source_hash, concat(substr(c2, 1, length(c2) - length(string_split(c2, '>')[-1])), replace(string_split(c2, '>')[-1], '<', '&lt;')) AS c FROM hp2),
 hx AS (
-  SELECT doc_id, source_hash, regexp_extract_all(c, '{RE_TOKEN}', 1) AS tg,
-         regexp_extract_all(c, '{RE_TOKEN}', 2) AS tx FROM hp),
+  SELECT doc_id, source_hash, regexp_extract_all('<body>' || c, '<(/?[A-Za-z][A-Za-z0-9]*)\\b[^>]*>([^<]*)', 1) AS tg,
+         regexp_extract_all('<body>' || c, '<(/?[A-Za-z][A-Za-z0-9]*)\\b[^>]*>([^<]*)', 2) AS tx FROM hp3),
 h0 AS (
-  SELECT doc_id, source_hash, lower(tg[i]) AS tag, tx[i] AS raw, i
+  SELECT doc_id, source_hash, i, CASE WHEN lower(tg[i]) IN ({skip}) THEN '' ELSE lower(tg[i]) END AS tag,
+         CASE WHEN lower(tg[i]) = 'title' THEN '' ELSE tx[i] END AS raw
   FROM (SELECT *, unnest(range(1, len(tg) + 1)) AS i FROM hx)),
-h1 AS (
-  SELECT doc_id, source_hash, CASE WHEN tag = '' OR tag IN ({skip}) THEN '#text' ELSE tag END AS tag, raw, i FROM h0
-  WHERE tag <> 'title' AND ((tag <> '' AND tag NOT IN ({skip})) OR trim({unesc}, {WS}) <> '')),
-h2 AS (SELECT *, {ntype} AS node_type FROM h1),
-h3 AS (SELECT *, {rank} AS rank FROM h2),
-h4 AS (SELECT *, coalesce(lead(rank) OVER (PARTITION BY doc_id ORDER BY i) > rank AND trim({unesc}, {WS}) <> '', FALSE) AS own FROM h3),
+h1 AS (SELECT *, trim({unesc}, {WS}) <> '' AS has, CASE WHEN tag LIKE '/%' THEN '' ELSE {ntype} END AS kind,
+              CASE WHEN tag LIKE '/%' THEN (SELECT {ntype} FROM (SELECT substr(x.tag, 2) AS tag)) ELSE '' END AS ends FROM h0 AS x),
+hw(doc_id, i, tg, has, raw, st, up) AS (
+  SELECT doc_id, CAST(0 AS BIGINT), '', FALSE, '', CAST([] AS STRUCT(key BIGINT, tag VARCHAR, kind VARCHAR)[]), CAST(NULL AS BIGINT)
+  FROM (SELECT DISTINCT doc_id FROM h0)
+  UNION ALL
+  SELECT doc_id, i, tg, has, raw,
+         CASE WHEN kind IN ('section', 'list', 'list_item', 'table', 'table_row', 'table_cell') AND tg <> ''
+              THEN list_append(st[1:keep], {{'key': 2 * i, 'tag': tg, 'kind': kind}}) ELSE st[1:keep] END,
+         CASE WHEN keep > 0 THEN st[keep].key END
+  FROM (
+    SELECT doc_id, i, tg, has, raw, kind, st, CASE
+      WHEN ends IN ('section', 'list') AND {same_tag} > {top('table', 'table_cell')} THEN {same_tag} - 1
+      WHEN ends = 'list_item' AND {same_tag} > {top('list', 'table', 'table_cell')} THEN {same_tag} - 1
+      WHEN ends IN ('table_row', 'table_cell') AND {same_tag} > {top('table')} THEN {same_tag} - 1
+      WHEN ends = 'table' AND {same_tag} > 0 THEN {same_tag} - 1
+      WHEN kind = 'list_item' AND {top('list_item')} > {top('list', 'table', 'table_cell')} THEN {top('list_item')} - 1
+      WHEN kind = 'table_row' AND {top('table')} > 0 THEN {top('table')}
+      WHEN kind = 'table_row' AND {top('table_row')} > 0 THEN {top('table_row')} - 1
+      WHEN kind = 'table_row' AND {top('table_cell')} > 0 THEN {top('table_cell')} - 1
+      WHEN kind = 'table_cell' AND {top('table', 'table_row')} > 0 THEN {top('table', 'table_row')}
+      WHEN kind = 'table_cell' AND {top('table_cell')} > 0 THEN {top('table_cell')} - 1
+      ELSE len(st) END AS keep
+    FROM (SELECT h1.doc_id, h1.i, h1.tag AS tg, h1.has, h1.raw, h1.kind, h1.ends, hw.st
+          FROM hw JOIN h1 ON h1.doc_id = hw.doc_id AND h1.i = hw.i + 1))),
+hv AS (
+  SELECT doc_id, 2 * i AS key, up, tg AS tag, raw FROM hw WHERE tg <> '' AND tg NOT LIKE '/%'
+  UNION ALL SELECT doc_id, 2 * i + 1, up, '#text', raw FROM hw WHERE has AND (tg = '' OR tg LIKE '/%')
+  UNION ALL SELECT doc_id, 2 * i + 1, 2 * i, '#text', raw FROM hw WHERE has AND len(st) > 0 AND st[-1].key = 2 * i),
+hu AS (
+  SELECT v.* FROM hv v LEFT JOIN (SELECT doc_id, up, count(*) AS k FROM hv GROUP BY doc_id, up) s ON s.doc_id = v.doc_id AND s.up = v.up
+  WHERE NOT (v.key % 2 = 1 AND v.up IS NOT DISTINCT FROM v.key - 1 AND s.k = 1)),
 ht AS (
-  SELECT doc_id, source_hash, tag, CASE WHEN own THEN '' ELSE raw END AS raw, 2 * i AS i FROM h4
-  UNION ALL SELECT doc_id, source_hash, '#text', raw, 2 * i + 1 FROM h4 WHERE own),
-hk AS (
-  SELECT doc_id, source_hash, tag, raw,
-         CAST(row_number() OVER (PARTITION BY doc_id ORDER BY i) - 1 AS INTEGER) AS pos, {ntype} AS node_type
-  FROM ht),
-hr AS (SELECT *, {rank} AS rank FROM hk),
-hpar AS (
-  SELECT a.doc_id, a.pos, max(b.pos) AS parent_pos
-  FROM hr a LEFT JOIN hr b ON a.doc_id = b.doc_id AND b.pos < a.pos AND b.rank < a.rank
-  GROUP BY a.doc_id, a.pos),
-hn AS (SELECT hr.*, hpar.parent_pos FROM hr JOIN hpar ON hr.doc_id = hpar.doc_id AND hr.pos = hpar.pos),
+  SELECT doc_id, key, up, tag, raw, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY key) - 1 AS INTEGER) AS pos FROM hu),
+hn AS (
+  SELECT a.doc_id, hp.source_hash, a.tag, a.raw, a.pos, {ntype.replace('tag IN', 'a.tag IN')} AS node_type, b.pos AS parent_pos
+  FROM ht a JOIN hp ON hp.doc_id = a.doc_id LEFT JOIN ht b ON b.doc_id = a.doc_id AND b.key = a.up),
 hanc AS (
   SELECT doc_id, pos, parent_pos AS a FROM hn WHERE parent_pos IS NOT NULL
   UNION ALL

@@ -38,25 +38,31 @@ def load_files(spark: SparkSession, path: str, glob: str = "*.pdf") -> DataFrame
             .select("path", "length", "content"))
 
 
-def documents_wide(documents: DataFrame, lines_per_page: int | None = None,
-                   partition_by_doc: bool = True) -> DataFrame:
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Deal the rows of an input with fewer splits than cores over all cores, by ``key``.
+
+    An input with enough splits is read where it lies: row-local work needs no
+    shuffle of the raw texts.
+    """
+    if df.isStreaming or df.rdd.getNumPartitions() >= df.sparkSession.sparkContext.defaultParallelism:
+        return df
+    return df.repartition(key)
+
+
+def documents_wide(documents: DataFrame, lines_per_page: int | None = None, partition_by_doc: bool = False) -> DataFrame:
     """A2 for one-row documents: ``(doc_id, source, pages)``.
 
     Without ``lines_per_page`` a document is one page.  With it, page ``p``
     holds lines ``p*N .. p*N+N-1`` joined by newline; the split stays inside the
     row (no explode).
 
-    ``partition_by_doc`` hash-partitions the documents by doc_id (one shuffle of
-    the raw rows, sized by ``spark.sql.shuffle.partitions`` and AQE).  Every
-    per-document window or aggregate over the resulting nodes then reuses that
-    partitioning instead of shuffling node rows, and the per-row parsing
-    spreads over all tasks even when the input has few splits.  Turn it off for
-    purely row-local work over a well-split input.
+    The pages are made inside the row, without a shuffle; only an input with fewer
+    splits than cores is dealt out (``spread``).  ``partition_by_doc`` hash-partitions
+    the raw rows by doc_id instead, for many per-document windows that follow.
     """
     x = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"),
                          F.coalesce(F.col("text"), F.lit("")).alias("source"))
-    if partition_by_doc:
-        x = x.repartition("doc_id")
+    x = x.repartition("doc_id") if partition_by_doc else spread(x, "doc_id")
     if lines_per_page is None:
         return x.select("doc_id", "source", F.array("source").alias("pages"))
     n = int(lines_per_page)

@@ -79,16 +79,71 @@ def test_html_container_rule(spark):
     got = rows(html_nodes(html_df(spark, {1: h})).nodes, ["pre"])
     kinds = [(r["node_type"], r["depth"]) for r in got]
     assert kinds == [("document", 0), ("section", 1), ("table", 2), ("table_row", 3), ("table_cell", 4),
-                     ("table_cell", 4), ("table_row", 3), ("paragraph", 4), ("table_row", 3), ("table_cell", 4),
-                     ("list", 2), ("list_item", 3), ("paragraph", 4), ("paragraph", 4), ("artifact", 4)]
-    # the item's own text is kept beside what follows in it
-    assert [r["text_content"] for r in got[11:]] == [None, "i", "after", "z"]
+                     ("table_cell", 4), ("table_row", 3), ("paragraph", 3), ("table_row", 3), ("table_cell", 4),
+                     ("list", 1), ("list_item", 2), ("paragraph", 1), ("artifact", 1)]
+    assert [r["text_content"] for r in got[10:]] == [None, "i", "after", "z"]
     by_pre = {r["pre"]: r for r in got}
-    assert by_pre[7]["parent_id"] == by_pre[6]["node_id"]          # p between rows -> the open row
-    # Closing tags are ignored: only a token of rank <= 1 closes the <div>.
-    assert by_pre[10]["parent_id"] == by_pre[1]["node_id"]
-    assert by_pre[2]["last"] == 9 and by_pre[1]["last"] == 14
-    assert by_pre[0]["children_count"] == 1 and by_pre[1]["children_count"] == 2
+    assert by_pre[7]["parent_id"] == by_pre[2]["node_id"]          # p between rows -> the table
+    assert by_pre[2]["last"] == 9 and by_pre[1]["last"] == 9
+    assert by_pre[0]["children_count"] == 4 and by_pre[1]["children_count"] == 1
+
+
+def outline_of(spark, html):
+    """Indented `tag:text` lines of one page."""
+    return ["  " * (r["depth"] - 1) + f"{r['struct_type']}:{r['text_content'] or ''}"
+            for r in rows(html_nodes(html_df(spark, {1: html})).nodes, ["pre"])[1:]]
+
+
+def test_html_containers_close_with_their_tags(spark):
+    assert outline_of(spark, "<nav><ul><li>a<li>b</ul></nav><h1>T</h1>") == ["nav:", "  ul:", "    li:a", "    li:b", "h1:T"]
+    # an inner table does not take the outer row's next cell
+    assert outline_of(spark, "<table><tr><td>1<table><tr><td>in</table><td>2</table>tail") == [
+        "table:", "  tr:", "    td:", "      #text:1", "      table:", "        tr:", "          td:in", "    td:2", "#text:tail"]
+    # rows and cells without end tags, and a closing tag meant for nothing open
+    assert outline_of(spark, "<table><tr><td>1<td>2<tr><td>3</div></table></li><p>x") == [
+        "table:", "  tr:", "    td:1", "    td:2", "  tr:", "    td:3", "p:x"]
+    # a closing tag inside a cell closes nothing outside of it; an outer one closes all within
+    assert outline_of(spark, "<div><table><tr><td><div>a</div></div>b</td></tr></table></div>c") == [
+        "div:", "  table:", "    tr:", "      td:", "        div:a", "        #text:b", "#text:c"]
+    assert outline_of(spark, "<div><ul><li>a</div>b") == ["div:", "  ul:", "    li:a", "#text:b"]
+    # nested lists: an item of the inner list does not end the outer one
+    assert outline_of(spark, "<ul><li>a<ol><li>b</li><li>c</ol>d</li><li>e</ul>") == [
+        "ul:", "  li:", "    #text:a", "    ol:", "      li:b", "      li:c", "    #text:d", "  li:e"]
+
+
+def test_html_trees_match_the_sql_twin_on_random_tag_soup(spark, tmp_path):
+    import random
+
+    import duckdb
+
+    from quire.plans.base import node_rows
+    from quire.plans.oracle import ORACLE
+    rng = random.Random(8)
+    names = ["div", "ul", "ol", "li", "table", "tr", "td", "th", "p", "h2", "section", "code", "b", "title", "body", "BR", "Div"]
+
+    def piece():
+        t = rng.choice(names)
+        return rng.choice([f"<{t}>", f"<{t}>", f"</{t}>", f"</{t}>", f"<{t} a='1'>", " ", "word", "x &amp;lt; y", "<!-- <p> -->", "<!x>", "</>", "a < b ", "</1>"])
+
+    pages = [(k, "u", "".join(piece() for _ in range(rng.randrange(60)))) for k in range(300)] + [(1000, "u", None), (1001, "u", "")]
+    df = spark.createDataFrame(pages, "page_id BIGINT, url STRING, html STRING")
+    path = str(tmp_path / "pages.parquet")
+    df.write.parquet(path)
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM read_parquet('{path}/*.parquet')")
+    want = con.execute(ORACLE["html_nodes"]).fetchdf()
+    got = node_rows(html_nodes(spark.read.parquet(path)).nodes).toPandas()
+    key = ["doc_id", "pre"]
+    for frame in (want, got):
+        frame.sort_values(key, inplace=True, ignore_index=True)
+    for c in want.columns:
+        assert want[c].astype(object).where(want[c].notna(), None).tolist() == got[c].astype(object).where(got[c].notna(), None).tolist(), c
+
+
+def test_html_deep_page(spark):
+    """10,000 levels, linear in the page."""
+    got = rows(html_nodes(html_df(spark, {1: "<div>" * 10_000 + "x"})).nodes, ["pre"])
+    assert len(got) == 10_001 and got[-1]["depth"] == 10_000 and got[-1]["text_content"] == "x" and got[0]["last"] == 10_000
 
 
 def test_html_empty_page(spark):
