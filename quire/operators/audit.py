@@ -90,8 +90,13 @@ def check_accessibility(nodes: DataFrame) -> DataFrame:
 
 
 def accessibility_summary(findings: DataFrame, docs: DataFrame, conformance_target: str = "PDF/UA-1") -> DataFrame:
-    """I1 response per document: ``conformance_target``, ``issue_count`` and ``passed``."""
-    c = findings.groupBy("doc_id").agg(F.count(F.lit(1)).alias("issue_count"))
+    """I1 response per document: ``conformance_target``, ``issue_count`` and ``passed``.
+
+    The target names the rules that count (``STANDARD_RULES``); an unknown one raises.
+    """
+    if conformance_target not in STANDARD_RULES:
+        raise ValueError(f"unknown conformance target: {conformance_target}")
+    c = findings.filter(F.col("rule_id").isin(STANDARD_RULES[conformance_target])).groupBy("doc_id").agg(F.count(F.lit(1)).alias("issue_count"))
     return docs.select("doc_id").join(c, "doc_id", "left").select(
         "doc_id", F.lit(conformance_target).alias("conformance_target"),
         F.coalesce("issue_count", F.lit(0)).cast("bigint").alias("issue_count"),
@@ -109,14 +114,48 @@ def compliance_violations(findings: DataFrame, standards: list[str]) -> DataFram
                            "page_index", "node_id", "description")
 
 
-def forensic_report(pages: DataFrame) -> DataFrame:
+def _checks(names: list[str] | None) -> dict:
+    """The named forensic checks, all by default; an unknown name raises."""
+    unknown = [c for c in names or [] if c not in FORENSIC_CHECKS]
+    if unknown:
+        raise ValueError(f"unknown checks: {', '.join(unknown)}")
+    return {c: v for c, v in FORENSIC_CHECKS.items() if names is None or c in names}
+
+
+SNIPPET_CHARS = 40  # text shown behind a match
+
+
+def forensic_evidence(pages: DataFrame, checks: list[str] | None = None) -> DataFrame:
+    """I3 evidence: one row per match with its place: ``(finding_id, doc_id, category, severity, match_no,
+    start, stop, snippet)``.
+
+    Places are code points from 0, ``stop`` exclusive; the snippet is the match and up to 40 characters behind it,
+    not past the next match.  A match starts after all gaps and matches before it: running sums over the matches
+    of one page and category, the only rows that are shuffled.
+    """
+    html = F.coalesce(F.col("html"), F.lit(""))
+    per = F.array(*[F.struct(F.lit(c).alias("category"), F.lit(sev).alias("severity"), F.regexp_extract_all(html, F.lit(p), 0).alias("hits"),
+                             F.split(html, p).alias("gaps")) for c, (p, sev, _) in _checks(checks).items()])
+    x = pages.select(F.col("page_id").cast("bigint").alias("doc_id"), F.monotonically_increasing_id().alias("row"), F.inline_outer(per))
+    pieces = F.transform("hits", lambda h, i: F.struct(
+        i.alias("i"), F.length(F.get("gaps", i)).alias("gap"), F.length(h).alias("n"),
+        F.concat(h, F.left(F.coalesce(F.get("gaps", i + 1), F.lit("")), F.lit(SNIPPET_CHARS))).alias("snippet")))
+    x = x.select("doc_id", "row", "category", "severity", pieces.alias("pieces"))
+    x = x.select("doc_id", "row", "category", "severity", F.inline_outer("pieces")).filter(F.col("i").isNotNull())
+    upto = Window.partitionBy("row", "category").orderBy("i")
+    stop = F.sum(F.col("gap") + F.col("n")).over(upto)
+    return x.select(F.concat_ws(":", F.col("doc_id").cast("string"), "category").alias("finding_id"), "doc_id", "category", "severity",
+                    F.col("i").alias("match_no"), (stop - F.col("n")).cast("int").alias("start"), stop.cast("int").alias("stop"), "snippet")
+
+
+def forensic_report(pages: DataFrame, checks: list[str] | None = None) -> DataFrame:
     """I3 response rows: ``finding_id`` (document and category), ``checks`` run, ``description`` and ``evidence``
-    next to the columns of ``forensic_scan``."""
-    checks = F.array(*[F.lit(c) for c in FORENSIC_CHECKS])
-    return forensic_scan(pages).select(
+    next to the columns of ``forensic_scan``.  ``checks`` names the checks to run (default: all)."""
+    names = F.array(*[F.lit(c) for c in _checks(checks)])
+    return forensic_scan(pages, checks).select(
         F.concat_ws(":", F.col("doc_id").cast("string"), "category").alias("finding_id"), "doc_id", "category", "severity",
         F.concat(F.col("evidence_count").cast("string"), F.lit(" markers of "), F.col("category")).alias("description"),
-        F.create_map(F.lit("count"), F.col("evidence_count").cast("string")).alias("evidence"), checks.alias("checks"), "risk_score")
+        F.create_map(F.lit("count"), F.col("evidence_count").cast("string")).alias("evidence"), names.alias("checks"), "risk_score")
 
 
 def compliance_check(findings: DataFrame, docs: DataFrame, standards: list[str] | None = None) -> DataFrame:
@@ -141,17 +180,17 @@ def compliance_check(findings: DataFrame, docs: DataFrame, standards: list[str]
         (F.coalesce("violation_count", F.lit(0)) == 0).alias("passed"), "pages_processed")
 
 
-def forensic_scan(pages: DataFrame) -> DataFrame:
+def forensic_scan(pages: DataFrame, checks: list[str] | None = None) -> DataFrame:
     """One finding per (document, category) with matches in the raw HTML:
     ``(doc_id, category, severity, evidence_count, risk_score)``, where
     ``risk_score = min(1, sum of the weights of the categories found)``.
     Row-at-a-time regex counts: no shuffle.
     """
-    checks = F.array(*[F.struct(F.lit(c).alias("category"), F.lit(sev).alias("severity"),
-                                F.lit(float(wt)).alias("weight"),
-                                F.regexp_count(F.coalesce(F.col("html"), F.lit("")), F.lit(p)).alias("n"))
-                       for c, (p, sev, wt) in FORENSIC_CHECKS.items()])
-    found = F.filter(checks, lambda x: x["n"] > 0)
+    counted = F.array(*[F.struct(F.lit(c).alias("category"), F.lit(sev).alias("severity"),
+                                 F.lit(float(wt)).alias("weight"),
+                                 F.regexp_count(F.coalesce(F.col("html"), F.lit("")), F.lit(p)).alias("n"))
+                        for c, (p, sev, wt) in _checks(checks).items()])
+    found = F.filter(counted, lambda x: x["n"] > 0)
     risk = F.least(F.lit(1.0), F.aggregate(found, F.lit(0.0), lambda a, x: a + x["weight"]))
     x = pages.select(F.col("page_id").cast("bigint").alias("doc_id"), found.alias("found"), risk.alias("risk_score"))
     return x.select("doc_id", "risk_score", F.explode_outer("found").alias("f")).filter(F.col("f").isNotNull()).select(

@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.operators.cited import cited_text
-from quire.operators.heuristic import heuristic_nodes_wide
+from quire.operators.heuristic import wide_stats
 from quire.sources.corpus import DEFAULT_MAX_FILE_SIZE, DEFAULT_MAX_PAGES, gate
 
 
@@ -14,24 +13,23 @@ def batch_outcome(wide: DataFrame, delim: str = "\n\n", max_file_size: int = DEF
                   max_pages: int = DEFAULT_MAX_PAGES) -> DataFrame:
     """K1: every document gets ``status``/``reason``; accepted ones their block count.
 
-    A rejected document never fails the job (the batch keeps going).  The
-    block counts aggregate partially per task before their shuffle and meet
-    the one-row-per-document status table in one join.
+    A rejected document never fails the job (the batch keeps going).  Blocks are
+    counted inside the row (``wide_stats``): one scan, no nodes, no shuffle.
     """
-    sized = wide.withColumn("n_bytes", F.octet_length("source").cast("bigint")).withColumn(
-        "page_count", F.size("pages"))
+    sized = wide.withColumn("n_bytes", F.octet_length("source").cast("bigint")).withColumn("page_count", F.size("pages"))
     gated = gate(sized, max_file_size=max_file_size, max_pages=max_pages)
-    ok = gated.filter(F.col("status") == "ok").select("doc_id", "source", "pages")
-    counts = cited_text(heuristic_nodes_wide(ok, delim).nodes).groupBy("doc_id").agg(
-        F.count(F.lit(1)).alias("n_blocks"))
-    out = gated.select("doc_id", "status", "reason", "n_bytes", "page_count").join(counts, "doc_id", "left")
-    return out.withColumn("n_blocks", F.when(F.col("status") == "ok",
-                                             F.coalesce("n_blocks", F.lit(0)).cast("bigint")))
-
-
-def metering(nodes: DataFrame, docs: DataFrame) -> DataFrame:
-    """K2: one row: documents, pages processed (sum of page counts), blocks."""
-    d = docs.agg(F.count(F.lit(1)).alias("documents"),
-                 F.sum("page_count").cast("bigint").alias("pages_processed")).withColumn("_k", F.lit(1))
-    n = nodes.agg(F.count(F.when(F.length("text_content") > 0, F.lit(1))).alias("blocks")).withColumn("_k", F.lit(1))
-    return d.join(n, "_k").drop("_k")
+    # A refused document's text is not parsed.
+    ok = F.col("status") == "ok"
+    pages = F.when(ok, F.col("pages")).otherwise(F.array().cast("array<string>"))
+    return wide_stats(gated.withColumn("pages", pages), delim, ["status", "reason", "n_bytes", "page_count"]).select(
+        "doc_id", "status", "reason", "n_bytes", "page_count", F.when(ok, F.col("n_blocks")).alias("n_blocks"))
+
+
+def metering(stats: DataFrame) -> DataFrame:
+    """K2: one row: documents, pages processed (sum of page counts), blocks.
+
+    ``stats`` holds page_count and n_blocks per document (``wide_stats``), so no node
+    is built to be counted.
+    """
+    return stats.agg(F.count(F.lit(1)).alias("documents"), F.sum("page_count").cast("bigint").alias("pages_processed"),
+                     F.coalesce(F.sum("n_blocks"), F.lit(0)).cast("bigint").alias("blocks"))

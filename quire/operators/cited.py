@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quire.functions.text import content_hash, est_tokens, py_strip  # noqa: F401
 from quire.operators.nodes import confidence
@@ -92,8 +93,7 @@ def search_nodes(nodes: DataFrame, node_type: str | None = None, page_index: int
 
     Without ``max_results`` every match is returned.  ``scope="document"``: the first ``max_results`` matches of every document
     in preorder (window partitioned by doc_id).  ``scope="corpus"``: the first
-    matches of the whole corpus in (doc_id, pre) order, a top-k that Spark runs
-    as a per-partition take-ordered plus one small merge.
+    matches of the whole corpus in (doc_id, pre) order, from one scan.
     """
     if max_results is not None and max_results < 0:
         raise ValueError("max_results must be >= 0")
@@ -108,11 +108,11 @@ def search_nodes(nodes: DataFrame, node_type: str | None = None, page_index: int
         "doc_id", "pre", "node_id", "node_type", "page_index", "text_content", "level",
         "struct_type", "heuristic", "children_count")
     if scope == "corpus":
+        if max_results is not None:
+            return _corpus_top(shallow, int(max_results))
         # The total is a one-row aggregate attached by a constant key.
         total = shallow.agg(F.count(F.lit(1)).alias("total_matches")).withColumn("_k", F.lit(1))
-        top = shallow if max_results is None else shallow.orderBy("doc_id", "pre").limit(int(max_results))
-        return top.withColumn("_k", F.lit(1)).join(F.broadcast(total), "_k").drop("_k").withColumn(
-            "truncated", F.lit(False) if max_results is None else F.col("total_matches") > F.lit(int(max_results)))
+        return shallow.withColumn("_k", F.lit(1)).join(F.broadcast(total), "_k").drop("_k").withColumn("truncated", F.lit(False))
     w = Window.partitionBy("doc_id")
     ranked = (shallow
               .withColumn("rank", F.row_number().over(w.orderBy("pre")))
@@ -123,6 +123,29 @@ def search_nodes(nodes: DataFrame, node_type: str | None = None, page_index: int
         "truncated", F.col("total_matches") > F.lit(int(max_results)))
 
 
+def _corpus_top(shallow: DataFrame, k: int) -> DataFrame:
+    """The first ``k`` rows in (doc_id, pre) order with ``total_matches`` and ``truncated``, in one pass.
+
+    Every task keeps its ``k`` first rows while it counts all, so at most ``k`` rows (one
+    for the count if ``k`` is 0) leave each task for the merge.
+    """
+    def keep(batches):
+        # Nested, so that executors get it by value and need no package.
+        import pyarrow as pa
+        best, n = None, 0
+        for b in batches:
+            n += b.num_rows
+            t = pa.Table.from_batches([b])
+            best = (t if best is None else pa.concat_tables([best, t])).sort_by([("doc_id", "ascending"), ("pre", "ascending")]).slice(0, max(k, 1))
+        if n:
+            counts = pa.array([n] + [0] * (best.num_rows - 1), pa.int64())
+            yield from best.append_column("_n", counts).combine_chunks().to_batches()
+
+    some = shallow.mapInArrow(keep, T.StructType([*shallow.schema.fields, T.StructField("_n", T.LongType())]))
+    every = some.withColumn("total_matches", F.sum("_n").over(Window.partitionBy()))  # at most k rows a task
+    return every.orderBy("doc_id", "pre").limit(k).drop("_n").withColumn("truncated", F.col("total_matches") > F.lit(k))
+
+
 def document_info(nodes: DataFrame, docs: DataFrame) -> DataFrame:
     """D3: schema_version, source_hash, page_count, estimated_tokens,
     root_node_type, root_children_count per document.

@@ -67,6 +67,11 @@ def redact_summary(redacted: DataFrame) -> DataFrame:
         F.count_if(F.col("in_range")).alias("pages_processed"))
 
 
+def _page_rank() -> Column:
+    """0-based place of a page among its document's pages; indices may have gaps or start anywhere."""
+    return F.row_number().over(Window.partitionBy("doc_id").orderBy("page_index")) - 1
+
+
 def merge_docs(pages_long: DataFrame, groups: DataFrame, block: int = 4096) -> DataFrame:
     """H2: ordered lists of documents -> one document per group.
 
@@ -78,7 +83,8 @@ def merge_docs(pages_long: DataFrame, groups: DataFrame, block: int = 4096) -> D
     is two-level so that one group holding a large share of the documents is
     not a single task: block totals per ``(group_id, ord // block)`` (a
     partial aggregate), a running sum over the blocks of a group (``1/block``
-    of the rows), then a running sum inside each block.  Output
+    of the rows), then a running sum inside each block.  Within a document pages
+    count by their rank, so gaps in ``page_index`` leave none.  Output
     ``(group_id, ord, doc_id, page_index, merged_page_index, group_page_count)``.
     """
     b = int(block)
@@ -95,9 +101,10 @@ def merge_docs(pages_long: DataFrame, groups: DataFrame, block: int = 4096) -> D
     g = g.withColumn("in_blk", F.coalesce(F.sum("page_count").over(
         wi.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     g = g.join(totals, ["group_id", "blk"]).withColumn("offset", F.col("blk_offset") + F.col("in_blk"))
-    return pages_long.join(g.select("doc_id", "group_id", "ord", "offset", "group_page_count"), "doc_id").select(
+    ranked = pages_long.withColumn("_rank", _page_rank())
+    return ranked.join(g.select("doc_id", "group_id", "ord", "offset", "group_page_count"), "doc_id").select(
         "group_id", "ord", "doc_id", "page_index",
-        (F.col("offset") + F.col("page_index")).cast("bigint").alias("merged_page_index"),
+        (F.col("offset") + F.col("_rank")).cast("bigint").alias("merged_page_index"),
         F.col("group_page_count").cast("bigint").alias("group_page_count"))
 
 
@@ -105,15 +112,16 @@ def split_doc(pages_long: DataFrame, split_at_pages: list[int] | None = None,
               max_pages_per_chunk: int | None = None) -> DataFrame:
     """H3: chunk number of every page.
 
-    Split points are 0-based page indices starting a new chunk; no split
-    points and no cap means every page is its own chunk.  With a cap, each
-    chunk is cut further into runs of at most ``cap`` pages.  Output
+    Split points are 0-based places of pages (the rank by ``page_index``, which may
+    have gaps) that start a new chunk; no split points and no cap means every page is
+    its own chunk.  With a cap, each chunk is cut further into runs of at most ``cap``
+    pages.  Output
     ``(doc_id, page_index, chunk_index, chunk_page_count)``.
     """
     points = sorted(set(int(p) for p in (split_at_pages or [])))
     if max_pages_per_chunk is not None and max_pages_per_chunk < 1:
         raise ValueError("max_pages_per_chunk must be >= 1")
-    page = F.col("page_index")
+    page = F.col("_rank")
     if not points and max_pages_per_chunk is None:
         base, start = page, page
     else:
@@ -121,7 +129,7 @@ def split_doc(pages_long: DataFrame, split_at_pages: list[int] | None = None,
         base = F.size(F.filter(arr, lambda s: s <= page))
         start = F.coalesce(F.array_max(F.filter(arr, lambda s: s <= page)), F.lit(0))
     sub = F.floor((page - start) / F.lit(int(max_pages_per_chunk))) if max_pages_per_chunk else F.lit(0)
-    x = pages_long.select("doc_id", "page_index", base.alias("base"), sub.cast("int").alias("sub"))
+    x = pages_long.withColumn("_rank", _page_rank()).select("doc_id", "page_index", base.alias("base"), sub.cast("int").alias("sub"))
     w = Window.partitionBy("doc_id").orderBy("base", "sub")
     x = x.withColumn("chunk_index", (F.dense_rank().over(w) - 1).cast("int"))
     return x.withColumn("chunk_page_count", F.count(F.lit(1)).over(

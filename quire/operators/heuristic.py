@@ -18,9 +18,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quire.functions.text import (PAGE_SEPARATOR, SCHEMA_VERSION, SOURCE_HASH_BYTES, node_id,
+from quire.functions.text import (PAGE_SEPARATOR, SCHEMA_VERSION, SOURCE_HASH_BYTES, est_tokens, node_id,
                                   source_hash_of_text, split_paragraphs)
 from quire.operators.nodes import Built, explode_nodes, node_struct
+from quire.sources.corpus import DEFAULT_MAX_FILE_SIZE, DEFAULT_MAX_PAGES, accepted, gate, rejected
 
 
 def clamp_range(page_count: Column, start: int | None, end: int | None) -> tuple[Column, Column]:
@@ -49,20 +50,59 @@ def _emit(pages: DataFrame) -> DataFrame:
     doc = node_struct(doc_nid, None, 0, F.col("total"), 0, 0, "document", 0,
                       heuristic=True, children_count=F.col("n_sections"))
     sec = node_struct(sec_nid, doc_nid, b + 1, b + 1 + n, 1, F.col("child_pos"), "section",
-                      page, heuristic=True, children_count=n)
+                      page, heuristic=True, children_count=n, parent_pre=0)
     paras = F.transform("paras", lambda t, k: node_struct(
         node_id(src, page, b + k + 1), sec_nid, b + k + 2, b + k + 2, 2, k, "paragraph",
-        page, text_content=t, heuristic=True, children_count=0))
+        page, text_content=t, heuristic=True, children_count=0, parent_pre=b + 1))
     arr = F.concat(F.filter(F.array(doc), lambda _: F.col("is_first")), F.array(sec), paras)
     return explode_nodes(pages, arr)
 
 
-def heuristic_nodes_wide(wide: DataFrame, delim: str = "\n\n", start: int | None = None,
-                         end: int | None = None) -> Built:
+def _wide_gate(wide: DataFrame, max_file_size: int, max_pages: int) -> DataFrame:
+    sized = wide.withColumn("n_bytes", F.octet_length("source").cast("bigint")).withColumn("page_count", F.size("pages"))
+    return gate(sized, max_file_size=max_file_size, max_pages=max_pages)
+
+
+def _page_counts(paras: Column) -> Column:
+    """Struct (blocks, tokens) of an array of paragraphs."""
+    none = F.struct(F.lit(0).cast("bigint").alias("blocks"), F.lit(0).cast("bigint").alias("tokens"))
+    return F.aggregate(paras, none, lambda a, t: F.struct((a["blocks"] + 1).alias("blocks"), (a["tokens"] + est_tokens(t)).alias("tokens")))
+
+
+def wide_stats(wide: DataFrame, delim: str = "\n\n", more: list | None = None) -> DataFrame:
+    """Per document, without building nodes: page_count, n_blocks (its paragraphs) and estimated_tokens.
+
+    Counted inside the row: no generator, no shuffle.  ``more`` columns are passed on (a page_count
+    among them replaces the count).
+    """
+    paras = F.flatten(F.transform("pages", lambda p: split_paragraphs(p, delim)))
+    own = [] if more else [F.size("pages").alias("page_count")]
+    return wide.select("doc_id", *(more or []), *own, _page_counts(paras).alias("f")).select(
+        "*", F.col("f.blocks").alias("n_blocks"), F.col("f.tokens").alias("estimated_tokens")).drop("f")
+
+
+def long_info(pages_long: DataFrame, delim: str = "\n\n") -> DataFrame:
+    """D3 of the heuristic documents over page rows: what ``document_info`` says, from counts per page.
+
+    The page rows meet once by doc_id (for the source hash); no node is built.
+    """
+    hp = with_source_hash(pages_long)
+    counted = hp.select("doc_id", "source_hash", "page_count", _page_counts(split_paragraphs("page_text", delim)).alias("f"))
+    return counted.groupBy("doc_id", "source_hash", "page_count").agg(F.sum("f.tokens").alias("estimated_tokens")).select(
+        "doc_id", F.lit(SCHEMA_VERSION).alias("schema_version"), "source_hash", "page_count", "estimated_tokens",
+        F.lit("document").alias("root_node_type"), F.col("page_count").alias("root_children_count"))
+
+
+def heuristic_nodes_wide(wide: DataFrame, delim: str = "\n\n", start: int | None = None, end: int | None = None,
+                         max_file_size: int = DEFAULT_MAX_FILE_SIZE, max_pages: int = DEFAULT_MAX_PAGES) -> Built:
     """B6 over one-row documents ``(doc_id, source, pages)``: no shuffle at all.
 
     Page counts and the running sums B(p) are array expressions inside the row.
+    Documents that the admission gate refuses (A3, A4) are in ``rejected`` only.
     """
+    gated = _wide_gate(wide, max_file_size, max_pages)
+    refused = rejected(gated).select("doc_id", "n_bytes", "page_count", "status", "reason")
+    wide = accepted(gated)
     pc = F.size("pages")
     s, e = clamp_range(pc, start, end)
     sel = F.slice("pages", s + 1, e - s + 1)
@@ -86,7 +126,7 @@ def heuristic_nodes_wide(wide: DataFrame, delim: str = "\n\n", start: int | None
     docs = base.select("doc_id", F.lit(SCHEMA_VERSION).alias("schema_version"), "source_hash",
                        F.col("page_count").cast("int").alias("page_count"),
                        F.lit(True).alias("is_heuristic"))
-    return Built(_emit(pages), docs)
+    return Built(_emit(pages), docs, refused)
 
 
 def with_source_hash(pages_long: DataFrame) -> DataFrame:
@@ -119,16 +159,21 @@ def with_source_hash(pages_long: DataFrame) -> DataFrame:
         "_part", "_off", "_pieces")
 
 
-def heuristic_nodes_long(pages_long: DataFrame, delim: str = "\n\n", start: int | None = None,
-                         end: int | None = None) -> Built:
+def heuristic_nodes_long(pages_long: DataFrame, delim: str = "\n\n", start: int | None = None, end: int | None = None,
+                         max_file_size: int = DEFAULT_MAX_FILE_SIZE, max_pages: int = DEFAULT_MAX_PAGES) -> Built:
     """B6 over page rows ``(doc_id, page_index, page_text)``.
 
     One exchange on doc_id; every window below partitions by doc_id and reuses
-    it.  Documents are bounded by the page gate (A4), so a window partition is
-    at most ``max_pages`` rows.  A range counts the pages that exist, in
-    ``page_index`` order, so indices may have gaps or start anywhere.
+    it.  Documents that the admission gate refuses (A3, A4) are in ``rejected``
+    only, so what is numbered has at most ``max_pages`` pages.  A range counts the
+    pages that exist, in ``page_index`` order, so indices may have gaps or start
+    anywhere.
     """
-    hp = with_source_hash(pages_long)
+    hp = with_source_hash(pages_long).withColumn("n_bytes", (
+        F.sum(F.octet_length("page_text")).over(Window.partitionBy("doc_id")) + F.col("page_count") - 1).cast("bigint"))
+    gated = gate(hp, max_file_size=max_file_size, max_pages=max_pages)
+    refused = rejected(gated).select("doc_id", "n_bytes", "page_count", "status", "reason").distinct()
+    hp = accepted(gated).drop("n_bytes")
     s, e = clamp_range(F.col("page_count"), start, end)
     hp = hp.withColumn("_nth", F.row_number().over(Window.partitionBy("doc_id").orderBy("page_index")) - 1)
     w_ord = Window.partitionBy("doc_id").orderBy("page_index")
@@ -146,4 +191,4 @@ def heuristic_nodes_long(pages_long: DataFrame, delim: str = "\n\n", start: int
                 .withColumn("total", F.sum(n1).over(w_all).cast("int"))
                 .withColumn("n_sections", F.count(F.lit(1)).over(w_all).cast("int"))
                 .withColumn("is_first", F.col("child_pos") == 0))
-    return Built(_emit(numbered), docs)
+    return Built(_emit(numbered), docs, refused)

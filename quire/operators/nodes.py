@@ -12,10 +12,12 @@ from quire.schemas import BBOX, NODE_COLUMNS
 
 
 class Built(NamedTuple):
-    """A node builder's result: the ``nodes`` and ``docs`` tables."""
+    """A node builder's result: the ``nodes`` and ``docs`` tables, and the documents that
+    its admission gate refused (doc_id, n_bytes, page_count, status, reason), if it has one."""
 
     nodes: DataFrame
     docs: DataFrame
+    rejected: DataFrame | None = None
 
 
 def _lit_null(t: str) -> Column:
@@ -24,7 +26,7 @@ def _lit_null(t: str) -> Column:
 
 def node_struct(node_id, parent_id, pre, last, depth, child_pos, node_type, page_index,
                 text_content=None, level=None, struct_type=None, heuristic=False, mcid=None,
-                children_count=0) -> Column:
+                children_count=0, parent_pre=None) -> Column:
     """One ``nodes`` row (all but ``doc_id``) as a struct with the schema's
     field names and types."""
 
@@ -38,6 +40,7 @@ def node_struct(node_id, parent_id, pre, last, depth, child_pos, node_type, page
     return F.struct(
         v(node_id, "string").alias("node_id"),
         v(parent_id, "string").alias("parent_id"),
+        v(parent_pre, "int").alias("parent_pre"),
         v(pre, "int").alias("pre"),
         v(last, "int").alias("last"),
         v(depth, "int").alias("depth"),

@@ -8,10 +8,12 @@ are numbered from 0; spans are 1; cell confidence is 1.0.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quire.functions.text import SCHEMA_VERSION, node_id, source_hash_of_text
+from quire.operators.cited import page_between
 from quire.operators.nodes import Built, explode_nodes, node_struct
 
 # Columns of `lineitem` shown as cells of an order's table, in order.
@@ -21,166 +23,169 @@ LINE_COLUMNS = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_exten
 LINE_ORDER = ["l_linenumber", "l_partkey", "l_suppkey"]
 
 
-def _cell_text(c: str):
-    if c == "l_shipdate":
+def _cell_text(frame: DataFrame, c: str) -> Column:
+    """A column's values as cell text, by its type: times to the second, all else as Spark casts it."""
+    kind = frame.schema[c].dataType
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
         return F.date_format(c, "yyyy-MM-dd HH:mm:ss")
-    if c == "l_extendedprice":
-        return F.col(c).cast("decimal(12,2)").cast("string")
+    if isinstance(kind, (T.ArrayType, T.MapType, T.StructType)):
+        return F.to_json(c)
     return F.col(c).cast("string")
 
 
-def table_nodes(orders: DataFrame, lineitem: DataFrame) -> Built:
-    """E5: each order is a tagged document ``/Document > /Table > /TR* > /TD*``.
+def frame_tables(rows: DataFrame, key: str, order: list[str], columns: list[str] | None = None, header: bool = False,
+                 parents: DataFrame | None = None, source: str = "table:") -> Built:
+    """E5: the rows of any frame as tagged tables, one document per ``key``.
+
+    A document is ``/Document > /Table > /TR* > /TD*``; with ``header`` its first row
+    is ``/TR > /TH*`` with the column names.  ``columns`` (default: all but ``key``, in
+    schema order) are the cells, their text follows from their types; null values are
+    cells without text.  Rows follow ``order``, nulls first; those with a null key
+    belong to no document.  ``parents`` (its first column holds the keys) adds
+    documents without rows.  The source of a document is ``source`` and its key.
 
     The single ``/Document`` element is the root (no wrapper), so sequence
     numbers equal preorder ranks: document 0, table 1, row r at
-    ``2 + r*(C+1)``, its cell c at ``3 + r*(C+1) + c``.  The source of an order
-    document is the text ``order:<key>``.
-
-    One pass: orders are left-joined to their lines on the order key (one
-    exchange per side); the row-number window and the per-order line count run
-    on that same partitioning, and the document and table nodes are emitted by
-    the order's first row (orders without lines give empty tables).  The nodes
-    come out hash-partitioned by doc_id.
+    ``2 + r*(C+1)``, its cell c at ``3 + r*(C+1) + c``.
+
+    One pass: one exchange on the key (per side, if there are parents); the
+    row-number window and the row count run on that partitioning, and the document and
+    table nodes are emitted by the document's first row.  The nodes come out
+    hash-partitioned by doc_id.
     """
-    ncol = len(LINE_COLUMNS)
-    o = orders.select(F.col("o_orderkey").cast("bigint").alias("doc_id"))
-    li = lineitem.select(F.col("l_orderkey").cast("bigint").alias("doc_id"), *LINE_COLUMNS)
-    j = o.join(li, "doc_id", "left")
+    names = columns if columns is not None else [c for c in rows.columns if c != key]
+    ncol, head = len(names), 1 if header else 0
+    li = rows.select(F.col(key).cast("bigint").alias("doc_id"), F.array(*[_cell_text(rows, c) for c in names]).cast("array<string>").alias("cells"),
+                     F.struct(*order).alias("place"), F.lit(True).alias("is_row")).filter(F.col("doc_id").isNotNull())
+    keys = None if parents is None else parents.select(F.col(parents.columns[0]).cast("bigint").alias("doc_id")).filter("doc_id IS NOT NULL").distinct()
+    j = li if keys is None else keys.join(li, "doc_id", "left")
     w = Window.partitionBy("doc_id")
-    has_line = F.col("l_linenumber").isNotNull()
-    j = j.withColumn("r", F.when(has_line, F.row_number().over(w.orderBy(*LINE_ORDER)) - 1)).withColumn(
-        "n_rows", F.count("l_linenumber").over(w).cast("int"))
-    rows = j.select("doc_id", "r", "n_rows", F.array(*[_cell_text(c) for c in LINE_COLUMNS]).alias("cells"),
-                    source_hash_of_text(F.concat(F.lit("order:"), F.col("doc_id").cast("string"))).alias("h"))
-    row_pre = F.col("r") * (ncol + 1) + 2
-    doc_id_ = node_id("h", F.lit(0), F.lit(0))
-    row_id = node_id("h", F.lit(0), row_pre)
-    table_id = node_id("h", F.lit(0), F.lit(1))
-    last = F.col("n_rows") * (ncol + 1) + 1
+    j = j.withColumn("r", F.when(F.col("is_row"), F.row_number().over(w.orderBy("place")) - 1)).withColumn(
+        "n_rows", F.count("is_row").over(w).cast("int"))
+    hashed = source_hash_of_text(F.concat(F.lit(source), F.col("doc_id").cast("string")))
+    x = j.select("doc_id", "r", "n_rows", F.coalesce("cells", F.array().cast("array<string>")).alias("cells"), hashed.alias("h"))
+    total = F.col("n_rows") + head
+    doc_id_, table_id = node_id("h", F.lit(0), F.lit(0)), node_id("h", F.lit(0), F.lit(1))
+    last = total * (ncol + 1) + 1
     doc_node = node_struct(doc_id_, None, 0, last, 0, 0, "document", 0, struct_type="/Document", children_count=1)
-    tab_node = node_struct(table_id, doc_id_, 1, last, 1, 0, "table", 0, struct_type="/Table",
-                           children_count=F.col("n_rows"))
-    row_node = node_struct(row_id, table_id, row_pre, row_pre + ncol, 2, F.col("r"), "table_row", 0,
-                           struct_type="/TR", children_count=ncol)
-    cells = F.transform("cells", lambda t, c: node_struct(
-        node_id("h", F.lit(0), row_pre + c + 1), row_id, row_pre + c + 1, row_pre + c + 1, 3, c,
-        "table_cell", 0, text_content=t, struct_type="/TD", children_count=0))
+    tab_node = node_struct(table_id, doc_id_, 1, last, 1, 0, "table", 0, struct_type="/Table", children_count=total, parent_pre=0)
+
+    def row_nodes(at, cells, tag):
+        row_pre = at * (ncol + 1) + 2
+        row_id = node_id("h", F.lit(0), row_pre)
+        row = node_struct(row_id, table_id, row_pre, row_pre + ncol, 2, at, "table_row", 0, struct_type="/TR", children_count=ncol, parent_pre=1)
+        return F.concat(F.array(row), F.transform(cells, lambda t, c: node_struct(
+            node_id("h", F.lit(0), row_pre + c + 1), row_id, row_pre + c + 1, row_pre + c + 1, 3, c, "table_cell", 0, text_content=t,
+            struct_type=tag, children_count=0, parent_pre=row_pre)))
+
     first = F.coalesce(F.col("r"), F.lit(0)) == 0
-    arr = F.concat(F.filter(F.array(doc_node, tab_node), lambda _: first),
-                   F.filter(F.concat(F.array(row_node), cells), lambda _: F.col("r").isNotNull()))
-    nodes = explode_nodes(rows, arr)
-    # The document table depends on the order key only: a scan of `orders`,
-    # not another pass over the joined lines.
-    docs = o.select("doc_id", F.lit(SCHEMA_VERSION).alias("schema_version"),
-                    source_hash_of_text(F.concat(F.lit("order:"), F.col("doc_id").cast("string"))).alias("source_hash"),
-                    F.lit(1).alias("page_count"), F.lit(False).alias("is_heuristic"))
+    top = [doc_node, tab_node]
+    start = F.array(*top) if not header else F.concat(F.array(*top), row_nodes(F.lit(0), F.array(*[F.lit(c) for c in names]).cast("array<string>"), "/TH"))
+    arr = F.concat(F.filter(start, lambda _: first), F.filter(row_nodes(F.col("r") + head, F.col("cells"), "/TD"), lambda _: F.col("r").isNotNull()))
+    nodes = explode_nodes(x, arr)
+    # The document table depends on the keys only, not on another pass over the joined rows.
+    ids = li.select("doc_id").distinct() if keys is None else keys
+    docs = ids.select("doc_id", F.lit(SCHEMA_VERSION).alias("schema_version"), hashed.alias("source_hash"),
+                      F.lit(1).alias("page_count"), F.lit(False).alias("is_heuristic"))
     return Built(nodes, docs)
 
 
-def table_chain(nodes: DataFrame, page_start: int | None = None, page_end: int | None = None) -> DataFrame:
-    """E1 core: every table, its direct rows and their direct cells, numbered.
+def table_nodes(orders: DataFrame, lineitem: DataFrame) -> Built:
+    """E5 over orders: an order is a document, its lines are the rows (orders without
+    lines give empty tables); prices show two decimals."""
+    priced = lineitem.withColumn("l_extendedprice", F.col("l_extendedprice").cast("decimal(12,2)"))
+    return frame_tables(priced, "l_orderkey", LINE_ORDER, LINE_COLUMNS, parents=orders.select("o_orderkey"), source="order:")
+
+
+def _parts(nodes: DataFrame) -> DataFrame:
+    """Tables, rows and cells with the position ``k`` of the row they make up: a row's
+    own, a cell's parent's, and for a table one of its own below zero."""
+    kind = F.col("node_type")
+    x = nodes.filter(~F.col("heuristic") & kind.isin("table", "table_row", "table_cell"))
+    k = F.when(kind == "table_cell", F.col("parent_pre")).when(kind == "table_row", F.col("pre")).otherwise(-1 - F.col("pre"))
+    return x.withColumn("k", k)
+
 
-    Output rows ``(doc_id, kind, table_node_id, table_page, table_pre,
-    table_ord, has_anchor, row, col, text)`` with ``kind`` in table / row /
-    cell; rows and cells that are not direct children of a table / row are
-    dropped (a ``/TBody`` in between hides its rows).
+def _page_range(rows: DataFrame, start: int | None, end: int | None, docs: DataFrame | None) -> DataFrame:
+    """C6 over tables: pages ``start`` (default 0) to ``end`` (default: the document's last page).
 
-    Parents come from windows, not self-joins.  In preorder, when a row's
-    parent is a table it is the nearest earlier table one level up (any other
-    table at that depth in between would have to lie inside the parent's own
-    subtree), and likewise for a cell and its row.  So a running
-    ``last(..., ignorenulls)`` over ``(doc_id, depth key)`` ordered by ``pre``
-    finds the candidate, and ``parent_id`` equality confirms it.  Every window
-    partitions by doc_id, so on nodes already partitioned by doc_id the chain
-    runs without any exchange and the node table is read once.
+    Without ``docs`` no page counts are known and a missing end is open.
     """
-    kinds = {"table": "table", "table_row": "row", "table_cell": "cell"}
-    n = nodes.filter(~F.col("heuristic") & F.col("node_type").isin(*kinds)).select(
-        "doc_id", "node_id", "parent_id", "pre", "depth", "page_index", "text_content",
-        F.when(F.col("node_type") == "table", "table").when(F.col("node_type") == "table_row", "row")
-        .otherwise("cell").alias("kind"))
-    kind, pre = F.col("kind"), F.col("pre")
-    before, upto = (Window.unboundedPreceding, -1), (Window.unboundedPreceding, 0)
-    is_table = kind == "table"
-    # Three sort orders in all; the windows stacked on one order reuse its sort.
-    w_doc = Window.partitionBy("doc_id").orderBy(pre)
-    n = n.withColumn("table_ord", F.when(is_table, F.count_if(is_table).over(w_doc.rowsBetween(*upto)) - 1))
-    table_info = F.struct(F.col("node_id").alias("id"), F.col("page_index").alias("page"), pre.alias("pre"),
-                          F.col("table_ord").alias("ord"),
-                          F.coalesce(F.length("text_content") > 0, F.lit(False)).alias("anchor"))
-    # Tables at depth d and rows at depth d+1 share a partition; a row's
-    # candidate parent is the last table before it, and its index is the number
-    # of confirmed rows since that table.
-    # Window keys are columns, not expressions, so the stacked windows share
-    # one partitioning and one sort.
-    n = n.withColumn("k1", F.when(is_table, F.col("depth")).when(kind == "row", F.col("depth") - 1))
-    w1 = Window.partitionBy("doc_id", "k1").orderBy(pre)
-    n = n.withColumn("t", F.when(is_table, table_info).otherwise(
-        F.last(F.when(is_table, table_info), True).over(w1.rowsBetween(*before))))
-    n = n.withColumn("ok_row", F.coalesce((kind == "row") & (F.col("t.id") == F.col("parent_id")), F.lit(False)))
-    n = n.withColumn("n_rows", F.count_if(F.col("ok_row")).over(w1.rowsBetween(*upto)))
-    n = n.withColumn("row", F.when(F.col("ok_row"), F.col("n_rows") - 1 - F.last(
-        F.when(is_table, F.col("n_rows")), True).over(w1.rowsBetween(*upto))))
-    # Confirmed rows at depth d and cells at depth d+1 share a partition; same
-    # reasoning for a cell's row and its column.
-    row_info = F.struct(F.col("node_id").alias("id"), F.col("row").alias("row"), F.col("t").alias("t"))
-    n = n.withColumn("k2", F.when(F.col("ok_row"), F.col("depth")).when(kind == "cell", F.col("depth") - 1))
-    w2 = Window.partitionBy("doc_id", "k2").orderBy(pre)
-    n = n.withColumn("r", F.when(kind == "cell", F.last(F.when(F.col("ok_row"), row_info), True).over(
-        w2.rowsBetween(*before))))
-    n = n.withColumn("ok_cell", F.coalesce((kind == "cell") & (F.col("r.id") == F.col("parent_id")), F.lit(False)))
-    n = n.withColumn("n_cells", F.count_if(F.col("ok_cell")).over(w2.rowsBetween(*upto)))
-    n = n.withColumn("col", F.when(F.col("ok_cell"), F.col("n_cells") - 1 - F.last(
-        F.when(F.col("ok_row"), F.col("n_cells")), True).over(w2.rowsBetween(*upto))))
-    n = n.filter(is_table | F.col("ok_row") | F.col("ok_cell"))
-    t = F.when(kind == "cell", F.col("r.t")).otherwise(F.col("t"))
-    out = n.select("doc_id", "kind", t["id"].alias("table_node_id"), t["page"].alias("table_page"),
-                   t["pre"].alias("table_pre"), t["ord"].cast("int").alias("table_ord"),
-                   t["anchor"].alias("has_anchor"),
-                   F.when(kind == "cell", F.col("r.row")).otherwise(F.col("row")).cast("int").alias("row"),
-                   F.col("col").cast("int").alias("col"),
-                   F.when(kind == "cell", F.col("text_content")).alias("text"))
-    if page_start is not None:
-        out = out.filter(F.col("table_page") >= F.lit(int(page_start)))
-    if page_end is not None:
-        out = out.filter(F.col("table_page") <= F.lit(int(page_end)))
-    return out
-
-
-def table_grid(nodes: DataFrame, page_start: int | None = None, page_end: int | None = None) -> DataFrame:
-    """One row per table row (and one per table, ``row`` null) with the row's
-    cells ``ARRAY<STRUCT<col, text>>`` in order; a row's cells are bounded by
-    its width.  Grouping keys start with doc_id, so no exchange is added."""
-    c = table_chain(nodes, page_start, page_end)
-    keys = ["doc_id", "table_node_id", "table_page", "table_pre", "table_ord", "has_anchor", "row"]
-    return c.groupBy(*keys).agg(F.array_sort(F.collect_list(
-        F.when(F.col("kind") == "cell", F.struct("col", "text")))).alias("cells"))
-
-
-def table_cells(nodes: DataFrame, page_start: int | None = None, page_end: int | None = None) -> DataFrame:
+    if start is None and end is None:
+        return rows
+    if end is None and docs is not None:
+        counts = docs.select("doc_id", F.col("page_count").alias("_pages"))
+        joined = rows.join(counts, "doc_id").withColumnRenamed("table_page", "page_index")
+        return joined.filter(page_between(start, None, F.col("_pages"))).withColumnRenamed("page_index", "table_page").drop("_pages")
+    return rows.withColumnRenamed("table_page", "page_index").filter(page_between(start, end)).withColumnRenamed("page_index", "table_page")
+
+
+def table_grid(nodes: DataFrame, page_start: int | None = None, page_end: int | None = None, docs: DataFrame | None = None) -> DataFrame:
+    """E1 core: one row per table row (and one per table, ``row`` null), numbered, with
+    its cells ``ARRAY<STRUCT<col, text>>`` in order.
+
+    Output ``(doc_id, table_node_id, table_page, table_pre, table_ord, has_anchor, row,
+    cells)``.  Rows and cells that are not direct children of a table / row are dropped
+    (a ``/TBody`` in between hides its rows).
+
+    Nodes carry their parent's position, so cells are grouped by the row they name
+    (the one sort of all cells; a row's cells are bounded by its width), and only the
+    rows, a tenth or less of the nodes, are numbered by a window over their table.  All
+    keys start with doc_id: no exchange on nodes partitioned by it, and the node
+    table is read once.
+    """
+    kind, pre = F.col("node_type"), F.col("pre")
+    is_table, is_row = kind == "table", kind == "table_row"
+    about = F.struct(F.col("node_id").alias("id"), F.col("page_index").alias("page"), F.coalesce(F.length("text_content") > 0, F.lit(False)).alias("anchor"))
+    g = _parts(nodes).groupBy("doc_id", "k").agg(
+        F.max(F.when(is_table, about)).alias("t"), F.max(F.when(is_table | is_row, pre)).alias("pre"),
+        F.max(F.when(is_table, pre).when(is_row, F.col("parent_pre"))).alias("table_pre"),
+        F.collect_list(F.when(kind == "table_cell", F.struct("pre", F.col("text_content").alias("text")))).alias("cells"))
+    g = g.filter(F.col("table_pre").isNotNull())  # cells outside rows have none
+    one = Window.partitionBy("doc_id", "table_pre").orderBy("pre")
+    g = g.withColumn("t", F.first("t").over(one)).withColumn("row", F.when(F.col("k") >= 0, F.row_number().over(one) - 2))
+    g = g.filter(F.col("t").isNotNull())          # rows outside tables
+    g = g.withColumn("table_ord", F.dense_rank().over(Window.partitionBy("doc_id").orderBy("table_pre")) - 1)
+    cells = F.transform(F.array_sort("cells"), lambda c, i: F.struct(i.alias("col"), c["text"].alias("text")))
+    out = g.select("doc_id", F.col("t.id").alias("table_node_id"), F.col("t.page").alias("table_page"), "table_pre",
+                   F.col("table_ord").cast("int").alias("table_ord"), F.col("t.anchor").alias("has_anchor"),
+                   F.col("row").cast("int").alias("row"), cells.alias("cells"))
+    return _page_range(out, page_start, page_end, docs)
+
+
+def table_cells(nodes: DataFrame, page_start: int | None = None, page_end: int | None = None, docs: DataFrame | None = None) -> DataFrame:
     """One row per cell: row, col, spans, text, confidence."""
-    c = table_chain(nodes, page_start, page_end).filter(F.col("kind") == "cell")
-    return c.select("doc_id", "table_node_id", "table_page", "table_pre", "row", "col",
-                    F.lit(1).alias("row_span"), F.lit(1).alias("col_span"), "text",
-                    F.lit(1.0).alias("confidence"))
+    g = table_grid(nodes, page_start, page_end, docs).filter(F.col("row").isNotNull())
+    return g.select("doc_id", "table_node_id", "table_page", "table_pre", "row", F.inline_outer("cells")).filter(F.col("col").isNotNull()).select(
+        "doc_id", "table_node_id", "table_page", "table_pre", "row", "col", F.lit(1).alias("row_span"), F.lit(1).alias("col_span"), "text",
+        F.lit(1.0).alias("confidence"))
 
 
-def cited_tables(nodes: DataFrame, page_start: int | None = None, page_end: int | None = None) -> DataFrame:
+def cited_tables(nodes: DataFrame, page_start: int | None = None, page_end: int | None = None, docs: DataFrame | None = None) -> DataFrame:
     """E2 (flat): per table ``row_count`` (empty rows included), ``col_count``
     (widest row) and whether it carries an anchor (only tables with text).
-    One aggregation over the chain, combined map-side."""
-    c = table_chain(nodes, page_start, page_end)
-    return c.groupBy("doc_id", "table_node_id", "table_page").agg(
-        F.count_if(F.col("kind") == "row").cast("int").alias("row_count"),
-        F.coalesce(F.max("col") + 1, F.lit(0)).cast("int").alias("col_count"),
-        F.max("has_anchor").alias("has_anchor"))
-
 
-def cited_tables_nested(nodes: DataFrame, page_start: int | None = None, page_end: int | None = None) -> DataFrame:
+    Two hash aggregates, cells per row and rows per table, and no sort of the nodes.
+    """
+    kind, pre = F.col("node_type"), F.col("pre")
+    is_table, is_row = kind == "table", kind == "table_row"
+    # The table's id is a grouping key (null on rows and cells): hash aggregates hold no strings.
+    per_row = _parts(nodes).groupBy("doc_id", "k", F.when(is_table, F.col("node_id")).alias("id")).agg(
+        F.count_if(kind == "table_cell").alias("n_cells"), F.max(F.when(is_table, pre).when(is_row, F.col("parent_pre"))).alias("table_pre"),
+        F.max(F.when(is_table, F.col("page_index"))).alias("page"), F.max(F.when(is_table, F.length("text_content") > 0)).alias("anchor"))
+    per_row = per_row.filter(F.col("table_pre").isNotNull())
+    is_table = F.col("id").isNotNull()
+    out = per_row.groupBy("doc_id", "table_pre").agg(
+        F.max("id").alias("table_node_id"), F.max("page").alias("table_page"), F.count_if(~is_table).cast("int").alias("row_count"),
+        F.coalesce(F.max(F.when(~is_table, F.col("n_cells"))), F.lit(0)).cast("int").alias("col_count"),
+        F.coalesce(F.max("anchor"), F.lit(False)).alias("has_anchor")).filter(F.col("table_node_id").isNotNull())
+    return _page_range(out, page_start, page_end, docs).select("doc_id", "table_node_id", "table_page", "row_count", "col_count", "has_anchor")
+
+
+def cited_tables_nested(nodes: DataFrame, page_start: int | None = None, page_end: int | None = None, docs: DataFrame | None = None) -> DataFrame:
     """E2 (nested): ``rows ARRAY<ARRAY<STRUCT<row, col, row_span, col_span, text, bbox,
     confidence>>>``, counts and ``citation_anchor`` (a table without own text has none)."""
-    g = table_grid(nodes, page_start, page_end)
+    g = table_grid(nodes, page_start, page_end, docs)
     no_box = F.lit(None).cast("struct<x:double,y:double,width:double,height:double>")
     r = g.select("doc_id", "table_node_id", "table_page", "row", "has_anchor",
                  F.transform("cells", lambda c: F.struct(
@@ -194,9 +199,16 @@ def cited_tables_nested(nodes: DataFrame, page_start: int | None = None, page_en
                     lambda x: x["cells"]).alias("rows"), F.when(F.max("has_anchor"), F.first(anchor)).alias("citation_anchor"))
 
 
-def table_summary(nodes: DataFrame, docs: DataFrame) -> DataFrame:
+def table_summary(nodes: DataFrame | None, docs: DataFrame, per_document: int = 0) -> DataFrame:
     """``table_count`` and ``pages_processed`` per document (0 tables for
-    documents without any, and always 0 for heuristic documents)."""
+    documents without any, and always 0 for heuristic documents).
+
+    Without ``nodes`` every document holds ``per_document`` tables, as the builder of a
+    corpus knows (``frame_tables``: 1, heuristic documents: 0), and none is built to be
+    counted.
+    """
+    if nodes is None:
+        return docs.select("doc_id", F.lit(per_document).cast("bigint").alias("table_count"), F.col("page_count").alias("pages_processed"))
     t = nodes.filter((F.col("node_type") == "table") & ~F.col("heuristic")).groupBy("doc_id").agg(
         F.count(F.lit(1)).alias("table_count"))
     return docs.join(t, "doc_id", "left").select(

@@ -5,8 +5,8 @@ Two builders with the same output:
 * ``html_nodes``: HTML pages, whose trees ``sources/html.py`` numbers inside the
   row (document order is preorder): no exchange.
 * ``tagged_nodes``: any structure-element table (PDF-like ``/P``, ``/Table`` …)
-  in any row order.  Preorder comes from the path of
-  sibling positions (pointer doubling), then ``row_number`` by path.
+  in any row order.  Preorder, subtree ends and depths come from a tour
+  of the tree (pointer doubling).
 
 Numbering (reference semantics): ids take a sequence number in preorder from
 0, taken before children; when the tree has several top-level elements (or one
@@ -45,7 +45,8 @@ def html_nodes(pages: DataFrame) -> Built:
 
     no_box = F.lit(None).cast(BBOX)
     nodes = x.select(
-        "doc_id", nid(F.col("pre")).alias("node_id"), F.when(~root, nid(F.col("parent"))).alias("parent_id"), "pre", "last", "depth",
+        "doc_id", nid(F.col("pre")).alias("node_id"), F.when(~root, nid(F.col("parent"))).alias("parent_id"),
+        F.when(~root, F.col("parent")).alias("parent_pre"), "pre", "last", "depth",
         "child_pos", F.when(root, F.lit("document")).otherwise(map_tag("tag", HTML_TAG_MAP)).alias("node_type"),
         F.lit(0).alias("page_index"),
         F.when((F.col("children_count") == 0) & ~root, F.nullif(py_strip(unescape("raw")), F.lit(""))).alias("text_content"),
@@ -55,30 +56,47 @@ def html_nodes(pages: DataFrame) -> Built:
 
 
 def _walk(el: DataFrame) -> DataFrame:
-    """(doc_id, elem_id, depth0, path, anc): sibling positions and ancestors from the root.
-
-    Pointer doubling: every round joins an element's partial path with that of
-    the element above it, so a tree of n levels takes log2 n rounds, each
-    written to the shared checkpoint folder.  Elements that reach no root (a
-    missing parent, a cycle) drop out, as a walk from the roots never meets them.
+    """(doc_id, elem_id, seq, last_seq, depth0) of the elements that a walk from the roots meets.
+
+    A tour enters and leaves every element once: enter -> first kid, leave -> next
+    sibling or the parent's leave.  Every event points to its successor, and pointer
+    doubling sums what lies between it and the end of the tour: elements entered and
+    levels gained.  That gives the preorder rank, the end of the subtree and the depth
+    with a fixed row width, however deep the tree is, in log2 of the longest tour
+    rounds (known beforehand), each written to the shared checkpoint folder.
+    Elements that reach no root (a missing parent, a cycle) never reach the last
+    root's end and drop out.  Siblings with equal ``kid_pos`` follow their ids.
     """
     checkpoint_dir(el.sparkSession)
-    no_ids = F.array().cast("array<bigint>")
-    parent = F.col("parent_elem").cast("bigint")
-    state = el.select("doc_id", F.col("elem_id").cast("bigint").alias("elem_id"), parent.alias("up"), F.array("kid_pos").alias("path"),
-                      F.when(parent.isNull(), no_ids).otherwise(F.array(parent)).alias("anc")).checkpoint()
-    left = state.filter("up IS NOT NULL").count()
-    while left:
-        above = state.select("doc_id", F.col("elem_id").alias("up"), F.col("up").alias("next"), F.col("path").alias("p"),
-                             F.col("anc").alias("a"))
-        moved = state.filter("up IS NOT NULL").join(above, ["doc_id", "up"]).select(
-            "doc_id", "elem_id", F.col("next").alias("up"), F.concat("p", "path").alias("path"), F.concat("a", "anc").alias("anc"))
-        state = state.filter("up IS NULL").unionByName(moved).checkpoint()
-        now = state.filter("up IS NOT NULL").count()
-        if now == left:  # only cycles are left
-            break
-        left = now
-    return state.filter("up IS NULL").select("doc_id", "elem_id", (F.size("path") - 1).alias("depth0"), "path", "anc")
+    kids = Window.partitionBy("doc_id", "up").orderBy("kid_pos", "elem_id")
+    x = el.select("doc_id", F.col("elem_id").cast("bigint").alias("elem_id"), F.col("parent_elem").cast("bigint").alias("up"), "kid_pos")
+    x = x.select("doc_id", "elem_id", "up", F.lead("elem_id").over(kids).alias("right"),
+                 (F.row_number().over(kids) == 1).alias("is_first")).checkpoint()
+    first = x.filter("is_first AND up IS NOT NULL").select("doc_id", F.col("up").alias("elem_id"), F.col("elem_id").alias("kid"))
+    x = x.join(first, ["doc_id", "elem_id"], "left")
+    enter, leave = F.col("elem_id") * 2, F.col("elem_id") * 2 + 1
+    after = F.coalesce(F.col("right") * 2, F.col("up") * 2 + 1)
+    events = x.select("doc_id", F.inline(F.array(
+        F.struct(enter.alias("event"), F.coalesce(F.col("kid") * 2, leave).alias("next"), F.lit(1).alias("entered"), F.lit(1).alias("gained")),
+        F.struct(leave.alias("event"), after.alias("next"), F.lit(0).alias("entered"), F.lit(-1).alias("gained")))))
+    state = events.withColumn("end", F.col("event")).checkpoint()
+    longest = state.groupBy("doc_id").count().agg(F.max("count")).first()[0] or 0
+    for _ in range(max(0, longest - 1).bit_length()):
+        ahead = state.select("doc_id", F.col("event").alias("next"), F.col("next").alias("next2"), F.col("entered").alias("e2"),
+                             F.col("gained").alias("g2"), F.col("end").alias("end2"))
+        state = state.join(ahead, ["doc_id", "next"], "left").select(
+            "doc_id", "event", F.col("next2").alias("next"), (F.col("entered") + F.coalesce("e2", F.lit(0))).alias("entered"),
+            (F.col("gained") + F.coalesce("g2", F.lit(0))).alias("gained"), F.coalesce("end2", "end").alias("end")).checkpoint()
+    last_root = x.filter("up IS NULL AND right IS NULL").select("doc_id", leave.alias("end"))
+    met = state.filter("next IS NULL").join(last_root, ["doc_id", "end"], "left_semi")
+    both = met.groupBy("doc_id", F.shiftright("event", 1).alias("elem_id")).agg(
+        F.max(F.when(F.col("event") % 2 == 0, F.col("entered"))).alias("at_enter"),
+        F.max(F.when(F.col("event") % 2 != 0, F.col("entered"))).alias("at_leave"),
+        F.max(F.when(F.col("event") % 2 == 0, F.col("gained"))).alias("gained"))
+    total = both.groupBy("doc_id").agg(F.max("at_enter").alias("n"))
+    return both.join(total, "doc_id").select(
+        "doc_id", "elem_id", (F.col("n") - F.col("at_enter")).alias("seq"), (F.col("n") - F.col("at_leave") - 1).alias("last_seq"),
+        (-F.col("gained")).alias("depth0"), "n")
 
 
 def tagged_nodes(elements: DataFrame, docs: DataFrame, page_refs: DataFrame | None = None,
@@ -102,25 +120,18 @@ def tagged_nodes(elements: DataFrame, docs: DataFrame, page_refs: DataFrame | No
         el = el.withColumn("_pidx", F.lit(None).cast("int"))
     el = el.withColumn("page_index", F.coalesce("_pidx", F.lit(0)).cast("int")).drop("_pidx")
     walk = _walk(el)
-    x = walk.join(el, ["doc_id", "elem_id"])
-    wd = Window.partitionBy("doc_id")
-    x = (x.withColumn("node_type", map_tag("tag", tag_map))
-         .withColumn("seq", F.row_number().over(wd.orderBy("path")) - 1)
-         .withColumn("n", F.count(F.lit(1)).over(wd))
-         .withColumn("top", F.sum(F.when(F.col("depth0") == 0, 1).otherwise(0)).over(wd))
-         .withColumn("top_doc", F.max(F.when((F.col("depth0") == 0) & (F.col("node_type") == "document"), 1)
-                                      .otherwise(0)).over(wd)))
+    x = walk.join(el, ["doc_id", "elem_id"]).withColumn("node_type", map_tag("tag", tag_map))
+    # Counts are grouped (combined before the shuffle); of the windows only the
+    # one over siblings is left.
+    is_top = F.col("depth0") == 0
+    tops = x.groupBy("doc_id").agg(F.count_if(is_top).alias("top"), F.count_if(is_top & (F.col("node_type") == "document")).alias("top_doc"))
     single = (F.col("top") == 1) & (F.col("top_doc") == 1)
-    x = x.withColumn("wrapped", ~single).withColumn(
-        "pre", F.col("seq") + F.when(single, 0).otherwise(1)).withColumn(
-        "depth", F.col("depth0") + F.when(single, 0).otherwise(1))
-    desc = x.select("doc_id", F.explode("anc").alias("elem_id")).groupBy("doc_id", "elem_id").agg(
-        F.count(F.lit(1)).alias("n_desc"))
+    shift = F.when(single, 0).otherwise(1)
+    x = x.join(tops, "doc_id").withColumn("wrapped", ~single).withColumn("pre", F.col("seq") + shift).withColumn(
+        "last", F.col("last_seq") + shift).withColumn("depth", F.col("depth0") + shift)
     kids = x.groupBy("doc_id", F.col("parent_elem").alias("elem_id")).agg(F.count(F.lit(1)).alias("n_kids"))
-    sib = Window.partitionBy("doc_id", "parent_elem").orderBy("path")
-    x = (x.join(desc, ["doc_id", "elem_id"], "left").join(kids, ["doc_id", "elem_id"], "left")
-         .withColumn("children_count", F.coalesce("n_kids", F.lit(0)))
-         .withColumn("last", F.col("pre") + F.coalesce("n_desc", F.lit(0)))
+    sib = Window.partitionBy("doc_id", "parent_elem").orderBy("seq")
+    x = (x.join(kids, ["doc_id", "elem_id"], "left").withColumn("children_count", F.coalesce("n_kids", F.lit(0)))
          .withColumn("child_pos", F.row_number().over(sib) - 1))
     d = docs.select("doc_id", "source_hash")
     x = x.join(d, "doc_id")
@@ -130,7 +141,7 @@ def tagged_nodes(elements: DataFrame, docs: DataFrame, page_refs: DataFrame | No
         x = x.join(pages.select("doc_id", "page_index", F.col("page_text").alias("_ptext")),
                    ["doc_id", "page_index"], "left").withColumn("text", F.col("_ptext"))
     x = x.withColumn("node_id", node_id("source_hash", "page_index", "seq"))
-    parents = x.select("doc_id", F.col("elem_id").alias("parent_elem"), F.col("node_id").alias("_pid"))
+    parents = x.select("doc_id", F.col("elem_id").alias("parent_elem"), F.col("node_id").alias("_pid"), F.col("pre").alias("_ppre"))
     x = x.join(parents, ["doc_id", "parent_elem"], "left")
     wrap_id = node_id("source_hash", F.lit(0), "n")
     text = F.when(F.col("children_count") == 0, F.nullif(py_strip("text"), F.lit("")))
@@ -139,7 +150,8 @@ def tagged_nodes(elements: DataFrame, docs: DataFrame, page_refs: DataFrame | No
                       F.col("pre"), F.col("last"), F.col("depth"), F.col("child_pos"), F.col("node_type"),
                       F.col("page_index"), text_content=text, level=heading_level("tag", level_map),
                       struct_type=F.col("tag"), heuristic=False, mcid=F.col("kid").try_cast("int"),
-                      children_count=F.col("children_count"))
+                      children_count=F.col("children_count"),
+                      parent_pre=F.when(F.col("_ppre").isNull() & F.col("wrapped"), 0).otherwise(F.col("_ppre")))
     nodes = explode_nodes(x, F.array(own))
     # Wrapper document nodes: documents with no element at all, or whose top
     # level is not a single document element.

@@ -16,8 +16,9 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from quire.session import checkpoint_dir
+from quire.schemas import NODES
 
 DEFAULT_BUCKET = 1024
 
@@ -98,7 +99,7 @@ def nodes_to_json(nodes: DataFrame, docs: DataFrame) -> DataFrame:
     In preorder a node opens its own object and its ``children`` list; after a
     node as many levels close as the depth falls to the next node.  So the
     document is its nodes' pieces joined in order.  A document's JSON is one
-    row: this sink is for documents the admission gate has bounded.
+    row: the builders' admission gate bounds it.
     """
     after = F.lead("depth").over(Window.partitionBy("doc_id").orderBy("pre"))
     plain = F.to_json(F.struct(F.col("node_id").alias("id"), F.col("node_type").alias("type"), "page_index", "bbox", "text_content",
@@ -126,50 +127,177 @@ class Parsed(NamedTuple):
     rejected: DataFrame
 
 
-def nodes_from_json(docs_json: DataFrame) -> Parsed:
-    """Nested JSON documents -> node rows with parent links, headers and rejected documents.
+_NODE_TYPES = T.StructType([f for f in NODES.fields if f.name != "doc_id"])
+_PARSED = T.StructType([T.StructField("schema_version", T.StringType()), T.StructField("source_hash", T.StringType()),
+                        T.StructField("page_count", T.IntegerType()), T.StructField("reason", T.StringType()),
+                        T.StructField("nodes", T.ArrayType(_NODE_TYPES))])
+
 
-    The header is read by alias or field name.  Each level of children is
-    exploded and written to the shared checkpoint folder until no node has
-    any, however deep the trees are.  A document that does not parse, lacks a
-    header field, or has a node without id, type or page index is rejected as a
-    whole, with its ``reason``.
+def _parse_tree(json_text: Column) -> Column:
+    """Struct of header, ``reason`` and the numbered nodes of one JSON document.
+
+    Trees nest without limit, which no fixed schema expresses, so this is an Arrow UDF: one pass
+    over the text and one over the tree, both without recursion.
+    """
+    names = [f.name for f in _NODE_TYPES.fields]
+
+    def parse_all(texts):
+        # Nested, so that executors get it by value and need no package.
+        import json
+        import re
+        from json.decoder import scanstring
+
+        import pyarrow as pa
+
+        blank = re.compile(r"[ \t\n\r]*").match
+        scalar = re.compile(r"true|false|null|-?(?:0|[1-9][0-9]*)(?:\.[0-9]+)?(?:[eE][+-]?[0-9]+)?").match
+
+        def refuse(_):
+            raise ValueError("no JSON")
+
+        def name(s, i):
+            if s[i:i + 1] != '"':
+                raise ValueError("no name")
+            key, i = scanstring(s, i + 1, True)
+            i = blank(s, i).end()
+            if s[i:i + 1] != ":":
+                raise ValueError("no value")
+            return key, blank(s, i + 1).end()
+
+        def parse_deep(s):
+            """JSON of any depth, with a stack of open containers."""
+            i, open_ = blank(s, 0).end(), []
+            while True:
+                c = s[i:i + 1]
+                if c in ("{", "["):
+                    box = {} if c == "{" else []
+                    i = blank(s, i + 1).end()
+                    if s[i:i + 1] != ("}" if c == "{" else "]"):
+                        key = None
+                        if c == "{":
+                            key, i = name(s, i)
+                        open_.append((box, key))
+                        continue
+                    value, i = box, i + 1
+                elif c == '"':
+                    value, i = scanstring(s, i + 1, True)
+                else:
+                    m = scalar(s, i)
+                    if not m:
+                        raise ValueError("no value")
+                    value, i = json.loads(m.group()), m.end()
+                while True:
+                    i = blank(s, i).end()
+                    if not open_:
+                        if i != len(s):
+                            raise ValueError("more text")
+                        return value
+                    box, key = open_[-1]
+                    is_list = isinstance(box, list)
+                    if is_list:
+                        box.append(value)
+                    else:
+                        box[key] = value
+                    c = s[i:i + 1]
+                    if c == ",":
+                        i = blank(s, i + 1).end()
+                        if not is_list:
+                            key, i = name(s, i)
+                            open_[-1] = (box, key)
+                        break
+                    if c != ("]" if is_list else "}"):
+                        raise ValueError("no end")
+                    value, i = box, i + 1
+                    open_.pop()
+
+        def text(v):
+            return v if v is None or isinstance(v, str) else None if isinstance(v, (dict, list)) else json.dumps(v)
+
+        def whole(v):
+            if isinstance(v, str):
+                v = int(v) if re.fullmatch(r"\s*[+-]?[0-9]{1,11}\s*", v) else None
+            if isinstance(v, bool) or not isinstance(v, (int, float)) or v != v or abs(v) >= 2 ** 31:
+                return None
+            return int(v) if v == int(v) else None
+
+        def box_of(v):
+            sides = [v.get(k) for k in ("x", "y", "width", "height")] if isinstance(v, dict) else []
+            if not sides or any(isinstance(x, bool) or not isinstance(x, (int, float)) for x in sides):
+                return None
+            return dict(zip(("x", "y", "width", "height"), map(float, sides)))
+
+        def first(d, *keys):
+            return next((d[k] for k in keys if d.get(k) is not None), None)
+
+        def rows_of(root):
+            rows, todo = [], [(root, None, 0, 0)]
+            while todo:
+                n, parent, depth, at = todo.pop()
+                n = n if isinstance(n, dict) else {}
+                extra = n.get("attributes") if isinstance(n.get("attributes"), dict) else {}
+                kids = n.get("children") if isinstance(n.get("children"), list) else []
+                pre = len(rows)
+                flag = extra.get("heuristic")
+                rows.append({"node_id": text(n.get("id")), "parent_id": rows[parent]["node_id"] if parent is not None else None, "parent_pre": parent,
+                             "pre": pre, "last": pre, "depth": depth, "child_pos": at, "node_type": text(n.get("type")),
+                             "page_index": whole(n.get("page_index")), "text_content": text(n.get("text_content")), "level": whole(extra.get("level")),
+                             "struct_type": text(extra.get("struct_type")), "heuristic": flag is True or flag == "true", "mcid": whole(n.get("mcid")),
+                             "bbox": box_of(n.get("bbox")), "children_count": len(kids)})
+                todo.extend((kid, pre, depth + 1, k) for k, kid in reversed(list(enumerate(kids))))
+            for r in reversed(rows):
+                if r["parent_pre"] is not None:
+                    up = rows[r["parent_pre"]]
+                    up["last"] = max(up["last"], r["last"])
+            return rows
+
+        def parse(s):
+            out = {"schema_version": None, "source_hash": None, "page_count": None, "reason": "json", "nodes": []}
+            if s is None:
+                return out
+            try:
+                try:
+                    doc = json.loads(s, parse_constant=refuse)
+                except RecursionError:
+                    doc = parse_deep(s)
+            except ValueError:
+                return out
+            doc = doc if isinstance(doc, dict) else {}
+            out["schema_version"] = text(first(doc, "schemaVersion", "schema_version"))
+            out["source_hash"] = text(first(doc, "sourceHash", "source_hash"))
+            out["page_count"] = whole(first(doc, "pageCount", "page_count"))
+            out["nodes"] = rows_of(doc.get("root"))
+            if None in (out["schema_version"], out["source_hash"], out["page_count"]):
+                out["reason"] = "header"
+            elif any(None in (r["node_id"], r["node_type"], r["page_index"]) for r in out["nodes"]):
+                out["reason"] = "node"
+            else:
+                out["reason"] = None
+            if out["reason"]:
+                out["nodes"] = []
+            return out
+
+        ints = {"parent_pre", "pre", "last", "depth", "child_pos", "page_index", "level", "mcid", "children_count"}
+        box = pa.struct([(k, pa.float64()) for k in ("x", "y", "width", "height")])
+        kinds = pa.struct([(k, pa.int32() if k in ints else pa.bool_() if k == "heuristic" else box if k == "bbox" else pa.string()) for k in names])
+        kind = pa.struct([("schema_version", pa.string()), ("source_hash", pa.string()), ("page_count", pa.int32()), ("reason", pa.string()),
+                          ("nodes", pa.list_(kinds))])
+        return pa.array([parse(s) for s in texts.to_pylist()], kind)
+
+    return F.arrow_udf(parse_all, _PARSED)(json_text)
+
+
+def nodes_from_json(docs_json: DataFrame) -> Parsed:
+    """Nested JSON documents -> node rows with all numbering, headers and rejected documents.
+
+    The header is read by alias or field name.  ``pre``, ``last``, ``depth``, ``child_pos``,
+    ``children_count`` and the parent links follow from the nesting, in one pass per
+    document and in one scan of ``docs_json`` per result, however deep the trees are.  A
+    document that does not parse, lacks a header field, or has a node without id, type or
+    page index is rejected as a whole, with its ``reason``; of repeated names in one JSON
+    object the last counts.
     """
-    checkpoint_dir(docs_json.sparkSession)
-
-    def get(path: str, kind: str, of: str = "n") -> Column:
-        return F.expr(f"try_variant_get({of}, '$.{path}', '{kind}')")
-
-    def either(alias: str, name: str, kind: str) -> Column:
-        return F.coalesce(get(alias, kind, "v"), get(name, kind, "v"))
-
-    v = docs_json.select("doc_id", F.try_parse_json("json").alias("v")).select(
-        "doc_id", F.col("v").isNull().alias("broken"), either("schemaVersion", "schema_version", "string").alias("schema_version"),
-        either("sourceHash", "source_hash", "string").alias("source_hash"), either("pageCount", "page_count", "int").alias("page_count"),
-        F.expr("try_variant_get(v, '$.root', 'variant')").alias("n")).checkpoint()
-    level = v.select("doc_id", "n", F.lit(None).cast("string").alias("parent_id"), F.lit(0).alias("depth"), F.lit(0).alias("child_pos"))
-    nodes = None
-    depth = 0
-    while True:
-        rows = level.select("doc_id", "parent_id", "depth", "child_pos", get("id", "string").alias("node_id"),
-                            get("type", "string").alias("node_type"), get("page_index", "int").alias("page_index"),
-                            get("text_content", "string").alias("text_content"), get("attributes.level", "int").alias("level"),
-                            get("attributes.struct_type", "string").alias("struct_type"),
-                            F.coalesce(get("attributes.heuristic", "boolean"), F.lit(False)).alias("heuristic"),
-                            get("mcid", "int").alias("mcid"),
-                            get("bbox", "struct<x:double,y:double,width:double,height:double>").alias("bbox"))
-        nodes = rows if nodes is None else nodes.unionByName(rows)
-        depth += 1
-        level = level.select("doc_id", get("id", "string").alias("parent_id"), F.lit(depth).alias("depth"),
-                             F.posexplode(F.expr("try_variant_get(n, '$.children', 'array<variant>')")).alias("child_pos", "n")).select(
-            "doc_id", "n", "parent_id", "depth", "child_pos").checkpoint()
-        if level.isEmpty():
-            break
-    bad = nodes.filter("node_id IS NULL OR node_type IS NULL OR page_index IS NULL").select("doc_id").distinct().withColumn("_bad", F.lit(True))
-    headless = F.col("schema_version").isNull() | F.col("source_hash").isNull() | F.col("page_count").isNull()
-    judged = v.join(bad, "doc_id", "left").select(
-        "doc_id", "schema_version", "source_hash", "page_count",
-        F.when(F.col("broken"), "json").when(headless, "header").when(F.col("_bad"), "node").alias("reason"))
-    good = judged.filter("reason IS NULL").select("doc_id")
-    return Parsed(nodes.join(good, "doc_id", "left_semi"), judged.filter("reason IS NULL").drop("reason"),
-                  judged.filter("reason IS NOT NULL").select("doc_id", "reason"))
+    p = docs_json.select("doc_id", _parse_tree(F.col("json")).alias("p"))
+    header = p.select("doc_id", "p.schema_version", "p.source_hash", "p.page_count", "p.reason")
+    good = F.col("reason").isNull()
+    nodes = p.select("doc_id", F.inline_outer("p.nodes")).filter(F.col("node_id").isNotNull())
+    return Parsed(nodes, header.filter(good).drop("reason"), header.filter(~good).select("doc_id", "reason"))

@@ -135,3 +135,38 @@ def order_elements(spark: SparkSession, sf_dir: str):
     pages = refs.select("doc_id", "page_index", F.concat(F.lit(" page "), F.col("page_index").cast("string"), F.lit(" of "),
                                                          F.col("doc_id").cast("string")).alias("page_text"))
     return elements, docs, refs, pages
+
+
+def paged_table_elements(spark: SparkSession, sf_dir: str):
+    """Structure elements of orders whose every line is a table of its own, two lines a page.
+
+    An order is a ``/Document`` whose kids are ``/Table > /TR > /TD, /TD`` (line number, part), each with its
+    page reference; an order without lines has one page.  Returns (elements, docs, page_refs).
+    """
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    from quire.functions.text import source_hash_of_text
+    o = table(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("bigint").alias("doc_id"))
+    w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey")
+    li = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").cast("bigint").alias("doc_id"), "l_linenumber", "l_partkey",
+                                                 (F.row_number().over(w) - 1).alias("r"))
+    first, ref = (F.col("r") * 4 + 1).cast("bigint"), F.floor(F.col("r") / 2)
+
+    def element(elem, parent, pos, tag, text=None):
+        return F.struct(elem.alias("elem_id"), parent.alias("parent_elem"), pos.cast("int").alias("kid_pos"), F.lit(tag).alias("tag"), ref.alias("page_ref"),
+                        F.lit(None).cast("string").alias("kid"), (F.lit(None) if text is None else F.col(text)).cast("string").alias("text"))
+
+    zero = F.lit(0).cast("bigint")
+    lines = li.select("doc_id", F.inline(F.array(
+        element(first, zero, F.col("r"), "/Table"), element(first + 1, first, F.lit(0), "/TR"),
+        element(first + 2, first + 1, F.lit(0), "/TD", "l_linenumber"), element(first + 3, first + 1, F.lit(1), "/TD", "l_partkey"))))
+    none = F.lit(None)
+    roots = o.select("doc_id", zero.alias("elem_id"), none.cast("bigint").alias("parent_elem"), F.lit(0).alias("kid_pos"), F.lit("/Document").alias("tag"),
+                     none.cast("bigint").alias("page_ref"), none.cast("string").alias("kid"), none.cast("string").alias("text"))
+    counts = li.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
+    docs = o.join(counts, "doc_id", "left").select(
+        "doc_id", source_hash_of_text(F.concat(F.lit("order:"), F.col("doc_id").cast("string"))).alias("source_hash"),
+        F.greatest(F.lit(1), F.ceil(F.coalesce("n", F.lit(0)) / 2)).cast("int").alias("page_count"))
+    refs = li.select("doc_id", ref.alias("page_ref"), ref.cast("int").alias("page_index")).distinct()
+    return roots.unionByName(lines), docs, refs

@@ -383,11 +383,7 @@ SELECT CAST(k.doc_id AS BIGINT) AS doc_id, k.node_id AS key_id, a.node_id, a.nod
 FROM html_nodes k JOIN html_nodes a ON k.doc_id = a.doc_id AND a.pre < k.pre AND a.last >= k.pre
 WHERE k.node_type = 'list_item'"""
 
-ORACLE["ast_json_roundtrip"] = f"""WITH {CONV_NODES}
-SELECT CAST(doc_id AS BIGINT) AS doc_id, parent_id, CAST(depth AS INTEGER) AS depth,
-       CAST(child_pos AS INTEGER) AS child_pos, node_id, node_type, CAST(page_index AS INTEGER) AS page_index,
-       text_content, CAST(level AS INTEGER) AS level, struct_type, heuristic, CAST(mcid AS INTEGER) AS mcid
-FROM conv_nodes"""
+ORACLE["ast_json_roundtrip"] = f"WITH {CONV_NODES}\n{node_select('conv_nodes')}"
 
 
 # -- tables ---------------------------------------------------------------------------
@@ -818,6 +814,78 @@ SELECT CAST(doc_id AS BIGINT) AS doc_id, CASE WHEN doc_id % 10 <> 0 THEN '1.0' E
        CASE WHEN doc_id % 10 <> 0 THEN 1 END AS page_count, CASE WHEN doc_id % 10 = 0 THEN 'json' END AS reason
 FROM hp"""
 
+ORACLE["ast_json_roundtrip_html"] = f"""WITH RECURSIVE {HTML_NODES}
+SELECT n.*, CAST(p.pre AS INTEGER) AS parent_pre FROM ({node_select('html_nodes')}) n
+LEFT JOIN html_nodes p ON p.doc_id = n.doc_id AND p.node_id = n.parent_id"""
+
+ORACLE["document_info_html"] = f"""WITH RECURSIVE {HTML_NODES}
+SELECT CAST(n.doc_id AS BIGINT) AS doc_id, '1.0' AS schema_version, any_value(hp.source_hash) AS source_hash, 1 AS page_count,
+       CAST(sum({tokens('text_content')}) AS BIGINT) AS estimated_tokens, 'document' AS root_node_type,
+       CAST(max(children_count) FILTER (WHERE pre = 0) AS INTEGER) AS root_children_count
+FROM html_nodes n JOIN hp ON hp.doc_id = n.doc_id GROUP BY n.doc_id"""
+
+ORACLE["table_summary_html"] = f"""WITH RECURSIVE {HTML_NODES}
+SELECT CAST(doc_id AS BIGINT) AS doc_id, count(*) FILTER (WHERE node_type = 'table') AS table_count, 1 AS pages_processed
+FROM html_nodes GROUP BY doc_id"""
+
+
+def _frame_sql(name: str, keys: str, rows: str, heads: list[str]) -> str:
+    """Nodes of one table per key with a header row; ``rows`` gives doc_id, r and a list of cells."""
+    n = len(heads)
+    w = n + 1
+    return f"""
+{name}_k AS (SELECT k.doc_id, sha256(encode('{name}:' || k.doc_id)[1:4096]) AS h, count(r.doc_id) AS n
+             FROM ({keys}) k LEFT JOIN ({rows}) r ON r.doc_id = k.doc_id GROUP BY k.doc_id),
+{name}_r AS (SELECT doc_id, 0 AS rn, {heads!r} AS cells, '/TH' AS tag FROM {name}_k
+             UNION ALL SELECT doc_id, r + 1, cells, '/TD' FROM ({rows})),
+{name}_n AS (
+  SELECT doc_id, 0 AS pre, (n + 1) * {w} + 1 AS last, NULL AS up, 0 AS depth, 0 AS child_pos, 'document' AS node_type, NULL AS text_content,
+         '/Document' AS struct_type, 1 AS children_count FROM {name}_k
+  UNION ALL SELECT doc_id, 1, (n + 1) * {w} + 1, 0, 1, 0, 'table', NULL, '/Table', n + 1 FROM {name}_k
+  UNION ALL SELECT doc_id, rn * {w} + 2, rn * {w} + 1 + {w}, 1, 2, rn, 'table_row', NULL, '/TR', {n} FROM {name}_r
+  UNION ALL SELECT doc_id, rn * {w} + 3 + c, rn * {w} + 3 + c, rn * {w} + 2, 3, c, 'table_cell', t, tag, 0
+            FROM (SELECT *, unnest(cells) AS t, generate_subscripts(cells, 1) - 1 AS c FROM {name}_r)),
+{name}_nodes AS (
+  SELECT n.doc_id, concat('ast:', left(h, 6), ':0:', pre) AS node_id, CASE WHEN up IS NOT NULL THEN concat('ast:', left(h, 6), ':0:', up) END AS parent_id,
+         pre, last, depth, child_pos, node_type, 0 AS page_index, text_content, CAST(NULL AS INTEGER) AS level, struct_type, FALSE AS heuristic,
+         CAST(NULL AS INTEGER) AS mcid, children_count
+  FROM {name}_n n JOIN {name}_k k ON k.doc_id = n.doc_id)"""
+
+
+ORACLE["table_nodes_headers"] = "WITH " + _frame_sql(
+    "region", "SELECT r_regionkey AS doc_id FROM region",
+    "SELECT n_regionkey AS doc_id, row_number() OVER (PARTITION BY n_regionkey ORDER BY n_nationkey) - 1 AS r, [CAST(n_nationkey AS VARCHAR), n_name] AS cells FROM nation",
+    ["n_nationkey", "n_name"]) + "," + _frame_sql(
+    "nation", "SELECT n_nationkey AS doc_id FROM nation",
+    "SELECT s_nationkey AS doc_id, row_number() OVER (PARTITION BY s_nationkey ORDER BY s_suppkey) - 1 AS r, [CAST(s_suppkey AS VARCHAR), s_name] AS cells FROM supplier",
+    ["s_suppkey", "s_name"]) + f"""
+SELECT *, 'region' AS corpus FROM ({node_select('region_nodes')}) UNION ALL SELECT *, 'nation' FROM ({node_select('nation_nodes')})"""
+
+ORACLE["cited_tables_page_range"] = """
+SELECT CAST(l_orderkey AS BIGINT) AS doc_id, concat('ast:', left(sha256(encode(concat('order:', l_orderkey))[1:4096]), 6), ':', r // 2, ':', 4 * r + 1) AS table_node_id,
+       CAST(r // 2 AS INTEGER) AS table_page, 1 AS row_count, 2 AS col_count, FALSE AS has_anchor
+FROM (SELECT l_orderkey, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) - 1 AS r FROM lineitem)
+WHERE r >= 2"""
+
+ORACLE["load_files"] = f"""
+SELECT doc_id // 64 AS bucket, CAST(sum(strlen(coalesce(text, '')) + 1) AS BIGINT) AS n_bytes,
+       sha256(string_agg(coalesce(text, '') || {NL}, '' ORDER BY doc_id)) AS sha256
+FROM documents GROUP BY doc_id // 64"""
+
+_EVIDENCE = [("javascript", "high", r"(?i)<script[\s>]|javascript:"), ("embedded_files", "high", r"(?i)<(?:iframe|object|embed)[\s>]")]
+ORACLE["forensic_evidence"] = "WITH " + ", ".join(f"""e{k} AS (
+  SELECT page_id, '{c}' AS category, '{sev}' AS severity, regexp_extract_all(coalesce(html, ''), '{p}') AS hits,
+         string_split_regex(coalesce(html, ''), '{p}') AS gaps FROM pages)""" for k, (c, sev, p) in enumerate(_EVIDENCE)) + """,
+m AS (
+  SELECT page_id, category, severity, hits, gaps, unnest(range(len(hits))) AS i
+  FROM (SELECT * FROM e0 UNION ALL SELECT * FROM e1)),
+s AS (
+  SELECT *, sum(length(gaps[i + 1])) OVER w + coalesce(sum(length(hits[i + 1])) OVER (PARTITION BY page_id, category ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS off
+  FROM m WINDOW w AS (PARTITION BY page_id, category ORDER BY i))
+SELECT concat(page_id, ':', category) AS finding_id, CAST(page_id AS BIGINT) AS doc_id, category, severity, CAST(i AS INTEGER) AS match_no,
+       CAST(off AS INTEGER) AS start, CAST(off + length(hits[i + 1]) AS INTEGER) AS stop, concat(hits[i + 1], left(coalesce(gaps[i + 2], ''), 40)) AS snippet
+FROM s"""
+
 # -- responses, sinks and validation with faults ----------------------------------------
 
 ORACLE["cited_tables_nested"] = f"""WITH {TAB_NODES}

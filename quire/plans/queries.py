@@ -6,6 +6,7 @@ Each reads the whole driver tables of ``sf_dir``.  Their SQL twins live in
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -129,7 +130,14 @@ def q_search_text(spark, d):
 @query("document_info")
 def q_document_info(spark, d):
     """D3 over conversations."""
-    b = B.conv_built(spark, d)
+    from quire.operators.heuristic import long_info
+    return long_info(B.conv_pages(spark, d), B.PARA_DELIM)
+
+
+@query("document_info_html")
+def q_document_info_html(spark, d):
+    """D3 over trees that no closed form describes: the HTML pages, from their nodes."""
+    b = B.html_built(spark, d)
     return C.document_info(b.nodes, b.docs)
 
 
@@ -183,8 +191,8 @@ def q_batch_outcome(spark, d):
 def q_metering(spark, d):
     """K2: documents, pages and blocks processed over the documents corpus."""
     from quire.operators.batch import metering
-    b = B.docs_built(spark, d, B.DOC_LINES_PER_PAGE)
-    return metering(b.nodes, b.docs)
+    from quire.operators.heuristic import wide_stats
+    return metering(wide_stats(B.docs_wide(spark, d, B.DOC_LINES_PER_PAGE), B.PARA_DELIM))
 
 
 # -- B7-B13: tagged HTML corpus ---------------------------------------------------
@@ -252,7 +260,15 @@ def q_ast_json_roundtrip(spark, d):
     from quire.operators.tree import nodes_from_json, nodes_to_json
     b = B.conv_built(spark, d)
     js = nodes_to_json(b.nodes, b.docs)
-    return nodes_from_json(js).nodes.drop("bbox")
+    return B.node_rows(nodes_from_json(js).nodes)
+
+
+@query("ast_json_roundtrip_html")
+def q_ast_json_roundtrip_html(spark, d):
+    """A11 + A12 over the HTML trees, all columns of ``nodes`` numbered anew."""
+    from quire.operators.tree import nodes_from_json, nodes_to_json
+    b = B.html_built(spark, d)
+    return nodes_from_json(nodes_to_json(b.nodes, b.docs)).nodes.select(*B.NODE_OUT, "parent_pre")
 
 
 # -- E: tables --------------------------------------------------------------------
@@ -283,8 +299,51 @@ def q_table_summary(spark, d):
     heuristic conversations (which never have tables)."""
     from quire.operators.tables import table_summary
     conv, tabs = B.conv_built(spark, d), B.tables_built(spark, d)
-    return table_summary(conv.nodes, conv.docs).withColumn("corpus", F.lit("conversations")).unionByName(
-        table_summary(tabs.nodes, tabs.docs).withColumn("corpus", F.lit("orders")))
+    return table_summary(None, conv.docs).withColumn("corpus", F.lit("conversations")).unionByName(
+        table_summary(None, tabs.docs, per_document=1).withColumn("corpus", F.lit("orders")))
+
+
+@query("table_summary_html")
+def q_table_summary_html(spark, d):
+    """E4 counted from nodes: the tables of the HTML pages, wherever they stand."""
+    from quire.operators.tables import table_summary
+    b = B.html_built(spark, d)
+    return table_summary(b.nodes, b.docs)
+
+
+@query("table_nodes_headers")
+def q_table_nodes_headers(spark, d):
+    """E5 from the frames' own schemas, with header rows: the nations of every region and the
+    suppliers of every nation (doubles as they are cast; regions and nations without rows keep their header)."""
+    from quire.operators.tables import frame_tables
+    nations, suppliers = B.table(spark, d, "nation"), B.table(spark, d, "supplier").drop("s_acctbal")
+    a = frame_tables(nations, "n_regionkey", ["n_nationkey"], header=True, parents=B.table(spark, d, "region"), source="region:")
+    b = frame_tables(suppliers, "s_nationkey", ["s_suppkey"], header=True, parents=nations, source="nation:")
+    return B.node_rows(a.nodes).withColumn("corpus", F.lit("region")).unionByName(
+        B.node_rows(b.nodes).withColumn("corpus", F.lit("nation")))
+
+
+@query("cited_tables_page_range")
+def q_cited_tables_page_range(spark, d):
+    """C6 over tables on several pages: from page 1 to each document's last page (two lines of an order a page)."""
+    from quire.operators.tables import cited_tables
+    from quire.operators.tagged import tagged_nodes
+    elements, docs, refs = B.paged_table_elements(spark, d)
+    b = tagged_nodes(elements, docs, refs)
+    return cited_tables(b.nodes, 1, None, b.docs)
+
+
+@query("load_files")
+def q_load_files(spark, d):
+    """A1 for raw files: the documents' texts, 64 ids a file, read back as bytes and hashed."""
+    from quire.session import checkpoint_dir
+    path = f"{checkpoint_dir(spark)}/files-{uuid.uuid4().hex}"
+    texts = B.table(spark, d, "documents").select(F.floor(F.col("doc_id") / 64).alias("bucket"), "doc_id", F.coalesce("text", F.lit("")).alias("value"))
+    dealt = texts.repartition("bucket").sortWithinPartitions("bucket", "doc_id").select("bucket", "value")
+    dealt.write.partitionBy("bucket").text(path)
+    files = S.load_files(spark, path, "*.txt")
+    return files.select(F.regexp_extract("path", r"bucket=(\d+)", 1).cast("bigint").alias("bucket"), F.col("length").alias("n_bytes"),
+                        F.sha2("content", 256).alias("sha256"))
 
 
 @query("tables_csv")
@@ -601,6 +660,13 @@ def q_forensic_report(spark, d):
     return r.withColumn("evidence", F.element_at("evidence", F.lit("count"))).withColumn("checks", F.array_join("checks", ","))
 
 
+@query("forensic_evidence")
+def q_forensic_evidence(spark, d):
+    """Every script and embed marker with its place and what follows it."""
+    from quire.operators.audit import forensic_evidence
+    return forensic_evidence(B.table(spark, d, "pages"), ["javascript", "embedded_files"])
+
+
 @query("validate_blocks")
 def q_validate_blocks(spark, d):
     """J2/J3 over cited blocks with faults by doc_id: confidence 1.5, page -1, depth -1, a box outside the page."""
@@ -627,7 +693,6 @@ def q_validate_docs(spark, d):
 @query("sink_json_files")
 def q_sink_json_files(spark, d):
     """Cited blocks as JSON files in the shared folder, read back."""
-    import uuid
 
     from quire.session import checkpoint_dir
     from quire.sources.sinks import write_json
@@ -640,7 +705,6 @@ def q_sink_json_files(spark, d):
 @query("sink_text_files")
 def q_sink_text_files(spark, d):
     """A10: paragraphs as text files in the shared folder, read back and counted by text."""
-    import uuid
 
     from quire.session import checkpoint_dir
     from quire.sources.sinks import write_text

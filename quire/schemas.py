@@ -12,11 +12,13 @@ BBOX = T.StructType([
 # One row per AST node.  (doc_id, node_id) is the key: node ids repeat across
 # documents whose first 4 KB are equal.  `pre` is the preorder rank (the order
 # every query emits in), `last` the largest `pre` in the subtree, so
-# "d is in the subtree of a" is `a.pre <= d.pre <= a.last`.
+# "d is in the subtree of a" is `a.pre <= d.pre <= a.last`.  `parent_pre` is the
+# parent's `pre` (null at a root), so operators meet parents by position.
 NODES = T.StructType([
     T.StructField("doc_id", T.LongType(), False),
     T.StructField("node_id", T.StringType(), False),
     T.StructField("parent_id", T.StringType(), True),
+    T.StructField("parent_pre", T.IntegerType(), True),
     T.StructField("pre", T.IntegerType(), False),
     T.StructField("last", T.IntegerType(), False),
     T.StructField("depth", T.IntegerType(), False),

@@ -31,7 +31,8 @@ def load_files(spark: SparkSession, path: str, glob: str = "*.pdf") -> DataFrame
     """A1 for raw files: ``binaryFile`` source -> (path, length, content).
 
     A missing path is an error at analysis time, as in the reference; files are
-    read lazily per task, never through the driver.
+    read lazily per task, never through the driver.  Spark's file scan passes over
+    files of no bytes.
     """
     return (spark.read.format("binaryFile").option("pathGlobFilter", glob)
             .option("recursiveFileLookup", "true").load(path)
