@@ -102,12 +102,13 @@ def heuristic_nodes_wide(wide: DataFrame, delim: str = "\n\n", start: int | None
     """
     gated = _wide_gate(wide, max_file_size, max_pages)
     refused = rejected(gated).select("doc_id", "n_bytes", "page_count", "status", "reason")
-    wide = accepted(gated)
-    pc = F.size("pages")
+    # Refused documents are emptied, not filtered out: a filter would move below the
+    # columns it reads and compute the text (a redaction, say) once more.
+    ok, pc = F.col("status") == "ok", F.col("page_count")
     s, e = clamp_range(pc, start, end)
-    sel = F.slice("pages", s + 1, e - s + 1)
-    base = wide.select(
-        "doc_id", source_hash_of_text("source").alias("source_hash"), pc.alias("page_count"),
+    sel = F.when(ok, F.slice("pages", s + 1, e - s + 1)).otherwise(F.array().cast("array<string>"))
+    base = gated.select(
+        "doc_id", source_hash_of_text("source").alias("source_hash"), "page_count", ok.alias("ok"),
         s.alias("start"),
         F.transform(sel, lambda p: split_paragraphs(p, delim)).alias("paras_by_page"))
     # One pass carries the running offset B(p) and the list of pages with theirs.
@@ -123,9 +124,9 @@ def heuristic_nodes_wide(wide: DataFrame, delim: str = "\n\n", start: int | None
         (F.col("start") + F.col("child_pos")).alias("page_index"), "child_pos",
         F.col("pg.paras").alias("paras"), F.col("pg.b").alias("b"),
         (F.col("child_pos") == 0).alias("is_first"))
-    docs = base.select("doc_id", F.lit(SCHEMA_VERSION).alias("schema_version"), "source_hash",
-                       F.col("page_count").cast("int").alias("page_count"),
-                       F.lit(True).alias("is_heuristic"))
+    about = F.struct(F.lit(SCHEMA_VERSION).alias("schema_version"), "source_hash", F.col("page_count").cast("int").alias("page_count"),
+                     F.lit(True).alias("is_heuristic"))
+    docs = base.select("doc_id", F.inline_outer(F.filter(F.array(about), lambda _: F.col("ok")))).filter(F.col("schema_version").isNotNull())
     return Built(_emit(pages), docs, refused)
 
 

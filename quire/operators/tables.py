@@ -14,7 +14,8 @@ from pyspark.sql import types as T
 
 from quire.functions.text import SCHEMA_VERSION, node_id, source_hash_of_text
 from quire.operators.cited import page_between
-from quire.operators.nodes import Built, explode_nodes, node_struct
+from quire.operators.nodes import Built
+from quire.schemas import BBOX
 
 # Columns of `lineitem` shown as cells of an order's table, in order.
 LINE_COLUMNS = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount",
@@ -48,44 +49,65 @@ def frame_tables(rows: DataFrame, key: str, order: list[str], columns: list[str]
     numbers equal preorder ranks: document 0, table 1, row r at
     ``2 + r*(C+1)``, its cell c at ``3 + r*(C+1) + c``.
 
-    One pass: one exchange on the key (per side, if there are parents); the
-    row-number window and the row count run on that partitioning, and the document and
-    table nodes are emitted by the document's first row.  The nodes come out
-    hash-partitioned by doc_id.
+    One exchange on the key; the row-number window and the row count run on that
+    partitioning, and the document and table nodes are emitted by the document's first
+    row.  The nodes come out hash-partitioned by doc_id.  Rows whose key is in no
+    parent make documents too.
     """
     names = columns if columns is not None else [c for c in rows.columns if c != key]
     ncol, head = len(names), 1 if header else 0
     li = rows.select(F.col(key).cast("bigint").alias("doc_id"), F.array(*[_cell_text(rows, c) for c in names]).cast("array<string>").alias("cells"),
                      F.struct(*order).alias("place"), F.lit(True).alias("is_row")).filter(F.col("doc_id").isNotNull())
-    keys = None if parents is None else parents.select(F.col(parents.columns[0]).cast("bigint").alias("doc_id")).filter("doc_id IS NOT NULL").distinct()
-    j = li if keys is None else keys.join(li, "doc_id", "left")
+    j, keys = li, li.select("doc_id")
+    if parents is not None:
+        # Parents join the rows as markers behind them: no join, and repeated ones do no harm.
+        keys = parents.select(F.col(parents.columns[0]).cast("bigint").alias("doc_id")).filter("doc_id IS NOT NULL")
+        j = li.unionByName(keys, allowMissingColumns=True)
     w = Window.partitionBy("doc_id")
-    j = j.withColumn("r", F.when(F.col("is_row"), F.row_number().over(w.orderBy("place")) - 1)).withColumn(
+    j = j.withColumn("r", F.row_number().over(w.orderBy(F.col("is_row").asc_nulls_last(), "place")) - 1).withColumn(
         "n_rows", F.count("is_row").over(w).cast("int"))
+    if parents is not None:
+        j = j.filter(F.col("is_row") | (F.col("r") == 0))
     hashed = source_hash_of_text(F.concat(F.lit(source), F.col("doc_id").cast("string")))
-    x = j.select("doc_id", "r", "n_rows", F.coalesce("cells", F.array().cast("array<string>")).alias("cells"), hashed.alias("h"))
-    total = F.col("n_rows") + head
-    doc_id_, table_id = node_id("h", F.lit(0), F.lit(0)), node_id("h", F.lit(0), F.lit(1))
-    last = total * (ncol + 1) + 1
-    doc_node = node_struct(doc_id_, None, 0, last, 0, 0, "document", 0, struct_type="/Document", children_count=1)
-    tab_node = node_struct(table_id, doc_id_, 1, last, 1, 0, "table", 0, struct_type="/Table", children_count=total, parent_pre=0)
-
-    def row_nodes(at, cells, tag):
-        row_pre = at * (ncol + 1) + 2
-        row_id = node_id("h", F.lit(0), row_pre)
-        row = node_struct(row_id, table_id, row_pre, row_pre + ncol, 2, at, "table_row", 0, struct_type="/TR", children_count=ncol, parent_pre=1)
-        return F.concat(F.array(row), F.transform(cells, lambda t, c: node_struct(
-            node_id("h", F.lit(0), row_pre + c + 1), row_id, row_pre + c + 1, row_pre + c + 1, 3, c, "table_cell", 0, text_content=t,
-            struct_type=tag, children_count=0, parent_pre=row_pre)))
-
-    first = F.coalesce(F.col("r"), F.lit(0)) == 0
-    top = [doc_node, tab_node]
-    start = F.array(*top) if not header else F.concat(F.array(*top), row_nodes(F.lit(0), F.array(*[F.lit(c) for c in names]).cast("array<string>"), "/TH"))
-    arr = F.concat(F.filter(start, lambda _: first), F.filter(row_nodes(F.col("r") + head, F.col("cells"), "/TD"), lambda _: F.col("r").isNotNull()))
-    nodes = explode_nodes(x, arr)
+    x = j.select("doc_id", "r", "is_row", (F.col("n_rows") + head).alias("total"), F.coalesce("cells", F.array().cast("array<string>")).alias("cells"),
+                 node_id(hashed, F.lit(0), F.lit("")).alias("prefix"))
+
+    # A row generates narrow entries; the nodes' columns are plain expressions over
+    # them, compiled into the stage (arrays of whole node structs would be built by
+    # interpreted lambdas).
+    def entry(depth, at=0, c=0, text=None, tag=None):
+        return F.struct(F.lit(depth).alias("depth"), (at if isinstance(at, Column) else F.lit(at)).cast("int").alias("at"),
+                        (c if isinstance(c, Column) else F.lit(c)).cast("int").alias("c"),
+                        (text if isinstance(text, Column) else F.lit(text)).cast("string").alias("text"), F.lit(tag).alias("tag"))
+
+    top = [entry(0, tag="/Document"), entry(1, tag="/Table")]
+    if header:
+        top += [entry(2, tag="/TR"), *(entry(3, 0, k, c, "/TH") for k, c in enumerate(names))]
+    at = F.col("r") + head
+    own = F.concat(F.array(entry(2, at, tag="/TR")), F.transform("cells", lambda t, c: entry(3, at, c, t, "/TD")))
+    none = F.array().cast("array<struct<depth: int, at: int, c: int, text: string, tag: string>>")
+    entries = F.concat(F.when(F.col("r") == 0, F.array(*top)).otherwise(none), F.when(F.col("is_row"), own).otherwise(none))
+    x = x.select("doc_id", "prefix", "total", F.inline_outer(entries))
+    depth, c, row_pre = F.col("depth"), F.col("c"), F.col("at") * (ncol + 1) + 2
+
+    def by_depth(*values):
+        out = F.when(depth == 0, values[0])
+        for k, v in enumerate(values[1:], 1):
+            out = out.when(depth == k, v)
+        return out.cast("int")
+
+    end = F.col("total") * (ncol + 1) + 1
+    x = x.select("*", by_depth(F.lit(0), F.lit(1), row_pre, row_pre + 1 + c).alias("pre"), by_depth(F.lit(None), F.lit(0), F.lit(1), row_pre).alias("parent_pre"))
+    nodes = x.select(
+        "doc_id", F.concat("prefix", F.col("pre").cast("string")).alias("node_id"), F.concat("prefix", F.col("parent_pre").cast("string")).alias("parent_id"),
+        "parent_pre", "pre", by_depth(end, end, row_pre + ncol, F.col("pre")).alias("last"), "depth",
+        by_depth(F.lit(0), F.lit(0), F.col("at"), c).alias("child_pos"),
+        F.when(depth == 0, "document").when(depth == 1, "table").when(depth == 2, "table_row").otherwise("table_cell").alias("node_type"),
+        F.lit(0).alias("page_index"), F.col("text").alias("text_content"), F.lit(None).cast("int").alias("level"), F.col("tag").alias("struct_type"),
+        F.lit(False).alias("heuristic"), F.lit(None).cast("int").alias("mcid"), F.lit(None).cast(BBOX).alias("bbox"),
+        by_depth(F.lit(1), F.col("total"), F.lit(ncol), F.lit(0)).alias("children_count"))
     # The document table depends on the keys only, not on another pass over the joined rows.
-    ids = li.select("doc_id").distinct() if keys is None else keys
-    docs = ids.select("doc_id", F.lit(SCHEMA_VERSION).alias("schema_version"), hashed.alias("source_hash"),
+    docs = keys.distinct().select("doc_id", F.lit(SCHEMA_VERSION).alias("schema_version"), hashed.alias("source_hash"),
                       F.lit(1).alias("page_count"), F.lit(False).alias("is_heuristic"))
     return Built(nodes, docs)
 
