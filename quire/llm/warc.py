@@ -26,9 +26,11 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quire.llm.common import cut
 
@@ -184,47 +186,57 @@ class LoserTree:
 ORDER = ["url_key", "captured_at", "page_id"]
 
 
+RANGE_ROWS = 250_000  # captures that one task merges, about
+
+
 def capture_index(records: DataFrame) -> DataFrame:
     """``records`` (with url, captured_at and page_id) with ``url_key`` and ``position``,
     the place in the global order by (url_key, captured_at, page_id), nulls first.
 
-    Only index columns should be passed in: a task holds one range of them.
+    Every task sorts its records into a run.  The key space is cut into ranges of about
+    ``RANGE_ROWS`` captures by their number, not by the session's partitions; a task holds
+    the pieces of all runs in one range, as Arrow columns, merges them by a loser tree
+    that looks at one row of each piece at a time, and numbers them from the range's
+    place on.  Only index columns should be passed in.
     """
     columns = records.columns
     runs = cut(records.withColumn("url_key", url_key(F.col("url"))).sortWithinPartitions(*ORDER)
                .withColumn("run", F.spark_partition_id()).withColumn("nth", F.monotonically_increasing_id()))
-    schema = runs.drop("run", "nth").withColumn("at", F.lit(0).cast("long")).withColumn("range_no", F.lit(0)).schema
+    n_ranges = max(1, -(-runs.count() // RANGE_ROWS))
+    ranged = cut(runs.repartitionByRange(n_ranges, *[F.col(c).asc_nulls_first() for c in ORDER]).sortWithinPartitions("run", "nth")
+                 .withColumn("range_no", F.spark_partition_id()))
+    before = Window.orderBy("range_no").rowsBetween(Window.unboundedPreceding, -1)  # one row per range
+    offsets = (ranged.groupBy("range_no").count()
+               .select(F.col("range_no").alias("__range"), F.coalesce(F.sum("count").over(before), F.lit(0)).alias("position")))
+    placed = ranged.join(F.broadcast(offsets), F.col("range_no") == F.col("__range")).drop("__range", "nth", "range_no")
+    schema = placed.drop("run").schema
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = list(batches)
-        if not rows:
+        held = [b for b in batches if b.num_rows]
+        if not held:
             return
-        table = pa.Table.from_batches(rows)
-        keys = list(zip(*(table.column(c).cast(pa.int64()).to_pylist() if c == "captured_at" else table.column(c).to_pylist()
-                          for c in ORDER)))
-        pieces: dict[int, list[int]] = {}
-        for i, run in enumerate(table.column("run").to_pylist()):
-            pieces.setdefault(run, []).append(i)
-
-        def piece(where: list[int]) -> Iterator:
-            for i in where:
-                u, t, p = keys[i]
-                yield (u.encode(), (t is not None, t or 0), (p is not None, p or 0)), i
-
-        order = [i for _, i in LoserTree([piece(w) for _, w in sorted(pieces.items())])]
-        merged = table.take(pa.array(order, pa.int64())).drop_columns(["run", "nth", "range_no"])
-        merged = merged.append_column("at", pa.array(range(len(order)), pa.int64()))
-        merged = merged.append_column("range_no", table.column("range_no").cast(pa.int32()))
-        yield from merged.to_batches(max_chunksize=10_000)
-
-    # ranges of the key space; within one, each run's piece in the run's own order
-    ranged = runs.repartitionByRange(*[F.col(c).asc_nulls_first() for c in ORDER]).sortWithinPartitions("run", "nth")
-    merged = cut(ranged.withColumn("range_no", F.spark_partition_id()).mapInArrow(merge, schema))
-    before = Window.orderBy("range_no").rowsBetween(Window.unboundedPreceding, -1)  # one row per range
-    offsets = (merged.groupBy("range_no").count()
-               .select(F.col("range_no").alias("__range"), F.coalesce(F.sum("count").over(before), F.lit(0)).alias("offset")))
-    return (merged.join(offsets, F.col("range_no") == F.col("__range"))
-            .select(*columns, "url_key", (F.col("offset") + F.col("at") + 1).alias("position")))
+        table = pa.Table.from_batches(held).combine_chunks()
+        url, page = table.column("url_key").chunk(0), table.column("page_id").chunk(0)
+        time = table.column("captured_at").cast(pa.int64()).chunk(0)
+        run = table.column("run").to_numpy()
+        starts = [0, *(np.flatnonzero(run[1:] != run[:-1]) + 1).tolist(), len(run)]
+
+        def piece(lo: int, hi: int) -> Iterator:
+            for i in range(lo, hi):
+                t, p = time[i].as_py(), page[i].as_py()
+                yield (url[i].as_py().encode(), (t is not None, t or 0), (p is not None, p or 0)), i
+
+        order = np.fromiter((i for _, i in LoserTree([piece(lo, hi) for lo, hi in zip(starts, starts[1:])])), np.int64, len(run))
+        first = table.column("position")[0].as_py() + 1
+        table = table.drop_columns(["run", "position"])
+        for at in range(0, len(order), 10_000):
+            part = table.take(pa.array(order[at:at + 10_000])).combine_chunks()
+            n = part.num_rows
+            yield from part.append_column("position", pa.array(np.arange(first + at, first + at + n))).to_batches()
+
+    names = [c for c in schema.names if c != "position"]
+    out = placed.select(*names, "run", "position").mapInArrow(merge, T.StructType([schema[c] for c in names] + [schema["position"]]))
+    return out.select(*columns, "url_key", "position")
 
 
 def capture_history(spark: SparkSession, path: str) -> DataFrame:
