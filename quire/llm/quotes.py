@@ -33,11 +33,10 @@ from pyspark.sql import functions as F
 
 from quire.llm.common import cut, with_position
 
-# One quote marker, a quoted line, and an attribution before a quote.  ``d``
-# makes \n the only line end; possessive loops keep the stack flat.
-_MARK = r"[\x20]?>"
+# A quoted line, and an attribution before a quote.  ``d`` makes \n the only line
+# end; no pattern repeats a group, so none recurses on long runs of markers.
 _QUOTED = r"(?md)^[\x20]?>.*(?:\n|\z)"
-_ATTRIBUTION = r"(?md)^[^\n>][^\n]{0,200}\bwrote:[\x20]*\n(?=[\x20]?>)"
+_ATTRIBUTION = r"(?md)^[^\n>][^\n]*\bwrote:[\x20]*\n(?=[\x20]?>)"
 _BLANK = " \t\r\n"
 
 
@@ -46,27 +45,35 @@ def body(text: Column) -> Column:
     return F.btrim(F.regexp_replace(F.regexp_replace(text, _ATTRIBUTION, ""), _QUOTED, ""), F.lit(_BLANK))
 
 
+def markers(line: Column) -> Column:
+    """The quote markers a line begins with: ``>``, each with at most one blank before it."""
+    lead = F.substring_index(F.regexp_extract(line, r"^[\x20>]*+", 0), "  ", 1)
+    return F.rtrim(lead)
+
+
 def normalised(line: Column) -> Column:
     """Lower case, blanks collapsed, quote markers gone."""
-    return F.trim(F.regexp_replace(F.lower(F.regexp_replace(line, rf"(?md)^(?:{_MARK})+", "")), r"\s+", " "))
+    return F.trim(F.regexp_replace(F.lower(F.substr(line, F.length(markers(line)) + 1)), r"\s+", " "))
 
 
-def passages(text: Column) -> Column:
-    """Array of (level, lines): runs of quoted lines of one level, normalised, without blank lines.
+def with_passages(messages: DataFrame, text: str = "__text") -> DataFrame:
+    """``messages`` with ``found``, an array of (level, lines): runs of quoted lines of one level
+    (the number of markers), normalised, without blank lines, by level, then place.
 
-    For each level up to the deepest one in the text, a pattern takes its runs.
+    Linear in the text, whatever its nesting: lines are levelled once, a run starts where
+    the level changes, and each run is cut out once.
     """
-    deepest = F.array_max(F.transform(F.regexp_extract_all(text, F.lit(rf"(?md)^(?:{_MARK})+"), F.lit(0)),
-                                      lambda m: F.length(F.regexp_replace(m, " ", ""))))
-
-    def of_level(level: Column) -> Column:
-        run = F.concat(F.lit(rf"(?md)(?:^(?:{_MARK})"), F.format_string("{%d}", level), F.lit(rf"(?!{_MARK}).*(?:\n|\z))++"))
-        return F.transform(F.regexp_extract_all(text, run, F.lit(0)), lambda p: F.struct(
-            level.cast("int").alias("level"),
-            F.filter(F.transform(F.split(p, "\n"), normalised), lambda x: x != "").alias("lines")))
-
-    levels = F.when(deepest > 0, F.sequence(F.lit(1), deepest)).otherwise(F.array().cast("array<int>"))
-    return F.filter(F.flatten(F.transform(levels, of_level)), lambda p: F.size(p["lines"]) > 0)
+    lined = messages.withColumn("__lines", F.split(F.col(text), "\n"))
+    # The arrays become columns of their own before they are indexed from a lambda.
+    lined = lined.withColumn("__levels", F.transform("__lines", lambda x: F.length(F.replace(markers(x), F.lit(" "), F.lit("")))))
+    lined = lined.withColumn("__starts", F.filter(F.sequence(F.lit(0), F.size("__lines") - 1), lambda i: (i == 0) | (
+        F.get("__levels", i) != F.get("__levels", i - 1))))
+    runs = F.transform("__starts", lambda i, k: F.struct(
+        F.get("__levels", i).alias("level"), i.alias("at"), (F.coalesce(F.get("__starts", k + 1), F.size("__lines")) - i).alias("n")))
+    lined = lined.withColumn("__runs", F.array_sort(F.filter(runs, lambda r: r["level"] > 0)))
+    cut_out = F.transform("__runs", lambda r: F.struct(r["level"].alias("level"), F.filter(F.transform(
+        F.slice("__lines", r["at"] + 1, r["n"]), normalised), lambda x: x != "").alias("lines")))
+    return lined.withColumn("found", F.filter(cut_out, lambda p: F.size(p["lines"]) > 0)).drop("__lines", "__levels", "__starts", "__runs")
 
 
 def _line_hash(line: Column) -> Column:
@@ -82,8 +89,8 @@ def _keys(lines: Column) -> Column:
 
 def parsed(messages: DataFrame) -> DataFrame:
     """(conv_id, turn, role, body, lines, keys, passages) for every row; lines, keys and passages are hashed."""
-    text = F.coalesce(F.col("text"), F.lit(""))
-    cut_up = messages.select("conv_id", "turn", "role", body(text).alias("body"), passages(text).alias("found"))
+    said = messages.select("conv_id", "turn", "role", F.coalesce(F.col("text"), F.lit("")).alias("__text"))
+    cut_up = with_passages(said).select("conv_id", "turn", "role", body(F.col("__text")).alias("body"), "found")
     own = F.filter(F.transform(F.split("body", "\n"), normalised), lambda x: x != "")
     hashed = cut_up.select("conv_id", "turn", "role", "body", F.transform(own, _line_hash).alias("own"), F.transform(
         "found", lambda p: F.struct(p["level"].alias("level"), F.transform(p["lines"], _line_hash).alias("lines"))).alias("found"))
@@ -119,8 +126,8 @@ def links(messages: DataFrame) -> DataFrame:
                   .select(*one, F.explode(F.array_compact(F.concat(F.array(near), F.coalesce(far, F.array().cast(
                       "array<struct<conv_id:bigint,turn:bigint>>"))))).alias("from"))
                   .select(*one, F.col("from.conv_id").alias("origin_conv"), F.col("from.turn").alias("origin_turn")).distinct())
-    sources = (known.groupBy(F.col("conv_id").alias("origin_conv"), F.col("turn").alias("origin_turn"))
-               .agg(F.max("lines").alias("origin_lines")))
+    # rows that repeat an id with another text are origins of their own
+    sources = known.select(F.col("conv_id").alias("origin_conv"), F.col("turn").alias("origin_turn"), F.col("lines").alias("origin_lines")).distinct()
     weighed = (candidates.join(quoted.select(*one, "level", "lines"), one).join(sources, ["origin_conv", "origin_turn"])
                .withColumn("share", F.size(F.array_intersect("lines", "origin_lines")) / F.size("lines")))
     same = F.col("origin_conv") == F.col("conv_id")
