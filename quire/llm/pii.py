@@ -65,7 +65,12 @@ CUES = {
 COUNTER_CUES = r"(?i)(?:version|v\.|section|isbn|page|chapter|figure|no\.)\W*$"
 
 LABELERS = ["form", "gazetteer", "context", "variety"]
-FEATURES = ["f_length", "f_digits", "f_before", "f_after"]
+# The classifier's features; the first two are votes from 0 (no) to 2 (yes): a span's
+# validity and its context decide with its surface.
+FEATURES = ["f_form", "f_context", "f_length", "f_digits", "f_before", "f_after"]
+# How often each labeler is right before any data is seen, as (right, votes): a checksum
+# or range hardly errs, the others do at times.
+PRIORS = {"form": (995.0, 1000.0), "gazetteer": (4.0, 5.0), "context": (4.0, 5.0), "variety": (4.0, 5.0)}
 BEFORE, AFTER = 40, 1  # characters of context that labelers and features see
 
 
@@ -157,44 +162,62 @@ def candidates(docs: DataFrame) -> DataFrame:
     return spans.select(
         *keys, "kind", "start", "stop", is_base.alias("base"),
         form.alias("form"), gazetteer.alias("gazetteer"), context.alias("context"), variety.alias("variety"),
+        (form + 1).alias("f_form"), (context + 1).alias("f_context"),
         F.least(F.floor(F.length("hit") / 4), F.lit(12)).cast("int").alias("f_length"),
         F.floor(4 * _digits(hit) / F.length("hit")).cast("int").alias("f_digits"),
         neighbour(F.right("before", F.lit(1))).alias("f_before"), neighbour(F.col("after")).alias("f_after"))
 
 
-def reliabilities(patterns: list[tuple[tuple, int]], rounds: int = 50) -> tuple[float, list[float]]:
-    """EM over (votes, count): the share of personal spans and each labeler's
-    probability of voting right when it votes."""
-    share, right = 0.7, [0.8] * len(LABELERS)
+VOTES = (-1, 0, 1)
+
+
+def reliabilities(patterns: list[tuple[tuple, int]], rounds: int = 50) -> tuple[float, list[dict]]:
+    """EM over (votes, count): the share of personal spans, and per labeler how likely each vote
+    is on a personal span (1) and on another (0).
+
+    Votes on both classes are estimated apart, so a labeler that says yes to everything
+    comes out as saying nothing, however often it is right.
+    """
+    share, given = 0.7, [_rates(x, None) for x in LABELERS]
     for _ in range(rounds):
         total = mass = 1e-9
-        hit, seen = [4.0] * len(LABELERS), [5.0] * len(LABELERS)  # prior: 4 of 5 votes are right
+        seen = [{(c, v): 0.0 for c in (0, 1) for v in VOTES} for _ in LABELERS]
         for votes, n in patterns:
-            p = posterior(votes, share, right)
+            p = posterior(votes, share, given)
             total += n
             mass += n * p
             for j, v in enumerate(votes):
-                if v:
-                    hit[j] += n * (p if v > 0 else 1 - p)
-                    seen[j] += n
+                seen[j][1, v] += n * p
+                seen[j][0, v] += n * (1 - p)
         share = min(max(mass / total, 0.01), 0.99)
-        right = [min(max(h / s, 0.05), 0.99) for h, s in zip(hit, seen)]
-    return share, right
+        given = [_rates(x, s) for x, s in zip(LABELERS, seen)]
+    return share, given
 
 
-def posterior(votes: tuple, share: float, right: list[float]) -> float:
-    z = math.log(share / (1 - share))
-    for v, r in zip(votes, right):
-        if v:
-            z += v * math.log(r / (1 - r))
+def _rates(labeler: str, seen: dict | None) -> dict:
+    """(class, vote) -> probability of the vote, from the prior and what was seen."""
+    right, votes = PRIORS[labeler]
+    prior = {(c, v): votes / 2 if v == 0 else right if (v > 0) == (c == 1) else votes - right for c in (0, 1) for v in VOTES}
+    counts = {k: prior[k] + (seen[k] if seen else 0.0) for k in prior}
+    sums = {c: sum(counts[c, v] for v in VOTES) for c in (0, 1)}
+    return {(c, v): counts[c, v] / sums[c] for c, v in counts}
+
+
+def posterior(votes: tuple, share: float, given: list[dict]) -> float:
+    z = math.log(share / (1 - share)) + sum(math.log(g[1, v] / g[0, v]) for v, g in zip(votes, given))
     return 1 / (1 + math.exp(-max(min(z, 30.0), -30.0)))
 
 
+SMOOTH = 2.0  # spans of the pooled distribution that a class starts from
+
+
 def train(spans: DataFrame) -> tuple[dict, dict]:
     """(reliabilities by kind, classifier): log odds by kind and by (kind, feature, value).
 
     One grouped count over all candidates; labelers have 3 votes each and
-    features at most 13 values, so the patterns are few.
+    features at most 13 values, so the patterns are few.  A class's feature rates start
+    from those of both classes together: a value that says nothing weighs nothing,
+    even if one class is rare.
     """
     rows = (spans.filter("kind IS NOT NULL").groupBy("kind", *LABELERS, *FEATURES).count().collect())
     by_kind = defaultdict(lambda: defaultdict(int))
@@ -209,11 +232,12 @@ def train(spans: DataFrame) -> tuple[dict, dict]:
             no[key] += (1 - p) * r["count"]
     odds = {}
     for key in yes:
+        k = key[:1]
         if len(key) == 1:
             odds[key] = math.log((yes[key] + 1) / (no[key] + 1))
         else:
-            k = key[:1]
-            odds[key] = math.log((yes[key] + 1) / (yes[k] + 14)) - math.log((no[key] + 1) / (no[k] + 14))
+            pooled = SMOOTH * (yes[key] + no[key]) / (yes[k] + no[k])
+            odds[key] = math.log((yes[key] + pooled) / (yes[k] + SMOOTH)) - math.log((no[key] + pooled) / (no[k] + SMOOTH))
     return trust, odds
 
 
