@@ -12,8 +12,11 @@ Seeds of the benchmark go to the tasks while there are at most
 ``MAX_SENT_SEEDS`` of them; beyond that, document windows meet them in a
 shuffle join, with the same result.
 
-Defined results: null and empty texts share nothing; an item of fewer tokens
-than a seed is its own seed, one without tokens never leaks; rows that repeat
+A short item says little: one of fewer than two seeds' tokens (ten) leaks only where
+all its tokens are covered, one of fewer tokens than a seed (five: "yes") never does.
+
+Defined results: null and empty texts share nothing; items without tokens never
+leak; rows that repeat
 a document (id and text) or an item (id and text) give one pair; items that
 share an id but not the text are covered separately and the best one counts;
 empty tables give an empty result.  Extra columns are not read.
@@ -52,16 +55,15 @@ def seeds_of(words: np.ndarray, width: int) -> np.ndarray:
 
 
 def item_seeds(items: DataFrame, min_match: int = MIN_MATCH) -> DataFrame:
-    """(item_id, item_key, n_tokens, width, seeds) for every distinct item with a token."""
+    """(item_id, item_key, n_tokens, width, seeds) for every distinct item of at least ``min_match`` tokens."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordHashes()
         for batch in batches:
             rows = []
             for item_id, key, text in zip(*(c.to_pylist() for c in batch.columns)):
                 words = tokens(text)
-                if words:
-                    width = min(min_match, len(words))
-                    rows.append((item_id, key, len(words), width, seeds_of(known.array(words), width).view(np.int64)))
+                if len(words) >= min_match:
+                    rows.append((item_id, key, len(words), min_match, seeds_of(known.array(words), min_match).view(np.int64)))
             columns = list(zip(*rows)) if rows else [[]] * 5
             kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)],
@@ -208,7 +210,8 @@ def _tilings(hits: pa.Array, seeds: pa.Array, widths: pa.Array) -> pa.Array:
 def leaks(docs: DataFrame, items: DataFrame, min_match: int = MIN_MATCH, coverage: float = COVERAGE,
           max_sent_seeds: int = MAX_SENT_SEEDS) -> DataFrame:
     """(doc_id, text_hash, item_id, item_tokens, covered, coverage, tiles) for every
-    document and item whose tiles cover at least ``coverage`` of the item."""
+    document and item whose tiles cover at least ``coverage`` of the item (all of an
+    item of fewer than 2 * ``min_match`` tokens)."""
     index = cut(item_seeds(items, min_match))
     hits = seed_hits(docs, index, max_sent_seeds).distinct()
     where = index.select("item_id", "item_key", F.explode(F.array_distinct("seeds")).alias("seed"))
@@ -222,7 +225,8 @@ def leaks(docs: DataFrame, items: DataFrame, min_match: int = MIN_MATCH, coverag
                          (F.col("t.covered") / F.col("item_tokens")).alias("coverage"), F.col("t.tiles").alias("tiles"))
     best = F.max_by(F.struct("item_tokens", "covered", "coverage", "tiles"),
                     F.struct("coverage", "item_tokens")).alias("best")
-    return (found.filter(F.col("coverage") >= coverage).groupBy("doc_id", "text_hash", "item_id").agg(best)
+    needed = F.when(F.col("item_tokens") < 2 * min_match, 1.0).otherwise(coverage)
+    return (found.filter(F.col("coverage") >= needed).groupBy("doc_id", "text_hash", "item_id").agg(best)
             .select("doc_id", "text_hash", "item_id", "best.*"))
 
 

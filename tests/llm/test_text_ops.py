@@ -33,6 +33,23 @@ def test_nested_quotes_and_reply_order(spark):
     assert Qt.reply_ordered(spark.createDataFrame([], MESSAGES)).count() == 0
 
 
+def test_very_long_marker_runs_and_deep_levels(spark):
+    """100,000 markers in one line, 1,000 levels, attributions of any length: linear and without recursion."""
+    rows = [(1, 0, "u", "origin line\nsecond"), (1, 1, "a", ">" * 100_000 + " x\nreply"), (1, 2, "a", "> " * 100_000 + "y"),
+            (1, 3, "b", "\n".join("> " * k + f"l{k}" for k in range(1, 1001)) + "\nmine"),
+            (1, 4, "b", "n" * 5000 + " wrote:\n> origin line\n>  second\n\nanswer"), (1, 5, "c", "  > no quote\n > one\n>  > still one")]
+    got = {r.turn: r for r in Qt.reply_ordered(spark.createDataFrame(rows, MESSAGES)).collect()}
+    assert [got[k].n_quotes for k in range(6)] == [0, 1, 1, 1000, 1, 1]
+    assert [got[k].body for k in range(6)] == ["origin line\nsecond", "reply", "", "mine", "answer", "> no quote"]
+    assert (got[4].parent_turn, got[4].share) == (0, 1.0)
+
+
+def test_texts_that_share_an_id_are_origins_of_their_own(spark):
+    rows = [(1, 0, "u", "alpha beta"), (1, 0, "u", "gamma delta"), (1, 1, "a", "> alpha beta\nx"), (1, 2, "a", "> gamma delta\ny")]
+    got = {r.turn: (r.parent_turn, r.share) for r in Qt.reply_ordered(spark.createDataFrame(rows, MESSAGES)).collect() if r.turn}
+    assert got == {1: (0, 1.0), 2: (0, 1.0)}
+
+
 def test_long_reply_chain(spark):
     rows = [(1, t, "u", (f"> line {t - 1}\n" if t else "") + f"line {t}") for t in range(100)]
     got = {r.turn: r for r in Qt.reply_ordered(spark.createDataFrame(rows, MESSAGES)).collect()}
@@ -90,21 +107,28 @@ def test_reordered_passages_are_caught_and_clean_texts_left(leaky):
     docs, items = leaky
     found = D.leaks(docs, items).collect()
     pairs = {(r.doc_id, r.item_id) for r in found}
-    assert pairs == {(100 + k, k) for k in range(12)} | {(200, 0), (None, 1), (202, 20)} and len(found) == len(pairs)
+    assert pairs == {(100 + k, k) for k in range(12)} | {(200, 0), (None, 1)} and len(found) == len(pairs)
     assert all(r.coverage >= 0.8 for r in found if (r.doc_id or 0) >= 100)
     shuffled = {(r.doc_id, r.item_id, r.covered) for r in D.leaks(docs, items, max_sent_seeds=0).collect()}
     assert shuffled == {(r.doc_id, r.item_id, r.covered) for r in found}
     kept = D.drop_leaks(docs, items)
-    assert sorted(r.doc_id for r in kept.collect()) == [*range(40), 201]
+    assert sorted(r.doc_id for r in kept.collect()) == [*range(40), 201, 202]
 
 
 def test_decontamination_odd_rows(spark, odd_docs, no_docs):
     no_items = spark.createDataFrame([], "item_id long, text string")
     items = spark.createDataFrame([(1, "x x x x x x"), (None, "some words here")], "item_id long, text string")
     assert D.leaks(odd_docs, no_items).count() == 0 and D.leaks(no_docs, items).count() == 0
-    assert {(r.doc_id, r.item_id) for r in D.leaks(odd_docs, items).collect()} == {(8, 1), (None, None)}
+    assert {(r.doc_id, r.item_id) for r in D.leaks(odd_docs, items).collect()} == {(8, 1)}
     kept = D.drop_leaks(odd_docs, items)
-    assert kept.columns == odd_docs.columns and kept.count() == odd_docs.count() - 2
+    assert kept.columns == odd_docs.columns and kept.count() == odd_docs.count() - 1
+
+
+def test_short_items_need_all_their_tokens(spark):
+    """Below five tokens nothing leaks, below ten only what is covered whole, from ten on half."""
+    docs = spark.createDataFrame([(1, "yes it is"), (2, "a b c d e f g here"), (3, "x a b c d e y"), (4, "k l m n o other words")], "doc_id long, text string")
+    items = spark.createDataFrame([(1, "Yes"), (2, "a b c d e f g"), (3, "a b c d"), (4, "k l m n o p q r s t")], "item_id long, text string")
+    assert {(r.doc_id, r.item_id) for r in D.leaks(docs, items).collect()} == {(2, 2), (4, 4)}
 
 
 STRICT = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
@@ -160,10 +184,30 @@ def test_em_finds_the_reliable_labelers():
         truth = 1 if rng.random() < 0.4 else -1
         votes = tuple(truth if rng.random() < p else -truth if rng.random() < 0.8 else 0 for p in (0.95, 0.9, 0.6, 0.55))
         counts[votes] = counts.get(votes, 0) + 1
-    share, right = P.reliabilities(sorted(counts.items()))
+    share, given = P.reliabilities(sorted(counts.items()))
+    right = [(share * g[1, 1] + (1 - share) * g[0, -1]) / (share * (1 - g[1, 0]) + (1 - share) * (1 - g[0, 0])) for g in given]
     assert abs(share - 0.4) < 0.08 and min(right[:2]) > 0.85 > 0.75 > max(right[2:])
 
 
+def test_invalid_numbers_are_not_personal(spark):
+    """Near misses of strict patterns are no spans, however rare they are beside valid ones."""
+    rng = random.Random(1)
+
+    def card():
+        d = [4, *(rng.randrange(10) for _ in range(14))]
+        total = sum(x if i % 2 else (2 * x - 9 if 2 * x > 9 else 2 * x) for i, x in enumerate(d))
+        return "".join(map(str, d)) + str(-total % 10)
+
+    texts = []
+    for _ in range(40):
+        texts += [f"pay with card {card()} today", f"host {rng.randrange(1, 255)}.{rng.randrange(255)}.{rng.randrange(255)}.7 is up",
+                  f"call +1 203 555 {rng.randrange(1000, 9999)} now"]
+    near = ["order 4111 1111 1111 1112 shipped", "version 1.2.3.999 of it", "order 4111 1111 1111 1113 came"]
+    df = spark.createDataFrame(list(enumerate(texts + near)), "doc_id long, text string")
+    spans = {r.doc_id: r.spans for r in P.report(df).collect()}
+    assert [spans[len(texts) + k] for k in range(3)] == ["", "", ""] and all(spans[k] for k in range(len(texts)))
+
+
 def test_redaction_cuts_every_span(spark, odd_docs, no_docs):
     rng = random.Random(4)
     texts = [" ".join(rng.choice(PARTS + ["word"]) for _ in range(12)) for _ in range(60)]
