@@ -65,7 +65,8 @@ def _distance(a: str, b: str) -> Column:
 
 
 def variants(fp: str, max_distance: int) -> Column:
-    """Array of the one-wildcard variants of all segments, each tagged with segment and bit."""
+    """Array of the one-wildcard variants of all segments, each tagged with segment and bit:
+    one number (tag above the segment) where segments have at most 32 bits."""
     n = max_distance // 2 + 1
     width = 64 // n
     keys = []
@@ -74,7 +75,9 @@ def variants(fp: str, max_distance: int) -> Column:
         for b in range(bits):
             mask = ((1 << bits) - 1) & ~(1 << b)
             segment = F.shiftrightunsigned(fp, width * s).bitwiseAND(F.lit(mask if mask < 1 << 63 else mask - (1 << 64)))
-            keys.append(F.struct(F.lit(s * 64 + b).cast("short").alias("slot"), segment.alias("bits")))
+            slot = s * 64 + b
+            keys.append(segment.bitwiseOR(F.lit(slot << 32).cast("long")) if bits <= 32 else
+                        F.struct(F.lit(slot).cast("short").alias("slot"), segment.alias("bits")))
     return F.array(*keys)
 
 
@@ -83,11 +86,12 @@ def links(fps: DataFrame, max_distance: int = MAX_DISTANCE, max_bucket: int = MA
     of all pairs within ``max_distance`` (0 to 2) bits."""
     if not 0 <= max_distance <= 2:
         raise ValueError("max_distance must be 0, 1 or 2")
-    keyed = fps.select("fp", F.explode(variants("fp", max_distance)).alias("key"))
-    buckets = cut(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("fp").alias("u"), F.max("fp").alias("v"))
-                  .filter("n > 1"))
-    pairs = buckets.filter("n = 2").filter(_distance("u", "v") <= max_distance).select("u", "v")
-    more = cut(keyed.join(buckets.filter("n > 2").select("key", "n"), "key"))
+    # AQE leaves few, small partitions of fingerprints, which grow 64-fold here.
+    parts = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keyed = fps.repartition(parts, "fp").select("fp", F.explode(variants("fp", max_distance)).alias("key"))
+    # Keys are counted without the fingerprints, which come back only to keys that several share.
+    buckets = cut(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"))
+    more = cut(keyed.join(buckets, "key"))
     small = more.filter(F.col("n") <= max_bucket)
     joined = (small.select("key", F.col("fp").alias("u")).join(small.select("key", F.col("fp").alias("v")), "key")
               .filter((F.col("u") < F.col("v")) & (_distance("u", "v") <= max_distance)).select("u", "v"))
@@ -100,7 +104,14 @@ def links(fps: DataFrame, max_distance: int = MAX_DISTANCE, max_bucket: int = MA
     else:
         near = near.withColumn("u", F.array_min("members"))
     near = near.select("u", F.explode("members").alias("v")).filter((F.col("u") != F.col("v")) & F.lit(max_distance > 0))
-    return pairs.union(joined).union(near).distinct()
+    return joined.union(near).distinct()
+
+
+def _classes(marked: DataFrame, max_distance: int, max_bucket: int) -> DataFrame:
+    """(fp, first, root) of every distinct fingerprint of ``marked`` (doc_id, fp): its smallest doc_id and its component."""
+    fps = cut(marked.groupBy("fp").agg(F.min("doc_id").alias("first")))
+    roots = components(links(fps, max_distance, max_bucket)).withColumnRenamed("node", "fp")
+    return fps.join(roots, "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_distance: int = MAX_DISTANCE,
@@ -111,32 +122,36 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_distance: int =
     a fingerprint, so linking and contraction see distinct fingerprints only.
     """
     marked = cut(small_batches(docs).select("doc_id", fingerprint("text", shingle).alias("fp")))
-    fps = cut(marked.groupBy("fp").agg(F.min("doc_id").alias("first")))
-    roots = components(links(fps, max_distance, max_bucket)).withColumnRenamed("node", "fp")
-    classes = fps.join(roots, "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
+    classes = _classes(marked, max_distance, max_bucket)
     named = (classes.join(classes.groupBy("root").agg(F.min("first").alias("component_id")), "root")
              .select("fp", "component_id"))
     return marked.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, max_distance: int = MAX_DISTANCE) -> DataFrame:
-    """``docs`` with one document of each group: the one with the smallest doc_id.
+    """``docs`` with one row of each group: that of the smallest doc_id, of those the smallest hash of the text.
 
-    Of rows that repeat this id one stays; rows whose id is null stay if their
-    whole group has none.
+    Groups are told apart by their fingerprints, not by ids: rows that repeat an id
+    with unrelated texts are in groups of their own, and each group keeps a row.
+    A row without id stays if no row of its group has one; of identical rows (id
+    and text) one stays.
     """
-    found = near_duplicates(docs, shingle, max_distance)
-    stay = cut(found.filter(F.col("doc_id") == F.col("component_id")).groupBy("doc_id").count()
-               .select(F.col("doc_id").alias("__id"), F.col("count").alias("__rows")))
+    text_hash = F.xxhash64("text")
+    marked = cut(small_batches(docs).select("doc_id", fingerprint("text", shingle).alias("fp"), text_hash.alias("text_hash")))
+    row = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash", "fp")
+    # Combined per fingerprint before the groups meet.
+    by_fp = marked.groupBy("fp").agg(F.min(row).alias("best"))
+    classes = _classes(marked, max_distance, MAX_BUCKET).select("fp", "root")
+    best = by_fp.join(classes, "fp").groupBy("root").agg(F.min("best").alias("best")).select("best.doc_id", "best.text_hash")
+    chosen = best.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"))
+    copies = marked.groupBy("doc_id", "text_hash").count().filter("count > 1")
+    stay = cut(chosen.join(copies, F.col("__id").eqNullSafe(F.col("doc_id")) & (F.col("__hash") == F.col("text_hash")), "left")
+               .select("__id", "__hash", F.col("count").isNotNull().alias("__repeated")))
     # columns are named through their frames: ``docs`` may have any others
-    kept = docs.join(stay, docs["doc_id"] == stay["__id"], "left_semi")
-    repeated = stay.filter("__rows > 1")
-    if not repeated.isEmpty():
-        single = stay.filter("__rows = 1")
-        kept = (docs.join(single, docs["doc_id"] == single["__id"], "left_semi").unionByName(
-            docs.join(repeated, docs["doc_id"] == repeated["__id"], "left_semi").dropDuplicates(["doc_id"])))
-    unnamed = docs.filter("doc_id IS NULL")
-    if not unnamed.isEmpty():
-        nameless = found.filter("component_id IS NULL").select(F.col("fp").alias("__fp")).distinct()
-        kept = kept.unionByName(unnamed.join(nameless, fingerprint(unnamed["text"], shingle) == nameless["__fp"], "left_semi"))
-    return kept
+    same = docs["doc_id"].eqNullSafe(stay["__id"]) & (F.xxhash64(docs["text"]) == stay["__hash"])
+    kept = docs.join(stay.filter("NOT __repeated"), same, "left_semi")
+    repeated = stay.filter("__repeated")
+    if repeated.isEmpty():
+        return kept
+    again = docs.join(repeated, docs["doc_id"].eqNullSafe(repeated["__id"]) & (F.xxhash64(docs["text"]) == repeated["__hash"]))
+    return kept.unionByName(again.dropDuplicates(["__id", "__hash"]).drop("__id", "__hash", "__repeated"))

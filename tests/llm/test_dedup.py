@@ -94,6 +94,16 @@ def test_repeated_rows_leave_one(spark):
     assert [r.doc_id for r in S.keep_one(df).collect()] == [1]
 
 
+def test_rows_that_share_an_id_keep_their_texts(spark):
+    """Groups are told apart by text: an id with two texts stands for both."""
+    rng = random.Random(2)
+    a, b, c = (prose(rng, 60) for _ in range(3))
+    rows = [(1, a), (1, b), (2, b), (None, c), (None, c), (3, a), (None, a), (4, b)]
+    df = spark.createDataFrame([(i, t, "en", "s", k) for k, (i, t) in enumerate(rows)], SCHEMA)
+    kept = sorted(((r.doc_id, r.text) for r in S.keep_one(df).collect()), key=str)
+    assert kept == sorted([(1, a), (1, b), (None, c)], key=str)
+
+
 def brute_substrings(rows, width):
     words = [WORD.findall(t or "") for _, t in rows]
     counts = collections.Counter(tuple(w[i:i + width]) for w in words for i in range(len(w) - width + 1))
