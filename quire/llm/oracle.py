@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quire.llm.licenses import TEMPLATES
+from quire.llm.licenses import TEMPLATES, TEXTS
 
 ORACLE: dict[str, str] = {}
 
@@ -86,33 +86,45 @@ SELECT par.conv_id, par.turn, par.role, par.body, coalesce(par.n_quotes, 0) AS n
 FROM par JOIN tree ON par.conv_id = tree.conv_id AND par.turn = tree.turn
 """
 
-# op9: every line (and whole licence files) against the templates, then the nearest
-# directory above with a licence file.  The templates are the operator's input.
-_TEMPLATES = ", ".join(f"({k}, '{name}', '{text}')" for k, (name, text) in enumerate(TEMPLATES))
+# op9: every span of a notice's length, and whole licence files, against the templates, then the
+# nearest directory above with a licence file.  The templates are the operator's input.
+_TEMPLATES = ", ".join(f"({k}, {k >= len(TEMPLATES)}, '{name}', '{text}')" for k, (name, text) in enumerate(TEMPLATES + TEXTS))
 _STOP = "('a','an','and','any','are','as','at','be','by','for','in','is','it','may','not','of','on','or','the','this','to','under','with','you')"
+_TERMS = r"""regexp_extract_all(regexp_replace(lower({}), '(spdx-license-identifier:)[\x20\t]+', '\1', 'g'),
+  'spdx-license-identifier:[a-z0-9]+(?:[.+-][a-z0-9]+)*|[a-z0-9]+(?:[.+-][a-z0-9]+)*')"""
 ORACLE["op9_license_scan"] = rf"""
-WITH t(template, licence, body) AS (VALUES {_TEMPLATES}),
-tt AS (SELECT template, licence, unnest(regexp_extract_all(lower(body), '[a-z0-9]+(?:[.+-][a-z0-9]+)*')) AS term FROM t),
-tf AS (SELECT template, licence, term, count(*) AS tf FROM tt WHERE term NOT IN {_STOP} GROUP BY ALL),
+WITH t(template, is_text, licence, body) AS (VALUES {_TEMPLATES}),
+tt AS (SELECT template, is_text, licence, unnest({_TERMS.format('body')}) AS term FROM t),
+tf AS (SELECT template, is_text, licence, term, count(*) AS tf FROM tt WHERE term NOT IN {_STOP} GROUP BY ALL),
 idf AS (SELECT term, ln(((SELECT count(*) FROM t) + 1) / (count(DISTINCT template) + 1)) + 1 AS idf FROM tf GROUP BY term),
 other AS (SELECT ln(count(*) + 1) + 1 AS idf FROM t),
-tw AS (SELECT template, licence, term, (1 + ln(tf)) * idf AS w FROM tf JOIN idf USING (term)),
-tn AS (SELECT template, sqrt(sum(w * w)) AS n FROM tw GROUP BY template),
-post AS (SELECT template, licence, term, w / n AS weight FROM tw JOIN tn USING (template)),
+tw AS (SELECT template, is_text, licence, term, tf, (1 + ln(tf)) * idf AS w FROM tf JOIN idf USING (term)),
+tn AS (SELECT template, sqrt(sum(w * w)) AS norm, CAST(sum(tf) AS BIGINT) AS size, least(2, count(*)) AS least_shared FROM tw GROUP BY template),
+post AS (SELECT template, is_text, licence, term, size, least_shared, w / norm AS weight FROM tw JOIN tn USING (template)),
 f AS (
   SELECT doc_id, text, CASE WHEN doc_id % 48 = 0 THEN source || '/LICENSE-' || doc_id
     WHEN doc_id % 48 = 16 THEN source || '/' || lang || '/LICENSE-' || doc_id
     WHEN doc_id % 48 = 32 THEN source || '/' || lang || '/' || doc_id // 256 || '/LICENSE-' || doc_id
     ELSE source || '/' || lang || '/' || doc_id // 256 || '/' || doc_id || '.txt' END AS path FROM documents),
+raw AS (SELECT doc_id, path, unnest(l) AS term, unnest(range(len(l))) AS place FROM (SELECT doc_id, path, {_TERMS.format('text')} AS l FROM f)),
+tok AS (
+  SELECT doc_id, path, term, row_number() OVER (PARTITION BY doc_id ORDER BY place) - 1 AS p, count(*) OVER (PARTITION BY doc_id) AS total
+  FROM raw WHERE term NOT IN {_STOP}),
+near AS (
+  SELECT doc_id, template, total, size, term, least_shared, unnest(range(greatest(p - size + 1, 0), p + 1)) AS unit
+  FROM tok JOIN post USING (term) WHERE NOT is_text),
 u AS (
-  SELECT doc_id, path, unnest(range(len(l))) AS unit, unnest(l) AS body FROM (SELECT doc_id, path, string_split(text, chr(10)) AS l FROM f)
-  UNION ALL SELECT doc_id, path, -1, text FROM f WHERE doc_id % 16 = 0),
-ut AS (SELECT doc_id, path, unit, unnest(regexp_extract_all(lower(body), '[a-z0-9]+(?:[.+-][a-z0-9]+)*')) AS term FROM u),
-uf AS (SELECT doc_id, path, unit, term, count(*) AS tf FROM ut WHERE term NOT IN {_STOP} GROUP BY ALL),
-uw AS (SELECT doc_id, path, unit, term, (1 + ln(tf)) * coalesce(idf.idf, (SELECT idf FROM other)) AS w FROM uf LEFT JOIN idf USING (term)),
-un AS (SELECT doc_id, unit, sqrt(sum(w * w)) AS n FROM uw GROUP BY ALL),
-dot AS (SELECT doc_id, path, unit, template, licence, sum(w * weight) AS d FROM uw JOIN post USING (term) GROUP BY ALL),
-s AS (SELECT doc_id, path, unit, licence, round(d / n, 9) AS score FROM dot JOIN un USING (doc_id, unit) WHERE round(d / n, 9) >= 0.6),
+  SELECT doc_id, template, unit, size FROM near WHERE unit + size <= total OR unit = 0
+  GROUP BY doc_id, template, unit, size, least_shared HAVING count(DISTINCT term) >= least_shared),
+ut AS (
+  SELECT u.doc_id, path, template, unit, term FROM u JOIN tok ON tok.doc_id = u.doc_id AND p >= unit AND p < unit + size
+  UNION ALL SELECT doc_id, path, template, -1, term FROM tok, (SELECT DISTINCT template FROM post WHERE is_text) WHERE doc_id % 16 = 0),
+uf AS (SELECT doc_id, path, template, unit, term, count(*) AS tf FROM ut GROUP BY ALL),
+uw AS (SELECT doc_id, path, template, unit, term, (1 + ln(tf)) * coalesce(idf.idf, (SELECT idf FROM other)) AS w FROM uf LEFT JOIN idf USING (term)),
+s AS (
+  SELECT doc_id, path, unit, max(t.licence) AS licence, round(sum(w * coalesce(weight, 0)) / sqrt(sum(w * w)), 9) AS score
+  FROM uw LEFT JOIN post USING (template, term) JOIN t USING (template)
+  GROUP BY doc_id, path, unit, template HAVING round(sum(w * coalesce(weight, 0)) / sqrt(sum(w * w)), 9) >= 0.6),
 own AS (
   SELECT doc_id, path, arg_min(licence, (-score, licence)) AS licence, max(score) AS score, count(DISTINCT unit) AS n_units
   FROM s GROUP BY ALL),
