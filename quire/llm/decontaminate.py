@@ -12,6 +12,12 @@ Seeds of the benchmark go to the tasks while there are at most
 ``MAX_SENT_SEEDS`` of them; beyond that, document windows meet them in a
 shuffle join, with the same result.
 
+A phrase that many documents and many items share does not pair them up.  The
+most frequent seeds of an item are set aside for as long as the tokens that they
+span stay below what a leak has to cover: a document that holds none but these
+cannot leak the item.  Only documents with one of the other, rarer seeds are
+tiled, and they alone are looked up again by (document, seed).
+
 A short item says little: one of fewer than two seeds' tokens (ten) leaks only where
 all its tokens are covered, one of fewer tokens than a seed (five: "yes") never does.
 
@@ -30,7 +36,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -116,10 +122,51 @@ def seed_hits(docs: DataFrame, items: DataFrame, max_sent_seeds: int = MAX_SENT_
     if (size[0] or 0) > max_sent_seeds:
         return _document_seeds(docs, widths, None).join(seeds, "seed", "left_semi").select("doc_id", "text_hash", "pos", "seed")
     sent = docs.sparkSession.sparkContext.broadcast(
-        np.sort(np.array([r[0] for r in seeds.collect()], np.int64).view(np.uint64)))
+        np.sort(seeds.toArrow().column("seed").to_numpy().view(np.uint64)))
     return _document_seeds(docs, widths, lambda: sent.value)
 
 
+def _rarest(held: list[dict], n_tokens: int, width: int, needed: float) -> list[int]:
+    """Seeds of an item without which no document covers ``needed`` of its tokens.
+
+    ``held`` lists (rows, seed, pos) of its seeds that any document holds.  Going from the
+    most frequent seed down, a seed is set aside if the tokens under all that are set
+    aside stay below the share; the others are returned.
+    """
+    places: dict[tuple[int, int], list[int]] = defaultdict(list)
+    for h in held:
+        places[-h["rows"], h["seed"]].append(h["pos"])
+    spanned, size, kept = bytearray(n_tokens), 0, []
+    for (_, seed), at in sorted(places.items()):
+        new = {t for p in at for t in range(p, p + width) if not spanned[t]}
+        if (size + len(new)) / n_tokens < needed:
+            size += len(new)
+            for t in new:
+                spanned[t] = 1
+        else:
+            kept.append(seed)
+    return kept
+
+
+@F.arrow_udf(T.ArrayType(T.LongType()))
+def _rarest_seeds(held: pa.Array, n_tokens: pa.Array, widths: pa.Array, needed: pa.Array) -> pa.Array:
+    return pa.array([_rarest(*item) for item in zip(*(c.to_pylist() for c in (held, n_tokens, widths, needed)))], pa.list_(pa.int64()))
+
+
+def rare_seeds(index: DataFrame, hits: DataFrame, min_match: int = MIN_MATCH, coverage: float = COVERAGE) -> DataFrame:
+    """(item, seed): every document that leaks an item holds one of the item's seeds here."""
+    rows = hits.groupBy("seed").agg(F.count(F.lit(1)).alias("rows"))
+    held = (index.select("item", F.posexplode("seeds").alias("pos", "seed")).join(rows, "seed")
+            .groupBy("item").agg(F.collect_list(F.struct("rows", "seed", "pos")).alias("held")))
+    picked = _rarest_seeds("held", "n_tokens", "width", _needed(F.col("n_tokens"), min_match, coverage))
+    return held.join(index.select("item", "n_tokens", "width"), "item").select("item", F.explode(picked).alias("seed"))
+
+
+def _needed(n_tokens: Column, min_match: int, coverage: float) -> Column:
+    """Share of an item of ``n_tokens`` tokens that a leak has to cover."""
+    return F.when(n_tokens < 2 * min_match, 1.0).otherwise(F.lit(float(coverage)))
+
+
 def _prefixes(values: list[int]) -> tuple[list[int], list[int]]:
     """Prefix hashes and powers for Karp-Rabin over a sequence."""
     sums, powers = [0], [1]
@@ -212,20 +259,23 @@ def leaks(docs: DataFrame, items: DataFrame, min_match: int = MIN_MATCH, coverag
     """(doc_id, text_hash, item_id, item_tokens, covered, coverage, tiles) for every
     document and item whose tiles cover at least ``coverage`` of the item (all of an
     item of fewer than 2 * ``min_match`` tokens)."""
-    index = cut(item_seeds(items, min_match))
-    hits = seed_hits(docs, index, max_sent_seeds).distinct()
-    where = index.select("item_id", "item_key", F.explode(F.array_distinct("seeds")).alias("seed"))
-    pairs = (hits.join(where, "seed").groupBy("doc_id", "text_hash", "item_id", "item_key")
-             .agg(F.collect_list(F.struct("pos", "seed")).alias("hits")))
-    known = index.select(F.col("item_id").alias("__item"), F.col("item_key").alias("__key"), "n_tokens", "width", "seeds")
-    tiled = (pairs.join(known, F.col("item_id").eqNullSafe(F.col("__item")) & (F.col("item_key") == F.col("__key")))
+    # numbers given to written rows do not change when a task runs again
+    index = cut(item_seeds(items, min_match)).withColumn("item", F.monotonically_increasing_id())
+    hits = cut(seed_hits(docs, index, max_sent_seeds).distinct())
+    held = hits.select(F.col("doc_id").alias("__doc"), F.col("text_hash").alias("__text"), "pos", "seed")
+    candidates = (hits.join(rare_seeds(index, hits, min_match, coverage), "seed").select("doc_id", "text_hash", "item").distinct())
+    asked = candidates.join(index.select("item", F.explode(F.array_distinct("seeds")).alias("asked")), "item")
+    pairs = (asked.join(held, F.col("doc_id").eqNullSafe(F.col("__doc")) & (F.col("text_hash") == F.col("__text"))
+                        & (F.col("asked") == F.col("seed")))
+             .groupBy("doc_id", "text_hash", "item").agg(F.collect_list(F.struct("pos", "seed")).alias("hits")))
+    tiled = (pairs.join(index, "item")
              .select("doc_id", "text_hash", "item_id", F.col("n_tokens").alias("item_tokens"),
                      _tilings("hits", "seeds", "width").alias("t")))
     found = tiled.select("doc_id", "text_hash", "item_id", "item_tokens", F.col("t.covered").alias("covered"),
                          (F.col("t.covered") / F.col("item_tokens")).alias("coverage"), F.col("t.tiles").alias("tiles"))
     best = F.max_by(F.struct("item_tokens", "covered", "coverage", "tiles"),
                     F.struct("coverage", "item_tokens")).alias("best")
-    needed = F.when(F.col("item_tokens") < 2 * min_match, 1.0).otherwise(coverage)
+    needed = _needed(F.col("item_tokens"), min_match, coverage)
     return (found.filter(F.col("coverage") >= needed).groupBy("doc_id", "text_hash", "item_id").agg(best)
             .select("doc_id", "text_hash", "item_id", "best.*"))
 

@@ -115,6 +115,36 @@ def test_reordered_passages_are_caught_and_clean_texts_left(leaky):
     assert sorted(r.doc_id for r in kept.collect()) == [*range(40), 201, 202]
 
 
+def test_a_shared_phrase_pairs_nothing_and_loses_nothing(spark):
+    """All pairs by brute force, where every item and document holds one phrase, some little else."""
+    rng = random.Random(21)
+    phrase = "which of the following is the best answer to this"
+    items = [(k, f"{prose(rng, rng.randrange(4, 25))} {phrase} {prose(rng, 3)}") for k in range(15)] + [(15, phrase), (16, phrase + " a b c d e f g h i j")]
+    docs = [(k, f"{prose(rng, 60)} {phrase} {prose(rng, 20)}") for k in range(60)]
+    for k in range(15):
+        words = items[k][1].split()
+        at, n = rng.randrange(len(words) // 2), len(words) // 2 + rng.randrange(-2, 3)
+        docs.append((100 + k, f"{prose(rng, 20)} {' '.join(words[at:at + n])} {prose(rng, 10)} {' '.join(words[:rng.randrange(9)])}"))
+    schema = "id long, text string"
+    frames = spark.createDataFrame(docs, schema).withColumnRenamed("id", "doc_id"), spark.createDataFrame(items, schema).withColumnRenamed("id", "item_id")
+    want = {}
+    for i, item in items:
+        b = D.tokens(item)
+        for d, doc in docs:
+            covered = sum(t[2] for t in brute_tiles(D.tokens(doc), b, D.MIN_MATCH))
+            if covered / len(b) >= D.COVERAGE:
+                want[d, i] = covered
+    assert {(r.doc_id, r.item_id): r.covered for r in D.leaks(*frames).collect()} == want
+    assert 15 in {i for _, i in want} and {d for d, i in want if i < 15}
+    index = D.item_seeds(frames[1]).withColumn("item", F.col("item_id"))
+    hits = D.seed_hits(frames[0], index)
+    # where the phrase is less than half of the item, only documents with more of it are looked at
+    longer = index.filter("n_tokens > 20")
+    asked = hits.join(D.rare_seeds(index, hits).join(longer.select("item"), "item"), "seed").select("doc_id", "item").distinct()
+    sharing = hits.join(longer.select("item", F.explode("seeds").alias("seed")), "seed").select("doc_id", "item").distinct()
+    assert 0 < asked.count() < 40 < 300 < sharing.count()
+
+
 def test_decontamination_odd_rows(spark, odd_docs, no_docs):
     no_items = spark.createDataFrame([], "item_id long, text string")
     items = spark.createDataFrame([(1, "x x x x x x"), (None, "some words here")], "item_id long, text string")
@@ -228,6 +258,25 @@ def test_redaction_cuts_every_span(spark, odd_docs, no_docs):
     assert P.report(odd_docs).count() == odd_docs.count()
 
 
+def test_licences_in_paragraphs_tags_and_whole_files(spark):
+    mit, filler = L.TEXTS[0][1], " ".join(f"x{k}" for k in range(700))
+    texts = {"a/1.py": ("# SPDX-License-Identifier: MIT", "MIT"), "a/2.py": ("x\n// SPDX-License-Identifier:  Apache-2.0\ny", "Apache-2.0"),
+             "a/3.py": ("SPDX-License-Identifier: GPL-2.0-or-later", "GPL-2.0"), "a/4.py": ("SPDX-License-Identifier: NoSuch-1.0", None),
+             "a/5.py": ("This package is released under the MIT License and can be used in your own projects freely", "MIT"),
+             "a/6.py": ("this work is licensed under the\nGNU General Public License,\nversion 3. Some more words", "GPL-3.0"),
+             "a/7.py": (f"{filler} Licensed under the Apache License, Version 2.0. {filler}", "Apache-2.0"),
+             "a/8.py": ("wir kommen mit dem Zug und fahren mit", None), "a/9.py": ("mit", None), "a/10.py": ("a new version of this work is public", None),
+             "b/LICENSE": ("Copyright 2020 Somebody\n\n" + L.TEXTS[1][1].replace("software", "program"), "ISC"), "c/LICENSE": (mit, "MIT"),
+             "d/LICENSE": (filler, None)}
+    files = spark.createDataFrame([(k, p, t) for k, (p, (t, _)) in enumerate(texts.items())], "doc_id long, path string, text string")
+    got = {r.path: r for r in L.scan(files).collect()}
+    assert {p: r.own_licence for p, r in got.items()} == {p: want for p, (_, want) in texts.items()}
+    assert got["a/7.py"].score == got["a/1.py"].score == got["c/LICENSE"].score == 1.0 and 0.6 <= got["b/LICENSE"].score < 1.0
+    # a notice is found wherever it lies to the ends of pieces
+    at = [(k, f"p/{k}", " ".join(f"x{j}" for j in range(L.PIECE - 12 + k)) + " Licensed under CC BY-NC 4.0. " + filler) for k in range(16)]
+    assert {r.own_licence for r in L.scan(spark.createDataFrame(at, "doc_id long, path string, text string")).collect()} == {"CC-BY-NC-4.0"}
+
+
 def test_licences_own_and_inherited(spark, odd_docs, no_docs):
     files = [(1, "a/LICENSE", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software\nand more"),
              (2, "a/b/x.py", "code\nLicensed under CC BY-NC 4.0.\nmore"), (3, "a/b/c/y.py", "nothing"), (4, "a/b/COPYING", "Licensed under CC BY 4.0."),
