@@ -42,6 +42,7 @@ GRAM = 8
 HASH_BYTES = 6            # of a window, beside the 8 of its minimizer
 CHUNK_WINDOWS = 1 << 20   # windows that one task compares locally at a time
 GROUP_ROWS = 20_000       # rows of one minimizer that meet in one task, some 30 MB
+MAX_SENT_HOT = 1_000_000  # frequent minimizers that every task is sent, 8 MB; more meet their rows in a shuffle
 _SLICE = 1 << 16
 
 OCCURRENCES = ("minimizer long, doc_id long, text_hash long, start int, stop int, windows binary")
@@ -216,7 +217,8 @@ def _meet(table: pa.Table, window: int) -> Iterator[pa.RecordBatch]:
         names=["doc_id", "text_hash", "start", "stop"])
 
 
-def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, rows: int = GROUP_ROWS) -> DataFrame:
+def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, rows: int = GROUP_ROWS,
+                   max_sent_hot: int = MAX_SENT_HOT) -> DataFrame:
     """Word spans (doc_id, text_hash, start, stop) covered by repeated windows; spans may overlap."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: list[pa.RecordBatch] = []  # rows of the last minimizer seen
@@ -238,11 +240,13 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, rows
             yield from _meet(pa.Table.from_batches(waiting), window)
 
     found, hot = occurrences(docs, window, gram), cut(frequent(docs, window, gram, rows))
-    if hot.isEmpty():
+    n_hot = hot.count()
+    if not n_hot:
         return found.repartition("minimizer").sortWithinPartitions("minimizer").mapInArrow(run, SPANS)
     # spans known from a chunk hold the text hash in place of a minimizer
     apart = F.col("hot").isNotNull() & F.col("stop").isNull()
-    marked = found.join(F.broadcast(hot.withColumn("hot", F.lit(True))), "minimizer", "left").withColumn("apart", apart)
+    flagged = hot.withColumn("hot", F.lit(True))
+    marked = found.join(F.broadcast(flagged) if n_hot <= max_sent_hot else flagged, "minimizer", "left").withColumn("apart", apart)
     salt = F.when(F.col("apart"), F.pmod(F.xxhash64("doc_id", "text_hash", "start"), F.lit(1 << 16))).otherwise(0)
 
     def run_apart(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

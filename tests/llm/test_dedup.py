@@ -154,6 +154,8 @@ def test_frequent_minimizers_do_not_meet_in_one_task(spark, monkeypatch):
     monkeypatch.setattr(U, "_meet", limited(U._meet, 20))
     got = U.dedup_substrings(df, 8, 3, rows=20).select("doc_id", "n_words", "n_removed", F.sha2("kept", 256))
     assert sorted(map(tuple, got.collect()), key=str) == brute_substrings(rows, 8)
+    shuffled = U.remove_spans(df, U.repeated_spans(df, 8, 3, rows=20, max_sent_hot=0))  # too many to be sent to every task
+    assert sorted(map(tuple, shuffled.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256)).collect()), key=str) == brute_substrings(rows, 8)
 
 
 def limited(meet, rows):
