@@ -50,29 +50,26 @@ SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = first THEN 'r
 FROM f
 """
 
-# op5: every turn quotes the first line of the turn before; the message replied to
-# is the latest earlier turn with that line, else the first message that has it.
+# op5: every turn quotes the whole of the turn before; the message replied to is the
+# latest earlier turn of the conversation with the same lines.
 ORACLE["op5_quotation_linking"] = r"""
 WITH RECURSIVE m AS (
   SELECT conv_id, turn, role, trim(coalesce(text, ''), chr(32) || chr(9) || chr(10) || chr(13)) AS body FROM conversations),
 l AS (
-  SELECT DISTINCT conv_id, turn, line FROM (
-    SELECT conv_id, turn, trim(regexp_replace(lower(unnest(string_split(body, chr(10)))), '\s+', ' ', 'g')) AS line FROM m)
-  WHERE line <> ''),
+  SELECT conv_id, turn, role, body, list_filter(list_transform(string_split(body, chr(10)),
+         lambda x: trim(regexp_replace(lower(x), '\s+', ' ', 'g'))), lambda x: x <> '') AS lines FROM m),
 q AS (
-  SELECT m.conv_id, m.turn,
-         trim(regexp_replace(lower(trim(string_split(p.body, chr(10))[1], chr(32) || chr(9) || chr(13))), '\s+', ' ', 'g')) AS line,
-         trim(regexp_replace(lower(trim(string_split(pp.body, chr(10))[1], chr(32) || chr(9) || chr(13))), '\s+', ' ', 'g')) AS line2
-  FROM m JOIN m p ON p.conv_id = m.conv_id AND p.turn = m.turn - 1
-  LEFT JOIN m pp ON pp.conv_id = m.conv_id AND pp.turn = m.turn - 2),
+  SELECT m.conv_id, m.turn, p.lines, pp.lines AS lines2
+  FROM m JOIN l p ON p.conv_id = m.conv_id AND p.turn = m.turn - 1
+  LEFT JOIN l pp ON pp.conv_id = m.conv_id AND pp.turn = m.turn - 2),
 near AS (
-  SELECT q.conv_id, q.turn, max(l.turn) AS origin FROM q JOIN l ON l.conv_id = q.conv_id AND l.line = q.line AND l.turn < q.turn
-  WHERE q.line <> '' GROUP BY q.conv_id, q.turn),
+  SELECT q.conv_id, q.turn, max(l.turn) AS origin FROM q JOIN l ON l.conv_id = q.conv_id AND l.lines = q.lines AND l.turn < q.turn
+  WHERE len(q.lines) > 0 GROUP BY q.conv_id, q.turn),
 par AS (
   SELECT m.conv_id, m.turn, m.role, m.body, near.origin AS parent_turn,
          CASE WHEN near.origin IS NULL THEN NULL ELSE m.conv_id END AS parent_conv,
          CASE WHEN near.origin IS NULL THEN NULL ELSE 1.0 END AS share,
-         CAST(CASE WHEN q.line <> '' THEN 1 + CASE WHEN coalesce(q.line2, '') <> '' THEN 1 ELSE 0 END ELSE 0 END AS INT) AS n_quotes
+         CAST(CASE WHEN len(q.lines) > 0 THEN 1 + CASE WHEN len(q.lines2) > 0 THEN 1 ELSE 0 END ELSE 0 END AS INT) AS n_quotes
   FROM m LEFT JOIN q ON q.conv_id = m.conv_id AND q.turn = m.turn
   LEFT JOIN near ON near.conv_id = m.conv_id AND near.turn = m.turn),
 tree AS (

@@ -1,27 +1,31 @@
 """Quotation linking: reply trees from quoted passages, in DataFrame functions only.
 
 A message's quoted lines (``>`` once per level) form passages: runs of lines of
-one level.  Lines are normalised (lower case, single blanks) and hashed.  The
-keys of a passage are all its lines, all pairs of consecutive lines and the
-whole; a message has the same keys of its own text.  For every key of a passage
-the latest earlier message of the same conversation with that key, and the first
-message with it of the smallest and of the largest other conversation, are
-candidates.  The origin is the candidate that holds the largest share of the
-passage's lines; ties go to the same conversation and there to the latest
-message, elsewhere to the first.  So a shared signature does not decide while
-any rarer line, pair or the whole leads to a message that holds more.
-Conversations have no order in time: any other one can hold an original.
+one level.  Lines are normalised (lower case, single blanks) and hashed, and so
+are whole passages and the whole own text of every message.  The origin of a
+passage is
+
+1. the latest earlier message of its conversation whose own text is the passage;
+2. where there is none, of all earlier messages of the conversation and all
+   messages of other conversations (which have no order in time) the one that
+   holds the largest share of the passage's different lines; ties go to the same
+   conversation and there to the latest message, elsewhere to the smallest
+   (conv_id, turn).  A passage none of whose lines such a message holds has none.
+
 Level-1 passages name the message replied to; messages without their quotes,
 ordered by reply depth, make up the threads.  Where messages quote each other
 in a ring, the one with the smallest (conv_id, turn) starts the thread.
 
-Candidates are found by one pass over the sorted keys of a conversation and by
-grouped extremes, at most three for each key of a passage, never by pairing all
-messages that share a line.  The price: a message is passed over if each key
-that it shares with the passage also leads to other messages as above.
+The rule is met exactly, without pairing all messages that share a line.  Lines
+that few messages hold lead to all of them.  Of frequent lines only the
+different sets that passages ask for and that messages hold are compared: a set
+stands for all its messages, by its latest earlier one in the conversation and
+its first ones elsewhere.  A message with any rarer line of the passage is found
+by that line; all others hold just what their set of frequent lines holds.
 
 Defined results: a null text is an empty message; repeated rows give repeated
-rows; messages with a null id neither quote nor are quoted and are threads of
+rows; rows that repeat an id with another text are origins of their own;
+messages with a null id neither quote nor are quoted and are threads of
 their own (with null thread columns); deeper levels may skip (a lone ``> > x``);
 an empty table gives an empty result.  Extra columns are not read.
 """
@@ -39,6 +43,9 @@ _QUOTED = r"(?md)^[\x20]?>.*(?:\n|\z)"
 _ATTRIBUTION = r"(?md)^[^\n>][^\n]*\bwrote:[\x20]*\n(?=[\x20]?>)"
 _BLANK = " \t\r\n"
 
+FREQUENT = 64  # a line that more messages hold is compared by sets
+TURNS = 1024   # turns of a conversation that are looked through by one task at a time
+
 
 def body(text: Column) -> Column:
     """A message without quoted lines and their attributions, trimmed."""
@@ -80,60 +87,127 @@ def _line_hash(line: Column) -> Column:
     return F.xxhash64(line, F.length(line))
 
 
-def _keys(lines: Column) -> Column:
-    """What an array of hashed lines can be found by: its lines, pairs of consecutive lines and the whole."""
-    pairs = F.zip_with(lines, F.slice(lines, 2, F.size(lines)), lambda a, b: F.when(b.isNotNull(), F.xxhash64(a, b)))
-    whole = F.when(F.size(lines) > 2, F.array(F.xxhash64(lines, F.size(lines)))).otherwise(F.array().cast("array<long>"))
-    return F.array_distinct(F.concat(lines, F.filter(pairs, lambda x: x.isNotNull()), whole))
+def _whole(lines: Column) -> Column:
+    """The hash of an array of hashed lines, null if it is empty."""
+    return F.when(F.size(lines) > 0, F.xxhash64(lines, F.size(lines)))
 
 
 def parsed(messages: DataFrame) -> DataFrame:
-    """(conv_id, turn, role, body, lines, keys, passages) for every row; lines, keys and passages are hashed."""
+    """(conv_id, turn, role, body, lines, whole, passages) for every row; lines and passages are hashed."""
     said = messages.select("conv_id", "turn", "role", F.coalesce(F.col("text"), F.lit("")).alias("__text"))
     cut_up = with_passages(said).select("conv_id", "turn", "role", body(F.col("__text")).alias("body"), "found")
     own = F.filter(F.transform(F.split("body", "\n"), normalised), lambda x: x != "")
     hashed = cut_up.select("conv_id", "turn", "role", "body", F.transform(own, _line_hash).alias("own"), F.transform(
         "found", lambda p: F.struct(p["level"].alias("level"), F.transform(p["lines"], _line_hash).alias("lines"))).alias("found"))
-    return hashed.select("conv_id", "turn", "role", "body", F.array_distinct("own").alias("lines"), _keys(F.col("own")).alias("keys"),
+    return hashed.select("conv_id", "turn", "role", "body", F.array_distinct("own").alias("lines"), _whole(F.col("own")).alias("whole"),
                          F.transform("found", lambda p: F.struct(
-                             p["level"].alias("level"), F.array_distinct(p["lines"]).alias("lines"), _keys(p["lines"]).alias("keys"),
+                             p["level"].alias("level"), F.array_distinct(p["lines"]).alias("lines"), _whole(p["lines"]).alias("whole"),
                              F.xxhash64(p["level"], p["lines"]).alias("quote"))).alias("passages"))
 
 
-def links(messages: DataFrame) -> DataFrame:
-    """(conv_id, turn, passage, level, origin_conv, origin_turn, share) for every quoted
-    passage of ``parsed`` messages that shares a line with an earlier message of its
-    conversation or with one of another conversation."""
+PASSAGE = ["conv_id", "turn", "passage", "quote"]  # one quoted passage; ``quote`` tells rows apart that repeat an id
+ORIGIN = ["origin_conv", "origin_turn", "origin_whole"]
+
+
+def latest_earlier(asked: DataFrame, held: DataFrame) -> DataFrame:
+    """``asked`` rows (conv_id, turn, key and more) with ``near``: the largest turn below
+    their own that ``held`` (conv_id, turn, key) has for their conversation and key.
+
+    A running maximum by blocks of ``TURNS`` turns, to which the last turn of earlier
+    blocks is carried over, so that no task walks through a whole long conversation.
+    """
+    block = F.floor(F.col("turn") / TURNS).alias("block")
+    more = [F.lit(None).cast(f.dataType).alias(f.name) for f in asked.schema if f.name not in ("conv_id", "turn", "key")]
+    both = (held.select("conv_id", "turn", "key").distinct().select("conv_id", "turn", "key", *more, F.col("turn").alias("holds"), block)
+            .unionByName(asked.select("*", F.lit(None).cast(held.schema["turn"].dataType).alias("holds"), block)
+                         .withColumn("__asked", F.lit(True)), allowMissingColumns=True))
+    within = Window.partitionBy("conv_id", "key", "block").orderBy("turn").rangeBetween(Window.unboundedPreceding, -1)
+    across = Window.partitionBy("conv_id", "key").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    carried = (both.groupBy("conv_id", "key", "block").agg(F.max("holds").alias("last"))
+               .select("conv_id", "key", "block", F.max("last").over(across).alias("carried")))
+    found = both.withColumn("near", F.max("holds").over(within)).filter("__asked")
+    return (found.join(carried, ["conv_id", "key", "block"])
+            .select(*asked.columns, F.coalesce("near", "carried").alias("near")))
+
+
+def _set_overlaps(asked: DataFrame, held: DataFrame, by: list[str]) -> DataFrame:
+    """(*by, wants, holds, common) for the different sets ``wants`` and ``holds`` with a common line."""
+    left = asked.select(*by, "wants").distinct().select(*by, "wants", F.explode("wants").alias("line"))
+    right = held.select(*by, "holds").distinct().select(*by, "holds", F.explode("holds").alias("line"))
+    return left.join(right, [*by, "line"]).groupBy(*by, "wants", "holds").agg(F.count(F.lit(1)).alias("common"))
+
+
+def _first_elsewhere(asked: DataFrame, held: DataFrame) -> DataFrame:
+    """For every passage the message of another conversation that has most of its frequent lines, the first of equals.
+
+    Each set keeps its first message and the first one of any other conversation; so does each
+    set that is asked for, by overlap, and one of its two is not in the passage's conversation.
+    """
+    at = F.struct(F.col("origin_conv").alias("c"), F.col("origin_turn").alias("t"), F.col("origin_whole").alias("w"))
+    firsts = held.groupBy("holds", "origin_conv").agg(F.min(at).alias("at"))
+    low = firsts.groupBy("holds").agg(F.min("at").alias("low"))
+    second = (firsts.join(low, "holds").filter(F.col("origin_conv") != F.col("low.c"))
+              .groupBy("holds").agg(F.min("at").alias("second")))
+    met = _set_overlaps(asked, held, []).join(low, "holds").join(second, "holds", "left")
+    rank = [F.struct((-F.col("common")).alias("o"), F.col(n).alias("at")) for n in ("low", "second")]
+    best = met.groupBy("wants").agg(F.min(rank[0]).alias("best"))
+    elsewhere = F.when(F.col("low.c") != F.col("best.at.c"), rank[0]).when(F.col("second").isNotNull(), rank[1])
+    other = met.join(best, "wants").groupBy("wants").agg(F.first("best").alias("best"), F.min(elsewhere).alias("other"))
+    mine = asked.join(other, "wants").withColumn("r", F.when(F.col("best.at.c") != F.col("conv_id"), F.col("best")).otherwise(F.col("other")))
+    return mine.filter("r IS NOT NULL").select(*PASSAGE, F.col("r.at.c").alias("origin_conv"), F.col("r.at.t").alias("origin_turn"),
+                                               (-F.col("r.o")).alias("common"))
+
+
+def _latest_here(asked: DataFrame, held: DataFrame) -> DataFrame:
+    """For every passage the earlier message of its conversation that has most of its frequent lines, the latest of equals."""
+    here = held.withColumn("conv_id", F.col("origin_conv"))
+    first = here.groupBy("conv_id", "holds").agg(F.min("origin_turn").alias("first"))
+    met = _set_overlaps(asked, here, ["conv_id"]).join(first, ["conv_id", "holds"])
+    open_ = asked.join(met, ["conv_id", "wants"]).filter("first < turn")
+    most = open_.withColumn("most", F.max("common").over(Window.partitionBy(*PASSAGE))).filter("common = most")
+    near = latest_earlier(most.select(*PASSAGE, "common", F.col("holds").alias("key")),
+                          here.select("conv_id", F.col("origin_turn").alias("turn"), F.col("holds").alias("key")))
+    return near.select(*PASSAGE, F.col("conv_id").alias("origin_conv"), F.col("near").alias("origin_turn"), "common")
+
+
+def _by_lines(asked: DataFrame, known: DataFrame, frequent: int) -> DataFrame:
+    """(PASSAGE, origin_conv, origin_turn, common) that include, for every passage of ``asked``, its origin by common lines."""
+    wanted = asked.select(*PASSAGE, F.explode("lines").alias("line"))
+    told = known.select(F.col("conv_id").alias("origin_conv"), F.col("turn").alias("origin_turn"), F.col("whole").alias("origin_whole"),
+                        F.explode("lines").alias("line")).distinct()
+    told = cut(told.join(wanted.select("line").distinct(), "line", "left_semi"))
+    often = told.groupBy("line").count().filter(F.col("count") > frequent).select("line")
+    wants = wanted.join(often, "line").groupBy(*PASSAGE).agg(F.array_sort(F.collect_list("line")).alias("wants"))
+    holds = told.join(often, "line").groupBy(*ORIGIN).agg(F.array_sort(F.collect_list("line")).alias("holds"))
+    wants, holds = cut(wants), cut(holds)
+    fits = (F.col("origin_conv") != F.col("conv_id")) | (F.col("origin_turn") < F.col("turn"))
+    rare = (wanted.join(told.join(often, "line", "left_anti"), "line").filter(fits)
+            .groupBy(*PASSAGE, *ORIGIN).agg(F.count(F.lit(1)).alias("rare")))
+    none = F.array().cast("array<long>")
+    also = F.size(F.array_intersect(F.coalesce("wants", none), F.coalesce("holds", none)))
+    paired = (rare.join(wants, PASSAGE, "left").join(holds, ORIGIN, "left")
+              .select(*PASSAGE, "origin_conv", "origin_turn", (F.col("rare") + also).alias("common")))
+    return paired.unionByName(_first_elsewhere(wants, holds)).unionByName(_latest_here(wants, holds))
+
+
+def links(messages: DataFrame, frequent: int = FREQUENT) -> DataFrame:
+    """(conv_id, turn, passage, level, origin_conv, origin_turn, share) for every quoted passage
+    of ``parsed`` messages that has an origin.  ``frequent`` does not change the result."""
     known = messages.filter("conv_id IS NOT NULL AND turn IS NOT NULL")
     quoted = (known.select("conv_id", "turn", F.posexplode("passages").alias("passage", "p")).select("conv_id", "turn", "passage", "p.*")
-              .dropDuplicates(["conv_id", "turn", "passage", "quote"]))
-    one = ["conv_id", "turn", "passage", "quote"]
-    asked = quoted.select(*one, F.explode("keys").alias("key"))
-    held = known.select("conv_id", "turn", F.explode("keys").alias("key"))
-    # the latest earlier message of the conversation with this key, in one sorted pass
-    both = held.select("conv_id", "turn", F.lit(None).cast("int").alias("passage"), F.lit(None).cast("long").alias("quote"),
-                       "key").unionByName(asked)
-    earlier = Window.partitionBy("conv_id", "key").orderBy("turn").rangeBetween(Window.unboundedPreceding, -1)
-    local = (both.withColumn("near", F.max(F.when(F.col("passage").isNull(), F.col("turn"))).over(earlier))
-             .filter("passage IS NOT NULL"))
-    # the first message with it of the smallest and of the largest conversation
-    here = F.struct("conv_id", "turn")
-    ends = held.groupBy("key").agg(F.min(here).alias("low"), F.max(F.struct("conv_id", (-F.col("turn")).alias("back"))).alias("high"))
-    high = F.struct(F.col("high.conv_id").alias("conv_id"), (-F.col("high.back")).alias("turn"))
-    near = F.when(F.col("near").isNotNull(), F.struct(F.col("conv_id"), F.col("near").alias("turn")))
-    far = F.filter(F.array("low", high), lambda o: o["conv_id"] != F.col("conv_id"))
-    candidates = (local.join(ends, "key", "left")
-                  .select(*one, F.explode(F.array_compact(F.concat(F.array(near), F.coalesce(far, F.array().cast(
-                      "array<struct<conv_id:bigint,turn:bigint>>"))))).alias("from"))
-                  .select(*one, F.col("from.conv_id").alias("origin_conv"), F.col("from.turn").alias("origin_turn")).distinct())
-    # rows that repeat an id with another text are origins of their own
-    sources = known.select(F.col("conv_id").alias("origin_conv"), F.col("turn").alias("origin_turn"), F.col("lines").alias("origin_lines")).distinct()
-    weighed = (candidates.join(quoted.select(*one, "level", "lines"), one).join(sources, ["origin_conv", "origin_turn"])
-               .withColumn("share", F.size(F.array_intersect("lines", "origin_lines")) / F.size("lines")))
+              .dropDuplicates(PASSAGE))
+    whole = known.filter("whole IS NOT NULL").select("conv_id", "turn", F.col("whole").alias("key"))
+    found = cut(latest_earlier(quoted.withColumnRenamed("whole", "key"), whole))
+    rest = found.filter("near IS NULL")
+    told = found.filter("near IS NOT NULL").select("conv_id", "turn", "passage", "quote", "level", F.col("conv_id").alias("origin_conv"),
+                                                   F.col("near").alias("origin_turn"), F.lit(1.0).alias("share"))
     same = F.col("origin_conv") == F.col("conv_id")
-    order = F.struct("share", same, F.when(same, F.col("origin_turn")), -F.col("origin_conv"), -F.col("origin_turn"))
-    return (weighed.groupBy(*one).agg(F.max_by(F.struct("level", "origin_conv", "origin_turn", "share"), order).alias("best"))
-            .select("conv_id", "turn", "passage", "best.*"))
+    order = F.struct("common", same, F.when(same, F.col("origin_turn")), -F.col("origin_conv"), -F.col("origin_turn"))
+    best = _by_lines(rest, known, frequent).groupBy(*PASSAGE).agg(
+        F.max_by(F.struct("origin_conv", "origin_turn", "common"), order).alias("best"))
+    shared = rest.join(best, PASSAGE).select(*PASSAGE, "level", "best.origin_conv", "best.origin_turn",
+                                             (F.col("best.common") / F.size("lines")).alias("share"))
+    return told.unionByName(shared).drop("quote")
 
 
 def reply_trees(parents: DataFrame) -> DataFrame:

@@ -327,3 +327,47 @@ def test_the_origin_is_chosen_by_share_not_by_the_longest_line(spark):
     assert (got[1, 3].parent_conv, got[1, 3].parent_turn, got[1, 3].share) == (1, 0, 0.5)
     assert (got[2, 0].parent_conv, got[2, 0].parent_turn, got[2, 0].thread_conv) == (7, 0, 7)
     assert [(got[k].parent_conv, got[k].thread_conv, got[k].depth) for k in ((8, 0), (9, 0), (9, 1))] == [(None, 8, 0), (8, 8, 1), (9, 8, 2)]
+
+
+def _origin(passage, at, said):
+    """The origin of a passage's lines by comparing it with every message: (conv, turn, share)."""
+    same = [m for m in said if m[0] == at[0] and m[1] < at[1]]
+    equal = [m for m in same if m[2] == passage]
+    if equal:
+        return (at[0], max(m[1] for m in equal), 1.0)
+    want, best = set(passage), None
+    for conv, turn, lines in same + [m for m in said if m[0] != at[0]]:
+        common, here = len(want & set(lines)), conv == at[0]
+        rank = (common, here, turn if here else 0, -conv, -turn)
+        if common and (best is None or rank > best[0]):
+            best = (rank, (conv, turn, common / len(want)))
+    return best and best[1]
+
+
+@pytest.mark.parametrize("seed, frequent", [(1, 0), (1, 2), (2, 1), (3, 5), (4, 64)])
+def test_origins_are_those_of_comparing_all_messages(spark, seed, frequent, monkeypatch):
+    draw = random.Random(seed)
+    monkeypatch.setattr(Qt, "TURNS", 3)
+    hot, rows, said, asked = ["bye", "hello there", "sent by phone", "thanks"], [], [], []
+    rare = [f"line {k}" for k in range(40)]
+
+    def some(n):
+        return [draw.choice(hot) if draw.random() < 0.6 else draw.choice(rare) for _ in range(draw.randint(0, n))]
+
+    for conv in range(8):
+        for turn in range(14 if conv == 0 else 6):
+            earlier = [m[2] for m in said if m[0] == conv] or [[]]
+            shape = draw.random()
+            passage = draw.choice(earlier) if shape < 0.3 else draw.choice(said)[2][:2] if shape < 0.5 and said else some(4)
+            own = [f"own {conv} {turn}"] * (draw.random() < 0.3) + some(5)
+            rows.append((conv, turn, "u", "\n".join([f"> {x.upper()}" for x in passage] + [""] + own)))
+            said.append((conv, turn, own))
+            if passage:
+                asked.append((conv, turn, passage))
+    rows.append((0, 3, "u", "another text of a known id\nthanks"))
+    said.append((0, 3, ["another text of a known id", "thanks"]))
+    rows += rows[:5]
+    got = {(r.conv_id, r.turn): (r.origin_conv, r.origin_turn, r.share)
+           for r in Qt.links(Qt.cut(Qt.parsed(spark.createDataFrame(rows, MESSAGES))), frequent).collect()}
+    expected = {(c, t): _origin(p, (c, t), said) for c, t, p in asked}
+    assert got == {k: v for k, v in expected.items() if v} and len(got) > 30
