@@ -8,7 +8,8 @@ consecutive windows mostly share theirs.  One row per minimizer occurrence
 carries the hashes of its windows (about 14), rows meet by minimizer, and
 hashes found twice there are the repeated windows.  No window is left out.
 A minimizer of more than ``GROUP_ROWS`` rows does not meet in one task: its rows
-stay dealt out, and their windows are counted one row each.
+stay dealt out, and their windows are counted one row each.  Such groups are large,
+so their windows carry all eight bytes of their hashes instead of six.
 
 Copies are pre-aggregated: of windows that repeat within one task's chunk one
 stands for all, and the chunk already knows they repeat.  So a passage shared
@@ -40,6 +41,7 @@ from quire.llm.hashing import WordHashes, rolling_hashes
 WINDOW = 35
 GRAM = 8
 HASH_BYTES = 6            # of a window, beside the 8 of its minimizer
+WIDE_BYTES = 8            # of a window whose minimizer is frequent
 CHUNK_WINDOWS = 1 << 20   # windows that one task compares locally at a time
 GROUP_ROWS = 20_000       # rows of one minimizer that meet in one task, some 30 MB
 MAX_SENT_HOT = 1_000_000  # frequent minimizers that every task is sent, 8 MB; more meet their rows in a shuffle
@@ -69,16 +71,17 @@ def _binary(data: np.ndarray, offsets: np.ndarray) -> pa.Array:
                                  [None, pa.py_buffer(offsets.astype(np.int32).tobytes()), pa.py_buffer(data.tobytes())])
 
 
-def _short(hashes: np.ndarray) -> np.ndarray:
-    """The low HASH_BYTES bytes of each hash."""
-    return np.ascontiguousarray(hashes.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :HASH_BYTES])
+def _short(hashes: np.ndarray, width: int) -> np.ndarray:
+    """The low ``width`` bytes of each hash."""
+    return np.ascontiguousarray(hashes.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width])
 
 
 class _Chunk:
-    """Windows of some texts, before they leave their task."""
+    """Windows of some texts, before they leave their task with ``width`` bytes each,
+    those of the minimizers ``wide`` with WIDE_BYTES."""
 
-    def __init__(self, window: int, gram: int):
-        self.window, self.gram, self.parts, self.size = window, gram, [], 0
+    def __init__(self, window: int, gram: int, width: int, wide: np.ndarray | None):
+        self.window, self.gram, self.width, self.wide, self.parts, self.size = window, gram, width, wide, [], 0
 
     def add(self, doc_id: int | None, text_hash: int, words: np.ndarray) -> None:
         hashes = rolling_hashes(words, self.window)
@@ -107,14 +110,8 @@ class _Chunk:
         first = np.concatenate([p[3] + b for p, b in zip(parts, base)])
         last = np.concatenate([first[1:], [len(hashes)]])
         owner = np.repeat(np.arange(len(parts)), [len(p[3]) for p in parts])
-        minimizer = np.concatenate([p[4] for p in parts])
+        minimizer = np.concatenate([p[4] for p in parts]).view(np.int64)
         sent = np.add.reduceat(head, first) > 0
-        lengths = last[sent] - first[sent]
-        inside = np.zeros(len(hashes) + 1, np.int32)
-        np.add.at(inside, first[sent], 1)
-        np.add.at(inside, last[sent], -1)
-        data = _short(hashes[np.cumsum(inside[:-1]) > 0])
-        windows = _binary(data, np.concatenate([[0], lengths.cumsum()]) * HASH_BYTES)
         # spans: what is known to repeat already
         lo, hi, who = [], [], []
         for k, b in enumerate(base[:-1]):
@@ -124,8 +121,16 @@ class _Chunk:
                 lo.append(starts), hi.append(ends + self.window - 1), who.append(np.full(len(starts), k))
         ids = [p[0] for p in parts]
         text_hashes = np.array([p[1] for p in parts], np.int64)
-        yield self._batch(minimizer[sent].view(np.int64), owner[sent], first[sent] - base[owner[sent]], None, windows,
-                          ids, text_hashes)
+        hot = np.zeros(len(sent), bool) if self.wide is None else np.isin(minimizer, self.wide)
+        for some, width in ((sent & ~hot, self.width), (sent & hot, WIDE_BYTES)):
+            if some.any():
+                lengths = last[some] - first[some]
+                inside = np.zeros(len(hashes) + 1, np.int32)
+                np.add.at(inside, first[some], 1)
+                np.add.at(inside, last[some], -1)
+                data = _short(hashes[np.cumsum(inside[:-1]) > 0], width)
+                windows = _binary(data, np.concatenate([[0], lengths.cumsum()]) * width)
+                yield self._batch(minimizer[some], owner[some], first[some] - base[owner[some]], None, windows, ids, text_hashes)
         if who:
             who = np.concatenate(who)
             yield self._batch(text_hashes[who], who, np.concatenate(lo), np.concatenate(hi), None, ids, text_hashes)
@@ -141,11 +146,12 @@ class _Chunk:
             names=["minimizer", "doc_id", "text_hash", "start", "stop", "windows"])
 
 
-def occurrences(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
-    """Rows of ``OCCURRENCES``: window hashes by minimizer occurrence (``windows``
-    set), or spans that repeat within their task (``stop`` set)."""
+def occurrences(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, width: int = HASH_BYTES,
+                wide: np.ndarray | None = None) -> DataFrame:
+    """Rows of ``OCCURRENCES``: window hashes by minimizer occurrence (``windows`` set, ``width``
+    bytes each, WIDE_BYTES under the minimizers ``wide``), or spans that repeat within their task (``stop`` set)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, chunk = WordHashes(), _Chunk(window, gram)
+        known, chunk = WordHashes(), _Chunk(window, gram, width, wide)
         for batch in batches:
             for doc_id, text_hash, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(),
                                                as_bytes(batch.column(2))):
@@ -162,14 +168,14 @@ def occurrences(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> Data
 
 def frequent(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, rows: int = GROUP_ROWS) -> DataFrame:
     """(minimizer) of more than ``rows`` rows of ``occurrences``."""
-    found = occurrences(docs, window, gram).filter(F.col("stop").isNull())
+    found = occurrences(docs, window, gram, width=0).filter(F.col("stop").isNull())
     return found.groupBy("minimizer").count().filter(F.col("count") > rows).select("minimizer")
 
 
 def _counted(rows: DataFrame, window: int) -> DataFrame:
-    """Spans of the windows that occur twice or more in ``rows`` of ``OCCURRENCES``, one row for each window."""
-    hexed, digits = F.hex("windows"), 2 * HASH_BYTES
-    places = F.sequence(F.lit(0), (F.octet_length("windows") / HASH_BYTES).cast("int") - 1)
+    """Spans of the windows that occur twice or more in ``rows`` of ``OCCURRENCES`` (WIDE_BYTES a window), one row for each window."""
+    hexed, digits = F.hex("windows"), 2 * WIDE_BYTES
+    places = F.sequence(F.lit(0), (F.octet_length("windows") / WIDE_BYTES).cast("int") - 1)
     single = (rows.select("minimizer", "doc_id", "text_hash", "start", hexed.alias("hexed"), F.explode(places).alias("place"))
               .select("minimizer", "doc_id", "text_hash", (F.col("start") + F.col("place")).alias("start"),
                       F.substr("hexed", F.col("place") * digits + 1, F.lit(digits)).alias("hash")))
@@ -177,8 +183,8 @@ def _counted(rows: DataFrame, window: int) -> DataFrame:
     return single.join(repeated, ["minimizer", "hash"]).select("doc_id", "text_hash", "start", (F.col("start") + window).alias("stop"))
 
 
-def _meet(table: pa.Table, window: int) -> Iterator[pa.RecordBatch]:
-    """Spans of the windows that occur twice or more among complete minimizer groups."""
+def _meet(table: pa.Table, window: int, width: int) -> Iterator[pa.RecordBatch]:
+    """Spans of the windows (``width`` bytes each) that occur twice or more among complete minimizer groups."""
     table = table.combine_chunks()
     key = table.column("minimizer").to_numpy()
     near = key[1:] == key[:-1]
@@ -189,11 +195,11 @@ def _meet(table: pa.Table, window: int) -> Iterator[pa.RecordBatch]:
     blobs = table.column("windows").combine_chunks()
     blobs = blobs.chunk(0) if isinstance(blobs, pa.ChunkedArray) else blobs
     offsets = np.frombuffer(blobs.buffers()[1], np.int32, len(blobs) + 1, blobs.offset * 4)
-    raw = np.frombuffer(blobs.buffers()[2], np.uint8)[offsets[0]:offsets[-1]].reshape(-1, HASH_BYTES)
+    raw = np.frombuffer(blobs.buffers()[2], np.uint8)[offsets[0]:offsets[-1]].reshape(-1, width)
     hashes = np.zeros((len(raw), 8), np.uint8)
-    hashes[:, :HASH_BYTES] = raw
+    hashes[:, :width] = raw
     hashes = hashes.view("<u8").ravel()
-    lengths = np.diff(offsets) // HASH_BYTES
+    lengths = np.diff(offsets) // width
     row = np.repeat(np.arange(len(lengths)), lengths)
     place = np.arange(len(hashes)) - np.repeat(np.concatenate([[0], lengths.cumsum()[:-1]]), lengths)
     group = table.column("minimizer").to_numpy()[row]
@@ -220,6 +226,12 @@ def _meet(table: pa.Table, window: int) -> Iterator[pa.RecordBatch]:
 def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, rows: int = GROUP_ROWS,
                    max_sent_hot: int = MAX_SENT_HOT) -> DataFrame:
     """Word spans (doc_id, text_hash, start, stop) covered by repeated windows; spans may overlap."""
+    hot = cut(frequent(docs, window, gram, rows))
+    n_hot = hot.count()
+    few = n_hot <= max_sent_hot
+    width = HASH_BYTES if few else WIDE_BYTES
+    found = occurrences(docs, window, gram, width, np.sort(hot.toArrow().column(0).to_numpy()) if n_hot and few else None)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: list[pa.RecordBatch] = []  # rows of the last minimizer seen
         for batch in batches:
@@ -233,20 +245,18 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, rows
             # rows from ``tail`` on hold the last minimizer, which the next batch may continue
             tail = len(key) - int((key[::-1] != key[-1]).argmax()) if key[0] != key[-1] else 0
             if tail or (waiting and waiting[-1].column("minimizer")[0].as_py() != key[0]):
-                yield from _meet(pa.Table.from_batches([*waiting, batch.slice(0, tail)]), window)
+                yield from _meet(pa.Table.from_batches([*waiting, batch.slice(0, tail)]), window, width)
                 waiting = []
             waiting.append(batch.slice(tail))
         if waiting:
-            yield from _meet(pa.Table.from_batches(waiting), window)
+            yield from _meet(pa.Table.from_batches(waiting), window, width)
 
-    found, hot = occurrences(docs, window, gram), cut(frequent(docs, window, gram, rows))
-    n_hot = hot.count()
     if not n_hot:
         return found.repartition("minimizer").sortWithinPartitions("minimizer").mapInArrow(run, SPANS)
     # spans known from a chunk hold the text hash in place of a minimizer
     apart = F.col("hot").isNotNull() & F.col("stop").isNull()
     flagged = hot.withColumn("hot", F.lit(True))
-    marked = found.join(F.broadcast(flagged) if n_hot <= max_sent_hot else flagged, "minimizer", "left").withColumn("apart", apart)
+    marked = found.join(F.broadcast(flagged) if few else flagged, "minimizer", "left").withColumn("apart", apart)
     salt = F.when(F.col("apart"), F.pmod(F.xxhash64("doc_id", "text_hash", "start"), F.lit(1 << 16))).otherwise(0)
 
     def run_apart(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -154,14 +154,18 @@ def test_frequent_minimizers_do_not_meet_in_one_task(spark, monkeypatch):
     monkeypatch.setattr(U, "_meet", limited(U._meet, 20))
     got = U.dedup_substrings(df, 8, 3, rows=20).select("doc_id", "n_words", "n_removed", F.sha2("kept", 256))
     assert sorted(map(tuple, got.collect()), key=str) == brute_substrings(rows, 8)
+    hot = [r.minimizer for r in U.frequent(df, 8, 3, rows=20).collect()]
+    sizes = {(r.hot, r.n) for r in U.occurrences(df, 8, 3, wide=np.sort(np.array(hot))).filter("windows IS NOT NULL").select(
+        F.col("minimizer").isin(hot).alias("hot"), F.octet_length("windows").alias("n")).collect()}
+    assert {h for h, _ in sizes} == {True, False} and all(n % (8 if h else 6) == 0 for h, n in sizes)
     shuffled = U.remove_spans(df, U.repeated_spans(df, 8, 3, rows=20, max_sent_hot=0))  # too many to be sent to every task
     assert sorted(map(tuple, shuffled.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256)).collect()), key=str) == brute_substrings(rows, 8)
 
 
 def limited(meet, rows):
     """``meet`` that refuses more than ``rows`` rows of one minimizer."""
-    def run(table, window):
+    def run(table, *args):
         counts = collections.Counter(table.column("minimizer").to_pylist())
         assert not counts or max(counts.values()) <= rows
-        return meet(table, window)
+        return meet(table, *args)
     return run
