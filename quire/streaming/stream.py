@@ -23,12 +23,16 @@ from quire.sources.corpus import documents_wide
 def read_documents_stream(spark: SparkSession, source_dir: str, glob: str = "documents*.parquet",
                           max_files_per_trigger: int | None = None) -> DataFrame:
     """File-source stream of ``documents`` rows with the table's fixed schema; the
-    caller may bound the files of a batch."""
+    caller may bound the files of a batch.
+
+    ``glob`` names the table in ``source_dir``: files, or folders of part files under any
+    names, as Spark's own writers leave them.
+    """
     schema = "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT"
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", glob)
+    reader = spark.readStream.schema(schema)
     if max_files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.parquet(source_dir)
+    return reader.parquet(f"{source_dir.rstrip('/')}/{glob}")
 
 
 def cited_text_stream(docs_stream: DataFrame, delim: str = "\n\n",

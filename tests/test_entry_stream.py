@@ -35,6 +35,19 @@ def test_streaming_matches_batch(spark):
     assert s.count() == b.count()
 
 
+def test_streams_read_a_table_that_is_a_folder_of_parts(spark):
+    from quire.streaming import stream_cited_text, stream_dedupe
+    from quire.streaming.stream import stream_dedupe_watermark
+    d = tempfile.mkdtemp(prefix="quire-test-")
+    docs = [(1, "a\nb", "en", "s", 3), (2, "c", "en", "s", 1), (3, "c", "en", None, 1), (4, None, None, None, None)]
+    kinds = "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT"
+    spark.createDataFrame(docs, kinds).repartition(3).write.parquet(f"{d}/documents.parquet")
+    spark.range(3).write.parquet(f"{d}/labels.parquet")
+    assert sorted((r["doc_id"], r["text"]) for r in rows(stream_cited_text(spark, d, "\n"))) == [(1, "a"), (1, "b"), (2, "c"), (3, "c")]
+    assert stream_dedupe(spark, d).count() == 3
+    assert stream_dedupe_watermark(spark, d).count() == 3
+
+
 def test_json_sink_keeps_nulls_and_unicode(spark):
     from quire.sources.sinks import json_lines, write_json
     df = spark.createDataFrame([(1, None, "é")], "a INT, b STRING, c STRING")
