@@ -149,3 +149,42 @@ def test_html_deep_page(spark):
 def test_html_empty_page(spark):
     got = rows(html_nodes(html_df(spark, {5: "<html><body></body></html>"})).nodes)
     assert len(got) == 1 and got[0]["node_type"] == "document" and got[0]["node_id"].endswith(":0:0")
+
+
+def _random_forest(spark):
+    """Trees, several roots, equal places, orphans, cycles, a repeated id, a repeated document and one without elements."""
+    import random
+    rnd = random.Random(5)
+    out = []
+    for doc in range(1, 41):
+        for e in range(rnd.randint(1, 12)):
+            up = None if e == 0 or rnd.random() < 0.15 else rnd.randrange(0, e + 1 if rnd.random() < 0.1 else e)
+            out.append((doc, e * 3, None if up is None else up * 3 + (1 if rnd.random() < 0.05 else 0), rnd.randint(0, 2),
+                        rnd.choice(["/Document", "/Sect", "/P", "/H2", None]), rnd.choice([None, 0, 1, 7]), rnd.choice([None, "4", "x"]), f" t{e} "))
+    out += [(7, 0, None, 0, "/P", 0, None, "again"), (90, 0, None, 0, "/P", 0, None, "of no document"), (None, 0, None, 0, "/P", 0, None, "no id")]
+    from quire.schemas import ELEMENTS
+    from pyspark.sql import types as T
+    el = spark.createDataFrame(out, T.StructType([T.StructField(f.name, f.dataType) for f in ELEMENTS])).repartition(3)
+    docs = docs_df(spark, [*range(1, 42), 9])
+    refs = spark.createDataFrame([(d, r, 1 - r) for d in range(1, 41) for r in (0, 1)] + [(5, 1, 3)], "doc_id BIGINT, page_ref BIGINT, page_index INT")
+    pages = spark.createDataFrame([(d, p, f" page {p} of {d} ") for d in range(1, 41) for p in (0, 1)] + [(11, 0, "other")],
+                                  "doc_id BIGINT, page_index INT, page_text STRING")
+    return el, docs, refs, pages
+
+
+def test_numbered_in_tasks_as_by_tours(spark):
+    el, docs, refs, pages = _random_forest(spark)
+    tied = (5, 7)  # a repeated reference and element: siblings in no order
+    got = [rows(tagged_nodes(el, docs, refs, pages, True, most=k).nodes.drop("bbox")) for k in (1000, 5, 0)]
+    alike = [sorted(str({**r, "child_pos": None if r["doc_id"] in tied else r["child_pos"]}) for r in g) for g in got]
+    assert alike[0] == alike[2] and alike[1] == alike[2] and len(alike[0]) > 100
+
+
+def test_small_trees_take_no_tour(spark, monkeypatch):
+    from quire.operators import tagged
+    monkeypatch.setattr(tagged, "_walk", lambda el: 1 / 0)
+    el = make_elements(spark, {1: [("/Document", [("/H1", [], "Title"), ("/P", [], "Body")])]})
+    pages = spark.createDataFrame([(1, 0, "all")], "doc_id BIGINT, page_index INT, page_text STRING")
+    b = tagged_nodes(el, docs_df(spark, [1]), None, pages, page_level_text=True)
+    assert [r["text_content"] for r in rows(b.nodes, ["pre"])] == [None, "all", "all"]
+    assert "Broadcast" not in b.nodes._jdf.queryExecution().executedPlan().toString()
