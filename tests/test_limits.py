@@ -101,3 +101,20 @@ def test_html_lone_angle_brackets_are_text(spark):
     nodes = html_nodes(spark.createDataFrame([(1, "u", html)], "page_id bigint, url string, html string")).nodes
     got = [r.text_content for r in nodes.orderBy("pre").collect() if r.text_content]
     assert got == ["before", "if a < b then c <3", "x <y z", "i<=n; acd", "own", "end <unclosed < x"]
+
+
+def test_import_holds_one_tree_at_a_time(spark):
+    """Nodes leave in batches of bounded size, however many documents or nodes a task has."""
+    from quire.operators import tree
+    leaf = '{"id":"n%d","type":"paragraph","page_index":0,"text_content":"t","attributes":{},"children":[]}'
+    big = ",".join(leaf % k for k in range(25_000))
+    text = '{"schemaVersion":"1","sourceHash":"h","pageCount":1,"root":{"id":"r","type":"document","page_index":0,"children":[%s]}}'
+    df = spark.createDataFrame([(1, text % big), (2, text % ""), (3, "{"), (4, None), (None, text % (leaf % 0))], "doc_id bigint, json string").coalesce(1)
+    found = tree.nodes_from_json(df)
+    sizes = found.nodes.mapInPandas(lambda frames: (x[["doc_id"]].assign(doc_id=len(x)) for x in frames), "doc_id bigint")
+    assert max(r["doc_id"] for r in rows(sizes)) <= 10_000
+    assert {r["doc_id"]: r["count"] for r in rows(found.nodes.groupBy("doc_id").count())} == {1: 25_001, 2: 1, None: 2}
+    assert [r["last"] for r in rows(found.nodes.filter("doc_id = 1 AND pre = 0"))] == [25_000]
+    assert found.docs.count() == 3 and {r["doc_id"] for r in rows(found.rejected)} == {3, 4}
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) <= 1000
+    assert "MapInArrow" in found.nodes._jdf.queryExecution().executedPlan().toString()
