@@ -24,9 +24,12 @@ LINE_COLUMNS = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_exten
 LINE_ORDER = ["l_linenumber", "l_partkey", "l_suppkey"]
 
 
-def _cell_text(frame: DataFrame, c: str) -> Column:
+# Nodes of one task: what is sorted by its documents later stays in memory.
+NODES_A_TASK = 500_000
+
+
+def _cell_text(kind: T.DataType, c: str) -> Column:
     """A column's values as cell text, by its type: times to the second, all else as Spark casts it."""
-    kind = frame.schema[c].dataType
     if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
         return F.date_format(c, "yyyy-MM-dd HH:mm:ss")
     if isinstance(kind, (T.ArrayType, T.MapType, T.StructType)):
@@ -49,6 +52,9 @@ def frame_tables(rows: DataFrame, key: str, order: list[str], columns: list[str]
     numbers equal preorder ranks: document 0, table 1, row r at
     ``2 + r*(C+1)``, its cell c at ``3 + r*(C+1) + c``.
 
+    Rows travel as they are and become text behind the exchange.  It has a task per
+    ``NODES_A_TASK`` nodes (rows are counted first), as a narrow row makes many wide nodes.
+
     One exchange on the key; the row-number window and the row count run on that
     partitioning, and the document and table nodes are emitted by the document's first
     row.  The nodes come out hash-partitioned by doc_id.  Rows whose key is in no
@@ -56,20 +62,26 @@ def frame_tables(rows: DataFrame, key: str, order: list[str], columns: list[str]
     """
     names = columns if columns is not None else [c for c in rows.columns if c != key]
     ncol, head = len(names), 1 if header else 0
-    li = rows.select(F.col(key).cast("bigint").alias("doc_id"), F.array(*[_cell_text(rows, c) for c in names]).cast("array<string>").alias("cells"),
-                     F.struct(*order).alias("place"), F.lit(True).alias("is_row")).filter(F.col("doc_id").isNotNull())
+    kinds = [rows.schema[c].dataType for c in names]
+    cells, places = [f"c{k}" for k in range(ncol)], [f"o{k}" for k in range(len(order))]
+    li = rows.select(F.col(key).cast("bigint").alias("doc_id"), *(F.col(c).alias(x) for c, x in zip(names, cells)),
+                     *(F.col(c).alias(x) for c, x in zip(order, places)), F.lit(True).alias("is_row")).filter(F.col("doc_id").isNotNull())
     j, keys = li, li.select("doc_id")
+    n_nodes = rows.count() * (ncol + 1)
     if parents is not None:
         # Parents join the rows as markers behind them: no join, and repeated ones do no harm.
         keys = parents.select(F.col(parents.columns[0]).cast("bigint").alias("doc_id")).filter("doc_id IS NOT NULL")
         j = li.unionByName(keys, allowMissingColumns=True)
+        n_nodes += parents.count() * (2 + head * (ncol + 1))
+    if n_nodes > NODES_A_TASK * rows.sparkSession.sparkContext.defaultParallelism:
+        j = j.repartition(-(-n_nodes // NODES_A_TASK), "doc_id")
     w = Window.partitionBy("doc_id")
-    j = j.withColumn("r", F.row_number().over(w.orderBy(F.col("is_row").asc_nulls_last(), "place")) - 1).withColumn(
+    j = j.withColumn("r", F.row_number().over(w.orderBy(F.col("is_row").asc_nulls_last(), *places)) - 1).withColumn(
         "n_rows", F.count("is_row").over(w).cast("int"))
     if parents is not None:
         j = j.filter(F.col("is_row") | (F.col("r") == 0))
     hashed = source_hash_of_text(F.concat(F.lit(source), F.col("doc_id").cast("string")))
-    x = j.select("doc_id", "r", "is_row", (F.col("n_rows") + head).alias("total"), F.coalesce("cells", F.array().cast("array<string>")).alias("cells"),
+    x = j.select("doc_id", "r", "is_row", (F.col("n_rows") + head).alias("total"), *cells,
                  node_id(hashed, F.lit(0), F.lit("")).alias("prefix"))
 
     # A row generates narrow entries; the nodes' columns are plain expressions over
@@ -84,7 +96,7 @@ def frame_tables(rows: DataFrame, key: str, order: list[str], columns: list[str]
     if header:
         top += [entry(2, tag="/TR"), *(entry(3, 0, k, c, "/TH") for k, c in enumerate(names))]
     at = F.col("r") + head
-    own = F.concat(F.array(entry(2, at, tag="/TR")), F.transform("cells", lambda t, c: entry(3, at, c, t, "/TD")))
+    own = F.array(entry(2, at, tag="/TR"), *(entry(3, at, k, _cell_text(kind, x), "/TD") for k, (kind, x) in enumerate(zip(kinds, cells))))
     none = F.array().cast("array<struct<depth: int, at: int, c: int, text: string, tag: string>>")
     entries = F.concat(F.when(F.col("r") == 0, F.array(*top)).otherwise(none), F.when(F.col("is_row"), own).otherwise(none))
     x = x.select("doc_id", "prefix", "total", F.inline_outer(entries))

@@ -200,3 +200,15 @@ def test_counts_without_nodes_equal_counts_of_nodes(spark):
     nodes = heuristic_nodes_wide(wide).nodes
     want = {r["doc_id"]: r["n"] for r in rows(nodes.filter("node_type = 'paragraph'").groupBy("doc_id").agg(F.count("*").alias("n")))}
     assert {r["doc_id"]: r["n_blocks"] for r in rows(wide_stats(wide)) if r["n_blocks"]} == want
+
+
+def test_large_frames_get_a_task_per_so_many_nodes(spark, monkeypatch):
+    from quire.operators import tables
+    lines = spark.createDataFrame([(k % 7, k, f"t{k}", None) for k in range(60)] + [(None, 1, "x", 1.5)], "key bigint, n int, t string, x double")
+    parents = spark.createDataFrame([(k,) for k in (3, 3, 9, None)], "key bigint")
+    usual = rows(tables.frame_tables(lines, "key", ["n"], parents=parents).nodes.drop("bbox"), ["doc_id", "pre"])
+    monkeypatch.setattr(tables, "NODES_A_TASK", 10)
+    b = tables.frame_tables(lines, "key", ["n"], parents=parents)
+    assert rows(b.nodes.drop("bbox"), ["doc_id", "pre"]) == usual
+    assert b.nodes.rdd.getNumPartitions() == 26  # 61 rows of four nodes and four bare documents of two
+    assert len(rows(tables.table_cells(b.nodes))) == 180
