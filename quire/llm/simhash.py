@@ -23,7 +23,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quire.llm.common import as_bytes, byte_words, cut, small_batches
@@ -89,9 +89,8 @@ def links(fps: DataFrame, max_distance: int = MAX_DISTANCE, max_bucket: int = MA
     # AQE leaves few, small partitions of fingerprints, which grow 64-fold here.
     parts = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keyed = fps.repartition(parts, "fp").select("fp", F.explode(variants("fp", max_distance)).alias("key"))
-    # Keys are counted without the fingerprints, which come back only to keys that several share.
-    buckets = cut(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"))
-    more = cut(keyed.join(buckets, "key"))
+    # Keys and fingerprints meet in one exchange; only keys that several share go on.
+    more = cut(keyed.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("key"))).filter("n > 1"))
     small = more.filter(F.col("n") <= max_bucket)
     joined = (small.select("key", F.col("fp").alias("u")).join(small.select("key", F.col("fp").alias("v")), "key")
               .filter((F.col("u") < F.col("v")) & (_distance("u", "v") <= max_distance)).select("u", "v"))

@@ -169,3 +169,13 @@ def limited(meet, rows):
         assert not counts or max(counts.values()) <= rows
         return meet(table, *args)
     return run
+
+
+def test_keys_of_fingerprints_cross_the_network_once(spark, monkeypatch):
+    from quire.llm import simhash
+    plans, cut = [], simhash.cut
+    monkeypatch.setattr(simhash, "cut", lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or cut(df))
+    fps = spark.createDataFrame([(0,), (1,), (3,), (1 << 40,), (-1,)], "fp bigint")
+    found = {(r["u"], r["v"]) for r in simhash.links(fps).collect()}
+    assert found == {(0, 1), (0, 3), (1, 3), (0, 1 << 40), (1, 1 << 40)}
+    assert sum(p.count("Exchange hashpartitioning(key") for p in plans) == 1
