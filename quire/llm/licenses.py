@@ -146,7 +146,8 @@ def own_licences(files: DataFrame, templates=None, min_cosine: float = MIN_COSIN
     kind = "array<struct<at:int,words:array<string>>>"
     pieces = F.when(F.size("terms") > 0, F.transform(F.sequence(F.lit(0), F.greatest(F.size("terms") - 1, F.lit(0)), F.lit(PIECE)), lambda at: F.struct(
         at.alias("at"), F.slice("terms", at + 1, PIECE + longest - 1).alias("words"))))
-    whole = F.when(is_licence_file & F.lit(bool(whole_texts)), F.array(F.struct(F.lit(-1).alias("at"), F.col("terms").alias("words"))))
+    # a file without terms has no length to divide by, and no licence
+    whole = F.when(is_licence_file & (F.size("terms") > 0) & F.lit(bool(whole_texts)), F.array(F.struct(F.lit(-1).alias("at"), F.col("terms").alias("words"))))
     cut_up = (termed.select("path", "text_hash", F.explode_outer(F.concat(
         F.coalesce(pieces.cast(kind), F.array().cast(kind)), F.coalesce(whole.cast(kind), F.array().cast(kind)))).alias("p")).select("path", "text_hash", "p.*"))
     # spans with two terms of notices hold two neighbouring ones

@@ -295,6 +295,19 @@ def test_licences_own_and_inherited(spark, odd_docs, no_docs):
     assert [r.licence for r in L.scan(empty, templates=[]).collect()] == [None]
 
 
+def test_licence_files_without_terms(spark):
+    nothing = ["", " \n", "With and to the be.", "...", None]
+    files = [(k, f"a/{k}/LICENSE", t) for k, t in enumerate(nothing)] + [(10 + k, f"b/{k}/COPYING", t) for k, t in enumerate(nothing)]
+    files += [(20, "a/LICENSE", "Released under the MIT License."), (21, "a/2/x.py", "code"), (22, "b/2/x.py", "code"), (23, "c/x.py", "in the")]
+    got = {r.doc_id: r for r in L.scan(spark.createDataFrame(files, "doc_id long, path string, text string")).collect()}
+    assert len(got) == len(files) and [k for k, r in got.items() if r.own_licence or r.score is not None or r.n_units] == [20]
+    inherit = [0, 1, 2, 3, 4, 21]
+    assert {k: (r.licence, r.from_directory) for k, r in got.items() if r.licence} == {20: ("MIT", None)} | {k: ("MIT", "a") for k in inherit}
+    # in the query, every 16th document is a licence file
+    docs = spark.createDataFrame([(16 * k, t, "en", "s") for k, t in enumerate(nothing)], "doc_id long, text string, lang string, source string")
+    assert {(r.own_licence, r.licence, r.n_units) for r in L.scan(L.as_files(docs)).collect()} == {(None, None, 0)}
+
+
 def test_replies_quote_whole_texts_and_every_level_links(spark):
     texts = ["first line\nsecond line\n\nfourth line", "reply one\nreply two", "last\nword"]
     replies = Qt.as_replies(spark.createDataFrame([(1, t, "u", x) for t, x in enumerate(texts)], MESSAGES))
