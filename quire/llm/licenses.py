@@ -17,7 +17,7 @@ A file's own licence is its best unit of at least ``MIN_COSINE``.  A file
 without one inherits from the nearest directory above it that holds a licence
 file: directories (not files) are expanded to their ancestors and joined.
 
-Defined results: null or empty texts have no licence; a null path is an empty
+Defined results: texts that are null or without terms have no licence; a null path is an empty
 one, in the root directory; rows that repeat a path and text count once per row;
 of licence files in one directory the best score counts, ties by name of the
 licence; empty tables give an empty result; without templates nothing is found.
@@ -40,6 +40,7 @@ LICENCE_FILES = r"(?i)^(?:licen[cs]e|copying|notice)(?:[.-].*)?$"
 _WORD = r"[a-z0-9]+(?:[.+-][a-z0-9]+)*"
 SPDX = "spdx-license-identifier:"
 TERM = rf"{SPDX}{_WORD}|{_WORD}"
+JAVA_TERM = rf"{SPDX}{_WORD}+|{_WORD}+"  # possessive: else Java's matcher recurses for every part of a long chain
 PIECE = 512  # terms of a long text that are looked at together
 STOPWORDS = ["a", "an", "and", "any", "are", "as", "at", "be", "by", "for", "in", "is", "it", "may", "not", "of", "on", "or", "the",
              "this", "to", "under", "with", "you"]
@@ -103,7 +104,7 @@ def template_weights(templates: list[tuple[str, str]]) -> tuple[list[tuple], dic
 def _terms(text: Column) -> Column:
     """Terms of a lower-case text that are no stopwords."""
     tagged = F.regexp_replace(text, rf"({SPDX})[\x20\t]+", "$1")
-    return F.filter(F.regexp_extract_all(tagged, F.lit(TERM), F.lit(0)), lambda t: ~t.isin(STOPWORDS))
+    return F.filter(F.regexp_extract_all(tagged, F.lit(JAVA_TERM), F.lit(0)), lambda t: ~t.isin(STOPWORDS))
 
 
 def _map(weights: dict[str, float]) -> Column:

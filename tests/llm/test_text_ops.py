@@ -308,6 +308,12 @@ def test_licence_files_without_terms(spark):
     assert {(r.own_licence, r.licence, r.n_units) for r in L.scan(L.as_files(docs)).collect()} == {(None, None, 0)}
 
 
+def test_licences_beside_long_chains_of_words(spark):
+    texts = [f"{mark.join(['ab'] * 20000)} Licensed under CC BY-NC 4.0. {mark.join(['x'] * 20000)}" for mark in ".-+"]
+    got = L.scan(spark.createDataFrame([(k, "a.py", t) for k, t in enumerate(texts)], "doc_id long, path string, text string")).collect()
+    assert [(r.own_licence, r.score) for r in got] == [("CC-BY-NC-4.0", 1.0)] * 3
+
+
 def test_replies_quote_whole_texts_and_every_level_links(spark):
     texts = ["first line\nsecond line\n\nfourth line", "reply one\nreply two", "last\nword"]
     replies = Qt.as_replies(spark.createDataFrame([(1, t, "u", x) for t, x in enumerate(texts)], MESSAGES))
